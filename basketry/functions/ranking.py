@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from basketry.functions.columns import hour_bucket
-from basketry.session import ensure_checkpoint_dir
+from basketry.session import written
 
 # monotonically_increasing_id() numbers rows as (partition << 33) + index.
 INDEX_BITS = 33
@@ -29,17 +29,15 @@ def cut_by_rank(
     Returns the labelled table and n.
 
     A window without partitions would sort the table in one task. Instead the
-    table is range partitioned and sorted, numbered in place, and checkpointed:
-    the sampled range bounds differ from one run to the next, so the numbering
-    must be written down before it is read twice. Only the row count of each
-    partition comes to the driver. `order` has to end in a unique key.
+    table is range partitioned and sorted, numbered in place, and written: the
+    sampled range bounds differ from one run to the next, so the numbering must
+    be fixed before it is read twice. Only the row count of each partition comes
+    to the driver. `order` has to end in a unique key.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    numbered = (
+    numbered = written(
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_position", F.monotonically_increasing_id())
-        .checkpoint()
     )
     sizes = (
         numbered.groupBy(F.shiftright("_position", INDEX_BITS).alias("part"))

@@ -27,25 +27,27 @@ def card_transactions(tables: Tables) -> DataFrame:
     )
 
 
-def _group_lines(tables: Tables) -> DataFrame:
-    """Check lines of known customers with product group, store and moment."""
+def _receipt_lines(tables: Tables) -> DataFrame:
+    """Check lines of known customers with store and moment."""
     known = tables.cards.join(tables.personal_data.select("customer_id"), "customer_id", "left_semi")
     visits = tables.transactions.join(known, "customer_card_id").select(
         "customer_id", "transaction_id", "transaction_datetime", "transaction_store_id"
     )
-    products = tables.product_grid.select("sku_id", "group_id")
-    return tables.checks.join(products, "sku_id").join(visits, "transaction_id")
+    return tables.checks.join(visits, "transaction_id")
 
 
 def purchase_history(tables: Tables) -> DataFrame:
     """Cost, retail sum and paid sum per customer, transaction and group.
 
     The cost uses the price list of the store of the transaction; lines without
-    a price there drop out.
+    a price there drop out. Prices and groups are put together first, so that the
+    lines meet both in one join.
     """
-    prices = tables.stores.select("transaction_store_id", "sku_id", "sku_purchase_price")
+    prices = tables.stores.select("transaction_store_id", "sku_id", "sku_purchase_price").join(
+        tables.product_grid.select("sku_id", "group_id"), "sku_id"
+    )
     return (
-        _group_lines(tables)
+        _receipt_lines(tables)
         .join(prices, ["sku_id", "transaction_store_id"])
         .groupBy(*HISTORY_KEY)
         .agg(
@@ -82,7 +84,8 @@ def discounted_history(tables: Tables, mode: str = "spec") -> DataFrame:
         "transaction_store_id", "sku_id", "sku_purchase_price", F.lit(True).alias("priced")
     )
     return (
-        _group_lines(tables)
+        _receipt_lines(tables)
+        .join(tables.product_grid.select("sku_id", "group_id"), "sku_id")
         .join(prices, ["sku_id", "transaction_store_id"], "left")
         .groupBy(*HISTORY_KEY)
         .agg(

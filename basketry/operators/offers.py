@@ -308,21 +308,16 @@ def sku_share(tables: Tables, history: DataFrame, skus: DataFrame) -> DataFrame:
     """Add to each (customer, group, SKU) the share of the group's transactions with the SKU.
 
     `skus` has one row per pair and its group_purchase. The purchases of those
-    pairs are looked up in the check lines by (transaction, SKU).
+    pairs are looked up in the check lines by (transaction, SKU). Grouping by all
+    columns of `skus` spares a second use of it.
     """
-    looked_up = history.select(*PAIR, "transaction_id").join(skus.select(*PAIR, "sku_id"), PAIR)
-    found = (
-        looked_up.join(
-            tables.checks.select("transaction_id", "sku_id"), ["transaction_id", "sku_id"], "left_semi"
-        )
-        .groupBy(*PAIR)
-        .agg(F.count(F.lit(1)).alias("with_sku"))
-    )
+    purchases = history.select(*PAIR, "transaction_id").join(skus, PAIR)
+    sold = tables.checks.select("transaction_id", "sku_id").distinct()
     return (
-        skus.join(found, PAIR, "left")
-        .withColumn(
-            "sku_share", ratio(F.coalesce(F.col("with_sku"), F.lit(0)), "group_purchase")
-        )
+        purchases.join(sold.withColumn("sold", F.lit(1)), ["transaction_id", "sku_id"], "left")
+        .groupBy(*skus.columns)
+        .agg(F.count("sold").alias("with_sku"))
+        .withColumn("sku_share", ratio("with_sku", "group_purchase"))
         .drop("with_sku")
     )
 

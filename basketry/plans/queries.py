@@ -29,10 +29,10 @@ PARAMETERS: dict[str, object] = {
     "visit_start": "2001-09-01",
     "visit_end": "2002-08-31",
     "added": 1,
-    "cross_groups": 5,
+    "cross_groups": 2,
     "cross_churn": 3,
-    "cross_stability": 0.5,
-    "max_sku_share": 100,
+    "cross_stability": 0.8,
+    "max_sku_share": 30,
 }
 P = PARAMETERS
 LIMITS = {
@@ -70,6 +70,11 @@ def _best_skus(ws: Workspace) -> DataFrame:
     )
 
 
+def _sku_shares(ws: Workspace) -> DataFrame:
+    shares = offers.sku_share(ws.tables, ws.history, _best_skus(ws))
+    return shares.select(*PAIR, "sku_id", "sku_share")
+
+
 def _reward(ws: Workspace, **choices) -> DataFrame:
     return offers.reward_group(
         ws.group_details, price_margin=ws.price_margin, **LIMITS, **choices
@@ -122,9 +127,7 @@ SPEC: dict[str, Callable[[Workspace], DataFrame]] = {
     "max_margin_sku": lambda ws: _best_skus(ws).select(
         *PAIR, "customer_primary_store", "sku_id", "max_margin"
     ),
-    "sku_share": lambda ws: offers.sku_share(ws.tables, ws.history, _best_skus(ws)).select(
-        *PAIR, "sku_id", "sku_share"
-    ),
+    "sku_share": lambda ws: _sku_shares(ws.store_history()),
     "cross_sell_discount": lambda ws: _best_skus(ws).select(
         *PAIR,
         "sku_id",

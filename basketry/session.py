@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings only, so they can be applied to a session that already runs.
 # A skewed join is split even where the split costs a further shuffle: one hot
@@ -23,14 +24,25 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder the cluster names; fall back to a scratch one in local mode only."""
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder the cluster names; a scratch one in local mode only."""
     context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="basketry-checkpoint-")
-    context.setCheckpointDir(shared)
+    if context.getCheckpointDir() is None:
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None:
+            if not context.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+            named = tempfile.mkdtemp(prefix="basketry-")
+        context.setCheckpointDir(named)
+    return context.getCheckpointDir()
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The table as a Parquet copy in the shared folder.
+
+    Cuts the lineage like a checkpoint, survives the loss of executors, and
+    unlike a checkpoint lets later reads pick columns and see the true size.
+    """
+    path = f"{shared_folder(df.sparkSession)}/{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

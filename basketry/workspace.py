@@ -15,47 +15,46 @@ from basketry.operators import periods as period_ops
 from basketry.operators import quality
 from basketry.operators.history import analysis_moment
 from basketry.schema import Tables
-from basketry.session import ensure_checkpoint_dir
+from basketry.session import written
 
 
 class Workspace:
     """Derived tables are lazy and shared between the offers.
 
-    keep="checkpoint" writes the history and the group table to the shared
-    checkpoint folder when they are first used; worthwhile when several offers
-    are formed from them. The customer table is always written down, because its
-    rank cuts need it.
+    The customer table is written to the shared folder when it is first asked
+    for, because its rank cuts need that. So is the history where one result
+    reads it twice; call store_history() to do it before forming several offers.
     """
 
-    def __init__(self, tables: Tables, mode: str = "spec", keep: str | None = None):
-        if keep not in (None, "checkpoint"):
-            raise ValueError(f"keep must be None or 'checkpoint', not {keep!r}")
+    def __init__(self, tables: Tables, mode: str = "spec"):
         self.tables = tables
         self.mode = check_mode(mode)
-        self.keep = keep
+        self._history: DataFrame | None = None
 
-    def _kept(self, df: DataFrame) -> DataFrame:
-        if self.keep is None:
-            return df
-        ensure_checkpoint_dir(df.sparkSession)
-        return df.checkpoint()
+    @property
+    def history(self) -> DataFrame:
+        """Purchase history with discount measures, the base of all group measures."""
+        if self._history is None:
+            return history_ops.discounted_history(self.tables, self.mode)
+        return self._history
+
+    def store_history(self) -> Workspace:
+        """Write the history down; everything built from now on reads the copy."""
+        if self._history is None:
+            self._history = written(self.history)
+        return self
 
     @property
     def analysis(self) -> Column:
         return analysis_moment(self.tables)
 
-    @cached_property
-    def history(self) -> DataFrame:
-        """Purchase history with discount measures, the base of all group measures."""
-        return self._kept(history_ops.discounted_history(self.tables, self.mode))
-
-    @cached_property
+    @property
     def purchase_history(self) -> DataFrame:
-        if self.keep:
-            return history_ops.plain_history(self.history)
-        return history_ops.purchase_history(self.tables)
+        if self._history is None:
+            return history_ops.purchase_history(self.tables)
+        return history_ops.plain_history(self._history)
 
-    @cached_property
+    @property
     def periods(self) -> DataFrame:
         return period_ops.periods(self.history)
 
@@ -63,22 +62,24 @@ class Workspace:
     def customers(self) -> DataFrame:
         return customer_ops.customers(self.tables, self.mode)
 
-    @cached_property
+    @property
     def group_details(self) -> DataFrame:
-        return self._kept(group_ops.group_details(self.history, self.analysis, mode=self.mode))
+        return group_ops.group_details(self.history, self.analysis, mode=self.mode)
 
     @property
     def groups(self) -> DataFrame:
         return self.group_details.select(*group_ops.GROUP_COLUMNS)
 
-    @cached_property
-    def price_margin(self) -> DataFrame:
-        return offer_ops.group_price_margin(self.tables)
-
     def groups_by_margin(self, method: int = 0, number: int = 1) -> DataFrame:
         """The group table with the margin of a period of days (1) or of the last purchases (2)."""
+        if method == 2:
+            self.store_history()
         return group_ops.groups(self.history, self.analysis, method, number, self.mode)
 
+    @property
+    def price_margin(self) -> DataFrame:
+        return offer_ops.group_price_margin(self.tables)
+
     def offers_average_check(self, method: int, **parameters) -> DataFrame:
         return offer_ops.offers_average_check(
             self.tables,
@@ -102,6 +103,7 @@ class Workspace:
         )
 
     def offers_cross_sell(self, count: int, **parameters) -> DataFrame:
+        self.store_history()
         return offer_ops.offers_cross_sell(
             self.tables,
             self.history,
