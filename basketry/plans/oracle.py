@@ -56,15 +56,19 @@ SELECT max(transaction_datetime) + INTERVAL 1 DAY + INTERVAL 13 HOUR AS moment F
 STEPS["visits"] = """
 SELECT c.customer_id, t.transaction_id, t.transaction_datetime, t.transaction_store_id, t.transaction_summ
 FROM transactions t JOIN cards c USING (customer_card_id)"""
-STEPS["ph"] = """
-SELECT v.customer_id, v.transaction_id, v.transaction_datetime, g.group_id,
-       sum(s.sku_purchase_price * l.sku_amount) AS group_cost,
-       sum(l.sku_summ) AS group_summ, sum(l.sku_summ_paid) AS group_summ_paid
+STEPS["bought"] = """
+SELECT v.customer_id, v.transaction_id, v.transaction_datetime, v.transaction_store_id, g.group_id,
+       l.sku_id, l.sku_amount, l.sku_summ, l.sku_summ_paid
 FROM checks l
 JOIN visits v ON v.transaction_id = l.transaction_id
 JOIN personal_data p ON p.customer_id = v.customer_id
-JOIN product_grid g ON g.sku_id = l.sku_id
-JOIN stores s ON s.sku_id = l.sku_id AND s.transaction_store_id = v.transaction_store_id
+JOIN product_grid g ON g.sku_id = l.sku_id"""
+STEPS["ph"] = """
+SELECT b.customer_id, b.transaction_id, b.transaction_datetime, b.group_id,
+       sum(s.sku_purchase_price * b.sku_amount) AS group_cost,
+       sum(b.sku_summ) AS group_summ, sum(b.sku_summ_paid) AS group_summ_paid
+FROM bought b
+JOIN stores s ON s.sku_id = b.sku_id AND s.transaction_store_id = b.transaction_store_id
 GROUP BY ALL"""
 STEPS["rates"] = """
 SELECT h.customer_id, h.group_id, l.transaction_id, l.sku_discount,
@@ -531,10 +535,15 @@ def _ordered(names: set[str]) -> list[str]:
     return order
 
 
+def _kind(step: str) -> str:
+    """Materialized steps keep the join order as written; price lists joined too early explode."""
+    return "MATERIALIZED" if step in ("bought", "ph", "visits", "checks") else ""
+
+
 def statements(parameters: dict[str, object]) -> dict[str, str]:
     """Every registered query as one self-contained statement."""
     complete = {}
     for name, sql in STATEMENTS.items():
-        steps = ",\n".join(f"{step} AS ({STEPS[step]}\n)" for step in _needed(sql))
+        steps = ",\n".join(f"{step} AS {_kind(step)} ({STEPS[step]}\n)" for step in _needed(sql))
         complete[name] = f"WITH {steps}\n{sql}".format(**parameters)
     return complete
