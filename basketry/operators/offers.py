@@ -1,4 +1,4 @@
-"""Personal offers: larger checks, more visits, cross-selling."""
+"""Personal offers for larger checks and for more visits."""
 
 from __future__ import annotations
 
@@ -8,13 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from basketry.functions.columns import (
-    check_mode,
-    days_between,
-    ratio,
-    real,
-    round_to_step,
-)
+from basketry.functions.columns import check_mode, days_between, ratio, real, round_to_step
 from basketry.functions.ranking import latest_per_key
 from basketry.operators.history import analysis_moment, card_transactions
 from basketry.operators.periods import PAIR
@@ -248,108 +242,3 @@ def offers_visit_frequency(
             "offer_discount_depth",
         )
     )
-
-
-def cross_sell_groups(
-    details: DataFrame,
-    count: int,
-    max_churn: float,
-    max_stability: float,
-    mode: str = "spec",
-) -> DataFrame:
-    """Up to `count` groups of highest affinity per customer, churn and stability permitting.
-
-    mode="as_written" ranks inside each pair, where every rank is 1: all
-    permitted groups stay if `count` is at least 1.
-    """
-    permitted = details.filter(
-        (F.col("group_churn_rate") <= F.lit(float(max_churn)))
-        & (F.col("group_stability_index") < F.lit(float(max_stability)))
-    )
-    if check_mode(mode) == "as_written":
-        return permitted.filter(F.lit(count >= 1))
-    best = W.partitionBy("customer_id").orderBy(
-        F.col("group_affinity_index").desc_nulls_last(), F.col("group_id").asc()
-    )
-    return (
-        permitted.withColumn("place", F.row_number().over(best))
-        .filter(F.col("place") <= count)
-        .drop("place")
-    )
-
-
-def max_margin_sku(tables: Tables, selected: DataFrame, stores: DataFrame) -> DataFrame:
-    """The SKU of largest retail - purchase price of each selected group in the main store.
-
-    The best SKU is found once per store and group, so customers meet one row
-    each instead of every SKU of their groups. `stores` holds customer_primary_store.
-    """
-    gain = F.col("sku_retail_price") - F.col("sku_purchase_price")
-    best = (
-        tables.stores.filter(gain.isNotNull())
-        .join(tables.product_grid.select("sku_id", "group_id"), "sku_id")
-        .groupBy(F.col("transaction_store_id").alias("customer_primary_store"), "group_id")
-        .agg(
-            F.max_by(
-                F.struct("sku_id", "sku_purchase_price", "sku_retail_price"),
-                F.struct(gain.alias("gain"), (-F.col("sku_id")).alias("tie")),
-            ).alias("best")
-        )
-        .select("customer_primary_store", "group_id", "best.*")
-    )
-    return (
-        selected.join(stores.select("customer_id", "customer_primary_store"), "customer_id")
-        .join(best, ["customer_primary_store", "group_id"])
-        .withColumn("max_margin", gain)
-    )
-
-
-def sku_share(tables: Tables, history: DataFrame, skus: DataFrame) -> DataFrame:
-    """Add to each (customer, group, SKU) the share of the group's transactions with the SKU.
-
-    `skus` has one row per pair and its group_purchase. The purchases of those
-    pairs are looked up in the check lines by (transaction, SKU). Grouping by all
-    columns of `skus` spares a second use of it.
-    """
-    purchases = history.select(*PAIR, "transaction_id").join(skus, PAIR)
-    sold = tables.checks.select("transaction_id", "sku_id").distinct()
-    return (
-        purchases.join(sold.withColumn("sold", F.lit(1)), ["transaction_id", "sku_id"], "left")
-        .groupBy(*skus.columns)
-        .agg(F.count("sold").alias("with_sku"))
-        .withColumn("sku_share", ratio("with_sku", "group_purchase"))
-        .drop("with_sku")
-    )
-
-
-def cross_sell_discount(margin_share: float) -> Column:
-    """The rounded minimum discount in percent where the SKU's margin share covers it, else NULL."""
-    depth = round_to_step(F.col("group_minimum_discount"))
-    gain = F.col("sku_retail_price") - F.col("sku_purchase_price")
-    covered = F.lit(margin_share / 100) * ratio(gain, "sku_retail_price")
-    return F.when(covered >= depth / F.lit(100.0), depth)
-
-
-def offers_cross_sell(
-    tables: Tables,
-    history: DataFrame,
-    details: DataFrame,
-    stores: DataFrame,
-    count: int,
-    max_churn: float,
-    max_stability: float,
-    max_sku_share: float,
-    margin_share: float,
-) -> DataFrame:
-    """Offers that move a customer to the SKU of largest margin in a demanded group."""
-    selected = cross_sell_groups(details, count, max_churn, max_stability)
-    skus = max_margin_sku(tables, selected, stores).withColumn(
-        "offer_discount_depth", cross_sell_discount(margin_share)
-    )
-    # The discount test needs no facts, so it goes before the share.
-    shares = sku_share(tables, history, skus.filter(F.col("offer_discount_depth").isNotNull()))
-    return (
-        shares.filter(F.col("sku_share") <= F.lit(max_sku_share / 100))
-        .join(tables.product_grid.select("sku_id", "sku_name"), "sku_id")
-        .select("customer_id", "sku_name", "offer_discount_depth")
-    )

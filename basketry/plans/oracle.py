@@ -330,7 +330,7 @@ SELECT customer_id, TIMESTAMP '{{visit_start}}' AS start_date, TIMESTAMP '{{visi
 FROM reward_list{mode} JOIN required{mode} USING (customer_id) JOIN groups_sku USING (group_id)"""
 
 STEPS["selected_as_written"] = """
-SELECT customer_id, group_id, group_affinity_index FROM groups_as_written
+SELECT customer_id, group_id, group_affinity_index, group_minimum_discount FROM groups_as_written
 WHERE group_churn_rate <= {cross_churn} AND group_stability_index < {cross_stability}"""
 STEPS["selected"] = """
 SELECT customer_id, group_id, group_affinity_index, group_minimum_discount FROM groups
@@ -357,6 +357,31 @@ SELECT customer_id, group_id, sku_id, sku_name,
             THEN ceil(group_minimum_discount * 20 - 1e-9) * 5 END AS offer_discount_depth
 FROM best_sku"""
 
+STEPS["listed_margin"] = """
+SELECT a.transaction_store_id AS customer_primary_store, max(b.sku_retail_price - b.sku_purchase_price) AS max_margin
+FROM stores a JOIN stores b USING (sku_id) GROUP BY ALL"""
+STEPS["sold_counts"] = """
+SELECT DISTINCT customer_id, sold
+FROM (SELECT customer_id, l.sku_id, count(*) AS sold
+      FROM selected_as_written JOIN ph USING (customer_id, group_id) JOIN checks l USING (transaction_id)
+      GROUP BY customer_id, l.sku_id)"""
+STEPS["copies"] = """
+SELECT s.customer_id, count(*) AS copies
+FROM sold_counts s JOIN selected_as_written c USING (customer_id)
+JOIN periods p ON p.customer_id = c.customer_id AND p.group_id = c.group_id
+WHERE s.sold * 100 <= p.group_purchase * {max_sku_share}
+GROUP BY s.customer_id"""
+STEPS["cross_offer_as_written"] = """
+SELECT customer_id, g.sku_name,
+       CASE WHEN {margin_share} / 100.0 * (CAST(m.max_margin AS DOUBLE) / CAST(s.sku_retail_price AS DOUBLE))
+                 >= ceil(c.group_minimum_discount * 20 - 1e-9) * 5 / 100.0
+            THEN ceil(c.group_minimum_discount * 20 - 1e-9) * 5 END AS offer_discount_depth,
+       k.copies
+FROM selected_as_written c JOIN primary_store_as_written p USING (customer_id) JOIN copies k USING (customer_id)
+JOIN listed_margin m USING (customer_primary_store)
+JOIN product_grid g ON g.group_id = c.group_id
+JOIN stores s ON s.sku_id = g.sku_id AND s.transaction_store_id = p.customer_primary_store"""
+
 # --- input checks -------------------------------------------------------------
 
 _UNIQUE = {
@@ -432,6 +457,12 @@ STEPS["format_findings"] = _format_checks(
     r"^\+7[0-9]{{10}}$",
 )
 
+STEPS["format_findings_as_written"] = _format_checks(
+    r"(?i)^[A-ZА-Я][-a-zа-я]*([- ][A-ZА-Я][-a-zа-я]*)*$",
+    r"(?i)^([a-z0-9_\.-]+)@([a-z0-9_\.-]+)\.([a-z\.]{{2,6}})$",
+    r"^\+7[0-9]{{10}}",
+)
+
 # --- statements ---------------------------------------------------------------
 
 STATEMENTS: dict[str, str] = {
@@ -503,7 +534,11 @@ STATEMENTS: dict[str, str] = {
     ),
     "required_transactions_as_written": "SELECT * FROM required_as_written",
     "offers_visit_frequency_as_written": "SELECT * FROM visit_offer_as_written",
-    "cross_sell_groups_as_written": "SELECT * FROM selected_as_written",
+    "cross_sell_groups_as_written": """SELECT customer_id, group_id, group_affinity_index
+        FROM selected_as_written""",
+    "offers_cross_sell_as_written": "SELECT * FROM cross_offer_as_written",
+    "validate_as_written": """SELECT * FROM key_findings UNION ALL SELECT * FROM missing_findings
+        UNION ALL SELECT * FROM format_findings_as_written""",
 }
 
 

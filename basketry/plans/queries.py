@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from basketry.operators import customers, groups, history, offers, periods, quality
-from basketry.operators.offers import PAIR
+from basketry.operators import cross_sell, customers, groups, offers, periods, quality
+from basketry.operators.periods import PAIR
 from basketry.session import tune
 from basketry.sources import testtables
 from basketry.workspace import Workspace
@@ -59,19 +59,19 @@ def plain(df: DataFrame) -> DataFrame:
 
 
 def _selected(ws: Workspace) -> DataFrame:
-    return offers.cross_sell_groups(
+    return cross_sell.cross_sell_groups(
         ws.group_details, P["cross_groups"], P["cross_churn"], P["cross_stability"], ws.mode
     )
 
 
 def _best_skus(ws: Workspace) -> DataFrame:
-    return offers.max_margin_sku(
+    return cross_sell.max_margin_sku(
         ws.tables, _selected(ws), customers.primary_store(ws.tables, ws.mode)
     )
 
 
 def _sku_shares(ws: Workspace) -> DataFrame:
-    shares = offers.sku_share(ws.tables, ws.history, _best_skus(ws))
+    shares = cross_sell.sku_share(ws.tables, ws.history, _best_skus(ws))
     return shares.select(*PAIR, "sku_id", "sku_share")
 
 
@@ -131,7 +131,7 @@ SPEC: dict[str, Callable[[Workspace], DataFrame]] = {
     "cross_sell_discount": lambda ws: _best_skus(ws).select(
         *PAIR,
         "sku_id",
-        offers.cross_sell_discount(P["margin_share"]).alias("offer_discount_depth"),
+        cross_sell.cross_sell_discount(P["margin_share"]).alias("offer_discount_depth"),
     ),
     "offers_cross_sell": lambda ws: ws.offers_cross_sell(
         P["cross_groups"],
@@ -169,6 +169,8 @@ AS_WRITTEN_NAMES = [
     "required_transactions",
     "offers_visit_frequency",
     "cross_sell_groups",
+    "offers_cross_sell",
+    "validate",
 ]
 
 

@@ -7,6 +7,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame
 
 from basketry.functions.columns import check_mode
+from basketry.operators import cross_sell as cross_sell_ops
 from basketry.operators import customers as customer_ops
 from basketry.operators import groups as group_ops
 from basketry.operators import history as history_ops
@@ -104,12 +105,13 @@ class Workspace:
 
     def offers_cross_sell(self, count: int, **parameters) -> DataFrame:
         self.store_history()
-        return offer_ops.offers_cross_sell(
+        return cross_sell_ops.offers_cross_sell(
             self.tables,
             self.history,
             self.group_details,
             customer_ops.primary_store(self.tables, self.mode),
             count,
+            mode=self.mode,
             **parameters,
         )
 
