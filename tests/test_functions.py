@@ -1,0 +1,120 @@
+from __future__ import annotations
+
+import random
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from basketry.functions import columns as C
+from basketry.functions.ranking import cut_by_rank, latest_per_key
+from shop import by
+
+
+@pytest.mark.parametrize(
+    "share, up, down",
+    [
+        (0.05, 5.0, 5.0),
+        (0.2, 20.0, 20.0),
+        (0.1 + 0.1 + 1e-16, 20.0, 20.0),
+        (0.15000000000000002, 15.0, 15.0),
+        (0.200001, 25.0, 20.0),
+        (0.01, 5.0, 0.0),
+        (0.0, 0.0, 0.0),
+    ],
+)
+def test_round_to_step(spark, share, up, down):
+    row = spark.range(1).select(
+        C.round_to_step(F.lit(share)).alias("up"), C.round_to_step(F.lit(share), "down").alias("down")
+    )
+    assert tuple(row.first()) == (up, down)
+
+
+def test_round_to_step_rejects_other_directions(spark):
+    with pytest.raises(ValueError):
+        C.round_to_step(F.lit(0.1), "nearest")
+
+
+def test_whole_days_are_spans_not_midnights(spark):
+    moments = [
+        (datetime(2022, 1, 1, 23), datetime(2022, 1, 2, 1), 0),
+        (datetime(2022, 1, 1), datetime(2022, 1, 2, 23, 10), 1),
+        (datetime(2022, 1, 3), datetime(2022, 1, 1, 12), -1),
+        (datetime(2022, 3, 13), datetime(2022, 3, 14), 1),  # clocks change in New York
+    ]
+    df = spark.createDataFrame(moments, "a timestamp_ntz, b timestamp_ntz, expected int")
+    assert df.filter(C.whole_days_between(F.col("a"), F.col("b")) != F.col("expected")).count() == 0
+    days = df.select(C.days_between(F.col("a"), F.col("b")).alias("d")).collect()
+    assert [row.d for row in days] == [2 / 24, 1 + (23 + 1 / 6) / 24, -1.5, 1.0]
+
+
+def test_hour_bucket_orders_hours(spark):
+    moments = [datetime(1969, 12, 31, 23, 59), datetime(1970, 1, 1), datetime(2022, 5, 5, 13, 1, 2)]
+    df = spark.createDataFrame([(m,) for m in moments], "m timestamp_ntz")
+    buckets = [row[0] for row in df.select(C.hour_bucket("m")).collect()]
+    assert buckets == [-1, 0, (moments[2] - datetime(1970, 1, 1)) // timedelta(hours=1)]
+
+
+def test_ratio_of_zero_is_null(spark):
+    assert spark.range(1).select(C.ratio(F.lit(1), F.lit(0))).first()[0] is None
+
+
+def labels(df, direction="desc"):
+    value = F.col("v").desc() if direction == "desc" else F.col("v").asc()
+    return cut_by_rank(df, [value, F.col("id").asc()], [10, 35], ["High", "Medium", "Low"], "label")
+
+
+@pytest.mark.parametrize("size", [0, 1, 2, 9, 10, 20, 23, 1000])
+def test_cut_by_rank_floors(spark, size):
+    df = spark.range(size).select("id", (F.col("id") % 7).cast("double").alias("v"))
+    cut, total = labels(df)
+    assert total == size
+    expected = {}
+    for place, key in enumerate(sorted(range(size), key=lambda i: (-(i % 7), i)), 1):
+        expected[key] = (
+            "High" if place <= size * 10 // 100 else "Medium" if place <= size * 35 // 100 else "Low"
+        )
+    assert by(cut.select("id", "label"), "id") == expected
+
+
+@pytest.mark.parametrize("partitions", [1, 4, 64])
+def test_cut_by_rank_ignores_partitioning_and_ties(spark, partitions):
+    # Two thirds of the rows share one value, so the cut falls inside the tie.
+    df = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(7).alias("v"))
+    expected = sorted(range(3000), key=lambda i: (-(i if i % 3 == 0 else 7), i))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        cut, _ = labels(df.repartition(partitions, "v"))
+        high = {row.id for row in cut.filter("label = 'High'").collect()}
+        low = {row.id for row in cut.filter("label = 'Low'").collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert high == set(expected[:300])
+    assert low == set(expected[1050:])
+
+
+@pytest.mark.parametrize("threshold", ["1000", "0"])
+@pytest.mark.parametrize("count", [1, 3, 40, 10_000])
+def test_latest_per_key_both_ways(spark, threshold, count):
+    rng = random.Random(5)
+    start = datetime(2022, 1, 1)
+    # Key 0 holds a third of the rows, some of them at the same moment.
+    data = [
+        (0 if i % 3 == 0 else rng.randrange(1, 30), start + timedelta(minutes=rng.randrange(3000)), i)
+        for i in range(1500)
+    ]
+    groups = {}
+    for row in data:
+        groups.setdefault(row[0], []).append(row)
+    expected = {
+        row for group in groups.values() for row in sorted(group, key=lambda r: r[1:])[-count:]
+    }
+    df = spark.createDataFrame(data, "k int, m timestamp_ntz, id int")
+    key = "spark.sql.optimizer.windowGroupLimitThreshold"
+    spark.conf.set(key, threshold)
+    try:
+        actual = {tuple(row) for row in latest_per_key(df, ["k"], "m", "id", count).collect()}
+    finally:
+        spark.conf.unset(key)
+    assert actual == expected
