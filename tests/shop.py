@@ -67,3 +67,7 @@ def by(df, *keys):
         value = tuple(row[name] for name in rest)
         result[key[0] if len(key) == 1 else key] = value[0] if len(value) == 1 else value
     return result
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()

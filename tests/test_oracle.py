@@ -1,13 +1,15 @@
-"""Every registered query against its SQL counterpart on the smallest test tables."""
+"""Every registered query against its SQL counterpart, and what its plan must not contain."""
 
 from __future__ import annotations
 
+import re
 from pathlib import Path
 
 import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from shop import plan
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = [
@@ -33,9 +35,19 @@ def ordered(records):
     return sorted(map(repr, records))
 
 
+def check_plan(text):
+    """No pairing of everything, no Python rows, and one task only for one row per map task."""
+    assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin|Python|Pandas", text)
+    lines = text.splitlines()
+    for number, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            assert "HashAggregate(keys=[]" in lines[number + 1]
+
+
 @pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_sql(spark, duck, name):
     result = QUERIES[name](spark, FOLDER)
+    check_plan(plan(result))
     columns = sorted(result.columns)
     cursor = duck.execute(ORACLE[name])
     names = [column[0] for column in cursor.description]

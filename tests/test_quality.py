@@ -1,0 +1,110 @@
+from __future__ import annotations
+
+from datetime import datetime
+
+import pytest
+
+from basketry import Tables
+from basketry.operators.quality import validate
+from basketry.schema import SCHEMAS
+
+
+def clean(spark, **changes):
+    rows = {
+        "personal_data": [(1, "Anna", "Smith", "a@ya.ru", "+71234567890")],
+        "cards": [(1, 1)],
+        "groups_sku": [(1, "Dairy")],
+        "product_grid": [(1, "Milk", 1)],
+        "stores": [(1, 1, None, None)],
+        "transactions": [(1, 1, None, datetime(2022, 1, 1), 1)],
+        "checks": [(1, 1, None, None, None, None)],
+        "date_of_analysis_formation": [(datetime(2022, 2, 1),)],
+    } | changes
+    return Tables(
+        **{name: spark.createDataFrame(rows[name], schema) for name, schema in SCHEMAS.items()}
+    )
+
+
+def findings(tables, mode="spec"):
+    return sorted(tuple(row) for row in validate(tables, mode).collect())
+
+
+def test_clean_tables_have_no_findings(spark):
+    assert findings(clean(spark)) == []
+
+
+MOMENT = datetime(2022, 1, 1)
+
+
+@pytest.mark.parametrize(
+    "changes, expected",
+    [
+        ({"cards": [(1, 1), (1, 1)]}, ("cards", "unique customer_card_id", "1", "2")),
+        (
+            {"stores": [(1, 1, None, None)] * 3},
+            ("stores", "unique transaction_store_id/sku_id", "1/1", "3"),
+        ),
+        ({"cards": [(1, 1), (2, 9)]}, ("cards", "customer_id in personal_data", "9", "1")),
+        (
+            {"checks": [(1, 1, *[None] * 4), (7, 1, *[None] * 4), (7, 1, *[None] * 4)]},
+            ("checks", "transaction_id in transactions", "7", "2"),
+        ),
+        ({"product_grid": [(1, None, 1)]}, ("product_grid", "sku_name present", "1", None)),
+        (
+            {"transactions": [(1, 1, None, None, 1)]},
+            ("transactions", "transaction_datetime present", "1", None),
+        ),
+        (
+            {"date_of_analysis_formation": [(MOMENT,), (MOMENT,)]},
+            ("date_of_analysis_formation", "one row", None, "2"),
+        ),
+        (
+            {"date_of_analysis_formation": []},
+            ("date_of_analysis_formation", "one row", None, "0"),
+        ),
+    ],
+)
+def test_single_findings(spark, changes, expected):
+    assert findings(clean(spark, **changes)) == [expected]
+
+
+def test_null_references_are_allowed(spark):
+    assert findings(clean(spark, cards=[(1, 1), (2, None)])) == []
+
+
+@pytest.mark.parametrize(
+    "name, spec, written",
+    [
+        ("Anna", True, True),
+        ("Анна-Мария", True, True),
+        ("Anna Maria", True, True),
+        ("Ёлка", True, False),
+        ("Пётр", True, False),
+        ("anna", False, True),
+        ("анна", False, True),
+        ("ANNA", False, True),
+        ("Anna1", False, False),
+        ("Anna  Maria", False, False),
+    ],
+)
+def test_names(spark, name, spec, written):
+    tables = clean(spark, personal_data=[(1, name, "Smith", "a@ya.ru", "+71234567890")])
+    assert (findings(tables) == []) is spec
+    assert (findings(tables, "as_written") == []) is written
+
+
+@pytest.mark.parametrize(
+    "email, phone, spec, written",
+    [
+        ("A.b-c_1@mail.example.ru", "+71234567890", True, True),
+        ("a@ya", "+71234567890", False, False),
+        ("a b@ya.ru", "+71234567890", False, False),
+        ("a@ya.ru", "+712345678901", False, True),
+        ("a@ya.ru", "+7123456789", False, False),
+        ("a@ya.ru", "81234567890", False, False),
+    ],
+)
+def test_contacts(spark, email, phone, spec, written):
+    tables = clean(spark, personal_data=[(1, "Anna", "Smith", email, phone)])
+    assert (findings(tables) == []) is spec
+    assert (findings(tables, "as_written") == []) is written
