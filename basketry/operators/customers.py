@@ -14,7 +14,7 @@ from basketry.functions.columns import (
     seconds_between,
 )
 from basketry.functions.ranking import cut_by_rank, latest_per_key
-from basketry.operators.history import analysis_moment, card_transactions
+from basketry.operators.history import analysis_moment, card_transactions, latest_visits
 from basketry.schema import Tables
 
 # Ranks up to 10 % and 35 % bound the first two segments.
@@ -31,22 +31,35 @@ FREQUENCY_CODE = {"Rarely": 0, "Occasionally": 1, "Often": 2}
 CHURN_CODE = {"Low": 0, "Medium": 1, "High": 2}
 
 
-def _visits_by_store(visits: DataFrame) -> DataFrame:
-    """Additive measures per customer and store; a customer total is a second, small sum."""
-    return visits.groupBy("customer_id", "transaction_store_id").agg(
+def _visit_sums() -> list[Column]:
+    return [
         F.count(F.lit(1)).alias("visits"),
         F.sum("transaction_summ").alias("turnover"),
         F.min("transaction_datetime").alias("first_visit"),
         F.max("transaction_datetime").alias("last_visit"),
-    )
+    ]
 
 
-def _customer_totals(visits: DataFrame) -> DataFrame:
-    return visits.groupBy("customer_id").agg(
-        F.count(F.lit(1)).alias("visits"),
-        F.sum("transaction_summ").alias("turnover"),
-        F.min("transaction_datetime").alias("first_visit"),
-        F.max("transaction_datetime").alias("last_visit"),
+def _merged_sums() -> list[Column]:
+    return [
+        F.sum("visits").alias("visits"),
+        F.sum("turnover").alias("turnover"),
+        F.min("first_visit").alias("first_visit"),
+        F.max("last_visit").alias("last_visit"),
+    ]
+
+
+def _customer_sums(tables: Tables, *by: str) -> DataFrame:
+    """Visit sums per customer (and store), summed per card before the cards are joined.
+
+    The transactions are so reduced on the map side, and neither the join nor
+    the second sum sees more than a row per card and store.
+    """
+    per_card = tables.transactions.groupBy("customer_card_id", *by).agg(*_visit_sums())
+    return (
+        per_card.join(tables.cards, "customer_card_id")
+        .groupBy("customer_id", *by)
+        .agg(*_merged_sums())
     )
 
 
@@ -99,23 +112,23 @@ def _segment_by_frequency(totals: DataFrame) -> tuple[DataFrame, int]:
 
 
 def average_check(tables: Tables) -> DataFrame:
-    totals = _customer_totals(card_transactions(tables)).select("customer_id", _average_check())
+    totals = _customer_sums(tables).select("customer_id", _average_check())
     return _segment_by_check(totals)[0]
 
 
 def visit_frequency(tables: Tables) -> DataFrame:
-    totals = _customer_totals(card_transactions(tables)).select("customer_id", _frequency())
+    totals = _customer_sums(tables).select("customer_id", _frequency())
     return _segment_by_frequency(totals)[0]
 
 
 def inactive_period(tables: Tables) -> DataFrame:
-    return _customer_totals(card_transactions(tables)).select(
+    return _customer_sums(tables).select(
         "customer_id", _inactive(tables)
     )
 
 
 def customer_churn(tables: Tables) -> DataFrame:
-    measures = _customer_totals(card_transactions(tables)).select(
+    measures = _customer_sums(tables).select(
         "customer_id", _inactive(tables), _frequency()
     )
     return _with_churn(measures).select(
@@ -174,36 +187,30 @@ def segment_number(tables: Tables, mode: str = "spec") -> DataFrame:
 
 def store_share(tables: Tables) -> DataFrame:
     """Share of each store in a customer's transactions."""
-    counts = (
-        card_transactions(tables)
-        .groupBy("customer_id", "transaction_store_id")
-        .agg(F.count(F.lit(1)).alias("visits"))
-    )
     total = F.sum("visits").over(W.partitionBy("customer_id"))
-    return counts.select(
+    return _customer_sums(tables, "transaction_store_id").select(
         "customer_id", "transaction_store_id", ratio(F.col("visits"), total).alias("store_share")
     )
 
 
-def _last_visits(visits: DataFrame, mode: str) -> DataFrame:
+def last_three_stores(tables: Tables, mode: str = "spec") -> DataFrame:
     """Stores and moments of the three latest visits of each customer.
 
     mode="as_written" takes the latest moments of anybody in the customer's
     stores; three moments per store are enough for that.
     """
     if check_mode(mode) == "spec":
-        return latest_per_key(
-            visits, ["customer_id"], "transaction_datetime", "transaction_id", LAST_VISITS
-        ).select("customer_id", "transaction_store_id", "transaction_datetime")
-
+        return latest_visits(tables, LAST_VISITS).select(
+            "customer_id", "transaction_store_id", "transaction_datetime"
+        )
     busy = latest_per_key(
-        visits.select("transaction_store_id", "transaction_datetime").distinct(),
+        tables.transactions.select("transaction_store_id", "transaction_datetime").distinct(),
         ["transaction_store_id"],
         "transaction_datetime",
         "transaction_store_id",
         LAST_VISITS,
     )
-    own = visits.select("customer_id", "transaction_store_id").distinct()
+    own = card_transactions(tables).select("customer_id", "transaction_store_id").distinct()
     return latest_per_key(
         own.join(busy, "transaction_store_id"),
         ["customer_id"],
@@ -213,50 +220,42 @@ def _last_visits(visits: DataFrame, mode: str) -> DataFrame:
     ).select("customer_id", "transaction_store_id", "transaction_datetime")
 
 
-def last_three_stores(tables: Tables, mode: str = "spec") -> DataFrame:
-    return _last_visits(card_transactions(tables), mode)
-
-
-def _with_primary_store(visits: DataFrame, by_store: DataFrame, mode: str) -> DataFrame:
-    """Customer totals with the main store.
+def _with_primary_store(tables: Tables, mode: str) -> DataFrame:
+    """Customer sums with the main store.
 
     One store in the three latest visits wins; else the store with the largest
     share; among equal shares the one visited last (mode="as_written": visited
     last by anybody).
     """
+    by_store = _customer_sums(tables, "transaction_store_id")
     if check_mode(mode) == "as_written":
-        anybody = by_store.groupBy("transaction_store_id").agg(F.max("last_visit").alias("seen"))
+        anybody = tables.transactions.groupBy("transaction_store_id").agg(
+            F.max("transaction_datetime").alias("seen")
+        )
         by_store = by_store.join(anybody, "transaction_store_id")
     else:
         by_store = by_store.withColumn("seen", F.col("last_visit"))
 
-    totals = by_store.groupBy("customer_id").agg(
-        F.sum("visits").alias("visits"),
-        F.sum("turnover").alias("turnover"),
-        F.min("first_visit").alias("first_visit"),
-        F.max("last_visit").alias("last_visit"),
+    sums = by_store.groupBy("customer_id").agg(
+        *_merged_sums(),
         F.max(F.struct("visits", "seen", "transaction_store_id")).alias("favourite"),
     )
-    recent = _last_visits(visits, mode).groupBy("customer_id").agg(
+    recent = last_three_stores(tables, mode).groupBy("customer_id").agg(
         F.min("transaction_store_id").alias("low"), F.max("transaction_store_id").alias("high")
     )
     store = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(
         F.col("favourite.transaction_store_id")
     )
-    return totals.join(recent, "customer_id").withColumn("customer_primary_store", store)
+    return sums.join(recent, "customer_id").withColumn("customer_primary_store", store)
 
 
 def primary_store(tables: Tables, mode: str = "spec") -> DataFrame:
-    visits = card_transactions(tables)
-    return _with_primary_store(visits, _visits_by_store(visits), mode).select(
-        "customer_id", "customer_primary_store"
-    )
+    return _with_primary_store(tables, mode).select("customer_id", "customer_primary_store")
 
 
 def customers(tables: Tables, mode: str = "spec") -> DataFrame:
     """All customer measures, one row per customer with at least one transaction."""
-    visits = card_transactions(tables)
-    profile = _with_primary_store(visits, _visits_by_store(visits), mode).select(
+    profile = _with_primary_store(tables, mode).select(
         "customer_id",
         _average_check(),
         _frequency(),
@@ -282,4 +281,4 @@ def customers(tables: Tables, mode: str = "spec") -> DataFrame:
 
 def customer_frequency(tables: Tables) -> DataFrame:
     """Days between visits without the segments, which alone need a ranking."""
-    return _customer_totals(card_transactions(tables)).select("customer_id", _frequency())
+    return _customer_sums(tables).select("customer_id", _frequency())

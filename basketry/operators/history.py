@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.columns import check_mode, ratio
+from basketry.functions.ranking import latest_per_key
 from basketry.schema import Tables
 
 HISTORY_KEY = ["customer_id", "transaction_id", "transaction_datetime", "group_id"]
@@ -27,6 +28,17 @@ def card_transactions(tables: Tables) -> DataFrame:
     )
 
 
+def latest_visits(tables: Tables, count: int) -> DataFrame:
+    """Each customer's `count` most recent transactions.
+
+    They are among the latest of each card, so most transactions go before the
+    cards are joined.
+    """
+    order = ("transaction_datetime", "transaction_id", count)
+    per_card = latest_per_key(tables.transactions, ["customer_card_id"], *order)
+    return latest_per_key(per_card.join(tables.cards, "customer_card_id"), ["customer_id"], *order)
+
+
 def _receipt_lines(tables: Tables) -> DataFrame:
     """Check lines of known customers with store and moment."""
     known = tables.cards.join(tables.personal_data.select("customer_id"), "customer_id", "left_semi")

@@ -9,8 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from basketry.functions.columns import check_mode, days_between, ratio, real, round_to_step
-from basketry.functions.ranking import latest_per_key
-from basketry.operators.history import analysis_moment, card_transactions
+from basketry.operators.history import analysis_moment, card_transactions, latest_visits
 from basketry.operators.periods import PAIR
 from basketry.schema import Tables
 
@@ -66,13 +65,7 @@ def avg_check_by_period(
 
 def avg_check_by_count(tables: Tables, count: int, mode: str = "spec") -> DataFrame:
     """Average check of each customer's `count` most recent transactions."""
-    visits = card_transactions(tables).select(
-        "customer_id", "transaction_id", "transaction_datetime"
-    )
-    latest = latest_per_key(
-        visits, ["customer_id"], "transaction_datetime", "transaction_id", count
-    )
-    return _check_per_customer(tables, latest, mode)
+    return _check_per_customer(tables, latest_visits(tables, count), mode)
 
 
 def group_price_margin(tables: Tables) -> DataFrame:

@@ -117,22 +117,47 @@ def key_violations(tables: Tables) -> DataFrame:
     return reduce(DataFrame.unionByName, findings)
 
 
+def _row_findings(df: DataFrame, table: str, key: str, rules: list[tuple[str, Column, Column]]) -> DataFrame:
+    """Rows that break rules (name, condition of the breach, detail): one pass over the table."""
+    broken = reduce(Column.__or__, (breach for _, breach, _ in rules))
+    found = F.array_compact(
+        F.array(
+            *(
+                F.when(
+                    breach,
+                    F.struct(
+                        F.lit(name).alias("rule"), detail.cast("string").alias("detail")
+                    ),
+                )
+                for name, breach, detail in rules
+            )
+        )
+    )
+    return (
+        df.filter(broken)
+        .select(F.col(key).alias("key"), F.explode(found).alias("found"))
+        .select(
+            F.lit(table).alias("table"),
+            F.col("found.rule").alias("rule"),
+            F.col("key").cast("string").alias("key"),
+            F.col("found.detail").alias("detail"),
+        )
+    )
+
+
 def field_violations(tables: Tables, mode: str = "spec") -> DataFrame:
     """Missing mandatory values and malformed personal data, one row per occurrence."""
-    named = dict(tables.items())
     findings = []
-    for table, columns in MANDATORY.items():
-        key = F.col(columns[0])
-        for column in columns:
-            missing = named[table].filter(F.col(column).isNull())
-            findings.append(_finding(missing, table, f"{column} present", key, F.lit(None)))
-    for column, pattern in FORMATS[check_mode(mode)].items():
-        malformed = tables.personal_data.filter(~F.col(column).rlike(pattern))
-        findings.append(
-            _finding(
-                malformed, "personal_data", f"{column} format", F.col("customer_id"), F.col(column)
-            )
-        )
+    for table, df in tables.items():
+        columns = MANDATORY.get(table, [])
+        rules = [(f"{c} present", F.col(c).isNull(), F.lit(None)) for c in columns]
+        if table == "personal_data":
+            rules += [
+                (f"{c} format", ~F.coalesce(F.col(c).rlike(pattern), F.lit(True)), F.col(c))
+                for c, pattern in FORMATS[check_mode(mode)].items()
+            ]
+        if rules:
+            findings.append(_row_findings(df, table, columns[0], rules))
     moments = tables.date_of_analysis_formation.agg(F.count(F.lit(1)).alias("rows"))
     findings.append(
         _finding(
