@@ -25,16 +25,15 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder the cluster names; a scratch one in local mode only."""
+    """The folder the cluster names in spark.checkpoint.dir; a scratch one in local mode only."""
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        if named is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            named = tempfile.mkdtemp(prefix="basketry-")
-        context.setCheckpointDir(named)
-    return context.getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if named is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="basketry-"))
+        named = context.getCheckpointDir()
+    return named.rstrip("/")
 
 
 def written(df: DataFrame) -> DataFrame:
@@ -43,6 +42,6 @@ def written(df: DataFrame) -> DataFrame:
     Cuts the lineage like a checkpoint, survives the loss of executors, and
     unlike a checkpoint lets later reads pick columns and see the true size.
     """
-    path = f"{shared_folder(df.sparkSession)}/{uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/basketry/{uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
