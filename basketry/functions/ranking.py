@@ -53,7 +53,8 @@ def cut_by_rank(
         if rank == 0:
             return -1
         place = next(i for i, end in enumerate(ends) if end >= rank)
-        return (sizes[place]["part"] << INDEX_BITS) + rank - 1 - (ends[place] - sizes[place]["size"])
+        before = ends[place] - sizes[place]["size"]
+        return (sizes[place]["part"] << INDEX_BITS) + rank - before - 1
 
     label = F.lit(labels[-1])
     for percent, text in reversed(list(zip(percents, labels, strict=False))):

@@ -74,7 +74,8 @@ def _combined() -> list[Column]:
 
 def _pair_totals(history: DataFrame, margin_from: Column | None = None) -> DataFrame:
     """What needs no order along the time line: one aggregation with map-side combine."""
-    return _measured(history, margin_from).groupBy(*PAIR).agg(*_combined())
+    measured = _measured(history, margin_from).filter(F.col("group_id").isNotNull())
+    return measured.groupBy(*PAIR).agg(*_combined())
 
 
 def _hourly(measured: DataFrame, mode: str) -> DataFrame:
@@ -94,7 +95,7 @@ def _hourly(measured: DataFrame, mode: str) -> DataFrame:
     in_order = hour.orderBy("transaction_datetime", "transaction_id")
     # Dense ranks count a transaction once, row numbers once per group in it.
     place = F.dense_rank() if check_mode(mode) == "spec" else F.row_number()
-    carrier = F.min("group_id").over(hour) == F.col("group_id")
+    carrier = F.min("group_id").over(hour).eqNullSafe(F.col("group_id"))
     return (
         measured.withColumn("hour", hour_bucket("transaction_datetime"))
         .withColumn("place", place.over(in_order).cast("long"))
@@ -134,13 +135,15 @@ def group_profile(
 
     wide = "decimal(38,0)"
     gap_days = whole_days_between(F.col("previous"), F.col("first")).cast("decimal(18,0)")
-    gap_scaled = (gap_days * F.lit(MICROS_PER_DAY).cast("decimal(12,0)") * F.col("total")).cast(wide)
-    outer_gap = F.coalesce(F.abs(gap_scaled - F.col("span")), F.lit(0).cast(wide))
+    gap = (gap_days * F.lit(MICROS_PER_DAY).cast("decimal(12,0)") * F.col("total")).cast(wide)
+    outer_gap = F.coalesce(F.abs(gap - F.col("span")), F.lit(0).cast(wide))
     inner_gaps = (F.col("purchases") - 1).cast("decimal(18,0)") * F.col("span")
 
     summed = (
         _hourly(_measured(history, margin_from), mode)
         .withColumn("past", F.coalesce(past_visits, F.lit(0)))
+        # Products without a group count as visits but make no pair.
+        .filter(F.col("group_id").isNotNull())
         .withColumns(
             {
                 "previous": F.lag("last").over(pair.orderBy("hour")),

@@ -41,7 +41,8 @@ def latest_visits(tables: Tables, count: int) -> DataFrame:
 
 def _receipt_lines(tables: Tables) -> DataFrame:
     """Check lines of known customers with store and moment."""
-    known = tables.cards.join(tables.personal_data.select("customer_id"), "customer_id", "left_semi")
+    people = tables.personal_data.select("customer_id")
+    known = tables.cards.join(people, "customer_id", "left_semi")
     visits = tables.transactions.join(known, "customer_card_id").select(
         "customer_id", "transaction_id", "transaction_datetime", "transaction_store_id"
     )

@@ -16,8 +16,8 @@ from basketry.schema import Tables
 Moment = date | datetime | str
 
 
-def _moment(value: Moment) -> Column:
-    return F.lit(str(value)).cast("timestamp_ntz")
+def _moment(value: Moment | None) -> Column:
+    return F.lit(None if value is None else str(value)).cast("timestamp_ntz")
 
 
 def _check_per_customer(tables: Tables, visits: DataFrame, mode: str) -> DataFrame:
@@ -39,13 +39,14 @@ def _check_per_customer(tables: Tables, visits: DataFrame, mode: str) -> DataFra
 
 
 def avg_check_by_period(
-    tables: Tables, first: Moment, last: Moment, mode: str = "spec"
+    tables: Tables, first: Moment | None = None, last: Moment | None = None, mode: str = "spec"
 ) -> DataFrame:
     """Average check of the transactions in a period, both ends included.
 
-    A start before the first transaction moves up to it; an end not after the
-    start, or after the analysis date, becomes the analysis date. Both
-    substitutes are moments; mode="as_written" cuts them to midnight.
+    A start that is missing or before the first transaction moves to it; an end
+    that is missing, not after the start, or after the analysis date becomes the
+    analysis date. Both substitutes are moments; mode="as_written" cuts them to
+    midnight.
     """
     opening = tables.transactions.agg(F.min("transaction_datetime")).scalar()
     closing = analysis_moment(tables)
@@ -55,10 +56,9 @@ def avg_check_by_period(
         opening_limit, closing_limit = opening, closing
     opening_limit = opening_limit.cast("timestamp_ntz")
     closing_limit = closing_limit.cast("timestamp_ntz")
-    start = F.when(_moment(first) < opening, opening_limit).otherwise(_moment(first))
-    end = F.when(
-        (_moment(last) <= start) | (_moment(last) > closing), closing_limit
-    ).otherwise(_moment(last))
+    first, last = _moment(first), _moment(last)
+    start = F.when(first >= opening, first).otherwise(opening_limit)
+    end = F.when((last > start) & (last <= closing), last).otherwise(closing_limit)
     visits = card_transactions(tables).filter(F.col("transaction_datetime").between(start, end))
     return _check_per_customer(tables, visits, mode)
 

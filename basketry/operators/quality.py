@@ -117,7 +117,9 @@ def key_violations(tables: Tables) -> DataFrame:
     return reduce(DataFrame.unionByName, findings)
 
 
-def _row_findings(df: DataFrame, table: str, key: str, rules: list[tuple[str, Column, Column]]) -> DataFrame:
+def _row_findings(
+    df: DataFrame, table: str, key: str, rules: list[tuple[str, Column, Column]]
+) -> DataFrame:
     """Rows that break rules (name, condition of the breach, detail): one pass over the table."""
     broken = reduce(Column.__or__, (breach for _, breach, _ in rules))
     found = F.array_compact(

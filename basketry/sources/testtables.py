@@ -66,9 +66,11 @@ def load(spark: SparkSession, folder: str) -> Tables:
     markup = F.lit("0.55").cast("decimal(3,2)") + F.lit("0.05").cast("decimal(3,2)") * store.cast(
         "decimal(1,0)"
     )
-    price_list = part.withColumn(
-        "transaction_store_id", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(STORES).cast("long")))
-    ).filter((F.col("p_partkey") + store) % 10 != 0)
+    all_stores = F.array(*(F.lit(number).cast("long") for number in range(1, STORES + 1)))
+    # A part that ends like the store's complement to ten is not on its list.
+    price_list = part.withColumn("transaction_store_id", F.explode(all_stores)).filter(
+        (F.col("p_partkey") + store) % 10 != 0
+    )
 
     key = F.col("c_custkey").cast("string")
     return Tables(
@@ -82,7 +84,9 @@ def load(spark: SparkSession, folder: str) -> Tables:
         cards=orders.select(
             card.alias("customer_card_id"), F.col("o_custkey").alias("customer_id")
         ).distinct(),
-        groups_sku=part.select(brand.alias("group_id"), F.col("p_brand").alias("group_name")).distinct(),
+        groups_sku=part.select(
+            brand.alias("group_id"), F.col("p_brand").alias("group_name")
+        ).distinct(),
         product_grid=part.select(
             F.col("p_partkey").alias("sku_id"),
             F.col("p_name").alias("sku_name"),

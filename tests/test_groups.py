@@ -146,6 +146,18 @@ def test_discounts(spark):
     assert by(G.discount_share(written), *KEYS) == {(1, 1): 1.0, (1, 2): 1.0}
 
 
+def test_products_without_group_make_visits_but_no_pairs(spark):
+    tables = shop(
+        spark,
+        receipts=[(1, 1, 10, "01-01", 1), (2, 1, 20, "01-02", 1), (3, 1, 10, "01-03", 1)],
+        lines=[(1, 1, 1, 10, 0), (2, 3, 1, 20, 1), (3, 1, 1, 10, 0)],
+        products=[(1, "Milk", 1), (3, "Bag", None)],
+    )
+    history, analysis = build(tables)
+    assert by(G.affinity_index(history, analysis), *KEYS) == {(1, 1): 2 / 3}
+    assert by(G.discount_share(history), *KEYS) == {(1, 1): None}
+
+
 def crowd(seed):
     """Customer 1 makes a third of the purchases; many fall on the same moments."""
     rng = random.Random(seed)

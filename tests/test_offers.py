@@ -49,6 +49,7 @@ PERIOD_SHOP = dict(
     [
         ("2022-01-05", "2022-01-10", {1: 30.0}, {1: 15.0}),
         ("2022-01-05", "2022-01-11", {1: 45.0, 2: 5.0}, {1: 30.0, 2: 5.0}),
+        (None, None, {1: 60.0, 2: 5.0}, {1: 30.0, 2: 5.0}),
         # Too early: starts at the first transaction, cut to its midnight as written.
         ("2020-01-01", "2022-01-06", {1: 30.0}, {1: 15.0}),
         # Too late, not after the start: the analysis date, its midnight as written.
