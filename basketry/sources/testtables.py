@@ -17,25 +17,14 @@ from basketry.schema import Tables
 
 STORES = 5
 
-# The columns used, with their types: no job is spent on looking them up.
-COLUMNS = {
-    "customer": "c_custkey bigint, c_name string",
-    "orders": "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate timestamp_ntz",
-    "lineitem": (
-        "l_orderkey bigint, l_partkey bigint, l_quantity double, l_extendedprice double,"
-        " l_discount double"
-    ),
-    "part": "p_partkey bigint, p_name string, p_brand string, p_retailprice double",
-}
-
 
 def load(spark: SparkSession, folder: str) -> Tables:
     def table(name: str) -> DataFrame:
-        return spark.read.schema(COLUMNS[name]).parquet(posixpath.join(folder, f"{name}.parquet"))
+        return spark.read.parquet(posixpath.join(folder, f"{name}.parquet"))
 
-    customer, orders, lineitem, part = map(table, COLUMNS)
+    customer, orders, lineitem, part = map(table, ("customer", "orders", "lineitem", "part"))
     card = F.col("o_custkey") * 2 + F.col("o_orderkey") % 2
-    moment = F.col("o_orderdate") + F.make_dt_interval(
+    moment = F.col("o_orderdate").cast("timestamp_ntz") + F.make_dt_interval(
         secs=(F.col("o_orderkey") * 7919 % 86400).cast("decimal(18,6)")
     )
     transactions = orders.select(
@@ -67,7 +56,7 @@ def load(spark: SparkSession, folder: str) -> Tables:
         "decimal(1,0)"
     )
     all_stores = F.array(*(F.lit(number).cast("long") for number in range(1, STORES + 1)))
-    # A part that ends like the store's complement to ten is not on its list.
+    # Gaps in the assortment: a store does not list every part, though it may sell it.
     price_list = part.withColumn("transaction_store_id", F.explode(all_stores)).filter(
         (F.col("p_partkey") + store) % 10 != 0
     )

@@ -1,5 +1,9 @@
 from __future__ import annotations
 
+import random
+from collections import Counter, defaultdict
+from datetime import datetime, timedelta
+
 import pytest
 
 from basketry.operators import customers as K
@@ -165,3 +169,32 @@ def test_customers_equal_their_parts(spark):
         assert row[2:4] == paces[customer]
         assert row[5:7] == churn[customer]
         assert row[8] == stores[customer]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_stores_and_frequency_equal_their_definitions(spark, seed):
+    """A customer with a third of all visits, two cards each, many equal moments."""
+    rng = random.Random(seed)
+    start = datetime(2021, 6, 1)
+    receipts = []
+    for number in range(300):
+        customer = 1 if number % 3 == 0 else rng.randrange(2, 40)
+        moment = start + timedelta(hours=rng.randrange(0, 4000, 8))
+        card = 2 * customer + number % 2
+        receipts.append((number, card, rng.randrange(100), moment.isoformat(" "), rng.randrange(1, 4)))
+    cards = sorted({(card, card // 2) for _, card, *_ in receipts})
+    tables = shop(spark, receipts, cards=cards)
+    visits = defaultdict(list)
+    for number, card, _, moment, store in receipts:
+        visits[card // 2].append((datetime.fromisoformat(moment), number, store))
+    expected = {}
+    for customer, line in visits.items():
+        line.sort()
+        last = {store for *_, store in line[-3:]}
+        counts = Counter(store for *_, store in line)
+        latest = {store: moment for moment, _, store in line}
+        favourite = max(counts, key=lambda s: (counts[s], latest[s], s))
+        span = (line[-1][0] - line[0][0]) / timedelta(seconds=1)
+        expected[customer] = (span / (86400 * len(line)), last.pop() if len(last) == 1 else favourite)
+    result = K.customers(tables).select("customer_id", "customer_frequency", "customer_primary_store")
+    assert by(result, "customer_id") == expected
