@@ -150,9 +150,10 @@ SELECT customer_id, transaction_store_id, transaction_datetime FROM visits
 QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY transaction_datetime DESC, transaction_id DESC) <= 3"""
 STEPS["last_three_as_written"] = """
 SELECT customer_id, transaction_store_id, transaction_datetime
-FROM (SELECT DISTINCT m.customer_id, m.transaction_store_id, t.transaction_datetime
-      FROM (SELECT DISTINCT customer_id, transaction_store_id FROM visits) m
-      JOIN visits t USING (transaction_store_id))
+FROM (SELECT DISTINCT customer_id, transaction_store_id FROM visits)
+JOIN (SELECT DISTINCT transaction_store_id, transaction_datetime FROM visits
+      QUALIFY dense_rank() OVER (PARTITION BY transaction_store_id ORDER BY transaction_datetime DESC) <= 3)
+    USING (transaction_store_id)
 QUALIFY row_number() OVER (PARTITION BY customer_id
                            ORDER BY transaction_datetime DESC, transaction_store_id DESC) <= 3"""
 STEPS["favourite"] = """
@@ -336,14 +337,18 @@ STEPS["selected"] = """
 SELECT customer_id, group_id, group_affinity_index, group_minimum_discount FROM groups
 WHERE group_churn_rate <= {cross_churn} AND group_stability_index < {cross_stability}
 QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY group_affinity_index DESC, group_id) <= {cross_groups}"""
+STEPS["listed"] = """
+SELECT s.transaction_store_id AS customer_primary_store, g.group_id, g.sku_id, g.sku_name,
+       s.sku_retail_price - s.sku_purchase_price AS margin, s.sku_retail_price
+FROM stores s JOIN product_grid g USING (sku_id)"""
 STEPS["best_sku"] = """
-SELECT c.customer_id, c.group_id, s.sku_id, g.sku_name, c.group_minimum_discount, m.customer_primary_store,
-       s.sku_retail_price - s.sku_purchase_price AS max_margin, s.sku_retail_price
+SELECT c.customer_id, c.group_id, l.sku_id, l.sku_name, c.group_minimum_discount, m.customer_primary_store,
+       l.margin AS max_margin, l.sku_retail_price
 FROM selected c JOIN primary_store m USING (customer_id)
-JOIN stores s ON s.transaction_store_id = m.customer_primary_store
-JOIN product_grid g ON g.sku_id = s.sku_id AND g.group_id = c.group_id
-QUALIFY row_number() OVER (PARTITION BY c.customer_id, c.group_id
-                           ORDER BY s.sku_retail_price - s.sku_purchase_price DESC, s.sku_id) = 1"""
+JOIN (SELECT *, row_number() OVER (PARTITION BY customer_primary_store, group_id
+                                   ORDER BY margin DESC, sku_id) AS place FROM listed) l
+  ON l.customer_primary_store = m.customer_primary_store AND l.group_id = c.group_id
+WHERE l.place = 1"""
 STEPS["sku_shares"] = """
 SELECT b.customer_id, b.group_id, b.sku_id,
        CAST(count(DISTINCT l.transaction_id) AS DOUBLE) / count(DISTINCT h.transaction_id) AS sku_share
@@ -372,15 +377,14 @@ JOIN periods p ON p.customer_id = c.customer_id AND p.group_id = c.group_id
 WHERE s.sold * 100 <= p.group_purchase * {max_sku_share}
 GROUP BY s.customer_id"""
 STEPS["cross_offer_as_written"] = """
-SELECT customer_id, g.sku_name,
-       CASE WHEN {margin_share} / 100.0 * (CAST(m.max_margin AS DOUBLE) / CAST(s.sku_retail_price AS DOUBLE))
+SELECT customer_id, l.sku_name,
+       CASE WHEN {margin_share} / 100.0 * (CAST(m.max_margin AS DOUBLE) / CAST(l.sku_retail_price AS DOUBLE))
                  >= ceil(c.group_minimum_discount * 20 - 1e-9) * 5 / 100.0
             THEN ceil(c.group_minimum_discount * 20 - 1e-9) * 5 END AS offer_discount_depth,
        k.copies
 FROM selected_as_written c JOIN primary_store_as_written p USING (customer_id) JOIN copies k USING (customer_id)
 JOIN listed_margin m USING (customer_primary_store)
-JOIN product_grid g ON g.group_id = c.group_id
-JOIN stores s ON s.sku_id = g.sku_id AND s.transaction_store_id = p.customer_primary_store"""
+JOIN listed l ON l.group_id = c.group_id AND l.customer_primary_store = p.customer_primary_store"""
 
 # --- input checks -------------------------------------------------------------
 
@@ -572,7 +576,7 @@ def _ordered(names: set[str]) -> list[str]:
 
 def _kind(step: str) -> str:
     """Materialized steps keep the join order as written; price lists joined too early explode."""
-    return "MATERIALIZED" if step in ("bought", "ph", "visits", "checks") else ""
+    return "MATERIALIZED" if step in ("bought", "ph", "visits", "checks", "listed", "selected") else ""
 
 
 def statements(parameters: dict[str, object]) -> dict[str, str]:
