@@ -9,6 +9,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from basketry.plans import oracle
+from basketry.plans.queries import PARAMETERS, registry
 from shop import plan
 
 FOLDER = "/root/testdata/sf0.001"
@@ -19,8 +21,8 @@ TABLES = [
 
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test tables")
 
-QUERIES = driver.queries()
-ORACLE = driver.oracle_sql()
+QUERIES = registry()
+ORACLE = oracle.statements(PARAMETERS)
 
 
 @pytest.fixture(scope="module")
@@ -59,6 +61,8 @@ def test_query_equals_sql(spark, duck, name):
 
 def test_every_query_has_sql():
     assert QUERIES.keys() == ORACLE.keys()
+    assert QUERIES.keys() <= driver.queries().keys()
+    assert ORACLE.keys() <= driver.oracle_sql().keys()
 
 
 def test_entry_is_stable(spark):
