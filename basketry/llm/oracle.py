@@ -3,3 +3,84 @@
 from __future__ import annotations
 
 STATEMENTS: dict[str, str] = {}
+
+STATEMENTS["op9_mixing"] = r"""
+WITH sized AS (
+  SELECT doc_id, source,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         md5('mix|' || coalesce(CAST(doc_id AS VARCHAR), '-')) AS key
+  FROM documents
+), sums AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, count(*) AS n_docs,
+         row_number() OVER (ORDER BY source ASC NULLS LAST) AS turn
+  FROM sized GROUP BY source
+), weighed AS (
+  SELECT *, CAST([5, 2, 1][(turn - 1) % 3 + 1] AS BIGINT) AS weight FROM sums
+), levels AS (
+  SELECT *,
+    (sum(source_size) OVER () * 150
+      - 100 * coalesce(sum(source_size * 2) OVER (ORDER BY source_size * (10 // weight), turn
+          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
+    / (100 * sum(weight) OVER (ORDER BY source_size * (10 // weight), turn
+          ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS own_level
+  FROM weighed
+), aims AS (
+  SELECT *, least(source_size * 2.0::DOUBLE, weight * max(own_level) OVER ()) AS target FROM levels
+), sources AS (
+  SELECT source, source_size, target, least((n_docs + 499) // 500, 4096) AS n_blocks,
+    CASE WHEN source_size > 0
+      THEN CAST(floor(target + 0.5) AS BIGINT) // source_size ELSE 0 END AS passes,
+    CAST(floor(target + 0.5) AS BIGINT) AS words
+  FROM aims
+), rowed AS (
+  SELECT d.*, s.* EXCLUDE (source),
+         CAST('0x' || substr(key, 1, 8) AS BIGINT) % n_blocks AS block
+  FROM sized d JOIN sources s ON d.source IS NOT DISTINCT FROM s.source
+), blocks AS (
+  SELECT source, block, CAST(sum(size) AS BIGINT) AS words, any_value(passes) AS passes,
+         any_value(words - passes * source_size) AS rest
+  FROM rowed GROUP BY source, block
+), turns AS (
+  SELECT source, block, words, passes, rest, unnest(range(0, passes + 1)) AS turn FROM blocks
+), ordered AS (
+  SELECT *, md5('mix|' || coalesce(source, '-') || '|block|' || block || '|' || turn) AS place
+  FROM turns
+), portions AS (
+  SELECT *, CASE WHEN turn < passes THEN words ELSE least(words, rest
+      - coalesce(sum(words) OVER (PARTITION BY source, turn ORDER BY place, block
+          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) END AS portion
+  FROM ordered
+), draws AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY turn, place, block) AS draw_no
+  FROM portions WHERE portion > 0
+), slots AS (
+  SELECT source, draw_no,
+    row_number() OVER (ORDER BY
+      md5('mix|' || coalesce(source, '-') || '|slot|' || draw_no), source, draw_no) - 1 AS place,
+    count(*) OVER () AS n
+  FROM draws
+), leaves AS (
+  SELECT source, place * 64 // n AS shard,
+         row_number() OVER (PARTITION BY source ORDER BY place) AS draw_no
+  FROM slots
+), dealt AS (
+  SELECT d.*, l.shard FROM draws d
+  JOIN leaves l ON d.source IS NOT DISTINCT FROM l.source AND d.draw_no = l.draw_no
+), rows_in_block AS (
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY source, block ORDER BY key, size
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+    row_number() OVER () AS row_no
+  FROM rowed
+), drawn AS (
+  SELECT r.row_no, r.doc_id, r.size, r.source_size, r.target, d.turn, d.shard,
+    CASE WHEN d.portion < d.words THEN greatest(least(r.size, d.portion - r.before), 0)
+      ELSE r.size END AS taken
+  FROM rows_in_block r
+  LEFT JOIN dealt d ON r.source IS NOT DISTINCT FROM d.source AND r.block = d.block
+)
+SELECT any_value(doc_id) AS doc_id, any_value(size) AS size,
+  any_value(source_size) AS source_size, any_value(target) AS target,
+  CAST(coalesce(sum(taken), 0) AS BIGINT) AS taken,
+  coalesce(string_agg(CAST(shard AS VARCHAR), ',' ORDER BY turn) FILTER (taken > 0), '') AS shards
+FROM drawn GROUP BY row_no
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.llm import quality_rules
+from basketry.llm import mixing, quality_rules
 from basketry.llm.common import read
 from basketry.session import tune
 
@@ -21,6 +21,14 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    rows = mixing.with_taken(mixing.mixed(read(tune(spark), folder, "documents").select(
+        "doc_id", "text", "source"
+    )))
+    return rows.select("doc.doc_id", "size", "source_size", "target", "taken", "shards")
+
+
 QUERIES: dict[str, Query] = {
     "op6_quality_rules": op6_quality_rules,
+    "op9_mixing": op9_mixing,
 }
