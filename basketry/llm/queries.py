@@ -6,13 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.llm import mixing, quality_rules
+from basketry.llm import decontaminate, mixing, quality_rules
 from basketry.llm.common import read
 from basketry.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(tune(spark), folder, "documents")
+    return decontaminate.leaks(docs, read(spark, folder, "benchmark"))
+
+
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     rows = quality_rules.quality_verdicts(read(tune(spark), folder, "documents"))
     return rows.select(
@@ -29,6 +34,7 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op5_decontamination": op5_decontamination,
     "op6_quality_rules": op6_quality_rules,
     "op9_mixing": op9_mixing,
 }
