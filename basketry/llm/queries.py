@@ -5,14 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from basketry.llm import decontaminate, mixing, quality_rules
+from basketry.llm import decontaminate, mixing, quality_rules, simhash
 from basketry.llm.common import read
 from basketry.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    rows = simhash.near_duplicates(read(tune(spark), folder, "documents"))
+    digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return rows.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(tune(spark), folder, "documents")
     return decontaminate.leaks(docs, read(spark, folder, "benchmark"))
@@ -34,6 +41,7 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op4_simhash": op4_simhash,
     "op5_decontamination": op5_decontamination,
     "op6_quality_rules": op6_quality_rules,
     "op9_mixing": op9_mixing,
