@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import decontaminate, mixing, quality_rules, simhash
+from basketry.llm import decontaminate, mixing, quality_rules, simhash, suffix_dedup
 from basketry.llm.common import read
 from basketry.session import tune
 
@@ -33,6 +33,10 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.cut_digest(read(tune(spark), folder, "documents"))
+
+
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     rows = mixing.with_taken(mixing.mixed(read(tune(spark), folder, "documents").select(
         "doc_id", "text", "source"
@@ -44,5 +48,6 @@ QUERIES: dict[str, Query] = {
     "op4_simhash": op4_simhash,
     "op5_decontamination": op5_decontamination,
     "op6_quality_rules": op6_quality_rules,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op9_mixing": op9_mixing,
 }
