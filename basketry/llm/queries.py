@@ -4,13 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import decontaminate, mixing, quality_rules, simhash, suffix_dedup
+from basketry.llm import (
+    decontaminate,
+    mixing,
+    quality_rules,
+    simhash,
+    suffix_dedup,
+    token_counts,
+)
 from basketry.llm.common import read
 from basketry.session import tune
 
+TOKENIZER = "byte_bpe_50k.json"
+TOKEN_LIMIT = 512
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -44,10 +55,17 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc.doc_id", "size", "source_size", "target", "taken", "shards")
 
 
+def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path(TOKENIZER)
+    rows = token_counts.token_counts(read(tune(spark), folder, "documents"), path)
+    return rows.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
 QUERIES: dict[str, Query] = {
     "op4_simhash": op4_simhash,
     "op5_decontamination": op5_decontamination,
     "op6_quality_rules": op6_quality_rules,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op9_mixing": op9_mixing,
+    "op10_token_counts": op10_token_counts,
 }
