@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from basketry.llm import (
     decontaminate,
     mixing,
+    quality_classifier,
     quality_rules,
     simhash,
     suffix_dedup,
     token_counts,
+    toxicity,
 )
 from basketry.llm.common import read
 from basketry.session import tune
@@ -25,6 +27,10 @@ TOKEN_LIMIT = 512
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_classifier.quality_scores(read(tune(spark), folder, "documents"))
+
+
 def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     rows = simhash.near_duplicates(read(tune(spark), folder, "documents"))
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
@@ -48,6 +54,11 @@ def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.cut_digest(read(tune(spark), folder, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(tune(spark), folder, "documents")
+    return toxicity.toxicity(docs, read(spark, folder, "labels"))
+
+
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     rows = mixing.with_taken(mixing.mixed(read(tune(spark), folder, "documents").select(
         "doc_id", "text", "source"
@@ -62,10 +73,12 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_quality_classifier": op3_quality_classifier,
     "op4_simhash": op4_simhash,
     "op5_decontamination": op5_decontamination,
     "op6_quality_rules": op6_quality_rules,
     "op7_suffix_dedup": op7_suffix_dedup,
+    "op8_toxicity": op8_toxicity,
     "op9_mixing": op9_mixing,
     "op10_token_counts": op10_token_counts,
 }

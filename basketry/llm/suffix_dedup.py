@@ -5,12 +5,15 @@
    by minimizer. Neighbouring windows with one minimizer make one string.
 2. Strings whose minimizer occurs nowhere else hold no repeat. Of equal strings the
    earliest stands for all; every window of the others has an earlier copy there.
-3. What is left are different strings that share a minimizer. Per partition their
-   collection Burrows-Wheeler transform and common prefixes are built by columns: each round puts in
-   one symbol per string, from the last to the first, and the columns
-   of the growing transform go from file to file in sequence. Suffixes with LENGTH bytes in
-   common stand side by side; all but the earliest of such a group are repeats.
-4. The repeated windows of a document are merged and cut out of its text.
+3. What is left are different strings that share a minimizer. Their windows are
+   dealt anew by the minimizer and CONTEXT bytes beside it, on the side where
+   the window has more of them; a part that shares this with no other holds no repeat.
+4. Per partition the collection Burrows-Wheeler transform of the parts and its common prefixes are
+   built by columns: each round puts in one symbol per part, from the last
+   to the first, and the columns of the growing transform go from file to file in sequence.
+   Suffixes with LENGTH bytes in common stand side by side; all but the earliest
+   of such a group are repeats.
+5. The repeated windows of a document are merged and cut out of its text.
 """
 
 from __future__ import annotations
@@ -34,15 +37,17 @@ from basketry.session import written
 LENGTH = 100
 GRAM = 40
 # Windows of a string at most; longer runs (periodic texts) are cut.
-MOST_WINDOWS = 128
+MOST_WINDOWS = 64
+CONTEXT = 30
 # Bytes hashed at a time; a longer text is taken in overlapping stretches.
 STRETCH = 2 << 20
 # Symbols a partition's transform holds, about.
 COLLECTION = 2 << 20
-# A minimizer with more different strings is dealt by whole windows instead.
+# Parts with so many others of their kind are dealt by whole windows instead.
 CROWD = 8192
-BASE = 0x9E3779B97F4A7C15 | 1
-START = 256
+BASE = 0x9E3779B97F4A7C15
+# Stands before the first symbol of a string: no byte of UTF-8 text, and sorted behind all.
+START = 255
 
 
 def _random_table() -> np.ndarray:
@@ -86,6 +91,20 @@ class Windows:
         whole ^= whole >> np.uint64(29)
         return whole
 
+    def occurrences(self, strings: list[bytes], minimizers: list[int]) -> list[list[int]]:
+        """Where each string holds the gram with the hash that is its minimizer."""
+        data = np.frombuffer(b"".join(strings), np.uint8)
+        ends = np.cumsum([len(s) for s in strings])
+        wanted = np.repeat(np.array(minimizers, np.int64).view(np.uint64), np.diff(ends, prepend=0))
+        grams = self._grams(self.table[data])
+        at = np.flatnonzero(grams == wanted[: len(grams)])
+        string = np.searchsorted(ends, at, side="right")
+        inside = at + self.gram <= ends[string]
+        at, string = at[inside], string[inside]
+        bounds = np.searchsorted(string, np.arange(len(strings) + 1))
+        at = (at - np.append(0, ends)[string]).tolist()
+        return [at[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+
     @staticmethod
     def _slide(values: np.ndarray, width: int, best: np.ufunc) -> np.ndarray:
         """best(values[i : i + width]) for every i."""
@@ -204,36 +223,98 @@ def _list_strings(length: int, gram: int) -> Callable:
 
 
 STRINGS = "m long, h long, doc_id long, version long, start long, n int, alone boolean"
-SLICES = "key long, doc_id long, version long, start long, n int, bytes binary"
+PARTS = "key long, doc_id long, version long, start long, n int, again boolean, bytes binary"
+
+
+def _key(*parts: bytes) -> int:
+    digest = hashlib.blake2b(b"".join(parts), digest_size=8).digest()
+    return int.from_bytes(digest, "little", signed=True)
+
 
+def _part_rows(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.binary())
+    for begin in range(0, len(rows), 20_000):
+        columns = zip(*rows[begin : begin + 20_000], strict=True)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+            names=["key", "doc_id", "version", "start", "n", "again", "bytes"],
+        )
 
-def _cut_strings(length: int) -> Callable:
-    """The bytes of the strings asked for; of crowded minimizers each window for itself."""
+
+def keyed_parts(
+    body: bytes, n: int, places: list[int], gram: int, length: int
+) -> list[tuple[int, int, int]]:
+    """key, first window, windows: the n windows of a string, cut where their key changes.
+
+    places: where the minimizer occurs. A window's key is its first occurrence with
+    the bytes before it, if there are CONTEXT of them in the window, or else behind it. So
+    equal windows have equal keys, whatever string they are in.
+    """
+    context = min(CONTEXT, (length - gram) // 2)
+    out: list[tuple[int, int, int]] = []
+    done = 0
+    for place in places:
+        core = body[place : place + gram]
+        behind = body[place + gram : place + gram + context]
+        for end, sides in (
+            (min(n, place - context + 1), (b"<", core, body[max(0, place - context) : place])),
+            (min(n, place + 1), (b">", core, behind)),
+        ):
+            if end <= done:
+                continue
+            key = _key(*sides)
+            if out and out[-1][0] == key:
+                out[-1] = (key, out[-1][1], end - out[-1][1])
+            else:
+                out.append((key, done, end - done))
+            done = end
+    return out
+
+
+def _cut_strings(length: int, gram: int) -> Callable:
+    """The bytes of the strings asked for, in parts of one key each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        windows = Windows(length, gram)
         for batch in batches:
             for part in steps(batch):
-                out: list[tuple] = []
                 asked = part.column("asked").to_pylist()
                 ids, versions = part.column("doc_id").to_pylist(), part.column("version").to_pylist()
                 bodies = texts(part.column("text")).cast(pa.binary()).to_pylist()
-                for doc_id, version, body, wanted in zip(ids, versions, bodies, asked, strict=True):
-                    for x in wanted:
-                        start, n = x["start"], x["n"]
-                        if x["crowded"]:
-                            for s in range(start, start + n):
-                                window = body[s : s + length]
-                                key = int.from_bytes(hashlib.blake2b(window, digest_size=8).digest(), "little", signed=True)
-                                out.append((key, doc_id, version, s, 1, window))
-                        else:
-                            out.append((x["m"], doc_id, version, start, n, body[start : start + n + length - 1]))
-                for begin in range(0, len(out), 20_000):
-                    columns = list(zip(*out[begin : begin + 20_000], strict=True))
-                    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                        names=["key", "doc_id", "version", "start", "n", "bytes"],
-                    )
+                strings = [
+                    (i, x["start"], x["n"], x["m"], body[x["start"] : x["start"] + x["n"] + length - 1])
+                    for i, (body, wanted) in enumerate(zip(bodies, asked, strict=True))
+                    for x in wanted
+                ]
+                out: list[tuple] = []
+                for begin in range(0, len(strings), 8000):
+                    some = strings[begin : begin + 8000]
+                    found = windows.occurrences([s[4] for s in some], [s[3] for s in some])
+                    for (i, start, n, _, body), places in zip(some, found, strict=True):
+                        for key, first, count in keyed_parts(body, n, places, gram, length):
+                            cut = body[first : first + count + length - 1]
+                            again = len(places) > 1
+                            out.append((key, ids[i], versions[i], start + first, count, again, cut))
+                yield from _part_rows(out)
+
+    return run
+
+
+def _single_windows(length: int) -> Callable:
+    """Every window of the parts as a part of its own, dealt by all its bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for x in batch.to_pylist():
+                for i in range(x["n"]):
+                    window = x["bytes"][i : i + length]
+                    start = x["start"] + i
+                    out.append((_key(window), x["doc_id"], x["version"], start, 1, False, window))
+                if len(out) >= 20_000:
+                    yield from _part_rows(out)
+                    out = []
+            yield from _part_rows(out)
 
     return run
 
@@ -241,7 +322,8 @@ def _cut_strings(length: int) -> Callable:
 class ColumnFiles:
     """The columns of the transform between two rounds, each in a file read and written in sequence."""
 
-    KINDS = {"before": np.uint16, "common": np.uint8, "string": np.int32, "size": np.uint8}
+    # owner: 256 times the string plus the size of the suffix.
+    KINDS = {"before": np.uint8, "common": np.uint8, "owner": np.int32}
 
     def __init__(self, folder: str):
         self.folder = folder
@@ -255,58 +337,49 @@ class ColumnFiles:
 
 
 def transform(data: np.ndarray, ends: np.ndarray, sizes: np.ndarray, files: ColumnFiles) -> None:
-    """Collection transform of the strings data[ends - sizes : ends], all at most 255 long.
+    """Collection transform of the strings data[ends - sizes : ends], all at most 254 long.
 
     Leaves in the files, in the order of the suffixes: the symbol before, the common prefix with the
-    suffix above, the string and the size of the suffix. Round t puts in
-    the suffix of size t of every string that has one. The suffixes that begin with a symbol
-    stand in the order of the places that the symbol has in `before`, so a stable sort
-    of that column gives every new suffix its place and its neighbours; what
-    it shares with a neighbour is one more than the least common prefix between their places.
+    suffix above, and the string and size of the suffix. Round t puts in the suffix of
+    size t of every string that has one. The suffixes that begin with a symbol stand in the
+    order of the places that the symbol has in `before`, so a stable sort of that
+    column gives every new suffix its place and its neighbours; what it shares
+    with a neighbour is one more than the least common prefix between their places.
     """
     count = len(ends)
-    files.write(
-        before=data[ends - 1],
-        common=np.zeros(count),
-        string=np.arange(count),
-        size=np.zeros(count),
-    )
+    files.write(before=data[ends - 1], common=np.zeros(count), owner=np.arange(count) << 8)
     fresh = np.ones(count, bool)
     for size in range(1, int(sizes.max(initial=0)) + 1):
         before, common = files.read("before"), files.read("common")
-        string = files.read("string")
         order = np.argsort(before, kind="stable")
         order = order[: len(order) - np.count_nonzero(before == START)]
         at = np.flatnonzero(fresh[order])
         source = order[at]
-        owner = string[source]
-        # Common prefixes with the suffixes above and below in the same pile.
-        symbols = before[order]
-        above = np.maximum(at - 1, 0)
-        below = np.minimum(at + 1, len(order) - 1)
-        has_above = (at > 0) & (symbols[above] == symbols[at])
-        has_below = (at + 1 < len(order)) & (symbols[below] == symbols[at])
-        shared_above = np.zeros(len(at), np.uint8)
-        shared_above[has_above] = _least(common, order[above[has_above]], source[has_above]) + 1
-        shared_below = _least(common, source[has_below], order[below[has_below]]) + 1
-
-        total = count + len(order)
-        new = np.zeros(total, bool)
-        new[count + at] = True
-        old = ~new
-        grown = np.empty(total, np.uint8)
-        grown[old] = common
-        grown[count + below[has_below]] = shared_below
-        grown[count + at] = shared_above
-        preceding = data[np.maximum(ends[owner] - size - 1, 0)].astype(np.uint16)
-        preceding[sizes[owner] == size] = START
+        above, below = order[np.maximum(at - 1, 0)], order[np.minimum(at + 1, len(order) - 1)]
+        symbol = before[source]
+        has_above = (at > 0) & (before[above] == symbol)
+        has_below = (at + 1 < len(order)) & (before[below] == symbol)
+        shared = np.zeros(len(at), np.uint8)
+        shared[has_above] = _least(common, above[has_above], source[has_above]) + 1
+        shared_below = _least(common, source[has_below], below[has_below]) + 1
+
+        old = np.ones(count + len(order), bool)
+        old[count + at] = False
+        owners = files.read("owner")
+        string = owners[source] >> 8
+        symbols = data[np.maximum(ends[string] - size - 1, 0)]
+        symbols[sizes[string] == size] = START
+        grown = _merged(old, common, shared)
+        # The suffix below, if it was there already; a new one has its own value from above.
+        under = count + at[has_below] + 1
+        there = old[under]
+        grown[under[there]] = shared_below[there]
         files.write(
-            before=_merged(old, before, preceding),
+            before=_merged(old, before, symbols),
             common=grown,
-            string=_merged(old, string, owner),
-            size=_merged(old, files.read("size"), np.full(len(at), size)),
+            owner=_merged(old, owners, (string << 8) + size),
         )
-        fresh = new
+        fresh = ~old
 
 
 def _merged(old: np.ndarray, there: np.ndarray, more: np.ndarray) -> np.ndarray:
@@ -333,11 +406,12 @@ def repeats(data: np.ndarray, ends: np.ndarray, sizes: np.ndarray, rank: np.ndar
     with tempfile.TemporaryDirectory(prefix="transform-") as folder:
         files = ColumnFiles(folder)
         transform(data, ends, sizes, files)
-        common, string, size = (files.read(n) for n in ("common", "string", "size"))
+        common, owner = files.read("common"), files.read("owner")
     # Groups of suffixes that share `length` bytes or more with the one above.
     group = np.cumsum(common < length)
+    string, size = owner >> 8, owner & 255
     full = size >= length
-    group, string, size = group[full], string[full], size[full].astype(np.int64)
+    group, string, size = group[full], string[full], size[full]
     offset = sizes[string] - size
     place = rank[string] + offset
     order = np.lexsort((place, group))
@@ -355,7 +429,15 @@ def _find_repeats(length: int) -> Callable:
         parts = [b for b in batches if b.num_rows]
         if not parts:
             return
-        table = pa.Table.from_batches(parts).combine_chunks().select(["doc_id", "version", "start", "n", "bytes"])
+        table = pa.Table.from_batches(parts)
+        _, kind, counts = np.unique(
+            table.column("key").to_numpy(), return_inverse=True, return_counts=True
+        )
+        # A part that no other shares its key with repeats nothing, unless it may repeat itself.
+        shared = (counts[kind] > 1) | table.column("again").to_numpy()
+        table = table.filter(pa.array(shared)).combine_chunks()
+        if not table.num_rows:
+            return
         body = table.column("bytes").combine_chunks().cast(pa.large_binary())
         if isinstance(body, pa.ChunkedArray):
             body = body.combine_chunks()
@@ -451,21 +533,19 @@ def repeated_windows(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     several = strings.groupBy("m").agg(
         F.count(F.lit(1)).alias("strings"), F.bool_and("alone").alias("alone")
     )
-    several = several.filter("strings > 1 or not alone").select(
-        "m", (F.col("strings") > CROWD).alias("crowded")
-    )
-    asked = written(strings.drop("alone").join(several, "m").select("m", "n", "crowded", "first.*"))
-    symbols = F.when(F.col("crowded"), F.col("n") * length).otherwise(F.col("n") + length - 1)
-    total = asked.agg(F.sum(symbols)).first()[0] or 0
-    wanted = _per_doc(asked, "asked", "m", "start", "n", "crowded").hint("shuffle_hash")
-    slices = (
+    several = several.filter("strings > 1 or not alone").select("m")
+    asked = strings.drop("alone").join(several, "m").select("m", "n", "first.*")
+    wanted = _per_doc(asked, "asked", "m", "start", "n").hint("shuffle_hash")
+    parts = written(
         rows.join(wanted, _same_doc(), "inner")
         .select("doc_id", "version", "text", "asked")
-        .mapInArrow(_cut_strings(length), SLICES)
-        .distinct()
+        .mapInArrow(_cut_strings(length, gram), PARTS)
     )
-    parts = max(1, math.ceil(total / COLLECTION))
-    found = slices.repartition(parts, "key").mapInArrow(
+    crowded = written(parts.groupBy("key").count().filter(F.col("count") > CROWD).select("key"))
+    single = parts.join(crowded, "key", "left_semi").mapInArrow(_single_windows(length), PARTS)
+    parts = parts.join(crowded, "key", "left_anti").unionByName(single)
+    total = parts.agg(F.sum(F.col("n") + length - 1)).first()[0] or 0
+    found = parts.repartition(max(1, math.ceil(total / COLLECTION)), "key").mapInArrow(
         _find_repeats(length), "doc_id long, version long, start long, n int"
     )
     return copies.unionByName(found)
