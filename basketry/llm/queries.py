@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from basketry.llm import (
     decontaminate,
+    language_model,
+    licenses,
     mixing,
     quality_classifier,
     quality_rules,
@@ -27,6 +29,17 @@ TOKEN_LIMIT = 512
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.with_names(licenses.license_matches(read(tune(spark), folder, "documents")))
+
+
+def op2_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    rows = language_model.held_out_scores(read(tune(spark), folder, "documents"))
+    return rows.select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality_classifier.quality_scores(read(tune(spark), folder, "documents"))
 
@@ -73,6 +86,8 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_licenses": op1_licenses,
+    "op2_language_model": op2_language_model,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_simhash": op4_simhash,
     "op5_decontamination": op5_decontamination,

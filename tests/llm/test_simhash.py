@@ -1,0 +1,117 @@
+from __future__ import annotations
+
+import random
+
+import corpus
+import numpy as np
+import pytest
+import xxhash
+
+from basketry.llm import simhash as s
+from basketry.llm.components import components
+
+
+def fingerprint(text):
+    words = (text or "").encode().lower().split()
+    shingles = [b" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))] if words else []
+    hashes = [xxhash.xxh64_intdigest(x, seed=42) for x in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def grouped(prints, most=4):
+    """Least id reachable over links, by brute force."""
+    label = list(range(len(prints)))
+    changed = True
+    while changed:
+        changed = False
+        for i, a in enumerate(prints):
+            for j, b in enumerate(prints):
+                if (a ^ b).bit_count() <= most and label[j] < label[i]:
+                    label[i], changed = label[j], True
+    return label
+
+
+def test_code_covers_everything():
+    """Each run is within the radius of exactly one codeword."""
+    runs = np.random.default_rng(1).integers(0, 1 << 23, 2000)
+    rows, found = s.anchors(runs | (runs << 23), 0)
+    assert (np.bincount(rows) == 1).all()
+    codeword = found & ((1 << 23) - 1)
+    assert (np.bitwise_count(codeword ^ runs) <= 3).all()
+    assert (s._syndromes()[codeword] == 0).all()
+
+
+def test_neighbours_meet_at_an_anchor():
+    rng = random.Random(2)
+    for _ in range(200):
+        a = rng.getrandbits(64)
+        b = a
+        for bit in rng.sample(range(64), rng.randint(0, 4)):
+            b ^= 1 << bit
+        prints = np.array([a, b], np.uint64).view(np.int64)
+        rows, found = s.anchors(prints, 2)
+        assert set(found[rows == 0]) & set(found[rows == 1])
+
+
+def test_documents(spark):
+    data = corpus.rows()
+    got = s.near_duplicates(corpus.table(spark, data)).collect()
+    prints = [fingerprint(r[1]) for r in data]
+    assert sorted(str((r["doc_id"], r["fp"] % 2**64)) for r in got) == sorted(
+        str((r[0], p)) for r, p in zip(data, prints, strict=True)
+    )
+    label = grouped(prints)
+    least = {}
+    for row, k in zip(data, label, strict=True):
+        if row[0] is not None:
+            least[k] = min(least.get(k, row[0]), row[0])
+    expected = sorted(str((r[0], least.get(k))) for r, k in zip(data, label, strict=True))
+    assert sorted(str((r["doc_id"], r["component_id"])) for r in got) == expected
+    assert s.near_duplicates(corpus.empty(spark)).collect() == []
+
+
+def test_one_of_each_component_stays(spark):
+    docs = corpus.table(spark)
+    got = s.deduplicated(corpus.clashing(docs))
+    assert got.columns == corpus.clashing(docs).columns
+    kept = got.select("doc_id", "text").collect()
+    groups = s.near_duplicates(docs).collect()
+    assert len(kept) == len({r["component_id"] for r in groups})
+    assert sorted(str(r["doc_id"]) for r in kept) == sorted({str(r["component_id"]) for r in groups})
+    assert s.deduplicated(corpus.empty(spark)).collect() == []
+
+
+@pytest.mark.parametrize("cell", [4, 4096])
+def test_crowded_anchor_and_chains(spark, monkeypatch, cell):
+    """A chain of links through many fingerprints around one centre, cut into cells."""
+    monkeypatch.setattr(s, "CELL_ROWS", cell)
+    rng = random.Random(3)
+    prints, now = set(), rng.getrandbits(64)
+    for _ in range(60):
+        prints.add(now)
+        now ^= 1 << rng.randrange(46, 64) | 1 << rng.randrange(64)
+    prints |= {rng.getrandbits(64) for _ in range(50)}
+    prints = sorted(prints)
+    signed = [(p if p < 2**63 else p - 2**64,) for p in prints]
+    edges = s.links(spark.createDataFrame(signed, "fp long"))
+    roots = {r["a"] % 2**64: r["b"] % 2**64 for r in components(edges).collect()}
+    label = grouped(prints)
+    groups = {}
+    for p, k in zip(prints, label, strict=True):
+        groups.setdefault(k, set()).add(roots.get(p, p))
+    assert all(len(g) == 1 for g in groups.values())
+    assert len({min(g) for g in groups.values()}) == len(groups)
+
+
+def test_components(spark):
+    rng = random.Random(4)
+    edges = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 140)]
+    edges += [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(40)] + [(500, 500)]
+    rng.shuffle(edges)
+    got = {r["a"]: r["b"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    least = {x: x for e in edges for x in e}
+    for _ in least:
+        for a, b in edges:
+            least[a] = least[b] = min(least[a], least[b])
+    assert got == {a: b for a, b in least.items() if a != b}
+    assert components(spark.createDataFrame([], "a long, b long")).collect() == []
