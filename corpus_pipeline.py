@@ -7,7 +7,7 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.llm import quality_rules
+from basketry.llm import decontaminate, mixing, quality_rules, simhash, suffix_dedup
 from basketry.llm.common import read
 from basketry.session import shared_folder, tune
 
@@ -15,25 +15,54 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents beyond their language's and source's fences go."""
+    """Documents beyond the fences of their language and source go."""
+    tune(spark)
     return quality_rules.quality_filter(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays, that of the least id."""
+    tune(spark)
+    return simhash.deduplicated(docs)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 100 bytes and more that stand earlier in the corpus are cut out of the texts."""
+    tune(spark)
+    return suffix_dedup.without_repeats(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold an item of the benchmark go."""
+    tune(spark)
+    return decontaminate.clean(docs, read(spark, sf_dir, "benchmark"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """How much of each document the mix takes, and the output shards it goes to."""
+    tune(spark)
+    rows = mixing.with_taken(mixing.mixed(docs))
+    return rows.select("doc.*", "size", "source_size", "target", "taken", "shards")
+
+
 STAGES: list[tuple[str, Stage]] = [
-    ("quality", quality),
+    ("quality rules", quality),
+    ("near-duplicates", near_duplicates),
+    ("repeated passages", repeated_passages),
+    ("decontamination", decontamination),
+    ("mixing", mix),
 ]
 
-# Hashes of whole texts, numpy code and quantile sketches: not for SQL to express.
+# Quantile sketches, hashes of shingles and cuts inside a text are not for SQL to express.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages one after the other over `documents`; each reads what the one before wrote."""
-    tune(spark)
     folder = f"{shared_folder(spark)}/corpus/{uuid4().hex}"
     docs = read(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        path = f"{folder}/{name}"
+    for number, (_, stage) in enumerate(STAGES):
+        path = f"{folder}/{number}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
