@@ -127,7 +127,8 @@ HINT = "licen|permission|redistribution|software|warranty|public domain|copyrigh
 VERSION = r"(\d+(?:\.\d+)*)"
 # Marks before a line of a comment.
 COMMENT = re.compile(r"^[ \t]*(?:/\*+|\*+/|\*|//+|#+|--+|;+|%+|<!--|\d+\.|\([a-z]\))?[ \t]*", re.MULTILINE)
-SENTENCE_END = re.compile(r"(?<=[.:;!?])\s+")
+# A colon ends a sentence only where a list follows on lines of its own.
+SENTENCE_END = re.compile(r"(?<=[.!?])(?<!\bv\.)\s+|(?<=:)\s*\n\s*")
 QUOTES = str.maketrans({"“": '"', "”": '"', "‘": "'", "’": "'"})
 
 MATCHES = T.ArrayType(

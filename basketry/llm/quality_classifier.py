@@ -45,6 +45,7 @@ OTHERS = bytes(c for c in range(128) if not chr(c).isalpha())
 # share falls with the length of any text.
 DISTINCT_OF = 200
 ROUNDS = 60
+GOOD_WEIGHT = 0.7
 BITS = 16
 MAX_SAMPLE = 8_000
 FIT_ROUNDS = 150
@@ -92,8 +93,9 @@ def votes(values: dict[str, float]) -> int:
 def estimate(patterns: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The chance of being good for every pattern, by expectation-maximisation.
 
-    Starts from the votes for bad, of which two outweigh all the others: most junk fails
-    at few of the heuristics.
+    Junk is mostly of one kind, which few heuristics see, and the others' votes for good go
+    together: they count by GOOD_WEIGHT. Starts from the number of votes for bad, two
+    of which make a document junk.
     """
     chances = np.full(3**LABELLERS, 0.5)
     if not len(patterns):
@@ -105,16 +107,14 @@ def estimate(patterns: np.ndarray, counts: np.ndarray) -> np.ndarray:
     for _ in range(ROUNDS):
         good = chances[patterns] * weight
         bad = (1 - chances[patterns]) * weight
-        odds = np.log((good.sum() + 1e-6) / (bad.sum() + 1e-6))
-        total = np.full(len(every), odds)
+        total = np.full(len(every), np.log((good.sum() + 1e-6) / (bad.sum() + 1e-6)))
         for j in range(LABELLERS):
-            cast = vote[patterns, j]
-            of_good = np.bincount(cast, weights=good, minlength=3) + 1e-4
-            of_bad = np.bincount(cast, weights=bad, minlength=3) + 1e-4
+            of_good = np.bincount(vote[patterns, j], weights=good, minlength=3) + 1e-4
+            of_bad = np.bincount(vote[patterns, j], weights=bad, minlength=3) + 1e-4
             ratio = np.log(of_good / of_good.sum()) - np.log(of_bad / of_bad.sum())
             # A heuristic may be of no use, but its votes do not mean the opposite.
             ratio[ABSTAIN] = 0
-            ratio[BAD], ratio[GOOD] = min(ratio[BAD], 0), max(ratio[GOOD], 0)
+            ratio[BAD], ratio[GOOD] = min(ratio[BAD], 0), GOOD_WEIGHT * max(ratio[GOOD], 0)
             total += ratio[vote[:, j]]
         chances = 1 / (1 + np.exp(-np.clip(total, -30, 30)))
     return chances
