@@ -2,65 +2,88 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from basketry.functions.columns import hour_bucket
-from basketry.session import written
+from basketry.session import delete, recorded, written
 
 # monotonically_increasing_id() numbers rows as (partition << 33) + index.
 INDEX_BITS = 33
 
 
-def cut_by_rank(
+def rank_cut(
     df: DataFrame,
-    order: list[Column],
+    value: str,
+    key: str,
     percents: list[int],
     labels: list[str],
-    name: str,
-) -> tuple[DataFrame, int]:
-    """Label rows by their position in a total order over the whole table.
+    descending: bool = False,
+) -> tuple[Callable[[], Column], int]:
+    """Labels by the position of rows in the order of `value`, nulls last, and the unique `key`.
 
     The first floor(n*percents[0]/100) rows get labels[0], the rows from there up
     to floor(n*percents[1]/100) get labels[1], and so on; the rest get labels[-1].
-    Returns the labelled table and n.
+    Returns a function that gives the label as a column of these two columns, and n.
 
-    A window without partitions would sort the table in one task. Instead the
-    table is range partitioned and sorted, numbered in place, and written: the
-    sampled range bounds differ from one run to the next, so the numbering must
-    be fixed before it is read twice. Only the row count of each partition comes
-    to the driver. `order` has to end in a unique key.
+    Only the rows at the cuts are looked for: the two columns are range partitioned,
+    sorted, numbered in place and written, since the sampled range bounds differ from one
+    run to the next. The row count of each partition and the rows at the cuts come to
+    the driver; the copy is deleted before this returns.
     """
-    numbered = written(
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("_position", F.monotonically_increasing_id())
-    )
-    sizes = (
-        numbered.groupBy(F.shiftright("_position", INDEX_BITS).alias("part"))
-        .agg(F.count(F.lit(1)).alias("size"))
-        .orderBy("part")
-        .collect()
-    )
-    total = sum(row["size"] for row in sizes)
-    ends = list(accumulate(row["size"] for row in sizes))
+    spark = df.sparkSession
+    narrow = df.select(value, key)
+    order = [
+        F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last(),
+        F.col(key).asc(),
+    ]
+    with recorded() as paths:
+        numbered = written(
+            narrow.repartitionByRange(*order)
+            .sortWithinPartitions(*order)
+            .withColumn("_position", F.monotonically_increasing_id())
+        )
+        sizes = (
+            numbered.groupBy(F.shiftright("_position", INDEX_BITS).alias("part"))
+            .agg(F.count(F.lit(1)).alias("size"))
+            .orderBy("part")
+            .collect()
+        )
+        total = sum(row["size"] for row in sizes)
+        ends = list(accumulate(row["size"] for row in sizes))
+
+        def last_row(rank: int) -> Row | None:
+            if rank == 0:
+                return None
+            place = next(i for i, end in enumerate(ends) if end >= rank)
+            before = ends[place] - sizes[place]["size"]
+            position = (sizes[place]["part"] << INDEX_BITS) + rank - before - 1
+            return numbered.filter(F.col("_position") == F.lit(position)).first()
+
+        cuts = [last_row(total * percent // 100) for percent in percents]
+    delete(spark, paths)
+    kind = df.schema[value].dataType
 
-    def last_position(rank: int) -> int:
-        """The number given to the row of this rank, -1 for rank 0."""
-        if rank == 0:
-            return -1
-        place = next(i for i, end in enumerate(ends) if end >= rank)
-        before = ends[place] - sizes[place]["size"]
-        return (sizes[place]["part"] << INDEX_BITS) + rank - before - 1
+    def up_to(row: Row) -> Column:
+        limit = F.lit(row[value]).cast(kind)
+        tied = F.col(value).eqNullSafe(limit) & (F.col(key) <= F.lit(row[key]))
+        if row[value] is None:
+            return F.col(value).isNotNull() | tied
+        ahead = F.col(value) > limit if descending else F.col(value) < limit
+        return F.coalesce(ahead, F.lit(False)) | tied
 
-    label = F.lit(labels[-1])
-    for percent, text in reversed(list(zip(percents, labels, strict=False))):
-        limit = last_position(total * percent // 100)
-        label = F.when(F.col("_position") <= F.lit(limit), F.lit(text)).otherwise(label)
-    return numbered.withColumn(name, label).drop("_position"), total
+    def label() -> Column:
+        column = F.lit(labels[-1])
+        for row, text in reversed(list(zip(cuts, labels, strict=False))):
+            if row is not None:
+                column = F.when(up_to(row), F.lit(text)).otherwise(column)
+        return column
+
+    return label, total
 
 
 def latest_per_key(
@@ -68,35 +91,36 @@ def latest_per_key(
 ) -> DataFrame:
     """The `count` most recent rows of every key (all rows of a key that has fewer).
 
-    Up to the session's window-group-limit threshold each map task already cuts
-    its rows to `count` per key before the shuffle. Beyond it that pre-cut is
-    off, so the rows are ranked inside (key, clock hour) and shifted by the
-    number of later rows of the key: no task sees more of a hot key than one
-    hour of rows, or one count per hour.
+    Rows without a key belong to nobody and drop out; rows without a moment are
+    the least recent ones. Rows are ranked inside (key, clock hour) and shifted by
+    the number of later rows of the key, for every count alike: no task sees more of
+    a hot key than one hour of rows, or one count per hour.
     """
     newest = [F.col(moment).desc_nulls_last(), F.col(tie_break).desc_nulls_last()]
-    threshold = int(
-        df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")
-    )
-    if count <= threshold:
-        rank = F.row_number().over(W.partitionBy(*keys).orderBy(*newest))
-        return df.withColumn("_rank", rank).filter(F.col("_rank") <= count).drop("_rank")
-
     hourly = [*keys, "_hour"]
-    rows = df.withColumn("_hour", hour_bucket(moment))
+    rows = df.dropna(subset=keys).withColumn("_hour", hour_bucket(moment))
     later = F.sum("_rows").over(
-        W.partitionBy(*keys).orderBy(F.desc("_hour")).rowsBetween(W.unboundedPreceding, -1)
+        W.partitionBy(*keys)
+        .orderBy(F.desc_nulls_last("_hour"))
+        .rowsBetween(W.unboundedPreceding, -1)
     )
     offsets = (
         rows.groupBy(*hourly)
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .select(*hourly, F.coalesce(later, F.lit(0)).alias("_later"))
+        .select(
+            *(F.col(key).alias(f"_{key}") for key in keys),
+            F.col("_hour").alias("_of_hour"),
+            F.coalesce(later, F.lit(0)).alias("_later"),
+        )
         .filter(F.col("_later") < count)
     )
+    same = F.col("_hour").eqNullSafe(F.col("_of_hour"))
+    for key in keys:
+        same = same & (F.col(key) == F.col(f"_{key}"))
     rank = F.row_number().over(W.partitionBy(*hourly).orderBy(*newest))
     return (
         rows.withColumn("_rank", rank)
-        .join(offsets, hourly)
+        .join(offsets, same)
         .filter(F.col("_rank") + F.col("_later") <= count)
-        .drop("_rank", "_hour", "_later")
+        .select(*df.columns)
     )

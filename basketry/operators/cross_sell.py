@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from basketry.functions.columns import check_mode, ratio, round_to_step
 from basketry.operators.periods import PAIR
 from basketry.schema import Tables
-from basketry.session import written
 
 
 def _gain() -> Column:
@@ -44,13 +43,9 @@ def cross_sell_groups(
     )
 
 
-def max_margin_sku(tables: Tables, selected: DataFrame, stores: DataFrame) -> DataFrame:
-    """The SKU of largest retail - purchase price of each selected group in the main store.
-
-    The best SKU is found once per store and group, so customers meet one row
-    each instead of every SKU of their groups. `stores` holds customer_primary_store.
-    """
-    best = (
+def best_skus(tables: Tables) -> DataFrame:
+    """The SKU of largest retail - purchase price of each store and group."""
+    return (
         tables.stores.filter(_gain().isNotNull())
         .join(tables.product_grid.select("sku_id", "group_id"), "sku_id")
         .groupBy(F.col("transaction_store_id").alias("customer_primary_store"), "group_id")
@@ -62,26 +57,44 @@ def max_margin_sku(tables: Tables, selected: DataFrame, stores: DataFrame) -> Da
         )
         .select("customer_primary_store", "group_id", "best.*")
     )
+
+
+def max_margin_sku(tables: Tables, selected: DataFrame, stores: DataFrame) -> DataFrame:
+    """The SKU of largest retail - purchase price of each selected group in the main store.
+
+    The best SKU is found once per store and group, so customers meet one row
+    each instead of every SKU of their groups. `stores` holds customer_primary_store.
+    """
     return (
         selected.join(stores.select("customer_id", "customer_primary_store"), "customer_id")
-        .join(best, ["customer_primary_store", "group_id"])
+        .join(best_skus(tables), ["customer_primary_store", "group_id"])
         .withColumn("max_margin", _gain())
     )
 
 
-def sku_share(tables: Tables, history: DataFrame, skus: DataFrame) -> DataFrame:
+def sku_share(
+    tables: Tables, history: DataFrame, skus: DataFrame, among: DataFrame | None = None
+) -> DataFrame:
     """Add to each (customer, group, SKU) the share of the group's transactions with the SKU.
 
     `skus` has one row per pair and its group_purchase. The purchases of those
-    pairs are looked up in the check lines by (transaction, SKU). Grouping by all
-    columns of `skus` spares a second use of it.
+    pairs are looked up in the check lines by (transaction, SKU). `among`, if given,
+    holds every sku_id of `skus`: the lines of all others are left out before they
+    are moved.
     """
     purchases = history.select(*PAIR, "transaction_id").join(skus, PAIR)
-    sold = tables.checks.select("transaction_id", "sku_id").distinct()
+    sold = tables.checks.select("transaction_id", "sku_id")
+    if among is not None:
+        sold = sold.join(among.select("sku_id").distinct(), "sku_id", "left_semi")
+    own = [*PAIR, "sku_id"]
+    # One row per pair comes in, so its other columns need not be part of the key.
+    carried = [F.first(name).alias(name) for name in skus.columns if name not in own]
     return (
-        purchases.join(sold.withColumn("sold", F.lit(1)), ["transaction_id", "sku_id"], "left")
-        .groupBy(*skus.columns)
-        .agg(F.count("sold").alias("with_sku"))
+        purchases.join(
+            sold.distinct().withColumn("sold", F.lit(1)), ["transaction_id", "sku_id"], "left"
+        )
+        .groupBy(*own)
+        .agg(F.count("sold").alias("with_sku"), *carried)
         .withColumn("sku_share", ratio("with_sku", "group_purchase"))
         .drop("with_sku")
     )
@@ -104,109 +117,17 @@ def offers_cross_sell(
     max_stability: float,
     max_sku_share: float,
     margin_share: float,
-    mode: str = "spec",
 ) -> DataFrame:
     """Offers that move a customer to the SKU of largest margin in a demanded group."""
-    if check_mode(mode) == "as_written":
-        return _offers_as_written(
-            tables,
-            history,
-            details,
-            stores,
-            count,
-            max_churn,
-            max_stability,
-            max_sku_share,
-            margin_share,
-        )
     selected = cross_sell_groups(details, count, max_churn, max_stability)
     skus = max_margin_sku(tables, selected, stores).withColumn(
         "offer_discount_depth", cross_sell_discount(margin_share)
     )
     # The discount test needs no facts, so it goes before the share.
-    shares = sku_share(tables, history, skus.filter(F.col("offer_discount_depth").isNotNull()))
+    covered = skus.filter(F.col("offer_discount_depth").isNotNull())
+    shares = sku_share(tables, history, covered, best_skus(tables))
     return (
         shares.filter(F.col("sku_share") <= F.lit(max_sku_share / 100))
         .join(tables.product_grid.select("sku_id", "sku_name"), "sku_id")
         .select("customer_id", "sku_name", "offer_discount_depth")
     )
-
-
-def _offers_as_written(
-    tables: Tables,
-    history: DataFrame,
-    details: DataFrame,
-    stores: DataFrame,
-    count: int,
-    max_churn: float,
-    max_stability: float,
-    max_sku_share: float,
-    margin_share: float,
-) -> DataFrame:
-    """Cross-selling with the joins of the SQL taken at their word.
-
-    Every SKU of a permitted group that the main store lists is offered. The
-    margin is the best any store makes on any SKU the main store lists. Shares
-    are compared between all SKU counts and all group counts of a customer, and
-    each pair that passes repeats the customer's offers: `copies` says how often
-    a row occurs. The pairs are counted along a sorted line, not formed.
-    """
-    main = F.col("transaction_store_id").alias("customer_primary_store")
-    per_sku = tables.stores.groupBy("sku_id").agg(F.max(_gain()).alias("gain"))
-    per_store = (
-        tables.stores.select(main, "sku_id")
-        .join(per_sku, "sku_id")
-        .groupBy("customer_primary_store")
-        .agg(F.max("gain").alias("max_margin"))
-    )
-    # Read three times below, and small next to the history it comes from.
-    selected = written(
-        cross_sell_groups(details, count, max_churn, max_stability, "as_written")
-        .join(stores.select("customer_id", "customer_primary_store"), "customer_id")
-        .join(per_store, "customer_primary_store")
-    )
-
-    groups_in_receipt = (
-        history.select(*PAIR, "transaction_id")
-        .join(selected.select(*PAIR), PAIR)
-        .groupBy("customer_id", "transaction_id")
-        .agg(F.count(F.lit(1)).alias("groups"))
-    )
-    lines = tables.checks.groupBy("transaction_id", "sku_id").agg(F.count(F.lit(1)).alias("lines"))
-    sku_counts = (
-        groups_in_receipt.join(lines, "transaction_id")
-        .groupBy("customer_id", "sku_id")
-        .agg(F.sum(F.col("groups") * F.col("lines")).alias("sold"))
-        .select("customer_id", "sold")
-        .distinct()
-    )
-    line = sku_counts.select(
-        "customer_id", (F.col("sold") * F.lit(100.0)).alias("place"), F.lit(1).alias("sku")
-    ).unionByName(
-        selected.select(
-            "customer_id",
-            (F.col("group_purchase") * F.lit(float(max_sku_share))).alias("place"),
-            F.lit(0).alias("sku"),
-        )
-    )
-    up_to = W.partitionBy("customer_id").orderBy("place").rangeBetween(W.unboundedPreceding, 0)
-    copies = (
-        line.withColumn("passing", F.sum("sku").over(up_to))
-        .groupBy("customer_id")
-        .agg(F.sum(F.when(F.col("sku") == 0, F.col("passing"))).alias("copies"))
-        .filter(F.col("copies") > 0)
-    )
-
-    assortment = tables.stores.select(main, "sku_id", "sku_retail_price").join(
-        tables.product_grid, "sku_id"
-    )
-    return (
-        selected.join(copies, "customer_id")
-        .join(assortment, ["customer_primary_store", "group_id"])
-        .select(
-            "customer_id",
-            "sku_name",
-            cross_sell_discount(margin_share).alias("offer_discount_depth"),
-            "copies",
-        )
-    )

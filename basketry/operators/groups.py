@@ -83,8 +83,7 @@ def _hourly(measured: DataFrame, mode: str) -> DataFrame:
 
     Whatever follows a customer's or a pair's time line is done in two steps,
     inside one hour and then over the hours. A customer who makes a large part
-    of all purchases is so spread over as many tasks as there are hours, and the
-    second step handles a number of rows that time bounds, not the sales.
+    of all purchases is so spread over as many tasks as there are hours.
 
     upto, before: the customer's transactions in this hour up to the group's
     last purchase in it, and before its first one. visits: all transactions of
@@ -116,57 +115,104 @@ def _hourly(measured: DataFrame, mode: str) -> DataFrame:
     )
 
 
-def group_profile(
-    history: DataFrame,
-    analysis: Column,
-    mode: str = "spec",
-    margin_from: Column | None = None,
-) -> DataFrame:
-    """All measures of every customer-group pair, also of pairs with one purchase.
+def _pairs_and_visits(hourly: DataFrame) -> DataFrame:
+    """One row per pair, and one per customer and clock hour with the visits up to it.
+
+    Both come from one reading of the hours: each row goes to its pair, and the
+    row that carries the visits of the hour also goes to the customer's line of
+    hours, which has no group. So the rows are dealt by customer and group, and a customer
+    who makes a large part of all purchases is spread over his groups.
 
     Stability is the mean of |gap - f| / f over the gaps in whole days, f being
     the average interval T / n. In integers that is
     sum |gap * n - T| / (T * (n - 1)), with one division at the end. A gap inside
     a clock hour is zero whole days and contributes T.
     """
-    over_hours = W.partitionBy("customer_id").orderBy("hour")
-    past_visits = F.sum("visits").over(over_hours.rangeBetween(W.unboundedPreceding, -1))
-    pair = W.partitionBy(*PAIR)
-
+    line = F.col("on_line")
+    copies = F.array_compact(
+        F.array(
+            # Products without a group count as visits but make no pair.
+            F.when(F.col("group_id").isNotNull(), F.lit(False)),
+            F.when(F.col("visits") > 0, F.lit(True)),
+        )
+    )
+    rows = hourly.withColumn("on_line", F.explode(copies)).withColumn(
+        "group_id", F.when(~line, F.col("group_id"))
+    )
+    part = W.partitionBy(*PAIR)
+    in_order = part.orderBy("hour")
     wide = "decimal(38,0)"
     gap_days = whole_days_between(F.col("previous"), F.col("first")).cast("decimal(18,0)")
     gap = (gap_days * F.lit(MICROS_PER_DAY).cast("decimal(12,0)") * F.col("total")).cast(wide)
     outer_gap = F.coalesce(F.abs(gap - F.col("span")), F.lit(0).cast(wide))
     inner_gaps = (F.col("purchases") - 1).cast("decimal(18,0)") * F.col("span")
+    span = micros_between(F.min("first").over(part), F.max("last").over(part))
+    rows = rows.withColumns(
+        {
+            "previous": F.lag("last").over(in_order),
+            "past": F.coalesce(
+                F.sum("visits").over(in_order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)
+            ),
+            "total": F.sum("purchases").over(part).cast("decimal(18,0)"),
+            "span": (span + F.lit(MICROS_PER_DAY)).cast("decimal(18,0)"),
+        }
+    )
+    return rows.groupBy(*PAIR, "on_line", F.when(line, F.col("hour")).alias("line_hour")).agg(
+        *_combined(),
+        F.min("hour").alias("first_hour"),
+        F.max("hour").alias("last_hour"),
+        F.min_by("before", "hour").alias("before"),
+        F.max_by("upto", "hour").alias("upto"),
+        F.sum(outer_gap + inner_gaps).alias("deviation"),
+        F.max("span").alias("span"),
+        F.max(F.when(line, F.col("past"))).alias("past"),
+    )
 
-    summed = (
-        _hourly(_measured(history, margin_from), mode)
-        .withColumn("past", F.coalesce(past_visits, F.lit(0)))
-        # Products without a group count as visits but make no pair.
-        .filter(F.col("group_id").isNotNull())
-        .withColumns(
-            {
-                "previous": F.lag("last").over(pair.orderBy("hour")),
-                "total": F.sum("purchases").over(pair).cast("decimal(18,0)"),
-                "span": (
-                    micros_between(F.min("first").over(pair), F.max("last").over(pair))
-                    + F.lit(MICROS_PER_DAY)
-                ).cast("decimal(18,0)"),
-            }
+
+def _with_places(rows: DataFrame) -> DataFrame:
+    """The pairs, with the customer's visits before their first hour and before their last one.
+
+    Each pair asks twice on the customer's line of hours. A task so sees of a customer
+    one row per hour and two per group.
+    """
+    own = [name for name in rows.columns if name not in ("on_line", "line_hour", "past")]
+    pair = F.struct(*(F.col(name) for name in own))
+    is_line = F.col("on_line")
+    asked = F.when(is_line, F.array("line_hour")).otherwise(F.array("first_hour", "last_hour"))
+    known = W.partitionBy("customer_id", "at")
+    return (
+        rows.select(
+            "customer_id",
+            "past",
+            F.when(~is_line, pair).alias("pair"),
+            F.posexplode(asked).alias("which", "at"),
         )
-        .groupBy(*PAIR)
+        .withColumn("past", F.max("past").over(known))
+        .filter(F.col("pair").isNotNull())
+        .groupBy("customer_id", "pair.group_id")
         .agg(
-            *_combined(),
-            F.max(F.col("past") + F.col("upto")).alias("upto"),
-            F.min(F.col("past") + F.col("before")).alias("before"),
-            F.sum(outer_gap + inner_gaps).alias("deviation"),
-            F.max("span").alias("span"),
+            F.first("pair").alias("pair"),
+            F.max(F.when(F.col("which") == 0, F.col("past"))).alias("past_first"),
+            F.max(F.when(F.col("which") == 1, F.col("past"))).alias("past_last"),
         )
+        .select("pair.*", "past_first", "past_last")
     )
-    return summed.select(
+
+
+def group_profile(
+    history: DataFrame,
+    analysis: Column,
+    mode: str = "spec",
+    margin_from: Column | None = None,
+) -> DataFrame:
+    """All measures of every customer-group pair, also of pairs with one purchase."""
+    hourly = _hourly(_measured(history, margin_from), mode)
+    pairs = _with_places(_pairs_and_visits(hourly))
+    visits = F.col("past_last") + F.col("upto") - F.col("past_first") - F.col("before")
+    return pairs.select(
         *PAIR,
         F.col("purchases").alias("group_purchase"),
-        ratio(F.col("purchases"), F.col("upto") - F.col("before")).alias("group_affinity_index"),
+        ratio(F.col("purchases"), visits).alias("group_affinity_index"),
         _churn_rate(analysis).alias("group_churn_rate"),
         ratio("deviation", F.col("span") * (F.col("purchases") - 1)).alias("group_stability_index"),
         "group_margin",
@@ -228,24 +274,25 @@ def _since(analysis: Column, days: int) -> Column:
     return F.col("transaction_datetime").between(start, analysis)
 
 
+def _check_margin_method(method: int) -> None:
+    if method not in (0, 1, 2):
+        raise ValueError(f"the margin method must be 0, 1 or 2, not {method!r}")
+
+
 def group_margin(
-    history: DataFrame, analysis: Column, method: int = 0, number: int = 1, mode: str = "spec"
+    history: DataFrame, analysis: Column, method: int = 0, number: int = 1
 ) -> DataFrame:
     """Paid minus cost per pair.
 
     method 0: all history; 1: the last `number` days before the analysis date;
     2: the last `number` transactions of the pair. Pairs without such a
-    purchase have NULL. Method 2 with mode="as_written" keeps the whole margin
-    of the first `number` pairs by key and gives NULL to the rest.
+    purchase have NULL.
     """
+    _check_margin_method(method)
     if method == 0:
         return _pair_totals(history).select(*PAIR, "group_margin")
     if method == 1:
         return _pair_totals(history, _since(analysis, number)).select(*PAIR, "group_margin")
-    if check_mode(mode) == "as_written":
-        margins = _pair_totals(history).select(*PAIR, "group_margin")
-        kept = margins.orderBy(*PAIR).limit(number)
-        return margins.select(*PAIR).join(kept, PAIR, "left")
     latest = latest_per_key(history, PAIR, "transaction_datetime", "transaction_id", number)
     return _pair_totals(latest).select(*PAIR, "group_margin")
 
@@ -273,13 +320,12 @@ def group_details(
     min_purchases: int = 2,
 ) -> DataFrame:
     """The group table with the number of purchases and the paid sum of each pair."""
+    _check_margin_method(margin_method)
     window = _since(analysis, margin_number) if margin_method == 1 else None
     pairs = group_profile(history, analysis, mode, window).filter(
         F.col("group_purchase") >= min_purchases
     )
     if margin_method == 2:
-        margins = group_margin(history, analysis, 2, margin_number, mode)
+        margins = group_margin(history, analysis, 2, margin_number)
         pairs = pairs.drop("group_margin").join(margins, PAIR, "left")
-    elif margin_method not in (0, 1):
-        raise ValueError(f"margin_method must be 0, 1 or 2, not {margin_method!r}")
     return pairs.select(*GROUP_COLUMNS, "group_purchase", "group_summ_paid")

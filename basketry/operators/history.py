@@ -13,8 +13,16 @@ HISTORY_KEY = ["customer_id", "transaction_id", "transaction_datetime", "group_i
 
 
 def analysis_moment(tables: Tables) -> Column:
-    """The analysis date as a scalar subquery; it fails if the table holds several rows."""
-    return tables.date_of_analysis_formation.select("analysis_formation").scalar()
+    """The analysis date as a scalar subquery; it fails unless the table holds exactly one."""
+    dates = tables.date_of_analysis_formation.select("analysis_formation")
+    single = F.count(F.lit(1)) == 1
+    return dates.agg(
+        F.when(single, F.min("analysis_formation")).otherwise(
+            F.raise_error(
+                F.concat(F.lit("analysis dates must be one, not "), F.count(F.lit(1)).cast("string"))
+            ).cast("timestamp_ntz")
+        )
+    ).scalar()
 
 
 def card_transactions(tables: Tables) -> DataFrame:
@@ -32,7 +40,7 @@ def latest_visits(tables: Tables, count: int) -> DataFrame:
     """Each customer's `count` most recent transactions.
 
     They are among the latest of each card, so most transactions go before the
-    cards are joined.
+    cards are joined. Cards without an owner are nobody's.
     """
     order = ("transaction_datetime", "transaction_id", count)
     per_card = latest_per_key(tables.transactions, ["customer_card_id"], *order)
@@ -77,9 +85,9 @@ def discounted_history(tables: Tables, mode: str = "spec") -> DataFrame:
     line_discount_min: smallest non-zero discount rate, NULL if none.
     discount_count: 1 if the group was bought at a discount in the transaction, else 0.
 
-    The measures look at every check line of the group, priced or not, so the
-    price list is joined from the left and rows without any priced line are
-    dropped after the aggregation; the facts are read and shuffled once for both.
+    The measures look at every check line of the group, priced or not, so a product's
+    prices go along with its group and rows without any priced line are dropped after
+    the aggregation; the facts are read once for both and meet the products in one join.
     mode="as_written" looks at all lines of the transaction, whatever their
     group, and counts lines instead of transactions.
     """
@@ -93,23 +101,40 @@ def discounted_history(tables: Tables, mode: str = "spec") -> DataFrame:
         )
         return purchase_history(tables).join(whole_receipts, "transaction_id")
 
-    prices = tables.stores.select(
-        "transaction_store_id", "sku_id", "sku_purchase_price", F.lit(True).alias("priced")
+    # One row per product: its group, and per store how many prices there are and their sum.
+    kind = tables.stores.schema["sku_purchase_price"].dataType
+    listed = (
+        tables.stores.filter(F.col("transaction_store_id").isNotNull())
+        .groupBy("sku_id", "transaction_store_id")
+        .agg(
+            F.count(F.lit(1)).alias("times"),
+            F.sum("sku_purchase_price").cast(kind).alias("price"),
+        )
+        .groupBy("sku_id")
+        .agg(
+            F.map_from_entries(
+                F.collect_list(F.struct("transaction_store_id", F.struct("times", "price")))
+            ).alias("listed")
+        )
     )
+    products = tables.product_grid.select("sku_id", "group_id").join(listed, "sku_id", "left")
+    price = F.col("listed")[F.col("transaction_store_id")]
+    # Short, so that money keeps its places in the product.
+    times = F.col("price.times").cast("decimal(5,0)")
     return (
         _receipt_lines(tables)
-        .join(tables.product_grid.select("sku_id", "group_id"), "sku_id")
-        .join(prices, ["sku_id", "transaction_store_id"], "left")
+        .join(products, "sku_id")
+        .withColumn("price", price)
         .groupBy(*HISTORY_KEY)
         .agg(
-            F.sum(F.col("sku_purchase_price") * F.col("sku_amount")).alias("group_cost"),
-            F.sum(F.when(F.col("priced"), F.col("sku_summ"))).alias("group_summ"),
-            F.sum(F.when(F.col("priced"), F.col("sku_summ_paid"))).alias("group_summ_paid"),
+            F.sum(F.col("price.price") * F.col("sku_amount")).alias("group_cost"),
+            F.sum(F.col("sku_summ") * times).alias("group_summ"),
+            F.sum(F.col("sku_summ_paid") * times).alias("group_summ_paid"),
             F.min(rate).alias("line_discount_min"),
             F.max(F.when(discounted, 1).otherwise(0)).cast("long").alias("discount_count"),
-            F.max("priced").alias("priced"),
+            F.max(times).alias("priced"),
         )
-        .filter("priced")
+        .filter(F.col("priced").isNotNull())
         .drop("priced")
     )
 

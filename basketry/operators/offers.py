@@ -20,6 +20,14 @@ def _moment(value: Moment | None) -> Column:
     return F.lit(None if value is None else str(value)).cast("timestamp_ntz")
 
 
+def _end_of(value: Moment | None) -> Column:
+    """The last moment of a day given as a date; a date with a time is that moment."""
+    text = "" if value is None else str(value).strip()
+    if len(text) == len("2022-01-31"):
+        return _moment(text) + F.expr("INTERVAL 1 DAY") - F.expr("INTERVAL 0.000001 SECOND")
+    return _moment(value)
+
+
 def _check_per_customer(tables: Tables, visits: DataFrame, mode: str) -> DataFrame:
     """Turnover of the check lines over the number of transactions that have lines.
 
@@ -43,10 +51,10 @@ def avg_check_by_period(
 ) -> DataFrame:
     """Average check of the transactions in a period, both ends included.
 
-    A start that is missing or before the first transaction moves to it; an end
-    that is missing, not after the start, or after the analysis date becomes the
-    analysis date. Both substitutes are moments; mode="as_written" cuts them to
-    midnight.
+    An end given as a date includes its day. A start that is missing or before the
+    first transaction moves to it; an end that is missing, not after the start, or
+    after the analysis date becomes the analysis date. Both substitutes are moments;
+    mode="as_written" takes dates, substitutes too, for the midnight they begin with.
     """
     opening = tables.transactions.agg(F.min("transaction_datetime")).scalar()
     closing = analysis_moment(tables)
@@ -56,10 +64,15 @@ def avg_check_by_period(
         opening_limit, closing_limit = opening, closing
     opening_limit = opening_limit.cast("timestamp_ntz")
     closing_limit = closing_limit.cast("timestamp_ntz")
-    first, last = _moment(first), _moment(last)
+    given = first is not None
+    first, last = _moment(first), _end_of(last) if mode == "spec" else _moment(last)
     start = F.when(first >= opening, first).otherwise(opening_limit)
     end = F.when((last > start) & (last <= closing), last).otherwise(closing_limit)
-    visits = card_transactions(tables).filter(F.col("transaction_datetime").between(start, end))
+    moment = F.col("transaction_datetime")
+    visits = card_transactions(tables).filter(moment.between(start, end))
+    if given:
+        # The start is never before it, and a plain value reaches the scan.
+        visits = visits.filter(moment >= first)
     return _check_per_customer(tables, visits, mode)
 
 

@@ -48,11 +48,11 @@ MANDATORY = {
 # Formats of personal data. The written rules anchor the phone
 # number, insist on the capital and know the letter Ё; those of mode "as_written"
 # ignore case and let anything follow the ten digits.
-NAME = r"^[A-ZА-ЯЁ][-a-zа-яё]*([- ][A-ZА-ЯЁ][-a-zа-яё]*)*$"
-EMAIL = r"^([A-Za-z0-9_\.-]+)@([A-Za-z0-9_\.-]+)\.([A-Za-z\.]{2,6})$"
-PHONE = r"^\+7[0-9]{10}$"
-LOOSE_NAME = r"(?iu)^[A-ZА-Я][-a-zа-я]*([- ][A-ZА-Я][-a-zа-я]*)*$"
-LOOSE_EMAIL = r"(?iu)^([a-z0-9_\.-]+)@([a-z0-9_\.-]+)\.([a-z\.]{2,6})$"
+NAME = r"^[A-ZА-ЯЁ][-a-zа-яё]*([- ][A-ZА-ЯЁ][-a-zа-яё]*)*\z"
+EMAIL = r"^([A-Za-z0-9_\.-]+)@([A-Za-z0-9_\.-]+)\.([A-Za-z\.]{2,6})\z"
+PHONE = r"^\+7[0-9]{10}\z"
+LOOSE_NAME = r"(?iu)^[A-ZА-Я][-a-zа-я]*([- ][A-ZА-Я][-a-zа-я]*)*\z"
+LOOSE_EMAIL = r"(?iu)^([a-z0-9_\.-]+)@([a-z0-9_\.-]+)\.([a-z\.]{2,6})\z"
 LOOSE_PHONE = r"^\+7[0-9]{10}"
 FORMATS = {
     "spec": {
@@ -80,7 +80,11 @@ def _finding(df: DataFrame, table: str, rule: str, key: Column, detail: Column)
 
 
 def _key_text(columns: list[str]) -> Column:
-    return F.concat_ws("/", *(F.col(name).cast("string") for name in columns))
+    """The key's parts; a missing one shows as a dash, and a key that is missing as none."""
+    parts = [F.col(name).cast("string") for name in columns]
+    if len(parts) == 1:
+        return parts[0]
+    return F.concat_ws("/", *(F.coalesce(part, F.lit("-")) for part in parts))
 
 
 def key_violations(tables: Tables) -> DataFrame:

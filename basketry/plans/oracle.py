@@ -32,8 +32,7 @@ STEPS["stores"] = """
 SELECT s.store AS transaction_store_id, p_partkey AS sku_id,
        CAST(p_retailprice AS DECIMAL(12,2)) * CAST(0.55 + 0.05 * s.store AS DECIMAL(4,2)) AS sku_purchase_price,
        CAST(p_retailprice AS DECIMAL(12,2)) AS sku_retail_price
-FROM part CROSS JOIN (SELECT unnest(range(1, 6)) AS store) s
-WHERE (p_partkey + s.store) % 10 <> 0"""
+FROM part CROSS JOIN (SELECT unnest(range(1, 6)) AS store) s"""
 STEPS["transactions"] = """
 SELECT o_orderkey AS transaction_id, o_custkey * 2 + o_orderkey % 2 AS customer_card_id,
        CAST(o_totalprice AS DECIMAL(12,2)) AS transaction_summ,
@@ -234,37 +233,35 @@ FROM (SELECT * FROM ph
       QUALIFY row_number() OVER (PARTITION BY customer_id, group_id
                                  ORDER BY transaction_datetime DESC, transaction_id DESC) <= {last})
 GROUP BY ALL"""
-STEPS["margin_last_as_written"] = """
-SELECT customer_id, group_id,
-       CASE WHEN row_number() OVER (ORDER BY customer_id, group_id) <= {pairs} THEN group_margin END AS group_margin
-FROM margin"""
 STEPS["average"] = """
 SELECT customer_id, group_id, CAST(sum(group_summ_paid) AS DOUBLE) / CAST(sum(group_summ) AS DOUBLE)
            AS group_average_discount
 FROM ph GROUP BY ALL"""
 
 
-def _groups(mode: str, margin: str) -> str:
+def _groups(mode: str, margin: str, stability: str = "JOIN") -> str:
     return f"""
 SELECT customer_id, group_id, group_affinity_index, group_churn_rate, group_stability_index, group_margin,
        group_discount_share, group_minimum_discount, group_average_discount
 FROM demanded JOIN affinity{mode} USING (customer_id, group_id)
-JOIN group_churn USING (customer_id, group_id) JOIN stability USING (customer_id, group_id)
+JOIN group_churn USING (customer_id, group_id) {stability} stability USING (customer_id, group_id)
 JOIN {margin} USING (customer_id, group_id) JOIN discounts{mode} USING (customer_id, group_id)
 JOIN minimum{mode} USING (customer_id, group_id) JOIN average USING (customer_id, group_id)"""
 
 
 STEPS["groups"] = _groups("", "margin")
 STEPS["groups_as_written"] = _groups("_as_written", "margin")
+STEPS["groups_all"] = _groups("", "margin", "LEFT JOIN")
 STEPS["groups_days"] = _groups("", "margin_days")
 STEPS["groups_last"] = _groups("", "margin_last")
 
 # --- offers -------------------------------------------------------------------
 
+# An end given as a date includes its day.
 STEPS["bounds"] = """
-SELECT first, CASE WHEN TIMESTAMP '{last_day}' <= first OR TIMESTAMP '{last_day}' > moment
-                   THEN moment ELSE TIMESTAMP '{last_day}' END AS last
-FROM (SELECT greatest(min(transaction_datetime), TIMESTAMP '{first_day}') AS first FROM transactions), analysis"""
+SELECT first, CASE WHEN wanted <= first OR wanted > moment THEN moment ELSE wanted END AS last
+FROM (SELECT greatest(min(transaction_datetime), TIMESTAMP '{first_day}') AS first,
+             TIMESTAMP '{last_day}' + INTERVAL 1 DAY - INTERVAL 1 MICROSECOND AS wanted FROM transactions), analysis"""
 STEPS["bounds_as_written"] = """
 SELECT first, CASE WHEN TIMESTAMP '{last_day}' <= first OR TIMESTAMP '{last_day}' > moment
                    THEN date_trunc('day', moment) ELSE TIMESTAMP '{last_day}' END AS last
@@ -362,40 +359,67 @@ SELECT customer_id, group_id, sku_id, sku_name,
             THEN ceil(group_minimum_discount * 20 - 1e-9) * 5 END AS offer_discount_depth
 FROM best_sku"""
 
-STEPS["listed_margin"] = """
-SELECT a.transaction_store_id AS customer_primary_store, max(b.sku_retail_price - b.sku_purchase_price) AS max_margin
-FROM stores a JOIN stores b USING (sku_id) GROUP BY ALL"""
-STEPS["sold_counts"] = """
-SELECT DISTINCT customer_id, sold
-FROM (SELECT customer_id, l.sku_id, count(*) AS sold
-      FROM selected_as_written JOIN ph USING (customer_id, group_id) JOIN checks l USING (transaction_id)
-      GROUP BY customer_id, l.sku_id)"""
-STEPS["copies"] = """
-SELECT s.customer_id, count(*) AS copies
-FROM sold_counts s JOIN selected_as_written c USING (customer_id)
-JOIN periods p ON p.customer_id = c.customer_id AND p.group_id = c.group_id
-WHERE s.sold * 100 <= p.group_purchase * {max_sku_share}
-GROUP BY s.customer_id"""
-STEPS["cross_offer_as_written"] = """
-SELECT customer_id, l.sku_name,
-       CASE WHEN {margin_share} / 100.0 * (CAST(m.max_margin AS DOUBLE) / CAST(l.sku_retail_price AS DOUBLE))
-                 >= ceil(c.group_minimum_discount * 20 - 1e-9) * 5 / 100.0
-            THEN ceil(c.group_minimum_discount * 20 - 1e-9) * 5 END AS offer_discount_depth,
-       k.copies
-FROM selected_as_written c JOIN primary_store_as_written p USING (customer_id) JOIN copies k USING (customer_id)
-JOIN listed_margin m USING (customer_primary_store)
-JOIN listed l ON l.group_id = c.group_id AND l.customer_primary_store = p.customer_primary_store"""
-
 # --- input checks -------------------------------------------------------------
 
-_UNIQUE = {
-    "personal_data": "customer_id",
-    "cards": "customer_card_id",
-    "groups_sku": "group_id",
-    "product_grid": "sku_id",
-    "stores": "transaction_store_id/sku_id",
-    "transactions": "transaction_id",
+# The tables with faults of every kind; all rows stay, some occur twice.
+_FLAWED = {
+    "personal_data": (
+        """SELECT customer_id,
+  CASE customer_id % 7 WHEN 0 THEN 'anna' WHEN 1 THEN 'Anna-Maria' WHEN 2 THEN NULL ELSE customer_name END
+    AS customer_name,
+  CASE customer_id % 5 WHEN 0 THEN 'Ёлкина' ELSE 'Smith' END AS customer_surname,
+  CASE customer_id % 11 WHEN 0 THEN 'nobody' WHEN 1 THEN 'a b@example.com' ELSE customer_primary_email END
+    AS customer_primary_email,
+  CASE customer_id % 13 WHEN 0 THEN '+7123456789' WHEN 1 THEN customer_primary_phone || '00'
+    WHEN 2 THEN customer_primary_phone || chr(10) ELSE customer_primary_phone END AS customer_primary_phone
+FROM personal_data""",
+        "customer_id % 50 = 0",
+    ),
+    "cards": (
+        """SELECT customer_card_id,
+  customer_id + CASE WHEN customer_card_id % 17 = 0 THEN 10000000 ELSE 0 END AS customer_id FROM cards""",
+        "customer_card_id % 19 = 0",
+    ),
+    "groups_sku": (
+        "SELECT CASE WHEN group_id % 5 <> 0 THEN group_id END AS group_id, group_name FROM groups_sku",
+        "group_id % 3 = 0",
+    ),
+    "product_grid": (
+        """SELECT sku_id, CASE WHEN sku_id % 29 <> 0 THEN sku_name END AS sku_name,
+  group_id + CASE WHEN sku_id % 23 = 0 THEN 1000 ELSE 0 END AS group_id FROM product_grid""",
+        "sku_id % 31 = 0",
+    ),
+    "stores": (
+        """SELECT CASE WHEN NOT (sku_id % 41 = 0 AND transaction_store_id < 3) THEN transaction_store_id END
+    AS transaction_store_id,
+  sku_id + CASE WHEN sku_id % 43 = 0 THEN 1000000 ELSE 0 END AS sku_id FROM stores""",
+        "sku_id % 37 = 0 AND transaction_store_id = 1",
+    ),
+    "transactions": (
+        """SELECT transaction_id,
+  customer_card_id + CASE WHEN transaction_id % 103 = 0 THEN 10000000 ELSE 0 END AS customer_card_id,
+  CASE WHEN transaction_id % 107 <> 0 THEN transaction_datetime END AS transaction_datetime FROM transactions""",
+        "transaction_id % 101 = 0",
+    ),
+    "checks": (
+        """SELECT transaction_id + CASE WHEN transaction_id % 109 = 0 THEN 100000000 ELSE 0 END AS transaction_id,
+  sku_id + CASE WHEN sku_id % 113 = 0 THEN 1000000 ELSE 0 END AS sku_id FROM checks""",
+        "FALSE",
+    ),
 }
+for table, (rows, twice) in _FLAWED.items():
+    STEPS[f"flawed_{table}"] = f"""
+WITH rows AS ({rows}) SELECT * FROM rows UNION ALL SELECT * FROM rows WHERE {twice}"""
+
+# Unique keys, references and mandatory columns of the tables.
+_UNIQUE = [
+    ("personal_data", ["customer_id"]),
+    ("cards", ["customer_card_id"]),
+    ("groups_sku", ["group_id"]),
+    ("product_grid", ["sku_id"]),
+    ("stores", ["transaction_store_id", "sku_id"]),
+    ("transactions", ["transaction_id"]),
+]
 _REFERENCES = [
     ("cards", "customer_id", "personal_data"),
     ("product_grid", "group_id", "groups_sku"),
@@ -404,27 +428,52 @@ _REFERENCES = [
     ("checks", "transaction_id", "transactions"),
     ("checks", "sku_id", "product_grid"),
 ]
+_MANDATORY = [
+    ("personal_data", "customer_id", "customer_id"),
+    ("personal_data", "customer_id", "customer_name"),
+    ("personal_data", "customer_id", "customer_surname"),
+    ("personal_data", "customer_id", "customer_primary_email"),
+    ("personal_data", "customer_id", "customer_primary_phone"),
+    ("cards", "customer_card_id", "customer_card_id"),
+    ("groups_sku", "group_id", "group_id"),
+    ("product_grid", "sku_id", "sku_id"),
+    ("product_grid", "sku_id", "sku_name"),
+    ("stores", "transaction_store_id", "transaction_store_id"),
+    ("transactions", "transaction_id", "transaction_id"),
+    ("transactions", "transaction_id", "transaction_datetime"),
+]
 
 
-def _key_checks() -> str:
+def _key_checks(prefix: str = "") -> str:
     parts = []
-    for table, key in _UNIQUE.items():
-        columns = key.split("/")
-        text = "concat_ws('/', " + ", ".join(columns) + ")"
+    for table, columns in _UNIQUE:
+        text = f"CAST({columns[0]} AS VARCHAR)"
+        if len(columns) > 1:
+            text = " || '/' || ".join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in columns)
         parts.append(
-            f"SELECT '{table}' AS \"table\", 'unique {key}' AS rule, {text} AS key, "
-            f"CAST(count(*) AS VARCHAR) AS detail FROM {table} GROUP BY {', '.join(columns)} HAVING count(*) > 1"
+            f"SELECT '{table}' AS \"table\", 'unique {'/'.join(columns)}' AS rule, {text} AS key, "
+            f"CAST(count(*) AS VARCHAR) AS detail FROM {prefix}{table} "
+            f"GROUP BY {', '.join(columns)} HAVING count(*) > 1"
         )
     for table, column, target in _REFERENCES:
         parts.append(
             f"SELECT '{table}', '{column} in {target}', CAST({column} AS VARCHAR), CAST(count(*) AS VARCHAR) "
-            f"FROM {table} WHERE {column} IS NOT NULL AND {column} NOT IN (SELECT {column} FROM {target}) "
+            f"FROM {prefix}{table} a WHERE {column} IS NOT NULL "
+            f"AND NOT EXISTS (SELECT 1 FROM {prefix}{target} b WHERE b.{column} = a.{column}) "
             f"GROUP BY {column}"
         )
     return " UNION ALL ".join(parts)
 
 
-def _format_checks(name: str, email: str, phone: str) -> str:
+def _missing_checks(prefix: str = "") -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS \"table\", '{column} present' AS rule, CAST({key} AS VARCHAR) AS key, "
+        f"CAST(NULL AS VARCHAR) AS detail FROM {prefix}{table} WHERE {column} IS NULL"
+        for table, key, column in _MANDATORY
+    )
+
+
+def _format_checks(prefix: str, name: str, email: str, phone: str) -> str:
     parts = []
     for column, pattern in (
         ("customer_name", name),
@@ -435,37 +484,27 @@ def _format_checks(name: str, email: str, phone: str) -> str:
         parts.append(
             f"SELECT 'personal_data' AS \"table\", '{column} format' AS rule, "
             f"CAST(customer_id AS VARCHAR) AS key, {column} AS detail "
-            f"FROM personal_data WHERE NOT regexp_matches({column}, '{pattern}')"
+            f"FROM {prefix}personal_data WHERE NOT regexp_matches({column}, '{pattern}')"
         )
     return " UNION ALL ".join(parts)
 
 
-_MANDATORY = {
-    "personal_data": "customer_id customer_name customer_surname customer_primary_email customer_primary_phone",
-    "cards": "customer_card_id",
-    "groups_sku": "group_id",
-    "product_grid": "sku_id sku_name",
-    "stores": "transaction_store_id",
-    "transactions": "transaction_id transaction_datetime",
-}
-STEPS["key_findings"] = _key_checks()
-STEPS["missing_findings"] = " UNION ALL ".join(
-    f"SELECT '{table}' AS \"table\", '{column} present' AS rule, CAST({columns.split()[0]} AS VARCHAR) AS key, "
-    f"CAST(NULL AS VARCHAR) AS detail FROM {table} WHERE {column} IS NULL"
-    for table, columns in _MANDATORY.items()
-    for column in columns.split()
+# Formats of personal data, as written in the rules and as in the SQL.
+_WRITTEN_RULES = (
+    r"^[A-ZА-ЯЁ][-a-zа-яё]*([- ][A-ZА-ЯЁ][-a-zа-яё]*)*\z",
+    r"^([A-Za-z0-9_\.-]+)@([A-Za-z0-9_\.-]+)\.([A-Za-z\.]{{2,6}})\z",
+    r"^\+7[0-9]{{10}}\z",
 )
-STEPS["format_findings"] = _format_checks(
-    r"^[A-ZА-ЯЁ][-a-zа-яё]*([- ][A-ZА-ЯЁ][-a-zа-яё]*)*$",
-    r"^([A-Za-z0-9_\.-]+)@([A-Za-z0-9_\.-]+)\.([A-Za-z\.]{{2,6}})$",
-    r"^\+7[0-9]{{10}}$",
-)
-
-STEPS["format_findings_as_written"] = _format_checks(
-    r"(?i)^[A-ZА-Я][-a-zа-я]*([- ][A-ZА-Я][-a-zа-я]*)*$",
-    r"(?i)^([a-z0-9_\.-]+)@([a-z0-9_\.-]+)\.([a-z\.]{{2,6}})$",
+_SQL_RULES = (
+    r"(?i)^[A-ZА-Я][-a-zа-я]*([- ][A-ZА-Я][-a-zа-я]*)*\z",
+    r"(?i)^([a-z0-9_\.-]+)@([a-z0-9_\.-]+)\.([a-z\.]{{2,6}})\z",
     r"^\+7[0-9]{{10}}",
 )
+for prefix in ("", "flawed_"):
+    STEPS[prefix + "key_findings"] = _key_checks(prefix)
+    STEPS[prefix + "missing_findings"] = _missing_checks(prefix)
+    STEPS[prefix + "format_findings"] = _format_checks(prefix, *_WRITTEN_RULES)
+    STEPS[prefix + "format_findings_as_written"] = _format_checks(prefix, *_SQL_RULES)
 
 # --- statements ---------------------------------------------------------------
 
@@ -495,6 +534,7 @@ STATEMENTS: dict[str, str] = {
     "minimum_discount": "SELECT * FROM minimum",
     "average_discount": "SELECT * FROM average",
     "groups": "SELECT * FROM groups",
+    "groups_all_pairs": "SELECT * FROM groups_all",
     "groups_margin_days": "SELECT * FROM groups_days",
     "groups_margin_last_n": "SELECT * FROM groups_last",
     "avg_check_by_period": "SELECT * FROM check_by_period",
@@ -525,7 +565,8 @@ STATEMENTS: dict[str, str] = {
     "customers_as_written": "SELECT * FROM customers_as_written",
     "affinity_index_as_written": "SELECT * FROM affinity_as_written",
     "discount_share_as_written": "SELECT * FROM discounts_as_written",
-    "group_margin_last_n_as_written": "SELECT * FROM margin_last_as_written",
+    "min_discount_as_written": "SELECT customer_id, group_id, group_min_discount FROM periods_as_written",
+    "minimum_discount_as_written": "SELECT * FROM minimum_as_written",
     "groups_as_written": "SELECT * FROM groups_as_written",
     "avg_check_by_period_as_written": "SELECT * FROM check_by_period_as_written",
     "avg_check_by_count_as_written": "SELECT * FROM check_by_count_as_written",
@@ -540,7 +581,18 @@ STATEMENTS: dict[str, str] = {
     "offers_visit_frequency_as_written": "SELECT * FROM visit_offer_as_written",
     "cross_sell_groups_as_written": """SELECT customer_id, group_id, group_affinity_index
         FROM selected_as_written""",
-    "offers_cross_sell_as_written": "SELECT * FROM cross_offer_as_written",
+    "validate_flawed": """SELECT * FROM flawed_key_findings UNION ALL SELECT * FROM flawed_missing_findings
+        UNION ALL SELECT * FROM flawed_format_findings""",
+    "validate_flawed_as_written": """SELECT * FROM flawed_key_findings
+        UNION ALL SELECT * FROM flawed_missing_findings
+        UNION ALL SELECT * FROM flawed_format_findings_as_written""",
+    "files_transactions": """SELECT transaction_id, customer_card_id,
+        CAST(transaction_summ AS DOUBLE) AS transaction_summ, transaction_datetime, transaction_store_id
+        FROM transactions""",
+    "files_checks": """SELECT transaction_id, sku_id, CAST(sku_amount AS DOUBLE) AS sku_amount,
+        CAST(sku_summ AS DOUBLE) AS sku_summ, CAST(sku_summ_paid AS DOUBLE) AS sku_summ_paid,
+        CAST(sku_discount AS DOUBLE) AS sku_discount FROM checks""",
+    "files_personal_data": "SELECT * FROM personal_data",
     "validate_as_written": """SELECT * FROM key_findings UNION ALL SELECT * FROM missing_findings
         UNION ALL SELECT * FROM format_findings_as_written""",
 }

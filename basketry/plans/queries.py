@@ -10,15 +10,15 @@ from pyspark.sql.types import DecimalType
 
 from basketry.operators import cross_sell, customers, groups, offers, periods, quality
 from basketry.operators.periods import PAIR
-from basketry.session import tune
-from basketry.sources import testtables
+from basketry.schema import Tables
+from basketry.session import new_path, tune
+from basketry.sources import files, testtables
 from basketry.workspace import Workspace
 
 # Shared by the queries and their SQL counterparts.
 PARAMETERS: dict[str, object] = {
     "days": 365,
     "last": 2,
-    "pairs": 100,
     "first_day": "1996-01-01",
     "last_day": "1998-12-31",
     "visits": 5,
@@ -71,7 +71,8 @@ def _best_skus(ws: Workspace) -> DataFrame:
 
 
 def _sku_shares(ws: Workspace) -> DataFrame:
-    shares = cross_sell.sku_share(ws.tables, ws.history, _best_skus(ws))
+    among = cross_sell.best_skus(ws.tables)
+    shares = cross_sell.sku_share(ws.tables, ws.history, _best_skus(ws), among)
     return shares.select(*PAIR, "sku_id", "sku_share")
 
 
@@ -81,6 +82,14 @@ def _reward(ws: Workspace, **choices) -> DataFrame:
     )
 
 
+def _through_files(ws: Workspace) -> Tables:
+    """The tables written as delimited files into the shared folder and read again."""
+    spark = ws.tables.checks.sparkSession
+    folder = new_path(spark, "files")
+    files.write_tables(ws.tables, folder)
+    return files.read_tables(spark, folder)
+
+
 SPEC: dict[str, Callable[[Workspace], DataFrame]] = {
     "purchase_history": lambda ws: ws.purchase_history,
     "periods": lambda ws: ws.periods,
@@ -105,6 +114,7 @@ SPEC: dict[str, Callable[[Workspace], DataFrame]] = {
     "minimum_discount": lambda ws: groups.minimum_discount(ws.history),
     "average_discount": lambda ws: groups.average_discount(ws.history),
     "groups": lambda ws: ws.groups,
+    "groups_all_pairs": lambda ws: Workspace(ws.tables, ws.mode, min_purchases=1).groups,
     "groups_margin_days": lambda ws: ws.groups_by_margin(1, P["days"]),
     "groups_margin_last_n": lambda ws: ws.groups_by_margin(2, P["last"]),
     "avg_check_by_period": lambda ws: offers.avg_check_by_period(ws.tables, mode=ws.mode, **PERIOD),
@@ -142,13 +152,14 @@ SPEC: dict[str, Callable[[Workspace], DataFrame]] = {
     ),
     "validate_keys": lambda ws: quality.key_violations(ws.tables),
     "validate": lambda ws: ws.validate(),
+    "validate_flawed": lambda ws: quality.validate(testtables.flawed(ws.tables), ws.mode),
+    "files_transactions": lambda ws: _through_files(ws).transactions,
+    "files_checks": lambda ws: _through_files(ws).checks,
+    "files_personal_data": lambda ws: _through_files(ws).personal_data,
 }
 
 # Queries whose result differs when the SQL is taken at its word.
 AS_WRITTEN = SPEC | {
-    "group_margin_last_n": lambda ws: groups.group_margin(
-        ws.history, ws.analysis, 2, P["pairs"], ws.mode
-    ),
     "reward_group": lambda ws: _reward(ws, per="group", rounding="down"),
 }
 AS_WRITTEN_NAMES = [
@@ -159,7 +170,8 @@ AS_WRITTEN_NAMES = [
     "customers",
     "affinity_index",
     "discount_share",
-    "group_margin_last_n",
+    "min_discount",
+    "minimum_discount",
     "groups",
     "avg_check_by_period",
     "avg_check_by_count",
@@ -169,8 +181,8 @@ AS_WRITTEN_NAMES = [
     "required_transactions",
     "offers_visit_frequency",
     "cross_sell_groups",
-    "offers_cross_sell",
     "validate",
+    "validate_flawed",
 ]
 
 

@@ -1,8 +1,10 @@
-"""Session settings the operators count on."""
+"""Session settings the operators count on, and tables written on the way."""
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+from collections.abc import Iterator
+from contextlib import contextmanager, suppress
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +19,10 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# Tables written and not yet deleted, by the session they were written in.
+_written: dict[str, tuple[SparkSession, list[str]]] = {}
+_recordings: list[list[str]] = []
+
 
 def tune(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_SETTINGS.items():
@@ -25,23 +31,67 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in spark.checkpoint.dir; a scratch one in local mode only."""
+    """The folder the cluster names in spark.checkpoint.dir.
+
+    A session in local mode may go without and then uses its warehouse. Elsewhere
+    the setting is required, and must not name a disk of one machine.
+    """
     context = spark.sparkContext
+    local = context.master.startswith("local")
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named is None:
-        if not context.master.startswith("local"):
+        if not local:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="basketry-"))
-        named = context.getCheckpointDir()
+        named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints"
+    if named.startswith("file:") and not local:
+        raise RuntimeError(f"spark.checkpoint.dir names {named}, which other machines do not see")
     return named.rstrip("/")
 
 
+def new_path(spark: SparkSession, kind: str = "table") -> str:
+    """A new path in the shared folder, deleted at the end of the program unless before."""
+    path = f"{shared_folder(spark)}/basketry/{kind}-{uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, (spark, []))[1].append(path)
+    for recording in _recordings:
+        recording.append(path)
+    return path
+
+
 def written(df: DataFrame) -> DataFrame:
     """The table as a Parquet copy in the shared folder.
 
     Cuts the lineage like a checkpoint, survives the loss of executors, and
     unlike a checkpoint lets later reads pick columns and see the true size.
     """
-    path = f"{shared_folder(df.sparkSession)}/basketry/{uuid4().hex}"
+    path = new_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The paths taken inside, for the caller to delete when they are of no more use."""
+    paths: list[str] = []
+    _recordings.append(paths)
+    try:
+        yield paths
+    finally:
+        _recordings.remove(paths)
+
+
+def delete(spark: SparkSession, paths: list[str]) -> None:
+    context = spark.sparkContext
+    for path in paths:
+        place = context._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+        known = _written.get(context.applicationId, (spark, []))[1]
+        if path in known:
+            known.remove(path)
+
+
+@atexit.register
+def _delete_all() -> None:
+    for spark, paths in list(_written.values()):
+        with suppress(Exception):  # the session may have ended before
+            if spark.sparkContext._jsc is not None:
+                delete(spark, list(paths))

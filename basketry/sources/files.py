@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import posixpath
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
+from pyspark.sql.types import DecimalType, StructField, TimestampNTZType
 
 from basketry.schema import SCHEMAS, Tables
 
@@ -22,7 +22,9 @@ FILE_NAMES = {
     "date_of_analysis_formation": "Date_Of_Analysis_Formation",
 }
 WITHOUT_SUFFIX = "date_of_analysis_formation"
-MOMENT_FORMAT = "dd.MM.yyyy H:mm:ss"
+MOMENT_FORMAT = "dd.MM.yyyy H:mm:ss[.SSSSSS]"
+WHOLE_SECONDS = "dd.MM.yyyy H:mm:ss"
+WITH_FRACTION = "dd.MM.yyyy H:mm:ss.SSSSSS"
 
 # Tells an unquoted empty field (NULL) from a quoted one (empty text).
 _UNQUOTED_EMPTY = "\u0000"
@@ -72,28 +74,32 @@ def write_tables(
 ) -> None:
     """Headerless delimited dump, one folder per table, readable by read_tables."""
     for table, df in tables.items():
-        _plain_decimals(df).write.options(
+        _as_text(df).write.options(
             sep=separator,
             quote='"',
             escape='"',
             nullValue="",
             emptyValue='""',
-            timestampNTZFormat=MOMENT_FORMAT,
             ignoreLeadingWhiteSpace=False,
             ignoreTrailingWhiteSpace=False,
         ).csv(_file(path, table, suffix, extension))
 
 
-def _plain_decimals(df: DataFrame) -> DataFrame:
-    """Decimals as plain digits; their default text form of a zero is 0E-13."""
-    return df.select(
-        *(
-            F.col(field.name).cast("string").alias(field.name)
-            if isinstance(field.dataType, DecimalType)
-            else F.col(field.name)
-            for field in df.schema.fields
-        )
-    )
+def _as_text(df: DataFrame) -> DataFrame:
+    """Decimals as plain digits, where a zero is not 0E-13; moments with a fraction if they have one."""
+
+    def text(field: StructField) -> Column:
+        column = F.col(field.name)
+        if isinstance(field.dataType, DecimalType):
+            return column.cast("string")
+        if isinstance(field.dataType, TimestampNTZType):
+            whole = column == F.date_trunc("second", column)
+            return F.when(whole, F.date_format(column, WHOLE_SECONDS)).otherwise(
+                F.regexp_replace(F.date_format(column, WITH_FRACTION), "0+$", "")
+            )
+        return column
+
+    return df.select(*(text(field).alias(field.name) for field in df.schema.fields))
 
 
 def read_parquet(spark: SparkSession, path: str) -> Tables:

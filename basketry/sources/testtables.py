@@ -3,14 +3,14 @@
 Derived columns only: every order is a transaction and every line item a check
 line, none is left out. Discounts are shifted and stretched to 0, 4, ... 20 %
 because the raw ones are non-zero nearly everywhere, and order dates get a time
-of day. Not every store lists every part, which gives check lines without price.
+of day. Every store lists every part.
 """
 
 from __future__ import annotations
 
 import posixpath
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.schema import Tables
@@ -56,10 +56,7 @@ def load(spark: SparkSession, folder: str) -> Tables:
         "decimal(1,0)"
     )
     all_stores = F.array(*(F.lit(number).cast("long") for number in range(1, STORES + 1)))
-    # Gaps in the assortment: a store does not list every part, though it may sell it.
-    price_list = part.withColumn("transaction_store_id", F.explode(all_stores)).filter(
-        (F.col("p_partkey") + store) % 10 != 0
-    )
+    price_list = part.withColumn("transaction_store_id", F.explode(all_stores))
 
     key = F.col("c_custkey").cast("string")
     return Tables(
@@ -95,3 +92,87 @@ def load(spark: SparkSession, folder: str) -> Tables:
             ).alias("analysis_formation")
         ),
     )
+
+
+def flawed(tables: Tables) -> Tables:
+    """The same tables with faults of every kind put in by key: all rows stay, some occur twice.
+
+    For the input checks: duplicate keys, dangling references, missing values, and names,
+    addresses and numbers that break the written rules, the looser ones, or both.
+    """
+
+    def every(column: str, number: int, rest: int = 0) -> Column:
+        return F.coalesce(F.col(column) % number == rest, F.lit(False))
+
+    def doubled(df: DataFrame, which: Column) -> DataFrame:
+        return df.unionByName(df.filter(which))
+
+    person, card, sku = "customer_id", "customer_card_id", "sku_id"
+    receipt, store = "transaction_id", "transaction_store_id"
+    number = F.concat(F.lit("+7"), F.lpad(F.col(person).cast("string"), 10, "0"))
+    people = tables.personal_data.withColumns(
+        {
+            "customer_name": F.when(every(person, 7), "anna")
+            .when(every(person, 7, 1), "Anna-Maria")
+            .when(~every(person, 7, 2), F.col("customer_name")),
+            "customer_surname": F.when(every(person, 5), "Ёлкина").otherwise("Smith"),
+            "customer_primary_email": F.when(every(person, 11), "nobody")
+            .when(every(person, 11, 1), F.lit("a b@example.com"))
+            .otherwise(F.col("customer_primary_email")),
+            "customer_primary_phone": F.when(every(person, 13), F.lit("+7123456789"))
+            .when(every(person, 13, 1), F.concat(number, F.lit("00")))
+            .when(every(person, 13, 2), F.concat(number, F.lit("\n")))
+            .otherwise(number),
+        }
+    )
+    return Tables(
+        personal_data=doubled(people, every(person, 50)),
+        cards=doubled(
+            tables.cards.withColumn(
+                person, F.col(person) + F.when(every(card, 17), 10_000_000).otherwise(0)
+            ),
+            every(card, 19),
+        ),
+        groups_sku=doubled(
+            tables.groups_sku.withColumn(
+                "group_id", F.when(~every("group_id", 5), F.col("group_id"))
+            ),
+            every("group_id", 3),
+        ),
+        product_grid=doubled(
+            tables.product_grid.withColumns(
+                {
+                    "group_id": F.col("group_id") + F.when(every(sku, 23), 1000).otherwise(0),
+                    "sku_name": F.when(~every(sku, 29), F.col("sku_name")),
+                }
+            ),
+            every(sku, 31),
+        ),
+        stores=doubled(
+            tables.stores.withColumns(
+                {
+                    store: F.when(~(every(sku, 41) & (F.col(store) < 3)), F.col(store)),
+                    sku: F.col(sku) + F.when(every(sku, 43), 1_000_000).otherwise(0),
+                }
+            ),
+            every(sku, 37) & (F.col(store) == 1),
+        ),
+        transactions=doubled(
+            tables.transactions.withColumns(
+                {
+                    card: F.col(card) + F.when(every(receipt, 103), 10_000_000).otherwise(0),
+                    "transaction_datetime": F.when(
+                        ~every(receipt, 107), F.col("transaction_datetime")
+                    ),
+                }
+            ),
+            every(receipt, 101),
+        ),
+        checks=tables.checks.withColumns(
+            {
+                receipt: F.col(receipt) + F.when(every(receipt, 109), 100_000_000).otherwise(0),
+                sku: F.col(sku) + F.when(every(sku, 113), 1_000_000).otherwise(0),
+            }
+        ),
+        date_of_analysis_formation=tables.date_of_analysis_formation,
+    )

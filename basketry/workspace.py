@@ -16,21 +16,37 @@ from basketry.operators import periods as period_ops
 from basketry.operators import quality
 from basketry.operators.history import analysis_moment
 from basketry.schema import Tables
-from basketry.session import written
+from basketry.session import delete, recorded, written
 
 
 class Workspace:
     """Derived tables are lazy and shared between the offers.
 
-    The customer table is written to the shared folder when it is first asked
-    for, because its rank cuts need that. So is the history where one result
-    reads it twice; call store_history() to do it before forming several offers.
+    The customer table looks for its rank cuts when it is first asked for. The history is
+    written to the shared folder where one result reads it twice; call store_history() to do
+    it before forming several offers. close(), or leaving a with block, deletes what was
+    written; results read from it are of no use afterwards.
+
+    min_purchases: how often a pair must have been bought to be in the group table; 1 keeps all.
     """
 
-    def __init__(self, tables: Tables, mode: str = "spec"):
+    def __init__(self, tables: Tables, mode: str = "spec", min_purchases: int = 2):
         self.tables = tables
         self.mode = check_mode(mode)
+        self.min_purchases = min_purchases
         self._history: DataFrame | None = None
+        self._paths: list[str] = []
+
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.close()
+
+    def close(self) -> None:
+        """Delete the stored history, if any."""
+        delete(self.tables.checks.sparkSession, self._paths)
+        self._paths, self._history = [], None
 
     @property
     def history(self) -> DataFrame:
@@ -42,7 +58,9 @@ class Workspace:
     def store_history(self) -> Workspace:
         """Write the history down; everything built from now on reads the copy."""
         if self._history is None:
-            self._history = written(self.history)
+            with recorded() as paths:
+                self._history = written(self.history)
+            self._paths += paths
         return self
 
     @property
@@ -65,7 +83,9 @@ class Workspace:
 
     @property
     def group_details(self) -> DataFrame:
-        return group_ops.group_details(self.history, self.analysis, mode=self.mode)
+        return group_ops.group_details(
+            self.history, self.analysis, mode=self.mode, min_purchases=self.min_purchases
+        )
 
     @property
     def groups(self) -> DataFrame:
@@ -75,7 +95,9 @@ class Workspace:
         """The group table with the margin of a period of days (1) or of the last purchases (2)."""
         if method == 2:
             self.store_history()
-        return group_ops.groups(self.history, self.analysis, method, number, self.mode)
+        return group_ops.groups(
+            self.history, self.analysis, method, number, self.mode, self.min_purchases
+        )
 
     @property
     def price_margin(self) -> DataFrame:
@@ -111,7 +133,6 @@ class Workspace:
             self.group_details,
             customer_ops.primary_store(self.tables, self.mode),
             count,
-            mode=self.mode,
             **parameters,
         )
 

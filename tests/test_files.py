@@ -63,6 +63,13 @@ def test_round_trip(spark, tmp_path, separator, extension):
     assert contents(copy) == contents(tables)
 
 
+def test_fractions_of_a_second_stay(spark, tmp_path):
+    moments = ["01-01 00:00:00", "01-01 10:00:00.25", "01-01 23:59:59.999999", "01-02 01:02:03.1"]
+    tables = shop(spark, [(i, 1, 5, m, 1) for i, m in enumerate(moments)])
+    files.write_tables(tables, str(tmp_path / "out"))
+    assert contents(files.read_tables(spark, str(tmp_path / "out"))) == contents(tables)
+
+
 def test_line_breaks_in_fields(spark, tmp_path):
     tables = shop(spark, [(1, 1, 5, "01-01", 1)], products=[(1, "two\nlines", 1), (2, "x", 1)])
     files.write_tables(tables, str(tmp_path / "out"))

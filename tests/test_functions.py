@@ -2,12 +2,14 @@ from __future__ import annotations
 
 import random
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from basketry.functions import columns as C
-from basketry.functions.ranking import cut_by_rank, latest_per_key
+from basketry.functions.ranking import latest_per_key, rank_cut
+from basketry.session import shared_folder
 from shop import by
 
 
@@ -59,13 +61,13 @@ def test_ratio_of_zero_is_null(spark):
     assert spark.range(1).select(C.ratio(F.lit(1), F.lit(0))).first()[0] is None
 
 
-def labels(df, direction="desc"):
-    value = F.col("v").desc() if direction == "desc" else F.col("v").asc()
-    return cut_by_rank(df, [value, F.col("id").asc()], [10, 35], ["High", "Medium", "Low"], "label")
+def labels(df, descending=True):
+    label, total = rank_cut(df, "v", "id", [10, 35], ["High", "Medium", "Low"], descending)
+    return df.withColumn("label", label()), total
 
 
 @pytest.mark.parametrize("size", [0, 1, 2, 9, 10, 20, 23, 1000])
-def test_cut_by_rank_floors(spark, size):
+def test_rank_cut_floors(spark, size):
     df = spark.range(size).select("id", (F.col("id") % 7).cast("double").alias("v"))
     cut, total = labels(df)
     assert total == size
@@ -78,7 +80,7 @@ def test_cut_by_rank_floors(spark, size):
 
 
 @pytest.mark.parametrize("partitions", [1, 4, 64])
-def test_cut_by_rank_ignores_partitioning_and_ties(spark, partitions):
+def test_rank_cut_ignores_partitioning_and_ties(spark, partitions):
     # Two thirds of the rows share one value, so the cut falls inside the tie.
     df = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(7).alias("v"))
     expected = sorted(range(3000), key=lambda i: (-(i if i % 3 == 0 else 7), i))
@@ -94,27 +96,42 @@ def test_cut_by_rank_ignores_partitioning_and_ties(spark, partitions):
     assert low == set(expected[1050:])
 
 
-@pytest.mark.parametrize("threshold", ["1000", "0"])
-@pytest.mark.parametrize("count", [1, 3, 40, 10_000])
-def test_latest_per_key_both_ways(spark, threshold, count):
+@pytest.mark.parametrize("descending", [True, False])
+def test_rank_cut_puts_nulls_last(spark, descending):
+    # Nine tenths have no value, so both cuts of the ascending order fall among them at last.
+    df = spark.range(200).select("id", F.when(F.col("id") % 10 == 0, F.col("id").cast("double")).alias("v"))
+    cut, _ = labels(df, descending)
+    order = sorted(range(200), key=lambda i: (i % 10 != 0, (-i if descending else i) if i % 10 == 0 else 0, i))
+    found = by(cut.select("id", "label"), "id")
+    assert [found[i] for i in order] == ["High"] * 20 + ["Medium"] * 50 + ["Low"] * 130
+
+
+def test_rank_cut_leaves_nothing_behind(spark):
+    before = set(Path(shared_folder(spark).removeprefix("file:")).glob("basketry/*"))
+    labels(spark.range(100).select("id", F.col("id").alias("v")))
+    assert set(Path(shared_folder(spark).removeprefix("file:")).glob("basketry/*")) == before
+
+
+@pytest.mark.parametrize("count", [1, 3, 40, 999, 1000, 1001, 10_000])
+def test_latest_per_key(spark, count):
+    """One way for every count, on both sides of Spark's limit for cutting windows early."""
     rng = random.Random(5)
     start = datetime(2022, 1, 1)
-    # Key 0 holds a third of the rows, some of them at the same moment.
-    data = [
-        (0 if i % 3 == 0 else rng.randrange(1, 30), start + timedelta(minutes=rng.randrange(3000)), i)
-        for i in range(1500)
-    ]
+    # Key 0 holds a third of the rows, some of them at the same moment; some rows lack key or moment.
+    data = []
+    for i in range(3600):
+        key = 0 if i % 3 == 0 else None if i % 50 == 1 else rng.randrange(1, 30)
+        moment = None if i % 7 == 0 else start + timedelta(minutes=rng.randrange(3000))
+        data.append((key, moment, i))
     groups = {}
     for row in data:
         groups.setdefault(row[0], []).append(row)
+    groups.pop(None)
     expected = {
-        row for group in groups.values() for row in sorted(group, key=lambda r: r[1:])[-count:]
+        row
+        for group in groups.values()
+        for row in sorted(group, key=lambda r: (r[1] is not None, r[1] or start, r[2]))[-count:]
     }
     df = spark.createDataFrame(data, "k int, m timestamp_ntz, id int")
-    key = "spark.sql.optimizer.windowGroupLimitThreshold"
-    spark.conf.set(key, threshold)
-    try:
-        actual = {tuple(row) for row in latest_per_key(df, ["k"], "m", "id", count).collect()}
-    finally:
-        spark.conf.unset(key)
-    assert actual == expected
+    actual = [tuple(row) for row in latest_per_key(df, ["k"], "m", "id", count).collect()]
+    assert len(actual) == len(expected) and set(actual) == expected

@@ -120,15 +120,11 @@ def test_margin_methods(spark, method, number, dairy, bakery):
     assert by(table.select(*KEYS, "group_margin"), *KEYS) == result
 
 
-def test_margin_of_first_pairs_as_written(spark):
-    history, analysis = build(margins(spark), "as_written")
-    result = by(G.group_margin(history, analysis, 2, 1, "as_written"), *KEYS)
-    assert result == {(1, 1): 9, (1, 2): None}
-
-
 def test_unknown_margin_method(spark):
     with pytest.raises(ValueError):
         G.groups(*build(margins(spark)), margin_method=3)
+    with pytest.raises(ValueError):
+        G.group_margin(*build(margins(spark)), 7)
 
 
 def test_discounts(spark):

@@ -1,11 +1,13 @@
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 
 from basketry import Workspace
 from basketry.operators import cross_sell, offers
+from basketry.session import shared_folder
 from shop import at, by, shop
 
 DETAILS = (
@@ -47,14 +49,21 @@ PERIOD_SHOP = dict(
 @pytest.mark.parametrize(
     "first, last, spec, written",
     [
-        ("2022-01-05", "2022-01-10", {1: 30.0}, {1: 15.0}),
+        # An end given as a date includes its day; as written it is the day's midnight.
+        ("2022-01-05", "2022-01-10", {1: 45.0, 2: 5.0}, {1: 15.0}),
+        ("2022-01-05", date(2022, 1, 10), {1: 45.0, 2: 5.0}, {1: 15.0}),
+        ("2022-01-05", "2022-01-10 00:00:00", {1: 30.0}, {1: 15.0}),
+        ("2022-01-05", datetime(2022, 1, 10, 12), {1: 45.0, 2: 5.0}, {1: 30.0, 2: 5.0}),
         ("2022-01-05", "2022-01-11", {1: 45.0, 2: 5.0}, {1: 30.0, 2: 5.0}),
+        # The analysis date's day ends at its moment.
+        ("2022-01-06", "2022-01-30", {1: 75.0, 2: 5.0}, {1: 60.0, 2: 5.0}),
         (None, None, {1: 60.0, 2: 5.0}, {1: 30.0, 2: 5.0}),
         # Too early: starts at the first transaction, cut to its midnight as written.
         ("2020-01-01", "2022-01-06", {1: 30.0}, {1: 15.0}),
         # Too late, not after the start: the analysis date, its midnight as written.
         ("2022-01-06", "2023-01-01", {1: 75.0, 2: 5.0}, {1: 60.0, 2: 5.0}),
-        ("2022-01-06", "2022-01-06", {1: 75.0, 2: 5.0}, {1: 60.0, 2: 5.0}),
+        ("2022-01-06", "2022-01-06 00:00:00", {1: 75.0, 2: 5.0}, {1: 60.0, 2: 5.0}),
+        ("2022-01-10", "2022-01-10", {1: 60.0, 2: 5.0}, {1: 60.0, 2: 5.0}),
         ("2022-01-06", "2021-01-06", {1: 75.0, 2: 5.0}, {1: 60.0, 2: 5.0}),
     ],
 )
@@ -236,14 +245,6 @@ def test_cross_sell_needs_enough_margin(spark):
     assert ws.offers_cross_sell(5, margin_share=17, **limits).count() == 1
 
 
-def test_cross_sell_as_written(spark):
-    ws = Workspace(cross_shop(spark), "as_written")
-    offer = ws.offers_cross_sell(5, max_churn=9, max_stability=9, max_sku_share=75, margin_share=30)
-    # Line counts 2 (milk) and 4 (cream) against four purchases: 2/4 passes, 4/4 does not.
-    # The best margin of the store, 15 on bread, is set against every price.
-    assert sorted(map(tuple, offer.collect())) == [(1, "Cream", 10.0, 1), (1, "Milk", 10.0, 1)]
-
-
 def test_workspace_views(spark):
     ws = Workspace(cross_shop(spark))
     ws.register_views("t_")
@@ -253,3 +254,21 @@ def test_workspace_views(spark):
     assert spark.table("t_periods").columns[:2] == ["customer_id", "group_id"]
     before = sorted(map(repr, ws.purchase_history.collect()))
     assert sorted(map(repr, ws.store_history().purchase_history.collect())) == before
+
+
+def test_nothing_is_left_after_close(spark):
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    there = set(folder.glob("basketry/*"))
+    with Workspace(cross_shop(spark)) as ws:
+        ws.store_history().customers.collect()
+        assert len(set(folder.glob("basketry/*")) - there) == 1
+    assert set(folder.glob("basketry/*")) == there
+
+
+def test_all_pairs(spark):
+    ws = Workspace(shop(spark, **PERIOD_SHOP), min_purchases=1)
+    assert by(ws.groups.select("customer_id", "group_id", "group_stability_index"), "customer_id", "group_id") == {
+        (1, 1): pytest.approx(by(ws.groups.select("customer_id", "group_stability_index"), "customer_id")[1]),
+        (2, 1): None,
+    }
+    assert {row.customer_id for row in Workspace(ws.tables).groups.collect()} == {1}

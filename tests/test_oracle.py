@@ -70,4 +70,4 @@ def test_entry_is_stable(spark):
     assert result.columns == [
         "customer_id", "required_check_measure", "group_name", "offer_discount_depth",
     ]
-    assert result.count() == 139
+    assert result.count() == 144

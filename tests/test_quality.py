@@ -61,6 +61,11 @@ def test_findings(spark):
     }
 
 
+def test_missing_parts_of_a_key_show(spark):
+    tables = clean(spark, stores=[(None, 1, None, None)] * 2 + [(1, None, None, None)] * 2)
+    assert {row.key for row in validate(tables).collect() if row.rule.startswith("unique")} == {"-/1", "1/-"}
+
+
 def test_missing_analysis_date(spark):
     tables = clean(spark, date_of_analysis_formation=[])
     assert [tuple(row) for row in field_violations(tables).collect()] == [
@@ -89,6 +94,7 @@ EMAILS = [
 PHONES = [
     ("+71234567890", True, True),
     ("+712345678901", False, True),
+    ("+71234567890\n", False, True),
     ("+7123456789", False, False),
     ("81234567890", False, False),
 ]
