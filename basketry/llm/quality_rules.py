@@ -145,12 +145,10 @@ def fences(rows: DataFrame) -> DataFrame:
 
     group = base.select(*keys, *limits("group"))
     lang = merged(["lang"]).select(F.col("lang").alias("lang_"), *limits("lang"))
-    every = merged([]).select(F.lit(1).alias("one"), *limits("all"))
-    joined = (
-        group.join(lang, F.col("lang").eqNullSafe(F.col("lang_")))
-        .withColumn("one", F.lit(1))
-        .join(every, "one")
-    )
+    # One row: a scalar subquery, not a join.
+    every = merged([]).select(F.struct(*limits("all"))).scalar()
+    joined = group.join(lang, F.col("lang").eqNullSafe(F.col("lang_"))).withColumn("every", every)
+    joined = joined.select("*", "every.*")
     return joined.select(
         *keys,
         *(

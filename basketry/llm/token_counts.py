@@ -29,6 +29,7 @@ SPACE = "\t-\r \x85\xa0  -     　"
 STRETCH = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 # Letters only, so a pre-token by itself.
 PLAIN = "^ ?[A-Za-zÀ-ÖØ-öø-ÿ]+$"
+# Documents of a step at most: a document's number in its step takes two bytes.
 STEP_ROWS = 50_000
 # A pre-token in so large a part of a step's documents is dealt by step as well.
 COMMON_PART = 1 / 16
@@ -134,8 +135,8 @@ def _step(tokenizer, special, part, number, turn, buckets) -> Iterator[pa.Record
 
 
 def _chunk(bucket, words, sizes, docs, counts, number, doc_ids, n_bytes, extra) -> pa.RecordBatch:
-    def packed(values: np.ndarray) -> pa.Array:
-        return pa.array([values.astype(np.uint32).tobytes()], pa.binary())
+    def packed(values: np.ndarray, kind: type = np.uint32) -> pa.Array:
+        return pa.array([values.astype(kind).tobytes()], pa.binary())
 
     longs = pa.list_(pa.int64())
     return pa.RecordBatch.from_arrays(
@@ -143,7 +144,7 @@ def _chunk(bucket, words, sizes, docs, counts, number, doc_ids, n_bytes, extra)
             pa.array([bucket], pa.int32()),
             pa.array([words], pa.list_(pa.string())),
             packed(sizes),
-            packed(docs),
+            packed(docs, np.uint16),
             packed(counts),
             pa.array([number], pa.int64()),
             pa.array([doc_ids], longs),
@@ -180,15 +181,14 @@ def _lookup(path: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces(path)
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in (x for i in range(batch.num_rows) for x in batch.slice(i, 1).to_pylist()):
                 if row["doc_ids"]:
                     size = len(row["doc_ids"])
                     docs, totals = np.arange(size), np.array(row["extra"], np.int64)
                     ids, n_bytes = row["doc_ids"], row["n_bytes"]
                 else:
-                    sizes, where, counts = (
-                        np.frombuffer(row[n], np.uint32) for n in ("sizes", "docs", "counts")
-                    )
+                    sizes, counts = (np.frombuffer(row[n], np.uint32) for n in ("sizes", "counts"))
+                    where = np.frombuffer(row["docs"], np.uint16)
                     each = np.repeat(pieces.of(row["words"]), sizes)
                     sums = np.bincount(where, weights=each * counts.astype(np.float64))
                     docs = np.flatnonzero(sums)
