@@ -84,3 +84,75 @@ SELECT any_value(doc_id) AS doc_id, any_value(size) AS size,
   coalesce(string_agg(CAST(shard AS VARCHAR), ',' ORDER BY turn) FILTER (taken > 0), '') AS shards
 FROM drawn GROUP BY row_no
 """
+
+_MEASURES = [
+    ("symbols_per_word", 30),
+    ("dup_lines_per_line", 100),
+    ("repeats_per_word", 50),
+    ("chars_per_word", 500),
+]
+
+
+def _fences(level: str, keys: str, least_count: int) -> str:
+    """Quartiles of the passing documents of a group, widened by three spreads."""
+    columns = []
+    for measure, least in _MEASURES:
+        low, high = (
+            f"list_sort(list({measure}) FILTER (NOT base_failed))"
+            f"[CAST(ceil(count(*) FILTER (NOT base_failed) * {share}) AS BIGINT)]"
+            for share in (0.25, 0.75)
+        )
+        reach = f"3 * greatest({high} - {low}, {least})"
+        enough = f"count(*) FILTER (NOT base_failed) >= {least_count}"
+        columns.append(f"CASE WHEN {enough} THEN {low} - {reach} END AS {level}_{measure}_low")
+        columns.append(f"CASE WHEN {enough} THEN {high} + {reach} END AS {level}_{measure}_high")
+    head = f"{keys}, " if keys else ""
+    tail = f"GROUP BY {keys}" if keys else ""
+    return f"SELECT {head}{', '.join(columns)} FROM measured {tail}"
+
+
+def _fence(measure: str, end: str) -> str:
+    return "coalesce(" + ", ".join(f"{x}_{measure}_{end}" for x in ("grp", "lng", "whole")) + ")"
+
+
+# The sketches of the operator are exact up to 2048 documents of a group, as this is throughout.
+STATEMENTS["op6_quality_rules"] = rf"""
+WITH texts AS (
+  SELECT row_number() OVER () AS row_no, doc_id, lang, source, coalesce(text, '') AS text FROM documents
+), parts AS (
+  SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+    list_filter(string_split(text, chr(10)), lambda line: regexp_matches(line, '[^\x20\x09-\x0D]')) AS lines
+  FROM texts
+), places AS (
+  SELECT row_no, words, unnest(range(1, len(words) - 1)) AS i FROM parts
+), windows AS (
+  SELECT row_no, i, count(*) OVER (PARTITION BY row_no,
+    words[i] || ' ' || words[i + 1] || ' ' || words[i + 2]) AS times FROM places
+), covered AS (
+  SELECT row_no, count(DISTINCT i + k) AS n_repeat_words
+  FROM windows CROSS JOIN (SELECT unnest([0, 1, 2]) AS k) WHERE times > 1 GROUP BY row_no
+), counts AS (
+  SELECT p.*, CAST(len(words) AS BIGINT) AS n_words,
+    CAST(coalesce(list_sum(list_transform(words, lambda w: length(w))), 0) AS BIGINT) AS word_chars,
+    CAST(length(text) - length(translate(text, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words
+  FROM parts p LEFT JOIN covered USING (row_no)
+), measured AS (
+  SELECT *, n_words < 50 OR n_repeat_words * 100 > n_words * 50 AS base_failed,
+    n_symbols * 1000 // greatest(n_words, 1) AS symbols_per_word,
+    n_dup_lines * 1000 // greatest(len(lines), 1) AS dup_lines_per_line,
+    n_repeat_words * 1000 // greatest(n_words, 1) AS repeats_per_word,
+    word_chars * 1000 // greatest(n_words, 1) AS chars_per_word
+  FROM counts
+), by_group AS ({_fences("grp", "lang, source", 100)}),
+by_lang AS ({_fences("lng", "lang", 100)}),
+of_all AS ({_fences("whole", "", 1)})
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed
+    AND {" AND ".join(f"{m} <= {_fence(m, 'high')}" for m, _ in _MEASURES)}
+    AND chars_per_word >= {_fence("chars_per_word", "low")} AS kept
+FROM measured d
+JOIN by_group g ON d.lang IS NOT DISTINCT FROM g.lang AND d.source IS NOT DISTINCT FROM g.source
+JOIN by_lang l ON d.lang IS NOT DISTINCT FROM l.lang CROSS JOIN of_all
+"""
