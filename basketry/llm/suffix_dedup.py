@@ -19,6 +19,7 @@
 from __future__ import annotations
 
 import hashlib
+import io
 import math
 import os
 import tempfile
@@ -39,10 +40,11 @@ GRAM = 40
 # Windows of a string at most; longer runs (periodic texts) are cut.
 MOST_WINDOWS = 64
 CONTEXT = 30
-# Bytes hashed at a time; a longer text is taken in overlapping stretches.
-STRETCH = 2 << 20
+# Bytes hashed at a time, few enough for a core's cache; a longer text is taken in
+# overlapping stretches.
+STRETCH = 1 << 17
 # Symbols a partition's transform holds, about.
-COLLECTION = 2 << 20
+COLLECTION = 1 << 20
 # Parts with so many others of their kind are dealt by whole windows instead.
 CROWD = 8192
 BASE = 0x9E3779B97F4A7C15
@@ -322,39 +324,51 @@ def _single_windows(length: int) -> Callable:
 class ColumnFiles:
     """The columns of the transform between two rounds, each in a file read and written in sequence."""
 
-    # owner: 256 times the string plus the size of the suffix.
-    KINDS = {"before": np.uint8, "common": np.uint8, "owner": np.int32}
-
     def __init__(self, folder: str):
         self.folder = folder
+        self.files: dict[str, tuple[io.FileIO, int]] = {}
 
     def write(self, **columns: np.ndarray) -> None:
         for name, values in columns.items():
-            values.astype(self.KINDS[name], copy=False).tofile(os.path.join(self.folder, name))
+            if name not in self.files:
+                self.files[name] = (open(os.path.join(self.folder, name), "w+b", buffering=0), 0)
+            # Columns only grow, so the file is written over and never cut.
+            file, _ = self.files[name]
+            file.seek(0)
+            rest = memoryview(values.astype(np.uint8, copy=False))
+            while len(rest):
+                rest = rest[file.write(rest) :]
+            self.files[name] = (file, len(values))
 
     def read(self, name: str) -> np.ndarray:
-        return np.fromfile(os.path.join(self.folder, name), self.KINDS[name])
+        file, size = self.files[name]
+        file.seek(0)
+        return np.fromfile(file, np.uint8, size)
+
+    def close(self) -> None:
+        for file, _ in self.files.values():
+            file.close()
 
 
 def transform(data: np.ndarray, ends: np.ndarray, sizes: np.ndarray, files: ColumnFiles) -> None:
     """Collection transform of the strings data[ends - sizes : ends], all at most 254 long.
 
-    Leaves in the files, in the order of the suffixes: the symbol before, the common prefix with the
-    suffix above, and the string and size of the suffix. Round t puts in the suffix of
-    size t of every string that has one. The suffixes that begin with a symbol stand in the
-    order of the places that the symbol has in `before`, so a stable sort of that
-    column gives every new suffix its place and its neighbours; what it shares
-    with a neighbour is one more than the least common prefix between their places.
+    Leaves in the files, in the order of the suffixes, the symbol before each and its common
+    prefix with the one above. Round t puts in the suffix of size t of every string that has
+    one. The suffixes that begin with a symbol stand in the order of the places that the
+    symbol has in `before`, so a stable sort of that column gives every new suffix its
+    place and its neighbours; what it shares with a neighbour is one more than the least
+    common prefix between their places.
     """
     count = len(ends)
-    files.write(before=data[ends - 1], common=np.zeros(count), owner=np.arange(count) << 8)
-    fresh = np.ones(count, bool)
+    files.write(before=data[ends - 1], common=np.zeros(count))
+    fresh, places, strings = np.ones(count, bool), np.arange(count), np.arange(count)
     for size in range(1, int(sizes.max(initial=0)) + 1):
         before, common = files.read("before"), files.read("common")
-        order = np.argsort(before, kind="stable")
-        order = order[: len(order) - np.count_nonzero(before == START)]
+        order = _followed(before)
         at = np.flatnonzero(fresh[order])
         source = order[at]
+        string = strings[np.searchsorted(places, source)]
         above, below = order[np.maximum(at - 1, 0)], order[np.minimum(at + 1, len(order) - 1)]
         symbol = before[source]
         has_above = (at > 0) & (before[above] == symbol)
@@ -363,23 +377,38 @@ def transform(data: np.ndarray, ends: np.ndarray, sizes: np.ndarray, files: Colu
         shared[has_above] = _least(common, above[has_above], source[has_above]) + 1
         shared_below = _least(common, source[has_below], below[has_below]) + 1
 
-        old = np.ones(count + len(order), bool)
-        old[count + at] = False
-        owners = files.read("owner")
-        string = owners[source] >> 8
+        places, strings = count + at, string
+        fresh = np.zeros(count + len(order), bool)
+        fresh[places] = True
+        old = ~fresh
         symbols = data[np.maximum(ends[string] - size - 1, 0)]
         symbols[sizes[string] == size] = START
         grown = _merged(old, common, shared)
         # The suffix below, if it was there already; a new one has its own value from above.
-        under = count + at[has_below] + 1
+        under = places[has_below] + 1
         there = old[under]
         grown[under[there]] = shared_below[there]
-        files.write(
-            before=_merged(old, before, symbols),
-            common=grown,
-            owner=_merged(old, owners, (string << 8) + size),
-        )
-        fresh = ~old
+        files.write(before=_merged(old, before, symbols), common=grown)
+
+
+def _followed(before: np.ndarray) -> np.ndarray:
+    """The suffixes that another one continues to the left, in the order of those others."""
+    order = np.argsort(before, kind="stable")
+    return order[: len(order) - np.count_nonzero(before == START)]
+
+
+def owners(before: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """The string and the size of each suffix of a finished transform, by walking to the left."""
+    order = _followed(before)
+    left = np.full(len(before), -1, np.int64)
+    left[order] = count + np.arange(len(order))
+    string, size = np.empty(len(before), np.int64), np.empty(len(before), np.int64)
+    at, names, step = np.arange(count), np.arange(count), 0
+    while len(at):
+        string[at], size[at] = names, step
+        at, step = left[at], step + 1
+        at, names = at[at >= 0], names[at >= 0]
+    return string, size
 
 
 def _merged(old: np.ndarray, there: np.ndarray, more: np.ndarray) -> np.ndarray:
@@ -406,10 +435,11 @@ def repeats(data: np.ndarray, ends: np.ndarray, sizes: np.ndarray, rank: np.ndar
     with tempfile.TemporaryDirectory(prefix="transform-") as folder:
         files = ColumnFiles(folder)
         transform(data, ends, sizes, files)
-        common, owner = files.read("common"), files.read("owner")
+        common = files.read("common")
+        string, size = owners(files.read("before"), len(ends))
+        files.close()
     # Groups of suffixes that share `length` bytes or more with the one above.
     group = np.cumsum(common < length)
-    string, size = owner >> 8, owner & 255
     full = size >= length
     group, string, size = group[full], string[full], size[full]
     offset = sizes[string] - size
@@ -514,14 +544,15 @@ def repeated_windows(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     counted = rows.select("text").mapInArrow(_count_minimizers(length, gram), "m long, n long")
     shared = counted.groupBy("m").agg(F.sum("n").alias("n")).filter("n > 1").select("m")
     listed = rows.mapInArrow(_list_strings(length, gram), STRINGS)
-    listed = written(listed.join(shared, "m", "left_semi"))
+    listed = written(listed.join(shared.hint("shuffle_hash"), "m", "left_semi"))
 
     first = F.min(F.struct("doc_id", "version", "start"))
     strings = listed.groupBy("m", "h", "n").agg(
         first.alias("first"), F.bool_and("alone").alias("alone")
     )
     strings = written(strings)
-    copies = listed.join(strings.select("m", "h", "n", "first"), ["m", "h", "n"]).filter(
+    firsts = strings.select("m", "h", "n", "first").hint("shuffle_hash")
+    copies = listed.join(firsts, ["m", "h", "n"]).filter(
         ~(
             F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
             & (F.col("version") == F.col("first.version"))
