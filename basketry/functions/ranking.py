@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from dataclasses import dataclass
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Row
@@ -16,34 +16,56 @@ from basketry.session import delete, recorded, written
 INDEX_BITS = 33
 
 
-def rank_cut(
-    df: DataFrame,
-    value: str,
-    key: str,
-    percents: list[int],
-    labels: list[str],
-    descending: bool = False,
-) -> tuple[Callable[[], Column], int]:
-    """Labels by the position of rows in the order of `value`, nulls last, and the unique `key`.
-
-    The first floor(n*percents[0]/100) rows get labels[0], the rows from there up
-    to floor(n*percents[1]/100) get labels[1], and so on; the rest get labels[-1].
-    Returns a function that gives the label as a column of these two columns, and n.
-
-    Only the rows at the cuts are looked for: the two columns are range partitioned,
-    sorted, numbered in place and written, since the sampled range bounds differ from one
-    run to the next. The row count of each partition and the rows at the cuts come to
-    the driver; the copy is deleted before this returns.
+@dataclass
+class Cut:
+    """Rows in the order of `value`, nulls last, and of the key: the first floor(n*percents[0]/100)
+    get labels[0], those from there up to floor(n*percents[1]/100) labels[1], the rest labels[-1]."""
+
+    value: str
+    percents: list[int]
+    labels: list[str]
+    descending: bool = False
+
+    def rising(self) -> Column:
+        value = F.col(self.value).cast("double")
+        return -value if self.descending else value
+
+    def label(self, key: str, last_rows: list[Row | None]) -> Column:
+        column = F.lit(self.labels[-1])
+        for row, text in reversed(list(zip(last_rows, self.labels, strict=False))):
+            if row is not None:
+                column = F.when(self._up_to(key, row), F.lit(text)).otherwise(column)
+        return column
+
+    def _up_to(self, key: str, row: Row) -> Column:
+        limit = F.lit(row["_value"]).cast("double")
+        tied = self.rising().eqNullSafe(limit) & (F.col(key) <= F.lit(row["_key"]))
+        if row["_value"] is None:
+            return F.col(self.value).isNotNull() | tied
+        return F.coalesce(self.rising() < limit, F.lit(False)) | tied
+
+
+def rank_cuts(df: DataFrame, key: str, cuts: list[Cut]) -> tuple[list[Column], int]:
+    """The label of each cut, as a column of its value and the unique `key`, and the number of rows.
+
+    Only the rows at the cuts are looked for. The values of all cuts are range partitioned
+    together, sorted, numbered in place and written, since the sampled range bounds differ from
+    one run to the next. The row count of each partition and the rows at the cuts come to the driver;
+    the copy is deleted before this returns.
     """
     spark = df.sparkSession
-    narrow = df.select(value, key)
-    order = [
-        F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last(),
-        F.col(key).asc(),
-    ]
+    values = F.array(
+        *(
+            F.struct(F.lit(i).alias("cut"), cut.rising().alias("value"))
+            for i, cut in enumerate(cuts)
+        )
+    )
+    order = [F.col("_cut").asc(), F.col("_value").asc_nulls_last(), F.col("_key").asc()]
     with recorded() as paths:
         numbered = written(
-            narrow.repartitionByRange(*order)
+            df.select(F.col(key).alias("_key"), F.explode(values).alias("_at"))
+            .select("_key", F.col("_at.cut").alias("_cut"), F.col("_at.value").alias("_value"))
+            .repartitionByRange(*order)
             .sortWithinPartitions(*order)
             .withColumn("_position", F.monotonically_increasing_id())
         )
@@ -53,37 +75,29 @@ def rank_cut(
             .orderBy("part")
             .collect()
         )
-        total = sum(row["size"] for row in sizes)
         ends = list(accumulate(row["size"] for row in sizes))
+        total = ends[-1] // len(cuts) if ends else 0
 
-        def last_row(rank: int) -> Row | None:
-            if rank == 0:
-                return None
+        def position(rank: int) -> int:
             place = next(i for i, end in enumerate(ends) if end >= rank)
             before = ends[place] - sizes[place]["size"]
-            position = (sizes[place]["part"] << INDEX_BITS) + rank - before - 1
-            return numbered.filter(F.col("_position") == F.lit(position)).first()
-
-        cuts = [last_row(total * percent // 100) for percent in percents]
+            return (sizes[place]["part"] << INDEX_BITS) + rank - before - 1
+
+        wanted = [
+            [
+                position(i * total + total * percent // 100) if total * percent // 100 else None
+                for percent in cut.percents
+            ]
+            for i, cut in enumerate(cuts)
+        ]
+        places = [p for one in wanted for p in one if p is not None]
+        found = {r["_position"]: r for r in numbered.filter(F.col("_position").isin(places)).collect()}
     delete(spark, paths)
-    kind = df.schema[value].dataType
-
-    def up_to(row: Row) -> Column:
-        limit = F.lit(row[value]).cast(kind)
-        tied = F.col(value).eqNullSafe(limit) & (F.col(key) <= F.lit(row[key]))
-        if row[value] is None:
-            return F.col(value).isNotNull() | tied
-        ahead = F.col(value) > limit if descending else F.col(value) < limit
-        return F.coalesce(ahead, F.lit(False)) | tied
-
-    def label() -> Column:
-        column = F.lit(labels[-1])
-        for row, text in reversed(list(zip(cuts, labels, strict=False))):
-            if row is not None:
-                column = F.when(up_to(row), F.lit(text)).otherwise(column)
-        return column
-
-    return label, total
+    labels = [
+        cut.label(key, [None if p is None else found[p] for p in one])
+        for cut, one in zip(cuts, wanted, strict=True)
+    ]
+    return labels, total
 
 
 def latest_per_key(

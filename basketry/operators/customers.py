@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -15,10 +13,9 @@ from basketry.functions.columns import (
     ratio,
     seconds_between,
 )
-from basketry.functions.ranking import latest_per_key, rank_cut
+from basketry.functions.ranking import Cut, latest_per_key, rank_cuts
 from basketry.operators.history import analysis_moment, card_transactions, latest_visits
 from basketry.schema import Tables
-from basketry.session import delete, recorded, written
 
 # Ranks up to 10 % and 35 % bound the first two segments.
 SEGMENT_PERCENTS = [10, 35]
@@ -96,28 +93,20 @@ def _with_churn(measures: DataFrame) -> DataFrame:
     ).withColumn("customer_churn_segment", segment)
 
 
-def _check_label(totals: DataFrame) -> tuple[Callable[[], Column], int]:
-    return rank_cut(
-        totals, "customer_average_check", "customer_id", SEGMENT_PERCENTS, CHECK_SEGMENTS, True
-    )
-
-
-def _frequency_label(totals: DataFrame) -> tuple[Callable[[], Column], int]:
-    return rank_cut(
-        totals, "customer_frequency", "customer_id", SEGMENT_PERCENTS, FREQUENCY_SEGMENTS
-    )
+BY_CHECK = Cut("customer_average_check", SEGMENT_PERCENTS, CHECK_SEGMENTS, descending=True)
+BY_FREQUENCY = Cut("customer_frequency", SEGMENT_PERCENTS, FREQUENCY_SEGMENTS)
 
 
 def average_check(tables: Tables) -> DataFrame:
     totals = _customer_sums(tables).select("customer_id", _average_check())
-    label, _ = _check_label(totals)
-    return totals.withColumn("customer_average_check_segment", label())
+    (label,), _ = rank_cuts(totals, "customer_id", [BY_CHECK])
+    return totals.withColumn("customer_average_check_segment", label)
 
 
 def visit_frequency(tables: Tables) -> DataFrame:
     totals = _customer_sums(tables).select("customer_id", _frequency())
-    label, _ = _frequency_label(totals)
-    return totals.withColumn("customer_frequency_segment", label())
+    (label,), _ = rank_cuts(totals, "customer_id", [BY_FREQUENCY])
+    return totals.withColumn("customer_frequency_segment", label)
 
 
 def inactive_period(tables: Tables) -> DataFrame:
@@ -265,19 +254,10 @@ def customers(tables: Tables, mode: str = "spec") -> DataFrame:
         _inactive(tables),
         "customer_primary_store",
     )
-    # The cuts need two columns of all customers; these are summed once for both.
-    with recorded() as paths:
-        totals = written(
-            _customer_sums(tables).select("customer_id", _average_check(), _frequency())
-        )
-        check_label, population = _check_label(totals)
-        frequency_label, _ = _frequency_label(totals)
-    delete(totals.sparkSession, paths)
+    totals = _customer_sums(tables).select("customer_id", _average_check(), _frequency())
+    (check, frequency), population = rank_cuts(totals, "customer_id", [BY_CHECK, BY_FREQUENCY])
     segmented = _with_churn(profile).withColumns(
-        {
-            "customer_average_check_segment": check_label(),
-            "customer_frequency_segment": frequency_label(),
-        }
+        {"customer_average_check_segment": check, "customer_frequency_segment": frequency}
     )
     return _number_segments(segmented, population, mode).select(
         "customer_id",

@@ -175,28 +175,26 @@ def _with_places(rows: DataFrame) -> DataFrame:
     Each pair asks twice on the customer's line of hours. A task so sees of a customer
     one row per hour and two per group.
     """
-    own = [name for name in rows.columns if name not in ("on_line", "line_hour", "past")]
-    pair = F.struct(*(F.col(name) for name in own))
-    is_line = F.col("on_line")
+    own = [n for n in rows.columns if n not in (*PAIR, "on_line", "line_hour", "past")]
+    is_line, which = F.col("on_line"), F.col("which")
     asked = F.when(is_line, F.array("line_hour")).otherwise(F.array("first_hour", "last_hour"))
-    known = W.partitionBy("customer_id", "at")
+    known = F.max("past").over(W.partitionBy("customer_id", "at"))
+    # The measures of a pair travel with its first question only.
     return (
-        rows.select(
-            "customer_id",
-            "past",
-            F.when(~is_line, pair).alias("pair"),
-            F.posexplode(asked).alias("which", "at"),
+        rows.select(*PAIR, "on_line", "past", *own, F.posexplode(asked).alias("which", "at"))
+        .select(
+            *PAIR, "on_line", "which", "at", "past",
+            *(F.when(which == 0, F.col(name)).alias(name) for name in own),
         )
-        .withColumn("past", F.max("past").over(known))
-        .filter(F.col("pair").isNotNull())
-        .groupBy("customer_id", "pair.group_id")
+        .withColumn("past", known)
+        .filter(~is_line)
+        .groupBy(*PAIR)
         .agg(
-            F.first("pair").alias("pair"),
-            F.max(F.when(F.col("which") == 0, F.col("past"))).alias("past_first"),
-            F.max(F.when(F.col("which") == 1, F.col("past"))).alias("past_last"),
+            *(F.max(name).alias(name) for name in own),
+            F.max(F.when(which == 0, F.col("past"))).alias("past_first"),
+            F.max(F.when(which == 1, F.col("past"))).alias("past_last"),
         )
-        .select("pair.*", "past_first", "past_last")
-    )
+    )
 
 
 def group_profile(

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketry.functions import columns as C
-from basketry.functions.ranking import latest_per_key, rank_cut
+from basketry.functions.ranking import Cut, latest_per_key, rank_cuts
 from basketry.session import shared_folder
 from shop import by
 
@@ -62,8 +62,11 @@ def test_ratio_of_zero_is_null(spark):
 
 
 def labels(df, descending=True):
-    label, total = rank_cut(df, "v", "id", [10, 35], ["High", "Medium", "Low"], descending)
-    return df.withColumn("label", label()), total
+    cut = Cut("v", [10, 35], ["High", "Medium", "Low"], descending)
+    other = Cut("id", [50], ["first", "second"])
+    (label, half), total = rank_cuts(df, "id", [cut, other])
+    assert df.filter(half == "first").count() == total // 2
+    return df.withColumn("label", label), total
 
 
 @pytest.mark.parametrize("size", [0, 1, 2, 9, 10, 20, 23, 1000])
