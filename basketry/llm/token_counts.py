@@ -8,6 +8,7 @@ over its pre-tokens of frequency times pieces. No ids of a document are ever mad
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Callable, Iterator
@@ -42,6 +43,8 @@ CHUNK = (
 
 
 def load(path: str) -> Tokenizer:
+    # A task has one core.
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
@@ -177,36 +180,60 @@ class Pieces:
         return np.array([self.known[w] for w in words], np.int64)
 
 
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Row by row, as a row holds a whole chunk."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
 def _lookup(path: str) -> Callable:
+    """Per chunk one row: the tokens its pre-tokens give each document of the step."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces(path)
-        for batch in batches:
-            for row in (x for i in range(batch.num_rows) for x in batch.slice(i, 1).to_pylist()):
-                if row["doc_ids"]:
-                    size = len(row["doc_ids"])
-                    docs, totals = np.arange(size), np.array(row["extra"], np.int64)
-                    ids, n_bytes = row["doc_ids"], row["n_bytes"]
-                else:
-                    sizes, counts = (np.frombuffer(row[n], np.uint32) for n in ("sizes", "counts"))
-                    where = np.frombuffer(row["docs"], np.uint16)
-                    each = np.repeat(pieces.of(row["words"]), sizes)
-                    sums = np.bincount(where, weights=each * counts.astype(np.float64))
-                    docs = np.flatnonzero(sums)
-                    totals = sums[docs].astype(np.int64)
-                    ids, n_bytes = ([None] * len(docs) for _ in range(2))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(docs.astype(np.int64) + row["first"]),
-                        pa.array(totals),
-                        pa.array(ids, pa.int64()),
-                        pa.array(n_bytes, pa.int64()),
-                    ],
-                    names=["row", "n_tokens", "doc_id", "n_bytes"],
-                )
+        for row in _rows(batches):
+            if row["doc_ids"]:
+                sums = np.array(row["extra"], np.int64)
+            else:
+                sizes, counts = (np.frombuffer(row[n], np.uint32) for n in ("sizes", "counts"))
+                each = np.repeat(pieces.of(row["words"]), sizes) * counts
+                where = np.frombuffer(row["docs"], np.uint16)
+                sums = np.bincount(where, weights=each).astype(np.int64)
+            longs = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([row["first"]], pa.int64()),
+                    pa.array([sums.tobytes()], pa.binary()),
+                    pa.array([row["doc_ids"]], longs),
+                    pa.array([row["n_bytes"]], longs),
+                ],
+                names=["first", "sums", "doc_ids", "n_bytes"],
+            )
 
     return run
 
 
+def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The documents of each step with the sum over its chunks."""
+    totals: dict[int, np.ndarray] = {}
+    rosters: dict[int, tuple[list, list]] = {}
+    for row in _rows(batches):
+        sums = np.frombuffer(row["sums"], np.int64)
+        if row["doc_ids"]:
+            rosters[row["first"]] = (row["doc_ids"], row["n_bytes"])
+        so_far = totals.get(row["first"], sums[:0])
+        grown = np.zeros(max(len(sums), len(so_far)), np.int64)
+        grown[: len(so_far)] += so_far
+        grown[: len(sums)] += sums
+        totals[row["first"]] = grown
+    for first, (doc_ids, n_bytes) in rosters.items():
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(doc_ids, pa.int64()), pa.array(n_bytes, pa.int64()), pa.array(totals[first])],
+            names=["doc_id", "n_bytes", "n_tokens"],
+        )
+
+
 def token_counts(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_bytes, n_tokens of every row; null texts are empty and have no tokens.
 
@@ -218,11 +245,9 @@ def token_counts(docs: DataFrame, path: str) -> DataFrame:
     chunks = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         _frequencies(path, buckets), CHUNK
     )
-    parts = chunks.repartition(buckets, "bucket").mapInArrow(
-        _lookup(path), "row long, n_tokens long, doc_id long, n_bytes long"
+    sums = chunks.repartition(buckets, "bucket").mapInArrow(
+        _lookup(path), "first long, sums binary, doc_ids array<long>, n_bytes array<long>"
     )
-    return (
-        parts.groupBy("row")
-        .agg(F.max("doc_id").alias("doc_id"), F.max("n_bytes").alias("n_bytes"), F.sum("n_tokens").alias("n_tokens"))
-        .select("doc_id", "n_bytes", "n_tokens")
+    return sums.repartition(buckets, "first").mapInArrow(
+        _totals, "doc_id long, n_bytes long, n_tokens long"
     )
