@@ -37,14 +37,11 @@ def card_transactions(tables: Tables) -> DataFrame:
 
 
 def latest_visits(tables: Tables, count: int) -> DataFrame:
-    """Each customer's `count` most recent transactions.
-
-    They are among the latest of each card, so most transactions go before the
-    cards are joined. Cards without an owner are nobody's.
-    """
-    order = ("transaction_datetime", "transaction_id", count)
-    per_card = latest_per_key(tables.transactions, ["customer_card_id"], *order)
-    return latest_per_key(per_card.join(tables.cards, "customer_card_id"), ["customer_id"], *order)
+    """Each customer's `count` most recent transactions. Cards without an owner are nobody's."""
+    visits = tables.transactions.join(tables.cards, "customer_card_id")
+    return latest_per_key(
+        visits, ["customer_id"], "transaction_datetime", "transaction_id", count
+    )
 
 
 def _receipt_lines(tables: Tables) -> DataFrame:
