@@ -190,6 +190,10 @@ def quality_verdicts(docs: DataFrame) -> DataFrame:
 
 
 def quality_filter(docs: DataFrame) -> DataFrame:
-    """The documents that keep within the fences, with all their columns."""
-    rows = written(_with_keys(measured(docs)))
-    return judged(rows, written(fences(rows))).filter("kept").select("doc.*")
+    """The documents that keep within the fences, with all their columns.
+
+    The texts are measured twice, which costs less than a copy of them on disk.
+    """
+    rows = _with_keys(measured(docs))
+    limits = written(fences(written(rows.drop("doc"))))
+    return judged(rows, limits).filter("kept").select("doc.*")
