@@ -25,11 +25,13 @@ from pyspark.sql import functions as F
 
 from basketry.llm.common import steps, texts, word_lists
 from basketry.llm.toxicity import fold
-from basketry.session import shared_folder
+from basketry.session import new_path
 
 FOLDS, HELD_OUT = 10, 0
+# Bytes of text tokenised at a time.
+STEP = 2 << 20
 # Tokens a task adds up before it passes its bigrams on.
-CHUNK_TOKENS = 2_000_000
+CHUNK_TOKENS = 1_000_000
 # The bigrams of one context lie in so many shards: none is that of a single word.
 SPREAD = 8
 # Blanks are in no word, so these are no word's hashes.
@@ -38,6 +40,8 @@ ADDED = 0.1
 
 COUNTED = "shard int, contexts binary, lengths binary, words binary, counts binary"
 STATS = "part int, stats binary, path string, shard int, tally array<long>"
+# The part of rows that name a file of bigrams.
+PAIRS = -1
 # Per word: occurrences as a context, followers once, twice, oftener; occurrences, contexts.
 COLUMNS = 6
 
@@ -99,7 +103,7 @@ def _count(shards: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            for part in steps(batch):
+            for part in steps(batch, most=STEP):
                 hashes, rows = tokens(part.column("text"))
                 held.append((contexts(hashes, rows), hashes))
                 size += len(hashes)
@@ -151,12 +155,14 @@ class Mapped:
         return at, here
 
 
-def _sums(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys in order, and the sums of the rows of each."""
+def _grouped(keys: np.ndarray, values: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Distinct keys in order, and the sums of each column over the rows of each."""
     order = np.argsort(keys)
-    keys, values = keys[order], values[order]
+    keys = keys[order]
     first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else order
-    return keys[first], np.add.reduceat(values, first, axis=0) if len(keys) else values
+    # One column at a time: a shard's rows are many.
+    sums = [np.add.reduceat(v[order], first, dtype=np.int64) if len(keys) else v for v in values]
+    return keys[first], sums
 
 
 def _tally(counts: np.ndarray) -> list[int]:
@@ -169,43 +175,51 @@ def _build_pairs(folder: str, parts: int) -> Callable:
 
     def build(shard: int, held: list) -> Iterator[pa.RecordBatch]:
         before, word, counts = (np.concatenate(x) for x in zip(*held, strict=True))
+        held.clear()
         keys = pair_keys(before, word)
         order = np.argsort(keys)
-        keys, before, word, counts = keys[order], before[order], word[order], counts[order]
+        keys = keys[order]
         first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-        total = np.add.reduceat(counts, first)
-        before, word = before[first], word[first]
-        path = _write(folder, f"pairs-{shard}", [keys[first], total.astype(np.uint32)])
-        as_context = np.stack(
-            [total, total == 1, total == 2, total > 2, *[np.zeros_like(total)] * 2], axis=1
-        )
-        as_word = np.stack([*[np.zeros_like(total)] * 4, total, np.ones_like(total)], axis=1)
-        names, sums = _sums(np.concatenate([before, word]), np.concatenate([as_context, as_word]))
+        total = np.add.reduceat(counts[order], first).astype(np.uint32)
+        path = _write(folder, f"pairs-{shard}", [keys[first], total])
+        before, word = before[order[first]], word[order[first]]
+        del keys, order, first, counts
+        of_context, as_context = _grouped(before, [total, total == 1, total == 2, total > 2])
+        of_word, as_word = _grouped(word, [total, np.ones(len(total), bool)])
+        names = np.union1d(of_context, of_word)
+        sums = np.zeros((len(names), COLUMNS), np.int64)
+        sums[np.searchsorted(names, of_context), :4] = np.stack(as_context, axis=1)
+        sums[np.searchsorted(names, of_word), 4:] = np.stack(as_word, axis=1)
         part = names % np.uint64(parts)
         for p in range(parts):
             some = part == p
-            packed = names[some].tobytes() + sums[some].astype(np.int64).tobytes()
-            yield _stats_row(p, packed, None, None, None)
-        yield _stats_row(0, None, path, shard, _tally(total))
+            yield _stats_row(p, names[some].tobytes() + sums[some].tobytes(), None, None, None)
+        yield _stats_row(PAIRS, None, path, shard, _tally(total))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
-        for batch in batches:
-            for row in batch.to_pylist():
-                lengths = np.frombuffer(row["lengths"], np.uint32)
-                held.setdefault(row["shard"], []).append(
-                    (
-                        np.repeat(np.frombuffer(row["contexts"], np.uint64), lengths),
-                        np.frombuffer(row["words"], np.uint64),
-                        np.frombuffer(row["counts"], np.uint32).astype(np.int64),
-                    )
+        for row in _rows(batches):
+            lengths = np.frombuffer(row["lengths"], np.uint32)
+            held.setdefault(row["shard"], []).append(
+                (
+                    np.repeat(np.frombuffer(row["contexts"], np.uint64), lengths),
+                    np.frombuffer(row["words"], np.uint64),
+                    np.frombuffer(row["counts"], np.uint32),
                 )
+            )
         while held:
             yield from build(*held.popitem())
 
     return run
 
 
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Row by row, as a row holds a whole chunk."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
 def _stats_row(part, packed, path, shard, tally) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [
@@ -224,18 +238,23 @@ def _build_words(folder: str) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
-        for batch in batches:
-            for row in batch.to_pylist():
-                packed = np.frombuffer(row["stats"], np.uint64).reshape(-1) if row["stats"] else np.empty(0, np.uint64)
-                size = len(packed) // (COLUMNS + 1)
-                held.setdefault(row["part"], []).append(
-                    (packed[:size], packed[size:].view(np.int64).reshape(size, COLUMNS))
-                )
-        for part, rows in held.items():
-            names, sums = _sums(*(np.concatenate(x) for x in zip(*rows, strict=True)))
-            path = _write(folder, f"words-{part}", [names, *np.ascontiguousarray(sums.T)])
-            real = sums[:, 5] > 0
-            yield _stats_row(part, None, path, part, [*_tally(sums[real, 5]), int(sums[:, 4].sum())])
+        for row in _rows(batches):
+            if row["part"] == PAIRS:
+                yield _stats_row(PAIRS, None, row["path"], row["shard"], row["tally"])
+                continue
+            packed = np.frombuffer(row["stats"], np.uint64)
+            size = len(packed) // (COLUMNS + 1)
+            held.setdefault(row["part"], []).append(
+                (packed[:size], packed[size:].view(np.int64).reshape(size, COLUMNS))
+            )
+        while held:
+            part, rows = held.popitem()
+            keys, values = (np.concatenate(x) for x in zip(*rows, strict=True))
+            del rows
+            names, sums = _grouped(keys, list(values.T))
+            path = _write(folder, f"words-{part}", [names, *sums])
+            contexts_of = sums[5][sums[5] > 0]
+            yield _stats_row(part, None, path, part, [*_tally(contexts_of), int(sums[4].sum())])
 
     return run
 
@@ -273,23 +292,15 @@ def train(docs: DataFrame) -> Model:
     """Counts the texts and writes the model into the shared folder."""
     spark = docs.sparkSession
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    folder = shared_folder(spark)
+    folder = new_path(spark, "model")
     folder = folder if "://" in folder else f"file://{folder.removeprefix('file:')}"
-    folder = f"{folder}/basketry/model-{uuid.uuid4().hex}"
     counted = docs.select("text").mapInArrow(_count(shards), COUNTED)
     stats = counted.repartition(shards, "shard").mapInArrow(_build_pairs(folder, shards), STATS)
-    # Written: the files it names are those of the attempts that came to an end.
-    uri = f"{folder}/stats"
-    stats.write.parquet(uri)
-    stats = spark.read.schema(stats.schema).parquet(uri)
-    pairs = stats.filter("path is not null").select("shard", "path", "tally").collect()
-    words = (
-        stats.filter("stats is not null")
-        .repartition(shards, "part")
-        .mapInArrow(_build_words(folder), STATS)
-        .select("shard", "path", "tally")
-        .collect()
-    )
+    # A file is complete or not there, and every attempt writes its own: whichever a row
+    # names, it holds the shard.
+    files = stats.repartition(shards, "part").mapInArrow(_build_words(folder), STATS).collect()
+    pairs = [row for row in files if row["part"] == PAIRS]
+    words = [row for row in files if row["part"] != PAIRS]
 
     def added(rows: list[Row], size: int) -> list[int]:
         return [sum(row["tally"][i] for row in rows) for i in range(size)]
@@ -373,7 +384,7 @@ def _score(model: Model) -> Callable:
             reader = Reader(model, scratch)
             weight = model.train_tokens + ADDED * (model.vocabulary + 1)
             for batch in batches:
-                for part in steps(batch):
+                for part in steps(batch, most=STEP):
                     hashes, rows = tokens(part.column("text"))
                     chance, count = reader.probabilities(hashes, contexts(hashes, rows))
                     size = part.num_rows
