@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 from basketry.llm import decontaminate, mixing, quality_rules, simhash, suffix_dedup
 from basketry.llm.common import read
-from basketry.session import shared_folder, tune
+from basketry.session import new_path, tune
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -59,7 +58,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages one after the other over `documents`; each reads what the one before wrote."""
-    folder = f"{shared_folder(spark)}/corpus/{uuid4().hex}"
+    folder = new_path(spark, "corpus")
     docs = read(spark, sf_dir, "documents")
     for number, (_, stage) in enumerate(STAGES):
         path = f"{folder}/{number}"
