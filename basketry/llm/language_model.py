@@ -31,7 +31,7 @@ FOLDS, HELD_OUT = 10, 0
 # Bytes of text tokenised at a time.
 STEP = 2 << 20
 # Tokens a task adds up before it passes its bigrams on.
-CHUNK_TOKENS = 1_000_000
+CHUNK_TOKENS = 1_500_000
 # The bigrams of one context lie in so many shards: none is that of a single word.
 SPREAD = 8
 # Blanks are in no word, so these are no word's hashes.
@@ -40,8 +40,9 @@ ADDED = 0.1
 
 COUNTED = "shard int, contexts binary, lengths binary, words binary, counts binary"
 STATS = "part int, stats binary, path string, shard int, tally array<long>"
-# The part of rows that name a file of bigrams.
-PAIRS = -1
+# The parts of rows that name a file of bigrams, and of those with MANY occurrences and more.
+PAIRS, FREQUENT = -1, -2
+MANY = 255
 # Per word: occurrences as a context, followers once, twice, oftener; occurrences, contexts.
 COLUMNS = 6
 
@@ -134,6 +135,7 @@ class Mapped:
     def __init__(self, uri: str, kinds: list[type], scratch: str):
         store, path = fs.FileSystem.from_uri(uri)
         if not isinstance(store, fs.LocalFileSystem):
+            # For the time of the task; the folder goes with it.
             near = os.path.join(scratch, uuid.uuid4().hex)
             fs.copy_files(path, near, source_filesystem=store, destination_filesystem=fs.LocalFileSystem())
             path = near
@@ -181,7 +183,11 @@ def _build_pairs(folder: str, parts: int) -> Callable:
         keys = keys[order]
         first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
         total = np.add.reduceat(counts[order], first).astype(np.uint32)
-        path = _write(folder, f"pairs-{shard}", [keys[first], total])
+        # A byte is enough for nearly all counts.
+        often = total >= MANY
+        few = np.minimum(total, MANY).astype(np.uint8)
+        path = _write(folder, f"pairs-{shard}", [keys[first], few])
+        frequent = _write(folder, f"frequent-{shard}", [keys[first[often]], total[often]])
         before, word = before[order[first]], word[order[first]]
         del keys, order, first, counts
         of_context, as_context = _grouped(before, [total, total == 1, total == 2, total > 2])
@@ -195,6 +201,7 @@ def _build_pairs(folder: str, parts: int) -> Callable:
             some = part == p
             yield _stats_row(p, names[some].tobytes() + sums[some].tobytes(), None, None, None)
         yield _stats_row(PAIRS, None, path, shard, _tally(total))
+        yield _stats_row(FREQUENT, None, frequent, shard, None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
@@ -239,8 +246,8 @@ def _build_words(folder: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
         for row in _rows(batches):
-            if row["part"] == PAIRS:
-                yield _stats_row(PAIRS, None, row["path"], row["shard"], row["tally"])
+            if row["part"] < 0:
+                yield _stats_row(row["part"], None, row["path"], row["shard"], row["tally"])
                 continue
             packed = np.frombuffer(row["stats"], np.uint64)
             size = len(packed) // (COLUMNS + 1)
@@ -271,6 +278,7 @@ class Model:
     """Where the files are, and the few numbers that concern all words. Small whatever the corpus."""
 
     pairs: dict[int, str]
+    frequent: dict[int, str]
     words: dict[int, str]
     shards: int
     pair_discounts: list[float]
@@ -300,7 +308,8 @@ def train(docs: DataFrame) -> Model:
     # names, it holds the shard.
     files = stats.repartition(shards, "part").mapInArrow(_build_words(folder), STATS).collect()
     pairs = [row for row in files if row["part"] == PAIRS]
-    words = [row for row in files if row["part"] != PAIRS]
+    frequent = [row for row in files if row["part"] == FREQUENT]
+    words = [row for row in files if row["part"] >= 0]
 
     def added(rows: list[Row], size: int) -> list[int]:
         return [sum(row["tally"][i] for row in rows) for i in range(size)]
@@ -308,6 +317,7 @@ def train(docs: DataFrame) -> Model:
     of_pairs, of_words = added(pairs, 6), added(words, 7)
     return Model(
         pairs={row["shard"]: row["path"] for row in pairs},
+        frequent={row["shard"]: row["path"] for row in frequent},
         words={row["shard"]: row["path"] for row in words},
         shards=shards,
         pair_discounts=_discounts(of_pairs),
@@ -326,7 +336,10 @@ class Reader:
         self.model = model
         kinds = [np.uint64, *[np.int64] * COLUMNS]
         self.words = {k: Mapped(uri, kinds, scratch) for k, uri in model.words.items()}
-        self.pairs = {k: Mapped(uri, [np.uint64, np.uint32], scratch) for k, uri in model.pairs.items()}
+        self.pairs = {k: Mapped(uri, [np.uint64, np.uint8], scratch) for k, uri in model.pairs.items()}
+        self.frequent = {
+            k: Mapped(uri, [np.uint64, np.uint32], scratch) for k, uri in model.frequent.items()
+        }
 
     def word_stats(self, hashes: np.ndarray) -> np.ndarray:
         """The COLUMNS sums of each of the sorted distinct hashes, zero for unknown ones."""
@@ -347,6 +360,9 @@ class Reader:
             asked = asked[order]
             at, here = mapped.find(keys[asked])
             out[asked[here]] = mapped.columns[1][at[here]]
+            often = asked[out[asked] == MANY]
+            at, _ = self.frequent[s].find(keys[often])
+            out[often] = self.frequent[s].columns[1][at]
         return out
 
     def probabilities(self, hashes: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -80,10 +80,10 @@ def zipf(seed=0, count=150):
     return [(i, t if i % 9 else t.upper(), "en", "a", 0) for i, t in enumerate(texts)]
 
 
-@pytest.mark.parametrize("chunk", [50, 2_000_000])
+@pytest.mark.parametrize("chunk", [50, 1_500_000])
 def test_against_dictionaries(spark, monkeypatch, chunk):
     monkeypatch.setattr(lm, "CHUNK_TOKENS", chunk)
-    data = zipf() + [(1000 + i, *r[1:]) for i, r in enumerate(corpus.rows())] + [(None, "w x y", None, None, 0)]
+    data = zipf() + [(500 + i, "very often here " * 40, "en", "a", 0) for i in range(20)] + [(1000 + i, *r[1:]) for i, r in enumerate(corpus.rows())] + [(None, "w x y", None, None, 0)]
     data += [data[3]]
     got = lm.held_out_scores(corpus.clashing(corpus.table(spark, data))).collect()
     plain = Plain([r[1] for r in data if not held_out(r[0])])
