@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import os
+import statistics
 import sys
 import time
 
@@ -47,6 +48,8 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     queries = registry()
     seconds: dict[str, float] = {}
+    medians: dict[str, float] = {}
+    slowest: dict[str, float] = {}
     for name in names:
         timings = []
         for _ in range(runs):
@@ -54,6 +57,8 @@ def main() -> None:
             queries[name](spark, folder).write.format("noop").mode("overwrite").save()
             timings.append(time.perf_counter() - start)
         seconds[name] = round(min(timings), 3)
+        medians[name] = round(statistics.median(timings), 3)
+        slowest[name] = round(max(timings), 3)
     print(
         json.dumps(
             {
@@ -63,6 +68,8 @@ def main() -> None:
                 "queries": seconds,
                 "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
                 "cpus": int(cpus),
+                "median": medians,
+                "slowest": slowest,
             }
         )
     )
