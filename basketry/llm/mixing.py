@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from basketry.llm.common import WORD, record
+from basketry.llm.common import GAP, WORD, record
 from basketry.session import written
 
 WEIGHTS = (5, 2, 1)
@@ -263,10 +263,18 @@ def with_taken(rows: DataFrame) -> DataFrame:
 
 
 def shards(rows: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """The mix itself: a row per draw, dealt to one partition per shard and shuffled inside it."""
+    """The mix itself: a row per draw, dealt to one partition per shard and shuffled inside it.
+
+    The text of a document taken in part ends after the words that are taken.
+    """
+    pieces = F.regexp_extract_all("doc.text", F.lit(f"(?:{GAP})?{WORD}"), F.lit(0))
+    begin = F.array_join(F.slice(pieces, F.lit(1), F.col("words").cast("int")), "")
+    text = F.when(F.col("words") < F.col("size"), begin).otherwise(F.col("doc.text"))
     return (
-        rows.select("doc", F.explode("draws").alias("draw"))
-        .select("draw.shard", "draw.turn", "draw.place", "draw.words", "doc")
+        rows.select("doc", "size", F.explode("draws").alias("draw"))
+        .select("draw.shard", "draw.turn", "draw.place", "draw.words", "size", "doc")
+        .withColumn("doc", F.col("doc").withField("text", text))
+        .drop("size")
         .repartition(2**depth, "shard")
         .sortWithinPartitions("shard", "place")
     )

@@ -79,6 +79,12 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc.doc_id", "size", "source_size", "target", "taken", "shards")
 
 
+def op9_mixing_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """The mix carried out, a row per draw: what the pipeline ends with, as a query of its own."""
+    rows = mixing.shards(mixing.mixed(read(tune(spark), folder, "documents")))
+    return rows.select("shard", "turn", "place", "words", "doc.*")
+
+
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path(TOKENIZER)
     rows = token_counts.token_counts(read(tune(spark), folder, "documents"), path)

@@ -104,3 +104,17 @@ def test_shards_hold_what_was_taken(spark):
     for r in placed:
         by_shard.setdefault(r["shard"], []).append(r["place"])
     assert all(places == sorted(places) for places in by_shard.values())
+
+
+def test_shards_leave_out_and_cut(spark):
+    """Documents that are not taken have no row; one taken in part keeps the blanks it is written with."""
+    data = [(1000 * s + i, "one  two\tthree\n four" + " more" * i, "en", f"s{s:02}", 0) for s in range(20) for i in range(30)]
+    rows = m.mixed(corpus.table(spark, data), block_rows=5)
+    taken = {r["doc_id"]: (r["size"], r["taken"]) for r in result(rows).collect()}
+    texts = {r[0]: r[1] for r in data}
+    got = m.shards(rows).select("words", "doc.doc_id", "doc.text").collect()
+    assert {r["doc_id"] for r in got} == {i for i, (_, words) in taken.items() if words}
+    assert any(words == 0 for _, words in taken.values())
+    for r in got:
+        assert len(r["text"].split()) == r["words"] and texts[r["doc_id"]].startswith(r["text"])
+    assert any(0 < words % size for size, words in taken.values())

@@ -109,3 +109,25 @@ def test_stages_on_an_empty_table(spark, tmp_path):
     corpus.empty(spark).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_corpus_holds_the_draws(spark, tmp_path):
+    """The registered pipeline gives what the mix takes, as often and as much of it, by shard."""
+    rows, item = data()
+    corpus.table(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    account = {r["doc_id"]: r for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
+    drawn = driver.queries()["pipeline"](spark, str(tmp_path))
+    got = drawn.collect()
+    taken = dict.fromkeys(account, 0)
+    for r in got:
+        assert len(r["text"].split()) == r["words"] > 0
+        assert account[r["doc_id"]]["text"].startswith(r["text"])
+        assert str(r["shard"]) in account[r["doc_id"]]["shards"].split(",")
+        taken[r["doc_id"]] += r["words"]
+    assert taken == {i: r["taken"] for i, r in account.items()}
+    assert len(got) > len({r["doc_id"] for r in got})
+    parts = drawn.rdd.map(lambda r: (r["shard"], r["place"])).glom().collect()
+    assert all(p == sorted(p) for p in parts)
+    shards = [s for p in parts for s in {shard for shard, _ in p}]
+    assert len(shards) == len(set(shards))
