@@ -516,6 +516,15 @@ def _same_doc(left: str = "", right: str = "_") -> Column:
     )
 
 
+def _is_first() -> Column:
+    """Whether the row is the place its column `first` names."""
+    return (
+        F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
+        & (F.col("version") == F.col("first.version"))
+        & (F.col("start") == F.col("first.start"))
+    )
+
+
 def _per_doc(rows: DataFrame, name: str, *columns: Column | str) -> DataFrame:
     """The rows of each document as one array; as many as its text has strings at most."""
     return rows.groupBy(F.col("doc_id").alias("_doc_id"), F.col("version").alias("_version")).agg(
@@ -552,13 +561,7 @@ def repeated_windows(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     )
     strings = written(strings)
     firsts = strings.select("m", "h", "n", "first").hint("shuffle_hash")
-    copies = listed.join(firsts, ["m", "h", "n"]).filter(
-        ~(
-            F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
-            & (F.col("version") == F.col("first.version"))
-            & (F.col("start") == F.col("first.start"))
-        )
-    )
+    copies = listed.join(firsts, ["m", "h", "n"]).filter(~_is_first())
     copies = copies.select("doc_id", "version", "start", "n")
 
     several = strings.groupBy("m").agg(
@@ -574,7 +577,13 @@ def repeated_windows(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     )
     crowded = written(parts.groupBy("key").count().filter(F.col("count") > CROWD).select("key"))
     single = parts.join(crowded, "key", "left_semi").mapInArrow(_single_windows(length), PARTS)
-    parts = parts.join(crowded, "key", "left_anti").unionByName(single)
+    single = single.select("key", "bytes", "doc_id", "version", "start", "n")
+    # However many equal windows there are: the earliest is found by partial aggregates, the others
+    # by a join that can be split. Different windows repeat nothing, so the transform gets none.
+    windows = single.groupBy("key", "bytes").agg(first.alias("first")).hint("shuffle_hash")
+    again = single.join(windows, ["key", "bytes"]).filter(~_is_first())
+    copies = copies.unionByName(again.select("doc_id", "version", "start", "n"))
+    parts = parts.join(crowded, "key", "left_anti")
     total = parts.agg(F.sum(F.col("n") + length - 1)).first()[0] or 0
     found = parts.repartition(max(1, math.ceil(total / COLLECTION)), "key").mapInArrow(
         _find_repeats(length), "doc_id long, version long, start long, n int"

@@ -133,3 +133,31 @@ def test_documents_without_repeats(spark):
     assert passage in rows[0]["text"] and passage not in rows[3]["text"]
     assert rows[9]["text"] is None and rows[10]["text"] == ""
     assert all(r["n_chars"] == len(r["text"]) for r in rows.values() if r["text"] is not None)
+
+
+def test_a_shared_passage_does_not_meet_in_one_task(spark, monkeypatch):
+    """Equal windows of a crowd are not gathered for the transform, and all but the first go."""
+    rng = random.Random(11)
+    passage = corpus.sentence(rng, 30)
+    data = [(i, f"{corpus.sentence(rng, 12)} {passage} {corpus.sentence(rng, 12)}", "en", "a", 0) for i in range(60)]
+    plain = s._find_repeats
+
+    def watched(length):
+        run = plain(length)
+
+        def checked(batches):
+            batches, crowd = list(batches), {}
+            for batch in batches:
+                for key in batch.column("key").to_pylist():
+                    crowd[key] = crowd.get(key, 0) + 1
+            assert max(crowd.values(), default=0) <= 20
+            yield from run(iter(batches))
+
+        return checked
+
+    monkeypatch.setattr(s, "CROWD", 20)
+    monkeypatch.setattr(s, "_find_repeats", watched)
+    got = s.cut_digest(corpus.table(spark, data)).collect()
+    bodies = [r[1].encode() for r in data]
+    expected = [(r[0], *digest(b, x)) for r, b, x in zip(data, bodies, covered(bodies, 100), strict=True)]
+    assert sorted(tuple(r) for r in got) == expected
