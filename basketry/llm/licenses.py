@@ -123,12 +123,16 @@ RULES: list[tuple[str, tuple[str, ...]]] = [
 ]
 
 # Every known sentence holds one of these, so a text without them needs no cutting.
-HINT = "licen|permission|redistribution|software|warranty|public domain|copyright|rights reserved|mozilla|mpl"
+# Between two words may stand a line break and the marks of a comment.
+BETWEEN = r"\W+(?:[a-z]\)\W+)?"
+HINT = f"licen|permission|redistribution|software|warranty|public{BETWEEN}domain|copyright|rights{BETWEEN}reserved|mozilla|mpl"
 VERSION = r"(\d+(?:\.\d+)*)"
 # Marks before a line of a comment.
-COMMENT = re.compile(r"^[ \t]*(?:/\*+|\*+/|\*|//+|#+|--+|;+|%+|<!--|\d+\.|\([a-z]\))?[ \t]*", re.MULTILINE)
-# A colon ends a sentence only where a list follows on lines of its own.
-SENTENCE_END = re.compile(r"(?<=[.!?])(?<!\bv\.)\s+|(?<=:)\s*\n\s*")
+COMMENT = re.compile(r"^[ \t]*(?:/\*+|\*+/|\*|//+|#+|--+|;+|%+|<!--|\([a-z]\))?[ \t]*", re.MULTILINE)
+# Where a sentence may begin or end; known ones may also go on there.
+PIECE_END = re.compile(r"(?<=[.!?:])\s+|\s*\n\s*")
+# Marks of a list before a sentence.
+ITEM = re.compile(r"^(?:\([a-z\d]\)|\d{1,2}[.)])\s+")
 QUOTES = str.maketrans({"“": '"', "”": '"', "‘": "'", "’": "'"})
 
 MATCHES = T.ArrayType(
@@ -145,7 +149,7 @@ MATCHES = T.ArrayType(
 
 def normal(sentence: str) -> str:
     text = " ".join(sentence.translate(QUOTES).lower().split())
-    return text.strip(" .:;!?*/#-")
+    return ITEM.sub("", text).strip(" .:;!?*/#-")
 
 
 def _versioned(sentence: str) -> re.Pattern:
@@ -158,6 +162,12 @@ class Catalogue:
     def __init__(self) -> None:
         self.exact = {normal(s): name for name, s in SENTENCES.items() if "{version}" not in s}
         self.patterns = [(name, _versioned(s)) for name, s in SENTENCES.items() if "{version}" in s]
+        # By the first two words, the words of the longest sentence that begins with them.
+        self.begins: dict[tuple[str, ...], int] = {}
+        for sentence in SENTENCES.values():
+            words = normal(sentence).split()
+            pair = tuple(w.strip(" .:;!?*/#-") for w in words[:2])
+            self.begins[pair] = max(self.begins.get(pair, 0), len(words))
 
     def identify(self, sentence: str) -> tuple[str, str | None] | None:
         text = normal(sentence)
@@ -169,34 +179,37 @@ class Catalogue:
         return None
 
     def sentences(self, text: str) -> list[tuple[str, str | None] | None]:
-        """The identifier of each sentence in order, None for unknown ones.
+        """The identifiers in the order of the text, None for every piece that is in no known sentence.
 
-        A sentence may go over several lines. One that is not known as a whole may
-        be a heading or prose without a mark before a notice: its lines are then looked up, and
-        every run of lines up to its end.
+        The text is cut at line breaks and at blanks after marks; a known sentence is the longest run of
+        pieces, so it may go over several lines and stand after a heading or a colon.
         """
+        pieces = [p for p in PIECE_END.split(COMMENT.sub("", text)) if p.strip()]
         out: list[tuple[str, str | None] | None] = []
-        for sentence in SENTENCE_END.split(COMMENT.sub("", text)):
-            if not sentence.strip():
-                continue
-            known = self.identify(sentence)
-            if known or "\n" not in sentence:
-                out.append(known)
-                continue
-            lines = [line for line in sentence.split("\n") if line.strip()]
-            # The longest known ending; what stands before it, line by line.
-            ending = next(
-                (i for i in range(1, len(lines)) if len(lines) - i <= MAX_LINES and self.identify(" ".join(lines[i:]))),
-                len(lines),
-            )
-            out += [self.identify(line) for line in lines[:ending]]
-            if ending < len(lines):
-                out.append(self.identify(" ".join(lines[ending:])))
+        begin = 0
+        while begin < len(pieces):
+            known, end = None, begin + 1
+            for stop in range(min(len(pieces), begin + self._most_pieces(pieces, begin)), begin, -1):
+                if known := self.identify(" ".join(pieces[begin:stop])):
+                    end = stop
+                    break
+            out.append(known)
+            begin = end
         return out
 
+    def _most_pieces(self, pieces: list[str], begin: int) -> int:
+        """How many pieces a known sentence that begins like these may take, 0 if none does."""
+        words: list[str] = []
+        for stop in range(begin, len(pieces)):
+            words = normal(" ".join(pieces[begin : stop + 1])).split()
+            if len(words) > 1 or stop - begin >= MARKS:
+                break
+        # A piece has a word at least, but for marks before the sentence.
+        return self.begins.get(tuple(w.strip(" .:;!?*/#-") for w in words[:2]), -MARKS) + MARKS
 
-# Lines that the longest known sentence may take.
-MAX_LINES = 40
+
+# Pieces without a word that may stand before or inside a sentence.
+MARKS = 4
 
 
 def match_rules(found: list[tuple[str, str | None] | None]) -> list[dict]:

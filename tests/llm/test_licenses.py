@@ -65,3 +65,27 @@ def test_documents(spark):
     found = {r["doc_id"]: (r["licenses"], r["n_matches"]) for r in got if r["n_matches"]}
     assert found == {900: ("MIT", 1), 901: ("CC-BY-NC-4.0,MIT", 3)}
     assert li.license_matches(corpus.empty(spark)).collect() == []
+
+
+def layouts(wanted):
+    """The sentences of a rule on one line, wrapped at every blank, and wrapped inside a comment."""
+    marked = [S[w].replace("{version}", "3").replace("{holder}", "the copyright holders") for w in wanted]
+    line = " ".join(x + (":" if x.endswith(("conditions", "are met")) else ".") for x in marked)
+    return [line, line.replace(" ", "\n"), "# " + line.replace(" ", "\n# "), line.replace(" ", "  ")]
+
+
+@pytest.mark.parametrize("name, wanted", li.RULES)
+def test_layout_loses_nothing(name, wanted):
+    for text in layouts(wanted):
+        assert re.search(li.HINT, text, re.IGNORECASE)
+        assert named(text) == [(name.format("3"), wanted)]
+        assert named("A heading\n" + text) == [(name.format("3"), wanted)]
+        assert named("License: " + text) == [(name.format("3"), wanted)]
+
+
+def test_numbered_and_wrapped_hints(spark):
+    text = S["bsd-grant"] + ": 1. " + S["bsd-source"] + ". (b) " + S["bsd-binary"] + "."
+    assert [x for x, _ in named(text)] == ["BSD-2-Clause"]
+    data = [(1, "This work is in the public\ndomain.", "en", "a", 0), (2, "All rights\n * reserved.", "en", "a", 0)]
+    got = li.with_names(li.license_matches(corpus.table(spark, data))).collect()
+    assert {r["doc_id"]: r["licenses"] for r in got} == {1: "Public-Domain", 2: "All-Rights-Reserved"}
