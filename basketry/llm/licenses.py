@@ -20,12 +20,12 @@ from pyspark.sql import types as T
 from basketry.llm.common import steps, texts
 
 # Sentences of well-known licences and notices, normalised (lower case, single
-# blanks, no mark at the end). {version} stands for a number.
+# blanks, no mark at the end). {version} stands for a number, {holder} for any name.
 SENTENCES: dict[str, str] = {
     "mit-grant": "permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"software\"), to deal in the software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the software, and to permit persons to whom the software is furnished to do so, subject to the following conditions",
     "mit-notice": "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software",
     "mit-warranty": "the software is provided \"as is\", without warranty of any kind, express or implied, including but not limited to the warranties of merchantability, fitness for a particular purpose and noninfringement",
-    "mit-liability": "in no event shall the authors or copyright holders be liable for any claim, damages or other liability, whether in an action of contract, tort or otherwise, arising from, out of or in connection with the software or the use or other dealings in the software",
+    "mit-liability": "in no event shall {holder} be liable for any claim, damages or other liability, whether in an action of contract, tort or otherwise, arising from, out of or in connection with the software or the use or other dealings in the software",
     "mit-named": "released under the mit license",
     "mit-named-2": "licensed under the mit license",
     "mit-named-3": "this project is licensed under the mit license",
@@ -36,8 +36,8 @@ SENTENCES: dict[str, str] = {
     "bsd-grant": "redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
     "bsd-source": "redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer",
     "bsd-binary": "redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution",
-    "bsd-names": "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
-    "bsd-warranty": "this software is provided by the copyright holders and contributors \"as is\" and any express or implied warranties, including, but not limited to, the implied warranties of merchantability and fitness for a particular purpose are disclaimed",
+    "bsd-names": "neither the name of {holder} nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+    "bsd-warranty": "this software is provided by {holder} \"as is\" and any express or implied warranties, including, but not limited to, the implied warranties of merchantability and fitness for a particular purpose are disclaimed",
     "bsd-named": "licensed under the bsd license",
     "bsd-3-named": "licensed under the bsd 3-clause license",
     "bsd-2-named": "licensed under the bsd 2-clause license",
@@ -126,7 +126,10 @@ RULES: list[tuple[str, tuple[str, ...]]] = [
 # Between two words may stand a line break and the marks of a comment.
 BETWEEN = r"\W+(?:[a-z]\)\W+)?"
 HINT = f"licen|permission|redistribution|software|warranty|public{BETWEEN}domain|copyright|rights{BETWEEN}reserved|mozilla|mpl"
-VERSION = r"(\d+(?:\.\d+)*)"
+VERSION = r"(?P<version>\d+(?:\.\d+)*)"
+HOLDER = r".+?"
+# Words of a holder at most.
+HOLDER_WORDS = 100
 # Marks before a line of a comment.
 COMMENT = re.compile(r"^[ \t]*(?:/\*+|\*+/|\*|//+|#+|--+|;+|%+|<!--|\([a-z]\))?[ \t]*", re.MULTILINE)
 # Where a sentence may begin or end; known ones may also go on there.
@@ -134,6 +137,8 @@ PIECE_END = re.compile(r"(?<=[.!?:])\s+|\s*\n\s*")
 # Marks of a list before a sentence.
 ITEM = re.compile(r"^(?:\([a-z\d]\)|\d{1,2}[.)])\s+")
 QUOTES = str.maketrans({"“": '"', "”": '"', "‘": "'", "’": "'"})
+# Double quotes made of single ones.
+DOUBLE = re.compile(r"``|''")
 
 MATCHES = T.ArrayType(
     T.StructType(
@@ -148,26 +153,28 @@ MATCHES = T.ArrayType(
 
 
 def normal(sentence: str) -> str:
-    text = " ".join(sentence.translate(QUOTES).lower().split())
+    text = DOUBLE.sub('"', " ".join(sentence.translate(QUOTES).lower().split()))
     return ITEM.sub("", text).strip(" .:;!?*/#-")
 
 
 def _versioned(sentence: str) -> re.Pattern:
-    return re.compile(re.escape(normal(sentence)).replace(re.escape("{version}"), VERSION))
+    pattern = re.escape(normal(sentence)).replace(re.escape("{version}"), VERSION)
+    return re.compile(pattern.replace(re.escape("{holder}"), HOLDER))
 
 
 class Catalogue:
-    """The known sentences, looked up by text; those with a version by pattern."""
+    """The known sentences, looked up by text; those with a variable part by pattern."""
 
     def __init__(self) -> None:
-        self.exact = {normal(s): name for name, s in SENTENCES.items() if "{version}" not in s}
-        self.patterns = [(name, _versioned(s)) for name, s in SENTENCES.items() if "{version}" in s]
+        self.exact = {normal(s): name for name, s in SENTENCES.items() if "{" not in s}
+        self.patterns = [(name, _versioned(s)) for name, s in SENTENCES.items() if "{" in s]
         # By the first two words, the words of the longest sentence that begins with them.
         self.begins: dict[tuple[str, ...], int] = {}
         for sentence in SENTENCES.values():
             words = normal(sentence).split()
             pair = tuple(w.strip(" .:;!?*/#-") for w in words[:2])
-            self.begins[pair] = max(self.begins.get(pair, 0), len(words))
+            most = len(words) + HOLDER_WORDS * ("{holder}" in words)
+            self.begins[pair] = max(self.begins.get(pair, 0), most)
 
     def identify(self, sentence: str) -> tuple[str, str | None] | None:
         text = normal(sentence)
@@ -175,7 +182,7 @@ class Catalogue:
             return name, None
         for name, pattern in self.patterns:
             if found := pattern.fullmatch(text):
-                return name, found[1]
+                return name, found.groupdict().get("version")
         return None
 
     def sentences(self, text: str) -> list[tuple[str, str | None] | None]:

@@ -89,3 +89,15 @@ def test_numbered_and_wrapped_hints(spark):
     data = [(1, "This work is in the public\ndomain.", "en", "a", 0), (2, "All rights\n * reserved.", "en", "a", 0)]
     got = li.with_names(li.license_matches(corpus.table(spark, data))).collect()
     assert {r["doc_id"]: r["licenses"] for r in got} == {1: "Public-Domain", 2: "All-Rights-Reserved"}
+
+
+@pytest.mark.parametrize("holder", ["Google Inc.", "the copyright holder", "J. R. Smith & Co. Ltd.", "the regents and contributors"])
+def test_named_holders(holder):
+    """A BSD-3 text that names its holder is not BSD-2, in any layout."""
+    wanted = ("bsd-grant", "bsd-source", "bsd-binary", "bsd-names", "bsd-warranty")
+    text = " ".join(S[w].replace("{holder}", holder) + "." for w in wanted)
+    for layout in (text, text.replace(" ", "\n"), text.replace('"as is"', "``AS IS''")):
+        assert named(layout) == [("BSD-3-Clause", wanted)]
+    wanted = ("mit-grant", "mit-notice", "mit-warranty", "mit-liability")
+    assert named(". ".join(S[w].replace("{holder}", holder) for w in wanted)) == [("MIT", wanted)]
+    assert [x for x, _ in named("Copyright Google Inc. All rights reserved.")] == ["All-Rights-Reserved"]
