@@ -89,14 +89,15 @@ def _features() -> Callable:
     return run
 
 
-def _telling(counts: np.ndarray, others: np.ndarray, n: int, m: int) -> np.ndarray:
-    """Features that far more of the n positives hold than chance gives, and at a higher rate by LIFT.
+def _telling(counts: np.ndarray, others: np.ndarray, n: int, m: int, prior: float) -> np.ndarray:
+    """Features that far more of the n positives hold than chance gives, and by LIFT more than clean text.
 
-    The unlabelled examples hold toxic ones too, so the lift of the best feature is 1 / prior.
+    The unlabelled examples hold toxic ones too: what these add to the rate is taken off it.
     """
     expected = others * (n / m)
+    clean = np.maximum(expected - prior * counts, 0) / (1 - prior)
     return np.flatnonzero(
-        (counts - expected > SIGMAS * np.sqrt(expected + 1)) & (counts > LIFT * expected)
+        (counts - expected > SIGMAS * np.sqrt(expected + 1)) & (counts > LIFT * clean)
     )
 
 
@@ -110,7 +111,7 @@ def fit(features: list[np.ndarray], toxic: np.ndarray, prior: float) -> tuple[np
     flat = np.concatenate(features).astype(np.int64)
     size = 1 << BITS
     used = _telling(
-        np.bincount(flat[toxic[rows]], minlength=size), np.bincount(flat[~toxic[rows]], minlength=size), n, m
+        np.bincount(flat[toxic[rows]], minlength=size), np.bincount(flat[~toxic[rows]], minlength=size), n, m, prior
     )
     column = np.full(size, -1)
     column[used] = np.arange(len(used))

@@ -72,3 +72,18 @@ def test_risk_is_not_driven_below_zero():
     positives = [np.unique(np.append(rng.integers(100, 400, 20), 7)).astype(int) for _ in range(80)]
     weights, bias = t.fit(positives + features, np.r_[np.ones(80, bool), np.zeros(600, bool)], 0.1)
     assert 1 / (1 + np.exp(-(weights[7] + bias))) > 0.5 > 1 / (1 + np.exp(-bias))
+
+
+def test_many_toxic_examples():
+    """With 45 % toxic among the unlabelled, the words that tell still get weights."""
+    rng = np.random.default_rng(1)
+
+    def example(toxic):
+        words = rng.integers(100, 400, 20)
+        return np.unique(np.append(words, rng.choice([7, 8, 9], 2) if toxic else []).astype(int))
+
+    truth = rng.random(2000) < 0.45
+    unlabelled, positives = [example(x) for x in truth], [example(True) for _ in range(600)]
+    weights, bias = t.fit(positives + unlabelled, np.r_[np.ones(600, bool), np.zeros(2000, bool)], 0.45)
+    called = np.array([1 / (1 + np.exp(-(weights[f].sum() + bias))) >= t.THRESHOLD for f in unlabelled])
+    assert (called == truth).mean() > 0.97
