@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.llm import (
+    byte_bpe,
+    conversations,
     decontaminate,
     language_model,
     licenses,
     mixing,
+    periodic_runs,
     quality_classifier,
     quality_rules,
     simhash,
@@ -25,6 +28,7 @@ from basketry.session import tune
 
 TOKENIZER = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
+RANKS = "byte_bpe_multi_50k.tiktoken"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -91,6 +95,22 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return rows.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = periodic_runs.with_planted_runs(read(tune(spark), folder, "documents"))
+    return periodic_runs.run_digest(periodic_runs.periodic_runs(docs))
+
+
+def op12_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path(RANKS)
+    ids = byte_bpe.encode(read(tune(spark), folder, "documents"), path, public_tokenizers.PATTERN)
+    return byte_bpe.round_trip_digest(byte_bpe.decode(ids, path))
+
+
+def op13_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    rows = conversations.damaged(read(tune(spark), folder, "conversations"))
+    return conversations.repair_digest(conversations.repair(rows))
+
+
 QUERIES: dict[str, Query] = {
     "op1_licenses": op1_licenses,
     "op2_language_model": op2_language_model,
@@ -102,4 +122,7 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_mixing": op9_mixing,
     "op10_token_counts": op10_token_counts,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_byte_bpe": op12_byte_bpe,
+    "op13_conversations": op13_conversations,
 }
