@@ -27,7 +27,7 @@ SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 # Letters only, so a pre-token by itself.
 PLAIN = "^ ?[A-Za-zÀ-ÖØ-öø-ÿ]+$"
 # Text of a block: what is replayed together.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 # Text that is cut into stretches at a time: little enough for a processor's cache.
 STEP_BYTES = 1 << 20
 
@@ -46,13 +46,13 @@ class Vocabulary:
                 if left is not None and right is not None:
                     pairs[left * (self.size + 1) + right] = rank
         self.keys = np.array(sorted(pairs), np.int64)
-        self.merged = np.array([pairs[k] for k in self.keys.tolist()], np.int64)
+        self.merged = np.array([pairs[k] for k in self.keys.tolist()], np.int32)
         self.tokens = pa.array(list(tokens), pa.binary())
         self.token_ranks = np.array(list(tokens.values()), np.int64)
 
     def of_pairs(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank each pair merges to, -1 if none. `size` is a token that pairs with nothing."""
-        key = left * (self.size + 1) + right
+        key = left.astype(np.int64) * (self.size + 1) + right
         at = np.minimum(np.searchsorted(self.keys, key), max(len(self.keys) - 1, 0))
         if not len(self.keys):
             return np.full(len(key), -1)
@@ -95,14 +95,14 @@ class Replay:
         body, sizes = _bytes(words)
         self.begins = np.cumsum(sizes + 1) - sizes
         taken = spans(self.begins, sizes)
-        self.token = np.full(1 + int((sizes + 1).sum()), vocabulary.size, np.int64)
+        self.token = np.full(1 + int((sizes + 1).sum()), vocabulary.size, np.int32)
         self.token[taken] = vocabulary.by_byte[body]
-        self.next = np.arange(1, len(self.token) + 1)
-        self.previous = np.arange(-1, len(self.token) - 1)
-        self.rank = np.full(len(self.token), -1)
+        self.next = np.arange(1, len(self.token) + 1, dtype=np.int32)
+        self.previous = np.arange(-1, len(self.token) - 1, dtype=np.int32)
+        self.rank = np.full(len(self.token), -1, np.int32)
         self.index: dict[int, list[np.ndarray]] = {}
         self.again: set[int] = set()
-        self._enter(taken, -1)
+        self._enter(taken.astype(np.int32), -1)
 
     def _enter(self, places: np.ndarray, current: int) -> None:
         """Looks up the pairs that begin at the places and enters them under their ranks."""
@@ -142,7 +142,7 @@ class Replay:
         meets = after[:-1][after[:-1] == places[1:]]
         if len(meets):
             # One by one, a merge would for a moment stand before what the next one is made of.
-            self._check(meets, self.vocabulary.of_pairs(np.full(len(meets), rank), self.token[meets]), rank)
+            self._check(meets, self.vocabulary.of_pairs(np.full(len(meets), rank, np.int32), self.token[meets]), rank)
         self.token[places] = rank
         self.rank[gone] = -1
         self.token[gone] = -1
@@ -259,17 +259,25 @@ def pre_tokens(found: pa.StringArray, pattern: regex.Pattern) -> tuple[pa.Array,
     return coded.dictionary, ordered, counts
 
 
-def encode_texts(vocabulary: Vocabulary, pattern: regex.Pattern, parts: list[pa.StringArray]) -> pa.ListArray:
-    """The ids of each text of all parts; all different pre-tokens are encoded together."""
+def encode_texts(
+    vocabulary: Vocabulary, pattern: regex.Pattern, parts: list[pa.StringArray]
+) -> Iterator[pa.ListArray]:
+    """The ids of each text, part by part; the different pre-tokens of all parts are encoded together."""
     cuts = [_stretches(bodies) for bodies in parts]
+    per_part = [counts for _, counts in cuts]
     coded = pa.concat_arrays([found for found, _ in cuts]).dictionary_encode()
-    per_text = np.concatenate([counts for _, counts in cuts])
+    del cuts
+    codes = coded.indices.to_numpy()
     names, pieces, counts = pre_tokens(coded.dictionary, pattern)
     ids, lengths = encode_words(vocabulary, names.cast(pa.binary()))
     ids, lengths = _gathered(ids.astype(np.int32), lengths, pieces, counts)
-    ids, lengths = _gathered(ids, lengths, coded.indices.to_numpy(), per_text)
-    offsets = pa.array(np.append(0, np.cumsum(lengths)), pa.int32())
-    return pa.ListArray.from_arrays(offsets, pa.array(ids))
+    begin = 0
+    for per_text in per_part:
+        end = begin + int(per_text.sum())
+        tokens, n_tokens = _gathered(ids, lengths, codes[begin:end], per_text)
+        begin = end
+        offsets = pa.array(np.append(0, np.cumsum(n_tokens)), pa.int32())
+        yield pa.ListArray.from_arrays(offsets, pa.array(tokens))
 
 
 def _gathered(
@@ -294,12 +302,9 @@ def _encode(path: str, pattern: str, block_bytes: int) -> Callable:
         compiled = regex.compile(own_spaces(pattern))
 
         def encoded(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            ids = encode_texts(vocabulary, compiled, [texts(p.column("text")) for p in parts])
-            begin = 0
-            for part in parts:
-                some = ids.slice(begin, part.num_rows)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), some], names=["doc_id", "ids"])
-                begin += part.num_rows
+            bodies = [texts(part.column("text")) for part in parts]
+            for part, ids in zip(parts, encode_texts(vocabulary, compiled, bodies), strict=True):
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), ids], names=["doc_id", "ids"])
 
         block: list[pa.RecordBatch] = []
         size = 0
@@ -316,6 +321,10 @@ def _encode(path: str, pattern: str, block_bytes: int) -> Callable:
     return run
 
 
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
 def encode(docs: DataFrame, path: str, pattern: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id and ids (array of int) of every row.
 
@@ -324,8 +333,7 @@ def encode(docs: DataFrame, path: str, pattern: str, block_bytes: int = BLOCK_BY
     tokens are ordinary text. Texts of any length are encoded whole, repeated rows each; null ids
     stay, and other columns are left alone.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_encode(path, pattern, block_bytes), "doc_id long, ids array<int>")
+    return _texts(docs).mapInArrow(_encode(path, pattern, block_bytes), "doc_id long, ids array<int>")
 
 
 def _decode(path: str) -> Callable:
@@ -357,6 +365,15 @@ def decode(rows: DataFrame, path: str) -> DataFrame:
     return rows.select("doc_id", filled).mapInArrow(_decode(path), "doc_id long, ids array<int>, decoded binary")
 
 
+def round_trip(docs: DataFrame, path: str, pattern: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """doc_id, ids and decoded as `encode` and then `decode` give them, in one Python worker per task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _decode(path)(_encode(path, pattern, block_bytes)(batches))
+
+    return _texts(docs).mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
+
+
 def round_trip_digest(rows: DataFrame) -> DataFrame:
     """doc_id, the number of ids, and checksums of the ids and of what they decode to."""
     joined = F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary")

@@ -101,9 +101,9 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op12_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
-    path = public_tokenizers.path(RANKS)
-    ids = byte_bpe.encode(read(tune(spark), folder, "documents"), path, public_tokenizers.PATTERN)
-    return byte_bpe.round_trip_digest(byte_bpe.decode(ids, path))
+    docs = read(tune(spark), folder, "documents")
+    rows = byte_bpe.round_trip(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+    return byte_bpe.round_trip_digest(rows)
 
 
 def op13_conversations(spark: SparkSession, folder: str) -> DataFrame:
