@@ -106,9 +106,9 @@ def latest_per_key(
     """The `count` most recent rows of every key (all rows of a key that has fewer).
 
     Rows without a key belong to nobody and drop out; rows without a moment are
-    the least recent ones. Rows are ranked inside (key, clock hour) and shifted by
-    the number of later rows of the key, for every count alike: no task sees more of
-    a hot key than one hour of rows, or one count per hour.
+    the least recent ones. Rows are ranked inside (key, clock hour), where the first `count` are
+    left before anything is moved, and shifted by the number of later rows of the key, for every
+    count alike: no task sees more of a hot key than one hour of rows, or one count per hour.
     """
     newest = [F.col(moment).desc_nulls_last(), F.col(tie_break).desc_nulls_last()]
     hourly = [*keys, "_hour"]
@@ -134,6 +134,7 @@ def latest_per_key(
     rank = F.row_number().over(W.partitionBy(*hourly).orderBy(*newest))
     return (
         rows.withColumn("_rank", rank)
+        .filter(F.col("_rank") <= count)
         .join(offsets, same)
         .filter(F.col("_rank") + F.col("_later") <= count)
         .select(*df.columns)

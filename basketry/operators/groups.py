@@ -221,6 +221,82 @@ def group_profile(
     )
 
 
+def pair_candidates(history: DataFrame, analysis: Column, min_purchases: int = 2) -> DataFrame:
+    """What an offer asks of a pair before its affinity, from one aggregation without a time line.
+
+    `first` and `last` are the bounds that `with_affinity` counts the customer's visits between.
+    """
+    return (
+        _pair_totals(history)
+        .filter(F.col("purchases") >= min_purchases)
+        .select(
+            *PAIR,
+            F.col("purchases").alias("group_purchase"),
+            _churn_rate(analysis).alias("group_churn_rate"),
+            "group_margin",
+            _discount_share().alias("group_discount_share"),
+            F.col("line_discount_min").alias("group_minimum_discount"),
+            "group_summ_paid",
+            "first",
+            "last",
+        )
+    )
+
+
+def with_affinity(pairs: DataFrame, history: DataFrame, mode: str = "spec") -> DataFrame:
+    """Adds group_affinity_index to pairs that have group_purchase, first and last.
+
+    Only visits of customers who still have a pair are laid on a time line: the purchase
+    history is cut to them before any of it is moved for that. The visits up to a
+    moment are those of the earlier clock hours, one count per customer and hour, and those of its own
+    hour, ranked together with the questions of the pairs.
+    """
+    moment = F.col("transaction_datetime")
+    visits = history.select("customer_id", "transaction_id", "transaction_datetime")
+    asking = pairs.select("customer_id").distinct()
+    visits = visits.join(asking, "customer_id", "left_semi")
+    if check_mode(mode) == "spec":
+        visits = visits.distinct()
+    visits = visits.select("customer_id", moment.alias("at"), hour_bucket(moment).alias("hour"))
+    earlier = W.partitionBy("customer_id").orderBy("hour").rowsBetween(W.unboundedPreceding, -1)
+    past = visits.groupBy("customer_id", "hour").agg(F.count(F.lit(1)).alias("visits")).select(
+        "customer_id", "hour", F.coalesce(F.sum("visits").over(earlier), F.lit(0)).alias("past")
+    )
+    # At one moment: first purchases ask before the visits, last ones behind them.
+    begin, visit, end = 0, 1, 2
+    question = F.explode(
+        F.array(
+            F.struct(F.lit(begin).alias("kind"), F.col("first").alias("at")),
+            F.struct(F.lit(end).alias("kind"), F.col("last").alias("at")),
+        )
+    )
+    others = [name for name in pairs.columns if name not in PAIR]
+    asked = pairs.select(*PAIR, F.struct(*others).alias("pair"), question.alias("asked")).select(
+        *PAIR, "pair", "asked.kind", "asked.at", hour_bucket("asked.at").alias("hour")
+    )
+    events = asked.unionByName(visits.withColumn("kind", F.lit(visit)), allowMissingColumns=True)
+    so_far = (
+        W.partitionBy("customer_id", "hour").orderBy("at", "kind").rowsBetween(W.unboundedPreceding, 0)
+    )
+    seen = F.sum((F.col("kind") == visit).cast("long")).over(so_far)
+    sign = F.when(F.col("kind") == end, 1).otherwise(-1)
+    return (
+        events.withColumn("seen", seen)
+        .filter(F.col("kind") != visit)
+        .join(past, ["customer_id", "hour"])
+        .groupBy(*PAIR)
+        .agg(
+            F.first("pair").alias("pair"),
+            F.sum(sign * (F.col("past") + F.col("seen"))).alias("visits"),
+        )
+        .select(
+            *PAIR,
+            "pair.*",
+            ratio(F.col("pair.group_purchase"), F.col("visits")).alias("group_affinity_index"),
+        )
+    )
+
+
 def _churn_rate(analysis: Column) -> Column:
     """Whole days since the last purchase over the average interval of purchases."""
     interval = purchase_interval(F.col("first"), F.col("last"), F.col("purchases"))

@@ -82,9 +82,10 @@ def discounted_history(tables: Tables, mode: str = "spec") -> DataFrame:
     line_discount_min: smallest non-zero discount rate, NULL if none.
     discount_count: 1 if the group was bought at a discount in the transaction, else 0.
 
-    The measures look at every check line of the group, priced or not, so a product's
-    prices go along with its group and rows without any priced line are dropped after
-    the aggregation; the facts are read once for both and meet the products in one join.
+    The measures look at every check line of the group, priced or not, so prices are joined
+    on the left, by product and store, and rows without any priced line are dropped after
+    the aggregation; the facts are read once for both. A product listed in very many stores
+    meets as many rows as it has stores, and one with very many lines is split by store.
     mode="as_written" looks at all lines of the transaction, whatever their
     group, and counts lines instead of transactions.
     """
@@ -98,33 +99,25 @@ def discounted_history(tables: Tables, mode: str = "spec") -> DataFrame:
         )
         return purchase_history(tables).join(whole_receipts, "transaction_id")
 
-    # One row per product: its group, and per store how many prices there are and their sum.
+    # One row per product and store: how many prices there are, and their sum.
     kind = tables.stores.schema["sku_purchase_price"].dataType
     listed = (
         tables.stores.filter(F.col("transaction_store_id").isNotNull())
         .groupBy("sku_id", "transaction_store_id")
         .agg(
-            F.count(F.lit(1)).alias("times"),
+            # Short, so that money keeps its places in the product.
+            F.count(F.lit(1)).cast("decimal(10,0)").alias("times"),
             F.sum("sku_purchase_price").cast(kind).alias("price"),
         )
-        .groupBy("sku_id")
-        .agg(
-            F.map_from_entries(
-                F.collect_list(F.struct("transaction_store_id", F.struct("times", "price")))
-            ).alias("listed")
-        )
     )
-    products = tables.product_grid.select("sku_id", "group_id").join(listed, "sku_id", "left")
-    price = F.col("listed")[F.col("transaction_store_id")]
-    # Short, so that money keeps its places in the product.
-    times = F.col("price.times").cast("decimal(5,0)")
+    times = F.col("times")
     return (
         _receipt_lines(tables)
-        .join(products, "sku_id")
-        .withColumn("price", price)
+        .join(tables.product_grid.select("sku_id", "group_id"), "sku_id")
+        .join(listed, ["sku_id", "transaction_store_id"], "left")
         .groupBy(*HISTORY_KEY)
         .agg(
-            F.sum(F.col("price.price") * F.col("sku_amount")).alias("group_cost"),
+            F.sum(F.col("price") * F.col("sku_amount")).alias("group_cost"),
             F.sum(F.col("sku_summ") * times).alias("group_summ"),
             F.sum(F.col("sku_summ_paid") * times).alias("group_summ_paid"),
             F.min(rate).alias("line_discount_min"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
@@ -14,6 +15,7 @@ from basketry.operators.periods import PAIR
 from basketry.schema import Tables
 
 Moment = date | datetime | str
+Affinity = Callable[[DataFrame], DataFrame]
 
 
 def _moment(value: Moment | None) -> Column:
@@ -105,6 +107,7 @@ def reward_group(
     rounding: str = "up",
     margin_basis: str = "customer_total",
     price_margin: DataFrame | None = None,
+    affinity: Affinity | None = None,
 ) -> DataFrame:
     """The group each customer is rewarded in, with the discount.
 
@@ -114,7 +117,8 @@ def reward_group(
 
     margin_basis: customer_total (the pair's margin in money), customer_ratio
     (margin over paid sum) or price_list (`price_margin` of the group).
-    per="group" picks the best customer of each group instead.
+    per="group" picks the best customer of each group instead. `affinity` adds
+    group_affinity_index to the qualifying pairs where `details` lacks it.
     """
     if margin_basis == "price_list":
         pairs = details.join(price_margin, "group_id")
@@ -134,6 +138,8 @@ def reward_group(
         & (F.col("group_discount_share") <= F.lit(max_discount_share / 100))
         & (F.col("offer_discount_depth") < basis * F.lit(float(share)))
     )
+    if affinity is not None:
+        qualified = affinity(qualified)
     owner, other = ("customer_id", "group_id") if per == "customer" else ("group_id", "customer_id")
     best = W.partitionBy(owner).orderBy(
         F.col("group_affinity_index").desc_nulls_last(), F.col(other).asc()
@@ -159,6 +165,7 @@ def offers_average_check(
     *,
     margin_basis: str = "customer_total",
     price_margin: DataFrame | None = None,
+    affinity: Affinity | None = None,
     mode: str = "spec",
 ) -> DataFrame:
     """Offers for a larger average check.
@@ -183,6 +190,7 @@ def offers_average_check(
         rounding="down" if written else "up",
         margin_basis=margin_basis,
         price_margin=price_margin,
+        affinity=affinity,
     )
     return (
         checks.join(reward, "customer_id")
@@ -225,6 +233,7 @@ def offers_visit_frequency(
     margin_share: float,
     *,
     margin_basis: str = "price_list",
+    affinity: Affinity | None = None,
     mode: str = "spec",
 ) -> DataFrame:
     """Offers for more visits in a period. `frequencies` holds customer_frequency."""
@@ -235,6 +244,7 @@ def offers_visit_frequency(
         margin_share,
         margin_basis=margin_basis,
         price_margin=group_price_margin(tables),
+        affinity=affinity,
     )
     return (
         reward.join(required_transactions(frequencies, start, end, added, mode), "customer_id")

@@ -77,9 +77,7 @@ def _sku_shares(ws: Workspace) -> DataFrame:
 
 
 def _reward(ws: Workspace, **choices) -> DataFrame:
-    return offers.reward_group(
-        ws.group_details, price_margin=ws.price_margin, **LIMITS, **choices
-    )
+    return ws.reward_group(**LIMITS, **choices)
 
 
 def _through_files(ws: Workspace) -> Tables:

@@ -17,6 +17,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A rank limit cuts each map task's rows first, also for more than 1000 rows a key.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
 }
 
 # Tables written and not yet deleted, by the session they were written in.

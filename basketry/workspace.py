@@ -91,6 +91,27 @@ class Workspace:
     def groups(self) -> DataFrame:
         return self.group_details.select(*group_ops.GROUP_COLUMNS)
 
+    @property
+    def offer_candidates(self) -> DataFrame:
+        """The pairs with what offers ask of them, but for affinity and stability."""
+        return group_ops.pair_candidates(self.history, self.analysis, self.min_purchases)
+
+    def with_affinity(self, pairs: DataFrame) -> DataFrame:
+        return group_ops.with_affinity(pairs, self.history, self.mode)
+
+    def reward_group(self, max_churn, max_discount_share, margin_share, **choices) -> DataFrame:
+        """The group each customer is rewarded in; pairs that do not qualify never reach a time line."""
+        self.store_history()
+        return offer_ops.reward_group(
+            self.offer_candidates,
+            max_churn,
+            max_discount_share,
+            margin_share,
+            price_margin=self.price_margin,
+            affinity=self.with_affinity,
+            **choices,
+        )
+
     def groups_by_margin(self, method: int = 0, number: int = 1) -> DataFrame:
         """The group table with the margin of a period of days (1) or of the last purchases (2)."""
         if method == 2:
@@ -104,23 +125,27 @@ class Workspace:
         return offer_ops.group_price_margin(self.tables)
 
     def offers_average_check(self, method: int, **parameters) -> DataFrame:
+        self.store_history()
         return offer_ops.offers_average_check(
             self.tables,
-            self.group_details,
+            self.offer_candidates,
             method,
             price_margin=self.price_margin,
+            affinity=self.with_affinity,
             mode=self.mode,
             **parameters,
         )
 
     def offers_visit_frequency(self, start, end, added: int, **parameters) -> DataFrame:
+        self.store_history()
         return offer_ops.offers_visit_frequency(
             self.tables,
-            self.group_details,
+            self.offer_candidates,
             customer_ops.customer_frequency(self.tables),
             start,
             end,
             added,
+            affinity=self.with_affinity,
             mode=self.mode,
             **parameters,
         )
