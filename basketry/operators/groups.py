@@ -246,22 +246,16 @@ def pair_candidates(history: DataFrame, analysis: Column, min_purchases: int = 2
 def with_affinity(pairs: DataFrame, history: DataFrame, mode: str = "spec") -> DataFrame:
     """Adds group_affinity_index to pairs that have group_purchase, first and last.
 
-    Only visits of customers who still have a pair are laid on a time line: the purchase
-    history is cut to them before any of it is moved for that. The visits up to a
-    moment are those of the earlier clock hours, one count per customer and hour, and those of its own
-    hour, ranked together with the questions of the pairs.
+    `pairs` is read twice. Only visits of customers who still have a pair are laid on a time
+    line: the history is cut to them before any of it is moved for that. A pair asks for the
+    visits before its first purchase and up to its last one; its questions and the visits are
+    ranked together inside (customer, clock hour). Behind that a customer has one row per hour
+    and two per pair, which add up along the hours; nothing else is dealt by customer alone.
     """
     moment = F.col("transaction_datetime")
-    visits = history.select("customer_id", "transaction_id", "transaction_datetime")
-    asking = pairs.select("customer_id").distinct()
-    visits = visits.join(asking, "customer_id", "left_semi")
-    if check_mode(mode) == "spec":
-        visits = visits.distinct()
-    visits = visits.select("customer_id", moment.alias("at"), hour_bucket(moment).alias("hour"))
-    earlier = W.partitionBy("customer_id").orderBy("hour").rowsBetween(W.unboundedPreceding, -1)
-    past = visits.groupBy("customer_id", "hour").agg(F.count(F.lit(1)).alias("visits")).select(
-        "customer_id", "hour", F.coalesce(F.sum("visits").over(earlier), F.lit(0)).alias("past")
-    )
+    visits = history.select(
+        "customer_id", "transaction_id", moment.alias("at"), hour_bucket(moment).alias("hour")
+    ).join(pairs.select("customer_id").distinct(), "customer_id", "left_semi")
     # At one moment: first purchases ask before the visits, last ones behind them.
     begin, visit, end = 0, 1, 2
     question = F.explode(
@@ -270,30 +264,39 @@ def with_affinity(pairs: DataFrame, history: DataFrame, mode: str = "spec") -> D
             F.struct(F.lit(end).alias("kind"), F.col("last").alias("at")),
         )
     )
-    others = [name for name in pairs.columns if name not in PAIR]
-    asked = pairs.select(*PAIR, F.struct(*others).alias("pair"), question.alias("asked")).select(
-        *PAIR, "pair", "asked.kind", "asked.at", hour_bucket("asked.at").alias("hour")
+    others = [name for name in pairs.columns if name not in (*PAIR, "first", "last")]
+    asked = pairs.select(*PAIR, *others, question.alias("asked")).select(
+        *PAIR, *others, "asked.kind", "asked.at", hour_bucket("asked.at").alias("hour")
     )
     events = asked.unionByName(visits.withColumn("kind", F.lit(visit)), allowMissingColumns=True)
-    so_far = (
-        W.partitionBy("customer_id", "hour").orderBy("at", "kind").rowsBetween(W.unboundedPreceding, 0)
-    )
-    seen = F.sum((F.col("kind") == visit).cast("long")).over(so_far)
-    sign = F.when(F.col("kind") == end, 1).otherwise(-1)
+    kind = F.col("kind")
+    hour = W.partitionBy("customer_id", "hour")
+    in_order = hour.orderBy("at", "kind", "transaction_id")
+    counted = kind == visit
+    if check_mode(mode) == "spec":
+        # A transaction has a row per group and counts once.
+        again = (F.lag("kind").over(in_order) == visit) & (
+            F.lag(F.struct("at", "transaction_id")).over(in_order) == F.struct("at", "transaction_id")
+        )
+        counted = counted & ~F.coalesce(again, F.lit(False))
+    so_far = in_order.rowsBetween(W.unboundedPreceding, 0)
+    line = W.partitionBy("customer_id").orderBy("hour").rangeBetween(W.unboundedPreceding, -1)
+    sign = F.when(kind == end, 1).otherwise(-1)
     return (
-        events.withColumn("seen", seen)
-        .filter(F.col("kind") != visit)
-        .join(past, ["customer_id", "hour"])
+        events.withColumn("counted", counted.cast("long"))
+        .withColumn("seen", F.sum("counted").over(so_far))
+        .withColumn("place", F.row_number().over(in_order))
+        .withColumn("visits", F.when(F.col("place") == 1, F.sum("counted").over(hour)))
+        .filter((kind != visit) | F.col("visits").isNotNull())
+        .withColumn("past", F.coalesce(F.sum("visits").over(line), F.lit(0)))
+        .filter(kind != visit)
         .groupBy(*PAIR)
         .agg(
-            F.first("pair").alias("pair"),
+            *(F.first(name).alias(name) for name in others),
             F.sum(sign * (F.col("past") + F.col("seen"))).alias("visits"),
         )
-        .select(
-            *PAIR,
-            "pair.*",
-            ratio(F.col("pair.group_purchase"), F.col("visits")).alias("group_affinity_index"),
-        )
+        .withColumn("group_affinity_index", ratio(F.col("group_purchase"), F.col("visits")))
+        .drop("visits")
     )
 
 

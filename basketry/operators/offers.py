@@ -118,7 +118,8 @@ def reward_group(
     margin_basis: customer_total (the pair's margin in money), customer_ratio
     (margin over paid sum) or price_list (`price_margin` of the group).
     per="group" picks the best customer of each group instead. `affinity` adds
-    group_affinity_index to the qualifying pairs where `details` lacks it.
+    group_affinity_index to the qualifying pairs where `details` lacks it, from their
+    group_purchase, first and last.
     """
     if margin_basis == "price_list":
         pairs = details.join(price_margin, "group_id")
@@ -139,7 +140,9 @@ def reward_group(
         & (F.col("offer_discount_depth") < basis * F.lit(float(share)))
     )
     if affinity is not None:
-        qualified = affinity(qualified)
+        qualified = affinity(
+            qualified.select(*PAIR, "group_purchase", "first", "last", "offer_discount_depth")
+        )
     owner, other = ("customer_id", "group_id") if per == "customer" else ("group_id", "customer_id")
     best = W.partitionBy(owner).orderBy(
         F.col("group_affinity_index").desc_nulls_last(), F.col(other).asc()

@@ -44,7 +44,7 @@ class Workspace:
         self.close()
 
     def close(self) -> None:
-        """Delete the stored history, if any."""
+        """Delete the stored history and pairs, if any."""
         delete(self.tables.checks.sparkSession, self._paths)
         self._paths, self._history = [], None
 
@@ -97,6 +97,10 @@ class Workspace:
         return group_ops.pair_candidates(self.history, self.analysis, self.min_purchases)
 
     def with_affinity(self, pairs: DataFrame) -> DataFrame:
+        """Pairs with their affinity; they are written down first, as they are read twice."""
+        with recorded() as paths:
+            pairs = written(pairs)
+        self._paths += paths
         return group_ops.with_affinity(pairs, self.history, self.mode)
 
     def reward_group(self, max_churn, max_discount_share, margin_share, **choices) -> DataFrame:
