@@ -3,10 +3,10 @@
 Documents of a source are dealt into blocks by a hash. The source's target in words
 becomes a number of block draws: whole passes over its blocks and, of one more
 pass in random order, as many blocks as the rest of the target needs (the last
-one in part). The draws of all sources are the contents of an urn; halving the
-urn at random again and again is a multivariate hypergeometric draw at every
-node of a binary tree, down to one node per output shard, and fixes how many blocks of
-each source a shard gets. The shards then take their blocks one after the
+one in part). How many draws of each source there are is the quota of the root of a
+binary tree. Level by level, half the draws of a node are taken at random from the quotas it has, a
+multivariate hypergeometric draw, and are its left child's, the others its right child's, down
+to one node per output shard. The shards then take their blocks one after the
 other from the source's permuted list, so no draw is used twice.
 """
 
@@ -22,7 +22,9 @@ from basketry.session import written
 WEIGHTS = (5, 2, 1)
 SHARE_PERCENT = 150
 MOST = 2
+# Levels of the tree at least; more for a mix of over so many words a shard.
 DEPTH = 6
+SHARD_WORDS = 1 << 24
 # Documents of a block, and blocks of a source at most: a larger source gets larger
 # blocks, so that neither a source's blocks nor a block's documents are many.
 BLOCK_ROWS = 500
@@ -139,48 +141,45 @@ def _draws(blocked: DataFrame, seed: str) -> DataFrame:
     )
 
 
-def _placed(draws: DataFrame, seed: str) -> DataFrame:
-    """The urn: per source and slot the place of the slot in a random order of all slots.
+def _split(quotas: DataFrame, level: int, seed: str) -> DataFrame:
+    """node, source, quota of the next level, drawn from the quotas of this one.
 
-    The place is the number of slots in the bins before plus the rank inside the
-    bin of the slot's random digits, so no task ranks all slots.
+    The node's draws are numbered by source and ordered by random digits; the first half goes left.
+    A draw's place is the number of draws in the bins before plus its rank inside its bin,
+    so no task ranks all draws of a node.
     """
-    slots = draws.select(
-        "source",
-        F.col("draw_no").alias("slot"),
-        _hash(seed, "source", F.lit("slot"), "draw_no").alias("slot_key"),
-    ).withColumn("bin", F.substring("slot_key", 1, BIN_DIGITS))
-    bins = slots.groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
-    ahead = F.coalesce(
-        F.sum("n").over(W.orderBy("bin").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)
+    slots = quotas.select("node", "source", F.explode(F.sequence(F.lit(1).cast("long"), "quota")).alias("number"))
+    key = _hash(seed, "source", F.lit("slot"), F.lit(level), "node", "number")
+    slots = slots.withColumn("key", key).withColumn("bin", F.substring("key", 1, BIN_DIGITS))
+    node = W.partitionBy("node")
+    before = F.sum("n").over(node.orderBy("bin").rowsBetween(W.unboundedPreceding, -1))
+    bins = slots.groupBy("node", "bin").agg(F.count(F.lit(1)).alias("n")).select(
+        "node", "bin", F.coalesce(before, F.lit(0)).alias("ahead"), F.sum("n").over(node).alias("size")
     )
-    bins = bins.select("bin", ahead.alias("ahead"), F.sum("n").over(W.partitionBy()).alias("slots"))
-    rank = F.row_number().over(W.partitionBy("bin").orderBy("slot_key", "source", "slot"))
-    return slots.withColumn("rank", rank).join(bins, "bin").select(
-        "source", "slot", (F.col("ahead") + F.col("rank") - 1).alias("place"), "slots"
+    rank = F.row_number().over(W.partitionBy("node", "bin").orderBy("key", "source", "number"))
+    right = F.col("ahead") + F.col("rank") > F.expr("size div 2")
+    return (
+        slots.withColumn("rank", rank)
+        .join(bins, ["node", "bin"])
+        .groupBy((F.col("node") * 2 + right.cast("long")).alias("node"), "source")
+        .agg(F.count(F.lit(1)).alias("quota"))
     )
 
 
-def _node(depth: int) -> Column:
-    """The node of that depth a place falls to when every node is cut in halves."""
-    return F.expr(f"place * {2**depth} div slots")
-
+def splitting_tree(draws: DataFrame, depth: int = DEPTH, seed: str = SEED) -> list[DataFrame]:
+    """By level, node, source, quota: how many draws of the source each node holds.
 
-def splitting_tree(placed: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """level, node, source, quota: how many blocks of the source each node of the tree holds."""
-    levels = F.array(
-        *(F.struct(F.lit(d).alias("level"), _node(d).alias("node")) for d in range(depth + 1))
-    )
-    return (
-        placed.select("source", F.explode(levels).alias("at"))
-        .groupBy("at.level", "at.node", "source")
-        .agg(F.count(F.lit(1)).alias("quota"))
-    )
+    Every level is written down and the next one drawn from it.
+    """
+    root = draws.groupBy("source").agg(F.count(F.lit(1)).alias("quota"))
+    levels = [written(root.select(F.lit(0).cast("long").alias("node"), "source", "quota"))]
+    for level in range(depth):
+        levels.append(written(_split(levels[-1], level, seed)))
+    return levels
 
 
-def _dealt(draws: DataFrame, placed: DataFrame, depth: int) -> DataFrame:
+def _dealt(draws: DataFrame, leaves: DataFrame) -> DataFrame:
     """The draws with the shard that takes them: quota by quota along the permuted list."""
-    leaves = splitting_tree(placed, depth).filter(F.col("level") == depth)
     ends = F.sum("quota").over(W.partitionBy("source").orderBy("node"))
     taken = leaves.withColumn("last", ends).select(
         F.col("source").alias("_source"),
@@ -191,23 +190,37 @@ def _dealt(draws: DataFrame, placed: DataFrame, depth: int) -> DataFrame:
     return draws.join(taken, same).drop("_source", "number")
 
 
-def mixed(
+def _depth(sources: DataFrame) -> int:
+    """Levels that give a shard SHARD_WORDS words at most, DEPTH at least."""
+    total = sources.agg(F.sum(F.col("passes") * F.col("source_size") + F.col("rest"))).first()[0] or 0
+    return max(DEPTH, (-(-total // SHARD_WORDS) - 1).bit_length())
+
+
+def mixed(docs: DataFrame, **choices: object) -> DataFrame:
+    """The rows of `mix_plan`, without the depth."""
+    return mix_plan(docs, **choices)[0]
+
+
+def mix_plan(
     docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share_percent: int = SHARE_PERCENT,
-    most: int = MOST, depth: int = DEPTH, block_rows: int = BLOCK_ROWS, seed: str = SEED,
-) -> DataFrame:
-    """Every document as `doc`, with size, source_size, target and its draws.
+    most: int = MOST, depth: int | None = None, block_rows: int = BLOCK_ROWS, seed: str = SEED,
+) -> tuple[DataFrame, int]:
+    """Every document as `doc`, with size, source_size, target and its draws; and the tree's depth.
 
     draws: array of (turn, shard, place, words), one entry for each time the mix takes
     the document: the pass over the source, the output shard, the key by which
     the shard is shuffled, and the words taken (all of them but for one
     document per source at most). Null texts have size 0, null sources are one source.
-    Documents without words are never drawn. Repeated rows are rows of their own.
+    Documents without words are never drawn. Repeated rows are rows of their own. Documents without an
+    id are dealt to one block of their source, the same for all. There are 2 ** depth shards; unless
+    it is given, the depth follows the words of the mix.
     """
     rows = _sized(docs, seed)
     narrow = written(rows.select("source", "size", "key"))
     sources = written(targets(narrow, weights, share_percent, most))
     draws = written(_draws(_blocked(narrow, sources, block_rows), seed))
-    dealt = _dealt(draws, _placed(draws, seed), depth)
+    depth = _depth(sources) if depth is None else depth
+    dealt = _dealt(draws, splitting_tree(draws, depth, seed)[-1])
     blocks = dealt.groupBy("source", "block").agg(
         F.sort_array(
             F.collect_list(
@@ -244,13 +257,8 @@ def mixed(
             .alias("words"),
         ),
     )
-    return rows.select(
-        "doc",
-        "size",
-        "source_size",
-        "target",
-        F.filter(words, lambda d: d["words"] > 0).alias("draws"),
-    )
+    drawn = F.filter(words, lambda d: d["words"] > 0).alias("draws")
+    return rows.select("doc", "size", "source_size", "target", drawn), depth
 
 
 def with_taken(rows: DataFrame) -> DataFrame:
@@ -262,8 +270,13 @@ def with_taken(rows: DataFrame) -> DataFrame:
     )
 
 
-def shards(rows: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """The mix itself: a row per draw, dealt to one partition per shard and shuffled inside it.
+def mixture(docs: DataFrame, **choices: object) -> DataFrame:
+    """The documents mixed and carried out, as `shards` gives them."""
+    return shards(*mix_plan(docs, **choices))
+
+
+def shards(rows: DataFrame, depth: int) -> DataFrame:
+    """The mix itself: a row per draw; partition n is shard n, shuffled inside.
 
     The text of a document taken in part ends after the words that are taken.
     """
@@ -275,6 +288,6 @@ def shards(rows: DataFrame, depth: int = DEPTH) -> DataFrame:
         .select("draw.shard", "draw.turn", "draw.place", "draw.words", "size", "doc")
         .withColumn("doc", F.col("doc").withField("text", text))
         .drop("size")
-        .repartition(2**depth, "shard")
+        .repartitionById(2**depth, F.col("shard").cast("int"))
         .sortWithinPartitions("shard", "place")
     )

@@ -4,6 +4,21 @@ from __future__ import annotations
 
 STATEMENTS: dict[str, str] = {}
 
+# Half of a node's draws, in the order of random digits, are its left child's. The six levels of
+# the tree are those of a mix of up to 2**30 words.
+_LEVELS = "".join(
+    f"""s{k} AS (
+  SELECT node, source, number, md5('mix|' || coalesce(source, '-') || '|slot|{k}|' || node || '|' || number) AS key
+  FROM (SELECT node, source, unnest(range(1, quota + 1)) AS number FROM l{k})
+), r{k} AS (
+  SELECT node, source, row_number() OVER (PARTITION BY node ORDER BY key, source, number)
+    > count(*) OVER (PARTITION BY node) // 2 AS is_right FROM s{k}
+), l{k + 1} AS (
+  SELECT node * 2 + is_right::BIGINT AS node, source, count(*) AS quota FROM r{k} GROUP BY 1, 2
+), """
+    for k in range(6)
+)
+
 STATEMENTS["op9_mixing"] = r"""
 WITH sized AS (
   SELECT doc_id, source,
@@ -53,16 +68,11 @@ WITH sized AS (
 ), draws AS (
   SELECT *, row_number() OVER (PARTITION BY source ORDER BY turn, place, block) AS draw_no
   FROM portions WHERE portion > 0
-), slots AS (
-  SELECT source, draw_no,
-    row_number() OVER (ORDER BY
-      md5('mix|' || coalesce(source, '-') || '|slot|' || draw_no), source, draw_no) - 1 AS place,
-    count(*) OVER () AS n
-  FROM draws
-), leaves AS (
-  SELECT source, place * 64 // n AS shard,
-         row_number() OVER (PARTITION BY source ORDER BY place) AS draw_no
-  FROM slots
+), l0 AS (
+  SELECT 0::BIGINT AS node, source, count(*) AS quota FROM draws GROUP BY source
+), __LEVELS__ leaves AS (
+  SELECT node AS shard, source, unnest(range(last - quota + 1, last + 1)) AS draw_no
+  FROM (SELECT *, sum(quota) OVER (PARTITION BY source ORDER BY node)::BIGINT AS last FROM l6)
 ), dealt AS (
   SELECT d.*, l.shard FROM draws d
   JOIN leaves l ON d.source IS NOT DISTINCT FROM l.source AND d.draw_no = l.draw_no
@@ -83,7 +93,7 @@ SELECT any_value(doc_id) AS doc_id, any_value(size) AS size,
   CAST(coalesce(sum(taken), 0) AS BIGINT) AS taken,
   coalesce(string_agg(CAST(shard AS VARCHAR), ',' ORDER BY turn) FILTER (taken > 0), '') AS shards
 FROM drawn GROUP BY row_no
-"""
+""".replace("__LEVELS__", _LEVELS)
 
 _MEASURES = [
     ("symbols_per_word", 30),
@@ -115,7 +125,7 @@ def _fence(measure: str, end: str) -> str:
     return "coalesce(" + ", ".join(f"{x}_{measure}_{end}" for x in ("grp", "lng", "whole")) + ")"
 
 
-# The sketches of the operator are exact up to 2048 documents of a group, as this is throughout.
+# The sketches of the operator are exact for values below 2**14, as this is throughout.
 STATEMENTS["op6_quality_rules"] = rf"""
 WITH texts AS (
   SELECT row_number() OVER () AS row_no, doc_id, lang, source, coalesce(text, '') AS text FROM documents

@@ -2,7 +2,9 @@
 
 Each document gets four measures; quantile sketches of them are gathered per
 (lang, source), merged to languages and to the whole, and give the fences a
-document must keep within. All of it is DataFrame functions.
+document must keep within. A sketch counts the values of a measure by their leading
+bits: small values are exact, any other is off by 1 in 2^13 at most, sketches merge by adding counts, and
+the same rows give the same fences in any order. All of it is DataFrame functions.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ from functools import reduce
 from operator import and_
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from basketry.llm.common import WORD, let, record, words
@@ -20,8 +23,8 @@ SYMBOLS = "#*$%&|<>"
 BLANKS = "\t\n\x0b\x0c\r "
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-# Items a sketch holds exactly; beyond that its rank error is about 2.3 / SKETCH_K.
-SKETCH_K = 2048
+# Leading bits of a value that a sketch keeps.
+SKETCH_BITS = 14
 # A (lang, source) with fewer passing documents uses its language's fences, a
 # language with fewer those of all documents.
 MIN_GROUP = 100
@@ -86,13 +89,18 @@ def measured(docs: DataFrame) -> DataFrame:
             (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
         ),
     )
-    rows = record(docs).select(
-        "doc",
+    counts = F.struct(
         F.length(F.translate(text, BLANKS, "")).cast("long").alias("word_chars"),
         (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
         of_words.alias("of_words"),
         of_lines.alias("of_lines"),
-    ).select("doc", "word_chars", "n_symbols", "of_words.*", "of_lines.*")
+    )
+    # A row of its own: a later filter on the counts stays above it and does not count again.
+    rows = (
+        record(docs)
+        .select("doc", F.inline(F.array(counts)))
+        .select("doc", "word_chars", "n_symbols", "of_words.*", "of_lines.*")
+    )
 
     def rate(part: str, whole: str) -> Column:
         return F.expr(f"{part} * 1000 div greatest({whole}, 1)")
@@ -110,6 +118,55 @@ def measured(docs: DataFrame) -> DataFrame:
     )
 
 
+def _leading_bits(value: Column) -> Column:
+    """The value with all but its first SKETCH_BITS binary digits zero."""
+    return let(
+        value,
+        lambda v: let(
+            F.greatest(F.length(F.bin(v)) - SKETCH_BITS, F.lit(0)),
+            lambda rest: (F.call_function("shiftleft", F.call_function("shiftright", v, rest), rest)),
+        ),
+    )
+
+
+def sketches(rows: DataFrame) -> DataFrame:
+    """Per (lang, source) and measure how often each value occurs in what passed the base rules."""
+    values = F.explode(
+        F.array(*(F.struct(F.lit(m).alias("measure"), _leading_bits(F.col(m)).alias("value")) for m in LEAST_SPREAD))
+    )
+    return (
+        rows.filter(~F.col("base_failed"))
+        .select("lang", "source", values.alias("at"))
+        .groupBy("lang", "source", "at.measure", "at.value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
+def _limits(sketch: DataFrame, level: str, by: list[str], least: int) -> DataFrame:
+    """The fences of each merged group of at least so many documents; nulls for a smaller one."""
+    merged = sketch.groupBy(*by, "measure", "value").agg(F.sum("n").alias("n"))
+    group = W.partitionBy(*by, "measure")
+    placed = merged.select(
+        *by, "measure", "value",
+        F.sum("n").over(group.orderBy("value")).alias("upto"),
+        F.sum("n").over(group).alias("total"),
+    )
+    quartiles = []
+    for m in LEAST_SPREAD:
+        for name, quarters in (("low", 1), ("high", 3)):
+            reached = (F.col("measure") == m) & (F.col("upto") * 4 >= F.col("total") * quarters)
+            quartiles.append(F.min(F.when(reached, F.col("value"))).alias(f"{m}_{name}"))
+    found = placed.groupBy(*by).agg(F.max("total").alias("total"), *quartiles)
+    out = []
+    for m, spread in LEAST_SPREAD.items():
+        low, high = F.col(f"{m}_low"), F.col(f"{m}_high")
+        reach = F.greatest(high - low, F.lit(spread)) * FENCE
+        enough = F.col("total") >= least
+        out.append(F.when(enough, low - reach).alias(f"{level}_{m}_low"))
+        out.append(F.when(enough, high + reach).alias(f"{level}_{m}_high"))
+    return found.select(*by, *out)
+
+
 def fences(rows: DataFrame) -> DataFrame:
     """Per (lang, source): `<measure>_low` and `<measure>_high`, over what passed the base rules.
 
@@ -117,37 +174,14 @@ def fences(rows: DataFrame) -> DataFrame:
     one without passing documents; null languages and sources are groups too.
     """
     keys = ["lang", "source"]
-    passed = F.when(~F.col("base_failed"), F.lit(1))
-    base = rows.groupBy(*keys).agg(
-        F.count(passed).alias("n"),
-        *(
-            F.kll_sketch_agg_bigint(F.when(~F.col("base_failed"), F.col(m)), SKETCH_K).alias(m)
-            for m in LEAST_SPREAD
-        ),
-    )
-
-    def merged(by: list[str]) -> DataFrame:
-        return base.groupBy(*by).agg(
-            F.sum("n").alias("n"),
-            *(F.kll_merge_agg_bigint(m, SKETCH_K).alias(m) for m in LEAST_SPREAD),
-        )
-
-    def limits(level: str) -> list[Column]:
-        enough = F.col("n") >= MIN_GROUP if level != "all" else F.col("n") > 0
-        out = []
-        for m, least in LEAST_SPREAD.items():
-            low = F.kll_sketch_get_quantile_bigint(m, F.lit(0.25))
-            high = F.kll_sketch_get_quantile_bigint(m, F.lit(0.75))
-            reach = F.greatest(high - low, F.lit(least)) * FENCE
-            out.append(F.when(enough, low - reach).alias(f"{level}_{m}_low"))
-            out.append(F.when(enough, high + reach).alias(f"{level}_{m}_high"))
-        return out
-
-    group = base.select(*keys, *limits("group"))
-    lang = merged(["lang"]).select(F.col("lang").alias("lang_"), *limits("lang"))
+    sketch = written(sketches(rows))
+    every = _limits(sketch, "all", [], 1)
     # One row: a scalar subquery, not a join.
-    every = merged([]).select(F.struct(*limits("all"))).scalar()
-    joined = group.join(lang, F.col("lang").eqNullSafe(F.col("lang_"))).withColumn("every", every)
+    joined = rows.select(*keys).distinct().withColumn("every", every.select(F.struct("*")).scalar())
+    for level, by in (("group", keys), ("lang", ["lang"])):
+        limits = _limits(sketch, level, by, MIN_GROUP).withColumnsRenamed({k: f"_{k}" for k in by})
+        same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in by])
+        joined = joined.join(limits, same, "left").drop(*(f"_{k}" for k in by))
     joined = joined.select("*", "every.*")
     return joined.select(
         *keys,

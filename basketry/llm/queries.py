@@ -85,7 +85,7 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 def op9_mixing_shards(spark: SparkSession, folder: str) -> DataFrame:
     """The mix carried out, a row per draw: what the pipeline ends with, as a query of its own."""
-    rows = mixing.shards(mixing.mixed(read(tune(spark), folder, "documents")))
+    rows = mixing.mixture(read(tune(spark), folder, "documents"))
     return rows.select("shard", "turn", "place", "words", "doc.*")
 
 

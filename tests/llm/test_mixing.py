@@ -78,8 +78,8 @@ def test_tree_halves_every_node(spark):
     rows = m._sized(corpus.table(spark, data), "mix").select("source", "size", "key")
     sources = m.targets(rows)
     draws = m._draws(m._blocked(rows, sources, 4), "mix")
-    placed = m._placed(draws, "mix")
-    quota = {(r["level"], r["node"], r["source"]): r["quota"] for r in m.splitting_tree(placed, 4).collect()}
+    levels = m.splitting_tree(draws, 4)
+    quota = {(d, r["node"], r["source"]): r["quota"] for d, rows in enumerate(levels) for r in rows.collect()}
     for level in range(4):
         for node in range(2**level):
             for source in "abc":
@@ -87,7 +87,7 @@ def test_tree_halves_every_node(spark):
                 assert halves == quota.get((level, node, source), 0)
         nodes = [sum(v for (d, n, _), v in quota.items() if (d, n) == (level, node)) for node in range(2**level)]
         assert max(nodes) - min(nodes) <= 1
-    dealt = m._dealt(draws, placed, 4).collect()
+    dealt = m._dealt(draws, levels[-1]).collect()
     assert len(dealt) == draws.count()
     assert len({(r["source"], r["draw_no"]) for r in dealt}) == len(dealt)
     for source in "abc":
@@ -95,10 +95,38 @@ def test_tree_halves_every_node(spark):
         assert shards == sorted(shards)
 
 
+def test_a_level_is_drawn_from_the_one_above(spark):
+    """Whatever quotas a level has, the next one halves its nodes, at random and again the same way."""
+    odd = [(0, "a", 7), (0, None, 4), (1, "a", 1), (3, "b", 2000)]
+    above = spark.createDataFrame(odd, "node long, source string, quota long")
+    got = {(r["node"], r["source"]): r["quota"] for r in m._split(above, 2, "x").collect()}
+    assert got == {(r["node"], r["source"]): r["quota"] for r in m._split(above, 2, "x").collect()}
+    for node, source, quota in odd:
+        assert got.get((2 * node, source), 0) + got.get((2 * node + 1, source), 0) == quota
+    assert sum(v for (n, _), v in got.items() if n == 0) == 5
+    assert got[6, "b"] == got[7, "b"] == 1000
+    lefts = {m._split(above.filter("node = 0"), level, "x").filter("node = 0 AND source = 'a'").first()["quota"] for level in range(8)}
+    assert len(lefts) > 1
+
+
+def test_depth_follows_the_words(spark):
+    def depth(words):
+        return m._depth(spark.createDataFrame([(0, 0, words)], "passes long, source_size long, rest long"))
+
+    most = m.SHARD_WORDS << m.DEPTH
+    assert [depth(n) for n in (0, most, most + 1, 2 * most, 2 * most + 1)] == [m.DEPTH] * 2 + [m.DEPTH + 1] * 2 + [m.DEPTH + 2]
+
+
+def test_a_shard_is_a_partition(spark):
+    data = [(i, "word " * 5, "en", "abc"[i % 3], 0) for i in range(600)]
+    parts = m.mixture(corpus.table(spark, data), block_rows=2, depth=3).rdd.map(lambda r: r["shard"]).glom().collect()
+    assert [set(p) for p in parts] == [{n} for n in range(8)]
+
+
 def test_shards_hold_what_was_taken(spark):
     data = corpus.rows()
-    rows = m.mixed(corpus.table(spark, data), block_rows=5)
-    placed = m.shards(rows).collect()
+    rows, depth = m.mix_plan(corpus.table(spark, data), block_rows=5)
+    placed = m.shards(rows, depth).collect()
     assert sum(r["words"] for r in placed) == sum(r["taken"] for r in result(rows).collect())
     by_shard = {}
     for r in placed:
@@ -109,10 +137,10 @@ def test_shards_hold_what_was_taken(spark):
 def test_shards_leave_out_and_cut(spark):
     """Documents that are not taken have no row; one taken in part keeps the blanks it is written with."""
     data = [(1000 * s + i, "one  two\tthree\n four" + " more" * i, "en", f"s{s:02}", 0) for s in range(20) for i in range(30)]
-    rows = m.mixed(corpus.table(spark, data), block_rows=5)
+    rows, depth = m.mix_plan(corpus.table(spark, data), block_rows=5)
     taken = {r["doc_id"]: (r["size"], r["taken"]) for r in result(rows).collect()}
     texts = {r[0]: r[1] for r in data}
-    got = m.shards(rows).select("words", "doc.doc_id", "doc.text").collect()
+    got = m.shards(rows, depth).select("words", "doc.doc_id", "doc.text").collect()
     assert {r["doc_id"] for r in got} == {i for i, (_, words) in taken.items() if words}
     assert any(words == 0 for _, words in taken.values())
     for r in got:

@@ -5,6 +5,7 @@ from collections import Counter
 
 import corpus
 import pytest
+from pyspark.sql import functions as F
 
 from basketry.llm import quality_rules as q
 
@@ -76,3 +77,28 @@ def test_small_groups_use_larger_ones(spark, size):
     got = {r["doc_id"]: r["kept"] for r in q.quality_verdicts(corpus.table(spark, docs)).collect()}
     assert not any(got[1000 + i] for i in range(size))
     assert all(got[i] for i in range(120))
+
+
+def test_large_groups_are_judged_alike_again(spark):
+    """Beyond any small sketch: the quartiles are those of the sorted values, whatever the partitions."""
+    import random
+
+    rng = random.Random(6)
+    values = [rng.choice([rng.randrange(5000), rng.randrange(1 << 14)]) for _ in range(9000)]
+    rows = [("en", "s", i % 10 == 0, v, v // 7, v % 90, v + 3) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, ["lang", "source", "base_failed", *q.LEAST_SPREAD])
+    first = q.fences(df.repartition(3)).collect()
+    assert first == q.fences(df.repartition(7)).collect()
+    for at, (name, spread) in enumerate(q.LEAST_SPREAD.items(), 3):
+        passed = sorted(r[at] for r in rows if not r[2])
+        low, high = (passed[-(-len(passed) * share // 4) - 1] for share in (1, 3))
+        reach = 3 * max(high - low, spread)
+        assert (first[0][f"{name}_low"], first[0][f"{name}_high"]) == (low - reach, high + reach)
+
+
+def test_large_values_keep_their_leading_bits(spark):
+    numbers = [0, 1, 16383, 16384, 16385, 16387, 123_456_789, (1 << 50) + 12345]
+    df = spark.createDataFrame([(n,) for n in numbers], "v long").select("v", q._leading_bits(F.col("v")).alias("b"))
+    for r in df.collect():
+        drop = max(r["v"].bit_length() - q.SKETCH_BITS, 0)
+        assert r["b"] == r["v"] >> drop << drop
