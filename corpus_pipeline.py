@@ -38,10 +38,13 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """How much of each document the mix takes, and the output shards it goes to."""
+    """The corpus: a row per draw of the mix, by shard and shuffled inside it.
+
+    Documents the mix leaves out have no row, those drawn twice have two, and the text of one
+    taken in part ends after `words` words.
+    """
     tune(spark)
-    rows = mixing.with_taken(mixing.mixed(docs))
-    return rows.select("doc.*", "size", "source_size", "target", "taken", "shards")
+    return mixing.mixture(docs).select("shard", "turn", "place", "words", "doc.*")
 
 
 STAGES: list[tuple[str, Stage]] = [
@@ -56,30 +59,12 @@ STAGES: list[tuple[str, Stage]] = [
 ORACLE_SQL = None
 
 
-def _staged(spark: SparkSession, sf_dir: str, stages: list[tuple[str, Stage]]) -> DataFrame:
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages one after the other over `documents`; each reads what the one before wrote."""
     folder = new_path(spark, "corpus")
     docs = read(spark, sf_dir, "documents")
-    for number, (_, stage) in enumerate(stages):
+    for number, (_, stage) in enumerate(STAGES):
         path = f"{folder}/{number}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
-
-
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages one after the other over `documents`; each reads what the one before wrote.
-
-    A row per document, with the account of the mix; `corpus` carries it out.
-    """
-    return _staged(spark, sf_dir, STAGES)
-
-
-def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The corpus: a row per draw of the mix, by shard and shuffled inside it.
-
-    Documents the mix leaves out have no row, those drawn twice have two, and the text of one
-    taken in part ends after `words` words.
-    """
-    docs = _staged(spark, sf_dir, STAGES[:-1])
-    tune(spark)
-    return mixing.shards(mixing.mixed(docs)).select("shard", "turn", "place", "words", "doc.*")
