@@ -593,9 +593,35 @@ STATEMENTS: dict[str, str] = {
         CAST(sku_summ AS DOUBLE) AS sku_summ, CAST(sku_summ_paid AS DOUBLE) AS sku_summ_paid,
         CAST(sku_discount AS DOUBLE) AS sku_discount FROM checks""",
     "files_personal_data": "SELECT * FROM personal_data",
+    "files_cards": "SELECT * FROM cards",
+    "files_groups_sku": "SELECT * FROM groups_sku",
+    "files_product_grid": "SELECT * FROM product_grid",
+    "files_stores": """SELECT transaction_store_id, sku_id,
+        CAST(sku_purchase_price AS DOUBLE) AS sku_purchase_price,
+        CAST(sku_retail_price AS DOUBLE) AS sku_retail_price FROM stores""",
+    "files_analysis_date": "SELECT moment AS analysis_formation FROM analysis",
+    "files_unreadable": """SELECT 'transactions' AS "table", 'readable row' AS rule,
+        CAST(transaction_id AS VARCHAR) AS key, count(*) AS rows FROM transactions
+        WHERE transaction_id % 97 < 2 OR transaction_id % 101 = 0 GROUP BY transaction_id
+        UNION ALL SELECT 'checks', 'readable row', CAST(transaction_id AS VARCHAR), count(*) FROM checks
+        WHERE transaction_id % 103 = 0 GROUP BY transaction_id""",
+    "files_readable_transactions": """SELECT transaction_id, customer_card_id,
+        CAST(transaction_summ AS DOUBLE) AS transaction_summ, transaction_datetime, transaction_store_id
+        FROM transactions WHERE transaction_id % 97 >= 2 AND transaction_id % 101 <> 0""",
+    "files_readable_checks": """SELECT transaction_id, sku_id, CAST(sku_amount AS DOUBLE) AS sku_amount,
+        CAST(sku_summ AS DOUBLE) AS sku_summ, CAST(sku_summ_paid AS DOUBLE) AS sku_summ_paid,
+        CAST(sku_discount AS DOUBLE) AS sku_discount FROM checks WHERE transaction_id % 103 <> 0""",
     "validate_as_written": """SELECT * FROM key_findings UNION ALL SELECT * FROM missing_findings
         UNION ALL SELECT * FROM format_findings_as_written""",
 }
+# A call of a table function gives what the method gives.
+STATEMENTS |= {
+    f"sql_{name}": STATEMENTS[name]
+    for name in (
+        "offers_average_check_period", "offers_average_check_count", "offers_visit_frequency", "offers_cross_sell",
+        "groups", "groups_margin_days", "groups_margin_last_n",
+    )
+}
 
 
 def _needed(sql: str) -> list[str]:

@@ -10,6 +10,7 @@ from pyspark.sql.types import DecimalType
 
 from basketry.operators import cross_sell, customers, groups, offers, periods, quality
 from basketry.operators.periods import PAIR
+from basketry.plans.sql_functions import register_functions
 from basketry.schema import Tables
 from basketry.session import new_path, tune
 from basketry.sources import files, testtables
@@ -88,6 +89,41 @@ def _through_files(ws: Workspace) -> Tables:
     return files.read_tables(spark, folder)
 
 
+def _called(text: str) -> Callable[[Workspace], DataFrame]:
+    """A call of a table function as SQL text."""
+
+    def run(ws: Workspace) -> DataFrame:
+        register_functions(ws)
+        return ws.tables.checks.sparkSession.sql(text.format(**P))
+
+    return run
+
+
+CALLS = {
+    "sql_offers_average_check_period": """SELECT * FROM offers_average_check(1, DATE'{first_day}', DATE'{last_day}',
+        coefficient => {coefficient}, max_churn => {max_churn}, max_discount_share => {max_share},
+        margin_share => {margin_share})""",
+    "sql_offers_average_check_count": """SELECT * FROM offers_average_check(2, last_visits => {visits},
+        coefficient => {coefficient}, max_churn => {max_churn}, max_discount_share => {max_share},
+        margin_share => {margin_share})""",
+    "sql_offers_visit_frequency": """SELECT * FROM offers_visit_frequency(DATE'{visit_start}', DATE'{visit_end}',
+        {added}, {max_churn}, {max_share}, {margin_share})""",
+    "sql_offers_cross_sell": """SELECT * FROM offers_cross_sell({cross_groups}, {cross_churn}, {cross_stability},
+        {max_sku_share}, {margin_share})""",
+    "sql_groups": "SELECT * FROM groups_by_margin()",
+    "sql_groups_margin_days": "SELECT * FROM groups_by_margin(1, {days})",
+    "sql_groups_margin_last_n": "SELECT * FROM groups_by_margin(method => 2, number => {last})",
+}
+
+
+def _checked(ws: Workspace) -> tuple[Tables, DataFrame]:
+    """Files with rows that cannot be read, loaded all the same."""
+    spark = ws.tables.checks.sparkSession
+    folder = new_path(spark, "files")
+    files.write_tables(testtables.misspelt(ws.tables), folder)
+    return files.read_checked(spark, folder)
+
+
 SPEC: dict[str, Callable[[Workspace], DataFrame]] = {
     "purchase_history": lambda ws: ws.purchase_history,
     "periods": lambda ws: ws.periods,
@@ -154,6 +190,17 @@ SPEC: dict[str, Callable[[Workspace], DataFrame]] = {
     "files_transactions": lambda ws: _through_files(ws).transactions,
     "files_checks": lambda ws: _through_files(ws).checks,
     "files_personal_data": lambda ws: _through_files(ws).personal_data,
+    "files_cards": lambda ws: _through_files(ws).cards,
+    "files_groups_sku": lambda ws: _through_files(ws).groups_sku,
+    "files_product_grid": lambda ws: _through_files(ws).product_grid,
+    "files_stores": lambda ws: _through_files(ws).stores,
+    "files_analysis_date": lambda ws: _through_files(ws).date_of_analysis_formation,
+    "files_unreadable": lambda ws: _checked(ws)[1].groupBy("table", "rule", "key").agg(
+        F.count(F.lit(1)).alias("rows")
+    ),
+    "files_readable_transactions": lambda ws: _checked(ws)[0].transactions,
+    "files_readable_checks": lambda ws: _checked(ws)[0].checks,
+    **{name: _called(text) for name, text in CALLS.items()},
 }
 
 # Queries whose result differs when the SQL is taken at its word.

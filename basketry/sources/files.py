@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import posixpath
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, StructField, TimestampNTZType
+from pyspark.sql.types import DecimalType, StringType, StructField, StructType, TimestampNTZType
 
 from basketry.schema import SCHEMAS, Tables
 
@@ -28,6 +29,8 @@ WITH_FRACTION = "dd.MM.yyyy H:mm:ss.SSSSSS"
 
 # Tells an unquoted empty field (NULL) from a quoted one (empty text).
 _UNQUOTED_EMPTY = "\u0000"
+# Holds the line of a row that cannot be read.
+_RAW = "_unreadable"
 
 
 def _file(path: str, table: str, suffix: str, extension: str) -> str:
@@ -48,21 +51,61 @@ def read_tables(
     Line breaks inside quoted fields need multiline=True, which makes every file
     one task; leave it off for large files.
     """
-    reader = spark.read.options(
+    reader = _reader(spark, separator, multiline).option("mode", "FAILFAST")
+    return Tables(
+        **{
+            table: reader.schema(schema).csv(_file(path, table, suffix, extension))
+            for table, schema in SCHEMAS.items()
+        }
+    )
+
+
+def read_checked(
+    spark: SparkSession,
+    path: str,
+    suffix: str = "",
+    separator: str = "\t",
+    extension: str = "tsv",
+    multiline: bool = False,
+) -> tuple[Tables, DataFrame]:
+    """The readable rows of the files, and a finding (table, rule, key, detail) per other row.
+
+    A row is not readable if it has more or fewer fields than its table, or one that is not of its
+    column's type, such as a moment in another format. Its finding holds the first field, if
+    that could be read, as key and the raw line as detail, in the form of the input checks. All
+    fields of a row are parsed whatever columns are asked for, so that every use of a table sees the same rows.
+    """
+    reader = _reader(spark, separator, multiline).options(
+        mode="PERMISSIVE", columnNameOfCorruptRecord=_RAW, columnPruning=False
+    )
+    found, unreadable = {}, []
+    for table, schema in SCHEMAS.items():
+        raw = reader.schema(StructType([*schema.fields, StructField(_RAW, StringType())])).csv(
+            _file(path, table, suffix, extension)
+        )
+        # Always true, but asks for every field: only fields that are asked for are parsed.
+        parsed = F.xxhash64(*schema.names) >= F.lit(-(1 << 63))
+        found[table] = raw.filter(F.col(_RAW).isNull() & parsed).drop(_RAW)
+        unreadable.append(
+            raw.filter(F.col(_RAW).isNotNull() & parsed).select(
+                F.lit(table).alias("table"),
+                F.lit("readable row").alias("rule"),
+                F.col(schema.names[0]).cast("string").alias("key"),
+                F.col(_RAW).alias("detail"),
+            )
+        )
+    return Tables(**found), reduce(DataFrame.unionByName, unreadable)
+
+
+def _reader(spark: SparkSession, separator: str, multiline: bool) -> DataFrameReader:
+    return spark.read.options(
         sep=separator,
         quote='"',
         escape='"',
-        mode="FAILFAST",
         nullValue=_UNQUOTED_EMPTY,
         timestampNTZFormat=MOMENT_FORMAT,
         multiLine=multiline,
     )
-    return Tables(
-        **{
-            table: reader.schema(schema).csv(_file(path, table, suffix, extension))
-            for table, schema in SCHEMAS.items()
-        }
-    )
 
 
 def write_tables(
@@ -74,7 +117,7 @@ def write_tables(
 ) -> None:
     """Headerless delimited dump, one folder per table, readable by read_tables."""
     for table, df in tables.items():
-        _as_text(df).write.options(
+        as_text(df).write.options(
             sep=separator,
             quote='"',
             escape='"',
@@ -85,7 +128,7 @@ def write_tables(
         ).csv(_file(path, table, suffix, extension))
 
 
-def _as_text(df: DataFrame) -> DataFrame:
+def as_text(df: DataFrame) -> DataFrame:
     """Decimals as plain digits, where a zero is not 0E-13; moments with a fraction if they have one."""
 
     def text(field: StructField) -> Column:

@@ -9,11 +9,13 @@ of day. Every store lists every part.
 from __future__ import annotations
 
 import posixpath
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.schema import Tables
+from basketry.sources.files import as_text
 
 STORES = 5
 
@@ -94,6 +96,27 @@ def load(spark: SparkSession, folder: str) -> Tables:
     )
 
 
+def misspelt(tables: Tables) -> Tables:
+    """The same tables as text, with fields that cannot be read put in by key.
+
+    Transactions: a moment in another format, a moment that does not exist, a sum that is no number.
+    Check lines: an amount that is no number.
+    """
+    receipt = F.col("transaction_id")
+    transactions = as_text(tables.transactions).withColumns(
+        {
+            "transaction_datetime": F.when(receipt % 97 == 0, "1998-01-31 10:00:00")
+            .when(receipt % 97 == 1, "31.02.1998 10:00:00")
+            .otherwise(F.col("transaction_datetime")),
+            "transaction_summ": F.when(receipt % 101 == 0, "much").otherwise(F.col("transaction_summ")),
+        }
+    )
+    checks = as_text(tables.checks).withColumn(
+        "sku_amount", F.when(receipt % 103 == 0, "1.2.3").otherwise(F.col("sku_amount"))
+    )
+    return replace(tables, transactions=transactions, checks=checks)
+
+
 def flawed(tables: Tables) -> Tables:
     """The same tables with faults of every kind put in by key: all rows stay, some occur twice.
 

@@ -115,3 +115,36 @@ def test_bucketed_tables_join_without_shuffle(spark):
         for name, _ in tables.items():
             spark.sql(f"DROP TABLE bucketed_{name}")
     assert "SortMergeJoin" in text and "Exchange" not in text
+
+
+FLAWED = {
+    "Transactions_Mini": "1\t1\t10\t23.08.2018 0:47:37\t1\n2\t2\t0\t2019-09-22\t1\n3\t2\t0\t22.09.2019 1:00:00\n"
+    "4\t2\t0\t22.09.2019 1:00:00\t1\t9\nx\t1\t10\t23.08.2018 0:47:37\t1",
+    "Checks_Mini": "1\t1\t3\t3\t1\t2\n2\t1\tmany\t5\t5\t0",
+}
+
+
+def test_rows_that_cannot_be_read_are_findings(spark, tmp_path):
+    folder = write_samples(tmp_path)
+    for name, text in FLAWED.items():
+        (tmp_path / f"{name}.tsv").write_text(text, encoding="utf-8")
+    tables, findings = files.read_checked(spark, folder, "_Mini")
+    assert [r["transaction_id"] for r in tables.transactions.collect()] == [1]
+    # Whatever is asked of a table, the same rows are in it.
+    assert tables.transactions.select("transaction_id").count() == tables.transactions.count() == 1
+    assert [tuple(r) for r in tables.checks.select("transaction_id").collect()] == [(1,)]
+    lines = {name: text.split("\n") for name, text in FLAWED.items()}
+    assert sorted(map(tuple, findings.collect()), key=repr) == sorted(
+        [("transactions", "readable row", key, lines["Transactions_Mini"][i]) for i, key in ((1, "2"), (2, "3"), (3, "4"), (4, None))]
+        + [("checks", "readable row", "2", lines["Checks_Mini"][1])],
+        key=repr,
+    )
+    for name, df in tables.items():
+        assert df.schema == SCHEMAS[name]
+
+
+def test_sound_files_have_no_findings(spark, tmp_path):
+    folder = write_samples(tmp_path)
+    tables, findings = files.read_checked(spark, folder, "_Mini")
+    assert contents(tables) == contents(files.read_tables(spark, folder, "_Mini"))
+    assert findings.collect() == []
