@@ -9,7 +9,7 @@ import pytest
 
 import __spark_entry__ as driver
 from basketry import Workspace
-from basketry.operators import customers, offers
+from basketry.operators import customers, groups, offers
 from basketry.sources import files, testtables
 from shop import plan
 
@@ -53,6 +53,37 @@ def test_history_is_read_once_for_all_group_measures(tables):
     assert plan(ws.groups_by_margin(1, 30)).count("l_orderkey:bigint,l_partkey:bigint") == 1
 
 
+def test_offers_cut_the_history_before_the_time_line(tables):
+    """Customers without a qualifying pair are gone before any hour is laid out."""
+    with Workspace(tables) as ws:
+        text = plan(ws.reward_group(max_churn=3, max_discount_share=70, margin_share=30))
+    hourly = text.index("windowspecdefinition(customer_id#", text.index("hour#"))
+    assert text.index("LeftSemi") > hourly
+    assert text.count("Exchange hashpartitioning(customer_id") <= 3
+
+
+@pytest.mark.parametrize(
+    "build",
+    [
+        lambda t: offers.avg_check_by_count(t, 5),
+        lambda t: offers.avg_check_by_count(t, 5000),
+        lambda t: customers.last_three_stores(t),
+        lambda t: groups.group_margin(Workspace(t).history, Workspace(t).analysis, 2, 3),
+    ],
+)
+def test_latest_rows_are_cut_before_the_shuffle(tables, build):
+    text = plan(build(tables))
+    partial = text.index("Partial", text.index("WindowGroupLimit"))
+    assert "Exchange hashpartitioning" in text[:partial]
+    assert "WindowGroupLimit" in text
+
+
+def test_prices_are_joined_by_product_and_store(tables):
+    text = plan(Workspace(tables).history)
+    assert "map_from_entries" not in text and "collect_list" not in text
+    assert "LeftOuter" in text
+
+
 @pytest.mark.parametrize(
     "name, rows",
     [("purchase_history", 5479), ("groups", 1592), ("offers_average_check_count", 144), ("offers_visit_frequency", 100)],
