@@ -131,3 +131,107 @@ def offers_cross_sell(
         .join(tables.product_grid.select("sku_id", "sku_name"), "sku_id")
         .select("customer_id", "sku_name", "offer_discount_depth")
     )
+
+
+def max_margin_as_written(tables: Tables, selected: DataFrame, stores: DataFrame) -> DataFrame:
+    """Selected pairs with the largest margin that any product of the main store has in any store.
+
+    The largest margin is found once per product and once per store; it is the same for all
+    groups of a customer. Customers whose main store lists no known product drop out.
+    """
+    listed = tables.stores.join(tables.product_grid.select("sku_id"), "sku_id", "left_semi")
+    anywhere = listed.groupBy("sku_id").agg(F.max(_gain()).alias("gain"))
+    largest = (
+        listed.join(anywhere, "sku_id")
+        .groupBy(F.col("transaction_store_id").alias("customer_primary_store"))
+        .agg(F.max("gain").alias("max_margin"))
+    )
+    return selected.join(stores.select("customer_id", "customer_primary_store"), "customer_id").join(
+        largest, "customer_primary_store"
+    )
+
+
+def share_repeats_as_written(
+    tables: Tables, history: DataFrame, selected: DataFrame, max_sku_share: float
+) -> DataFrame:
+    """How often the SQL repeats each offer of a customer; customers without offers have no row.
+
+    A product counts the lines it has in receipts of selected groups, once per such group. Of a
+    customer, every different count meets the number of purchases of every selected group, and
+    each meeting whose quotient is within the limit repeats all offers. Meetings are counted on one
+    ordered line of the different values per customer, never formed: values that differ
+    add up to the customer's lines, so a customer with n lines has about sqrt(2 n) of them.
+    """
+    receipts = (
+        history.select(*PAIR, "transaction_id")
+        .join(selected.select(*PAIR), PAIR, "left_semi")
+        .groupBy("customer_id", "transaction_id")
+        .agg(F.count(F.lit(1)).alias("times"))
+    )
+    counts = (
+        tables.checks.select("transaction_id", "sku_id")
+        .join(receipts, "transaction_id")
+        .groupBy("customer_id", "sku_id")
+        .agg(F.sum("times").alias("count_sku"))
+        .select("customer_id", "count_sku")
+        .distinct()
+    )
+    groups = selected.groupBy("customer_id", "group_purchase").agg(F.count(F.lit(1)).alias("groups"))
+    values = counts.select(
+        "customer_id", (F.col("count_sku") * F.lit(100.0)).alias("at"), F.lit(0).cast("long").alias("groups")
+    ).unionByName(
+        groups.select("customer_id", (F.col("group_purchase") * F.lit(float(max_sku_share))).alias("at"), "groups")
+    )
+    # From above, groups before products of the same value.
+    line = W.partitionBy("customer_id").orderBy(F.col("at").desc(), F.col("groups").desc())
+    above = F.sum("groups").over(line.rowsBetween(W.unboundedPreceding, 0))
+    return (
+        values.withColumn("above", above)
+        .filter((F.col("groups") == 0) & (F.col("above") > 0))
+        .groupBy("customer_id")
+        .agg(F.sum("above").alias("repeats"))
+    )
+
+
+def offers_cross_sell_counted(
+    tables: Tables,
+    history: DataFrame,
+    selected: DataFrame,
+    stores: DataFrame,
+    max_sku_share: float,
+    margin_share: float,
+) -> DataFrame:
+    """Offers as the SQL forms them, each with the number of its rows in `repeats`.
+
+    Every product of a selected group that the main store lists is offered; its depth is NULL
+    where the margin does not cover it. `selected` is read twice.
+    """
+    reached = max_margin_as_written(tables, selected, stores)
+    repeats = share_repeats_as_written(tables, history, reached, max_sku_share)
+    listed = tables.product_grid.join(
+        tables.stores.select(
+            "sku_id", F.col("transaction_store_id").alias("customer_primary_store"), "sku_retail_price"
+        ),
+        "sku_id",
+    )
+    return (
+        reached.join(repeats, "customer_id")
+        .join(listed, ["customer_primary_store", "group_id"])
+        .select(
+            "customer_id",
+            "sku_name",
+            cross_sell_discount(margin_share).alias("offer_discount_depth"),
+            "repeats",
+        )
+    )
+
+
+def spread(offers: DataFrame) -> DataFrame:
+    """Each offer as many times as `repeats` says, in steps that keep the lists short."""
+    step = 1024
+    rest = F.least(F.lit(step), F.col("repeats") - F.col("from"))
+    return (
+        offers.withColumn("from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("repeats") - 1, F.lit(step).cast("long"))))
+        .withColumn("again", F.explode(F.sequence(F.lit(1).cast("long"), rest)))
+        .drop("from", "again", "repeats")
+    )

@@ -351,21 +351,38 @@ def _since(analysis: Column, days: int) -> Column:
     return F.col("transaction_datetime").between(start, analysis)
 
 
+def _among_first(history: DataFrame, number: int) -> Column:
+    """Whether a pair is one of the first `number` by customer and group.
+
+    The last key that still counts is a scalar subquery: an ordered limit over the keys, of
+    which every task sends `number` at most. No row of the history is moved for it twice.
+    """
+    pair = F.struct(*PAIR)
+    named = history.select(*PAIR).filter(F.col("group_id").isNotNull())
+    keys = named.distinct().orderBy(*PAIR).limit(number)
+    return pair <= keys.agg(F.max(pair)).scalar()
+
+
 def _check_margin_method(method: int) -> None:
     if method not in (0, 1, 2):
         raise ValueError(f"the margin method must be 0, 1 or 2, not {method!r}")
 
 
 def group_margin(
-    history: DataFrame, analysis: Column, method: int = 0, number: int = 1
+    history: DataFrame, analysis: Column, method: int = 0, number: int = 1, mode: str = "spec"
 ) -> DataFrame:
     """Paid minus cost per pair.
 
     method 0: all history; 1: the last `number` days before the analysis date;
     2: the last `number` transactions of the pair. Pairs without such a
     purchase have NULL.
+    mode="as_written", method 2: all history, but only for the first `number` pairs by
+    customer and group; all others have NULL.
     """
     _check_margin_method(method)
+    if method == 2 and check_mode(mode) == "as_written":
+        kept = F.when(_among_first(history, number), F.col("group_margin"))
+        return _pair_totals(history).select(*PAIR, kept.alias("group_margin"))
     if method == 0:
         return _pair_totals(history).select(*PAIR, "group_margin")
     if method == 1:
@@ -402,7 +419,11 @@ def group_details(
     pairs = group_profile(history, analysis, mode, window).filter(
         F.col("group_purchase") >= min_purchases
     )
-    if margin_method == 2:
+    if margin_method == 2 and check_mode(mode) == "as_written":
+        # Pairs that drop out above count among the first ones.
+        first = _among_first(history, margin_number)
+        pairs = pairs.withColumn("group_margin", F.when(first, F.col("group_margin")))
+    elif margin_method == 2:
         margins = group_margin(history, analysis, 2, margin_number)
         pairs = pairs.drop("group_margin").join(margins, PAIR, "left")
     return pairs.select(*GROUP_COLUMNS, "group_purchase", "group_summ_paid")

@@ -233,6 +233,9 @@ FROM (SELECT * FROM ph
       QUALIFY row_number() OVER (PARTITION BY customer_id, group_id
                                  ORDER BY transaction_datetime DESC, transaction_id DESC) <= {last})
 GROUP BY ALL"""
+STEPS["margin_first"] = """
+SELECT customer_id, group_id, CASE WHEN place <= {first_pairs} THEN group_margin END AS group_margin
+FROM (SELECT *, row_number() OVER (ORDER BY customer_id, group_id) AS place FROM margin)"""
 STEPS["average"] = """
 SELECT customer_id, group_id, CAST(sum(group_summ_paid) AS DOUBLE) / CAST(sum(group_summ) AS DOUBLE)
            AS group_average_discount
@@ -254,6 +257,7 @@ STEPS["groups_as_written"] = _groups("_as_written", "margin")
 STEPS["groups_all"] = _groups("", "margin", "LEFT JOIN")
 STEPS["groups_days"] = _groups("", "margin_days")
 STEPS["groups_last"] = _groups("", "margin_last")
+STEPS["groups_first"] = _groups("_as_written", "margin_first")
 
 # --- offers -------------------------------------------------------------------
 
@@ -359,6 +363,35 @@ SELECT customer_id, group_id, sku_id, sku_name,
             THEN ceil(group_minimum_discount * 20 - 1e-9) * 5 END AS offer_discount_depth
 FROM best_sku"""
 
+# Cross-selling as written, joins and repeated rows included.
+STEPS["peers"] = """
+SELECT c.customer_id, c.group_id, m.customer_primary_store, s.sku_id
+FROM selected_as_written c JOIN primary_store_as_written m USING (customer_id)
+JOIN stores s ON s.transaction_store_id = m.customer_primary_store"""
+STEPS["largest"] = """
+SELECT customer_id, p.group_id, customer_primary_store, max(sku_retail_price - sku_purchase_price) AS max_margin
+FROM peers p JOIN stores USING (sku_id) JOIN product_grid g USING (sku_id)
+GROUP BY ALL"""
+STEPS["sku_counts"] = """
+SELECT DISTINCT customer_id, count_sku
+FROM (SELECT b.customer_id, l.sku_id, count(l.transaction_id) AS count_sku
+      FROM largest b JOIN ph h USING (customer_id, group_id) JOIN checks l ON l.transaction_id = h.transaction_id
+      GROUP BY b.customer_id, l.sku_id)"""
+STEPS["group_counts"] = """
+SELECT customer_id, group_id, count(*) AS count_group
+FROM largest JOIN ph USING (customer_id, group_id) GROUP BY ALL"""
+STEPS["meetings"] = """
+SELECT customer_id, count(*) AS repeats FROM sku_counts JOIN group_counts USING (customer_id)
+WHERE count_sku * 100 <= {max_sku_share} * count_group GROUP BY customer_id"""
+STEPS["repeated"] = """
+SELECT customer_id, sku_name, repeats,
+       CASE WHEN {margin_share} / 100.0 * (CAST(max_margin AS DOUBLE) / CAST(s.sku_retail_price AS DOUBLE))
+                 >= ceil(group_minimum_discount * 20 - 1e-9) * 5 / 100.0
+            THEN ceil(group_minimum_discount * 20 - 1e-9) * 5 END AS offer_discount_depth
+FROM largest JOIN meetings USING (customer_id) JOIN selected_as_written USING (customer_id, group_id)
+JOIN product_grid g USING (group_id)
+JOIN stores s ON s.sku_id = g.sku_id AND s.transaction_store_id = customer_primary_store"""
+
 # --- input checks -------------------------------------------------------------
 
 # The tables with faults of every kind; all rows stay, some occur twice.
@@ -583,6 +616,15 @@ STATEMENTS: dict[str, str] = {
         FROM selected_as_written""",
     "validate_flawed": """SELECT * FROM flawed_key_findings UNION ALL SELECT * FROM flawed_missing_findings
         UNION ALL SELECT * FROM flawed_format_findings""",
+    "group_margin_last_n_as_written": "SELECT * FROM margin_first",
+    "groups_margin_last_n_as_written": "SELECT * FROM groups_first",
+    "max_margin_sku_as_written": """SELECT customer_id, group_id, customer_primary_store,
+        CAST(max_margin AS DOUBLE) AS max_margin FROM largest""",
+    "sku_share_as_written": "SELECT * FROM meetings",
+    "offers_cross_sell_as_written": """SELECT customer_id, sku_name, offer_discount_depth
+        FROM repeated CROSS JOIN unnest(range(repeats))""",
+    "offers_cross_sell_counted_as_written": """SELECT customer_id, sku_name, offer_discount_depth, repeats
+        FROM repeated""",
     "validate_flawed_as_written": """SELECT * FROM flawed_key_findings
         UNION ALL SELECT * FROM flawed_missing_findings
         UNION ALL SELECT * FROM flawed_format_findings_as_written""",
@@ -654,7 +696,10 @@ def _ordered(names: set[str]) -> list[str]:
 
 def _kind(step: str) -> str:
     """Materialized steps keep the join order as written; price lists joined too early explode."""
-    return "MATERIALIZED" if step in ("bought", "ph", "visits", "checks", "listed", "selected") else ""
+    kept = (
+        "bought", "ph", "visits", "checks", "listed", "selected", "selected_as_written", "primary_store_as_written",
+    )
+    return "MATERIALIZED" if step in kept else ""
 
 
 def statements(parameters: dict[str, object]) -> dict[str, str]:

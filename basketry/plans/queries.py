@@ -20,6 +20,7 @@ from basketry.workspace import Workspace
 PARAMETERS: dict[str, object] = {
     "days": 365,
     "last": 2,
+    "first_pairs": 500,
     "first_day": "1996-01-01",
     "last_day": "1998-12-31",
     "visits": 5,
@@ -42,6 +43,12 @@ LIMITS = {
     "margin_share": P["margin_share"],
 }
 PERIOD = {"first": P["first_day"], "last": P["last_day"]}
+CROSS_LIMITS = {
+    "max_churn": P["cross_churn"],
+    "max_stability": P["cross_stability"],
+    "max_sku_share": P["max_sku_share"],
+    "margin_share": P["margin_share"],
+}
 VISIT_PERIOD = (P["visit_start"], P["visit_end"], P["added"])
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,6 +84,14 @@ def _sku_shares(ws: Workspace) -> DataFrame:
     return shares.select(*PAIR, "sku_id", "sku_share")
 
 
+def _reached_written(ws: Workspace) -> DataFrame:
+    """Chosen pairs whose customer's main store lists anything, as the SQL takes them."""
+    selected = ws.cross_sell_selected(P["cross_groups"], P["cross_churn"], P["cross_stability"])
+    return cross_sell.max_margin_as_written(
+        ws.tables, selected, customers.primary_store(ws.tables, ws.mode)
+    )
+
+
 def _reward(ws: Workspace, **choices) -> DataFrame:
     return ws.reward_group(**LIMITS, **choices)
 
@@ -177,13 +192,7 @@ SPEC: dict[str, Callable[[Workspace], DataFrame]] = {
         "sku_id",
         cross_sell.cross_sell_discount(P["margin_share"]).alias("offer_discount_depth"),
     ),
-    "offers_cross_sell": lambda ws: ws.offers_cross_sell(
-        P["cross_groups"],
-        max_churn=P["cross_churn"],
-        max_stability=P["cross_stability"],
-        max_sku_share=P["max_sku_share"],
-        margin_share=P["margin_share"],
-    ),
+    "offers_cross_sell": lambda ws: ws.offers_cross_sell(P["cross_groups"], **CROSS_LIMITS),
     "validate_keys": lambda ws: quality.key_violations(ws.tables),
     "validate": lambda ws: ws.validate(),
     "validate_flawed": lambda ws: quality.validate(testtables.flawed(ws.tables), ws.mode),
@@ -206,6 +215,19 @@ SPEC: dict[str, Callable[[Workspace], DataFrame]] = {
 # Queries whose result differs when the SQL is taken at its word.
 AS_WRITTEN = SPEC | {
     "reward_group": lambda ws: _reward(ws, per="group", rounding="down"),
+    "group_margin_last_n": lambda ws: groups.group_margin(
+        ws.history, ws.analysis, 2, P["first_pairs"], ws.mode
+    ),
+    "groups_margin_last_n": lambda ws: ws.groups_by_margin(2, P["first_pairs"]),
+    "max_margin_sku": lambda ws: _reached_written(ws).select(
+        *PAIR, "customer_primary_store", "max_margin"
+    ),
+    "sku_share": lambda ws: cross_sell.share_repeats_as_written(
+        ws.tables, ws.store_history().history, _reached_written(ws), P["max_sku_share"]
+    ),
+    "offers_cross_sell_counted": lambda ws: ws.offers_cross_sell_counted(
+        P["cross_groups"], **CROSS_LIMITS
+    ),
 }
 AS_WRITTEN_NAMES = [
     "periods",
@@ -226,6 +248,12 @@ AS_WRITTEN_NAMES = [
     "required_transactions",
     "offers_visit_frequency",
     "cross_sell_groups",
+    "group_margin_last_n",
+    "groups_margin_last_n",
+    "max_margin_sku",
+    "sku_share",
+    "offers_cross_sell",
+    "offers_cross_sell_counted",
     "validate",
     "validate_flawed",
 ]

@@ -154,7 +154,36 @@ class Workspace:
             **parameters,
         )
 
+    def cross_sell_selected(self, count: int, max_churn: float, max_stability: float) -> DataFrame:
+        """The pairs cross-selling chooses, written down, as offers read them more than once."""
+        self.store_history()
+        with recorded() as paths:
+            selected = written(
+                cross_sell_ops.cross_sell_groups(
+                    self.group_details, count, max_churn, max_stability, self.mode
+                )
+            )
+        self._paths += paths
+        return selected
+
+    def offers_cross_sell_counted(
+        self, count: int, max_churn, max_stability, max_sku_share, margin_share
+    ) -> DataFrame:
+        """Mode "as_written": the different offers, and in `repeats` how often the SQL gives each."""
+        if self.mode != "as_written":
+            raise ValueError("offers are repeated in mode 'as_written' only")
+        return cross_sell_ops.offers_cross_sell_counted(
+            self.tables,
+            self.history,
+            self.cross_sell_selected(count, max_churn, max_stability),
+            customer_ops.primary_store(self.tables, self.mode),
+            max_sku_share,
+            margin_share,
+        )
+
     def offers_cross_sell(self, count: int, **parameters) -> DataFrame:
+        if self.mode == "as_written":
+            return cross_sell_ops.spread(self.offers_cross_sell_counted(count, **parameters))
         self.store_history()
         return cross_sell_ops.offers_cross_sell(
             self.tables,

@@ -7,6 +7,7 @@ from fractions import Fraction
 
 import pytest
 
+from basketry import Workspace
 from basketry.operators import groups as G
 from basketry.operators.history import analysis_moment, discounted_history
 from shop import by, shop
@@ -120,6 +121,24 @@ def test_margin_methods(spark, method, number, dairy, bakery):
     assert by(table.select(*KEYS, "group_margin"), *KEYS) == result
 
 
+@pytest.mark.parametrize("number", [0, 1, 2, 3, 9])
+def test_margin_as_written_of_the_first_pairs(spark, number):
+    """Customer 1 buys both groups, Dairy once; customer 2 buys Dairy."""
+    tables = shop(
+        spark,
+        receipts=[(1, 1, 0, "01-05", 1), (2, 1, 0, "01-09", 1), (3, 2, 0, "01-05", 1), (4, 2, 0, "01-09", 1)],
+        lines=[(1, 1, 1, 10, 0), (1, 3, 1, 20, 0), (2, 3, 1, 20, 0), (3, 1, 1, 10, 0), (4, 1, 1, 10, 0)],
+    )
+    with Workspace(tables, mode="as_written") as ws:
+        margin = G.group_margin(ws.history, ws.analysis, 2, number, "as_written")
+        found = by(margin, *KEYS)
+        every = [((1, 1), 4.0), ((1, 2), 30.0), ((2, 1), 8.0)]
+        assert found == {key: value if i < number else None for i, (key, value) in enumerate(every)}
+        # The pair bought once is not in the table but takes a place.
+        table = by(ws.groups_by_margin(2, number).select(*KEYS, "group_margin"), *KEYS)
+        assert table == {key: found[key] for key in ((1, 2), (2, 1))}
+
+
 def test_unknown_margin_method(spark):
     with pytest.raises(ValueError):
         G.groups(*build(margins(spark)), margin_method=3)

@@ -245,6 +245,52 @@ def test_cross_sell_needs_enough_margin(spark):
     assert ws.offers_cross_sell(5, margin_share=17, **limits).count() == 1
 
 
+@pytest.mark.parametrize("limit, repeats", [(100, 2), (99, 1), (50, 1), (49, 0)])
+def test_cross_sell_as_written_repeats_offers(spark, limit, repeats):
+    # Milk has 2 lines and cream 4, the group has 4 purchases. Bread gives the largest margin.
+    with Workspace(cross_shop(spark), mode="as_written") as ws:
+        limits = dict(max_churn=9, max_stability=9, max_sku_share=limit)
+        offers = ws.offers_cross_sell(5, margin_share=30, **limits)
+        assert sorted(map(tuple, offers.collect())) == sorted(
+            [(1, name, 10.0) for name in ("Milk", "Cream")] * repeats
+        )
+        # 6 % of 15 is less than a tenth of 10: the offers stay without a depth.
+        counted = ws.offers_cross_sell_counted(5, margin_share=6, **limits)
+        expected = {(1, "Milk"): (None, repeats), (1, "Cream"): (None, repeats)} if repeats else {}
+        assert by(counted, "customer_id", "sku_name") == expected
+
+
+def test_cross_sell_as_written_equal_counts_meet_once(spark):
+    """Two products of 3 lines each are one count; receipts with both groups count twice."""
+    tables = shop(
+        spark,
+        receipts=[(i, 1, 0, f"01-{i * 4:02d}", 1) for i in range(1, 5)],
+        lines=[(i, sku, 1, 10, 1) for i in (1, 2, 3) for sku in (1, 3)] + [(4, 2, 1, 10, 1)],
+    )
+    with Workspace(tables, mode="as_written") as ws:
+        selected = ws.cross_sell_selected(5, 99, 99)
+        repeats = {}
+        for limit in (100, 200, 150, 24, 25):
+            found = cross_sell.share_repeats_as_written(tables, ws.history, selected, limit)
+            repeats[limit] = by(found, "customer_id").get(1)
+    # Counts 6 (milk, bread: 3 lines in two groups) and 1 (cream); purchases 4 (Dairy) and 3 (Bakery).
+    values, purchases = (6, 1), (4, 3)
+    for limit, found in repeats.items():
+        count = sum(v * 100 <= limit * p for v in values for p in purchases)
+        assert found == (count or None)
+
+
+def test_spread_repeats_rows(spark):
+    offers = spark.createDataFrame([("a", 1), ("b", 1024), ("c", 2500)], "sku_name string, repeats long")
+    counts = cross_sell.spread(offers).groupBy("sku_name").count()
+    assert by(counts, "sku_name") == {"a": 1, "b": 1024, "c": 2500}
+
+
+def test_counted_offers_are_of_mode_as_written(spark):
+    with pytest.raises(ValueError, match="as_written"):
+        Workspace(cross_shop(spark)).offers_cross_sell_counted(5, 9, 9, 100, 30)
+
+
 def test_workspace_views(spark):
     ws = Workspace(cross_shop(spark))
     ws.register_views("t_")
