@@ -69,3 +69,9 @@ def word_lists(column: pa.Array, lower: bool = True) -> tuple[pa.Array, np.ndarr
     if not pc.all(real).as_py() and len(flat):
         flat, rows = flat.filter(real), rows[real.to_numpy(zero_copy_only=False)]
     return flat, rows
+
+
+def one_text(docs: DataFrame) -> DataFrame:
+    """doc_id and text, one row per id: of an id's rows the text with the least hash."""
+    least = F.min(F.struct(F.xxhash64("text"), "text")).alias("least")
+    return docs.groupBy("doc_id").agg(least).select("doc_id", "least.text")

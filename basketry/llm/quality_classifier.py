@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import steps, texts
+from basketry.llm.common import one_text, steps, texts
 from basketry.session import written
 
 GOOD, BAD, ABSTAIN = 2, 1, 0
@@ -227,8 +227,9 @@ def quality_scores(docs: DataFrame) -> DataFrame:
     """doc_id, posterior (of the label model), score (of the linear scorer), kept of every row.
 
     Null texts are empty ones: no words, so voted bad on length. The patterns number
-    3 ** LABELLERS at most; the scorer learns from the MAX_SAMPLE rows with the least
-    hash of their id and has a fixed size. Without documents there is no model and no row.
+    3 ** LABELLERS at most; the scorer learns from the MAX_SAMPLE ids with the least
+    hash, of each from one row, that with the least hash of its text, and has a fixed size. Rows
+    without an id are not learnt from, but vote and are scored. Without documents there is no model and no row.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     counted = docs.select("text").mapInArrow(_vote(), "pattern int").groupBy("pattern").count().collect()
@@ -237,7 +238,7 @@ def quality_scores(docs: DataFrame) -> DataFrame:
     )
     ids = docs.select("doc_id").filter("doc_id is not null").distinct()
     sample = written(ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_SAMPLE))
-    examples = docs.join(sample, "doc_id", "left_semi").select("text")
+    examples = one_text(docs.join(sample, "doc_id", "left_semi")).select("text")
     examples = examples.mapInArrow(
         _examples(chances), "chance double, features array<int>, shares array<float>"
     )

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import steps, texts, word_lists
+from basketry.llm.common import one_text, steps, texts, word_lists
 from basketry.session import written
 
 BITS = 18
@@ -157,7 +157,8 @@ def train(docs: DataFrame, toxic_ids: DataFrame, prior: float) -> tuple[np.ndarr
 
     docs: doc_id, text of the rows that may be learnt from; toxic_ids: doc_id of the confirmed
     ones among them. The unlabelled rows are drawn from all. The samples are bounded by
-    MAX_TOXIC and MEMBERS * MAX_UNLABELLED rows; the model has a fixed size.
+    MAX_TOXIC and MEMBERS * MAX_UNLABELLED rows, as an id is learnt from once, by the row with
+    the least hash of its text; the model has a fixed size. Rows without an id are not learnt from.
     """
     order = F.xxhash64("doc_id")
     ids = docs.select("doc_id").filter("doc_id is not null").distinct()
@@ -170,7 +171,8 @@ def train(docs: DataFrame, toxic_ids: DataFrame, prior: float) -> tuple[np.ndarr
         "doc_id", F.lit(False).alias("toxic"), F.pmod(F.hash("doc_id"), F.lit(MEMBERS)).alias("member")
     )
     sample = written(positive.unionByName(others))
-    examples = docs.join(sample, "doc_id").select("member", "toxic", "text")
+    known = one_text(docs.join(sample.select("doc_id").distinct(), "doc_id", "left_semi"))
+    examples = known.join(sample, "doc_id").select("member", "toxic", "text")
     examples = examples.mapInArrow(_features(), "member int, toxic boolean, features array<int>")
     models = examples.groupBy("member").applyInPandas(_train(prior), "feature long, weight double")
     rows = written(models.groupBy("feature").agg(F.sum("weight").alias("weight"), F.count(F.lit(1)).alias("n")))
@@ -221,7 +223,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
     n, toxic = known.agg(F.count(F.lit(1)), F.sum(F.col("toxic"))).first()
     prior = ((toxic or 0) + 0.5) / (n + 1)
     toxic_ids = known.filter("toxic = 1").select("doc_id")
-    weights, bias = train(docs.filter(~held_out), toxic_ids, min(prior, 0.5))
+    weights, bias = train(docs.filter(~held_out), toxic_ids, prior)
     return scored(docs, weights, bias).select(
         "doc_id",
         held_out.alias("held_out"),

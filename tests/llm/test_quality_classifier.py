@@ -6,6 +6,7 @@ import corpus
 import numpy as np
 
 from basketry.llm import quality_classifier as q
+from basketry.llm.common import one_text
 
 
 def data(seed=0, count=600):
@@ -53,3 +54,14 @@ def test_estimates_accuracies():
     kinds, counts = np.unique([p for _, p in patterns], return_counts=True)
     chances = q.estimate(kinds, counts.astype(float))
     assert np.mean([(chances[p] > 0.5) == good for good, p in patterns]) > 0.98
+
+
+def test_sample_holds_a_row_per_id(spark):
+    """Ids repeat with equal and with different texts, null ones among them."""
+    rows = [(1, f"text {i % 7}") for i in range(500)] + [(2, None), (2, None), (3, "a"), (3, None), (4, "b")]
+    found = [
+        {r["doc_id"]: r["text"] for r in one_text(spark.createDataFrame(rows, "doc_id long, text string").repartition(n)).collect()}
+        for n in (1, 5)
+    ]
+    assert found[0] == found[1] and found[0].keys() == {1, 2, 3, 4}
+    assert found[0][1].startswith("text") and found[0][2] is None and found[0][4] == "b"

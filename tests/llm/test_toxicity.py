@@ -46,6 +46,17 @@ def test_held_out_accuracy(spark):
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3) for r in got)
 
 
+def test_an_id_is_learnt_from_once(spark):
+    """Rows repeated under one id add nothing to the sample, whatever their number."""
+    docs, labels, _ = data(seed=3, count=400)
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    often = next(d for d in docs if not held_out(d[0]) and (d[0], 1) in labels)
+    plain = {r["doc_id"]: r["score"] for r in t.toxicity(corpus.table(spark, docs), marks).collect()}
+    rows = t.toxicity(corpus.table(spark, docs + [often] * 2000), marks).collect()
+    assert len(rows) == len(docs) + 2000
+    assert all(abs(r["score"] - plain[r["doc_id"]]) < 1e-6 for r in rows)
+
+
 def test_held_out_labels_change_nothing(spark):
     docs, labels, _ = data(1, 400)
     turned = [(i, 1 - toxic if held_out(i) else toxic) for i, toxic in labels]
