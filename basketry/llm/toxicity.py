@@ -171,7 +171,7 @@ def train(docs: DataFrame, toxic_ids: DataFrame, prior: float) -> tuple[np.ndarr
         "doc_id", F.lit(False).alias("toxic"), F.pmod(F.hash("doc_id"), F.lit(MEMBERS)).alias("member")
     )
     sample = written(positive.unionByName(others))
-    known = one_text(docs.join(sample.select("doc_id").distinct(), "doc_id", "left_semi"))
+    known = one_text(docs.join(sample, "doc_id", "left_semi"))
     examples = known.join(sample, "doc_id").select("member", "toxic", "text")
     examples = examples.mapInArrow(_features(), "member int, toxic boolean, features array<int>")
     models = examples.groupBy("member").applyInPandas(_train(prior), "feature long, weight double")
