@@ -16,6 +16,7 @@ from basketry.functions.columns import (
 from basketry.functions.ranking import Cut, latest_per_key, rank_cuts
 from basketry.operators.history import analysis_moment, card_transactions, latest_visits
 from basketry.schema import Tables
+from basketry.session import written
 
 # Ranks up to 10 % and 35 % bound the first two segments.
 SEGMENT_PERCENTS = [10, 35]
@@ -98,13 +99,13 @@ BY_FREQUENCY = Cut("customer_frequency", SEGMENT_PERCENTS, FREQUENCY_SEGMENTS)
 
 
 def average_check(tables: Tables) -> DataFrame:
-    totals = _customer_sums(tables).select("customer_id", _average_check())
+    totals = written(_customer_sums(tables).select("customer_id", _average_check()))
     (label,), _ = rank_cuts(totals, "customer_id", [BY_CHECK])
     return totals.withColumn("customer_average_check_segment", label)
 
 
 def visit_frequency(tables: Tables) -> DataFrame:
-    totals = _customer_sums(tables).select("customer_id", _frequency())
+    totals = written(_customer_sums(tables).select("customer_id", _frequency()))
     (label,), _ = rank_cuts(totals, "customer_id", [BY_FREQUENCY])
     return totals.withColumn("customer_frequency_segment", label)
 
@@ -208,14 +209,13 @@ def last_three_stores(tables: Tables, mode: str = "spec") -> DataFrame:
     ).select("customer_id", "transaction_store_id", "transaction_datetime")
 
 
-def _with_primary_store(tables: Tables, mode: str) -> DataFrame:
-    """Customer sums with the main store.
+def _with_primary_store(tables: Tables, by_store: DataFrame, mode: str) -> DataFrame:
+    """Customer sums with the main store, from the sums by store.
 
     One store in the three latest visits wins; else the store with the largest
     share; among equal shares the one visited last (mode="as_written": visited
     last by anybody).
     """
-    by_store = _customer_sums(tables, "transaction_store_id")
     if check_mode(mode) == "as_written":
         anybody = tables.transactions.groupBy("transaction_store_id").agg(
             F.max("transaction_datetime").alias("seen")
@@ -238,23 +238,32 @@ def _with_primary_store(tables: Tables, mode: str) -> DataFrame:
 
 
 def primary_store(tables: Tables, mode: str = "spec") -> DataFrame:
-    return _with_primary_store(tables, mode).select("customer_id", "customer_primary_store")
+    by_store = _customer_sums(tables, "transaction_store_id")
+    return _with_primary_store(tables, by_store, mode).select(
+        "customer_id", "customer_primary_store"
+    )
 
 
 def customers(tables: Tables, mode: str = "spec") -> DataFrame:
     """All customer measures, one row per customer with at least one transaction.
 
-    Calling this runs jobs: where the 10 % and 35 % of the customers end is found at
-    once. The table itself is as lazy as any other.
+    Calling this runs jobs: the sums per customer and store are written, a row per pair in
+    place of the transactions, and where the 10 % and 35 % of the customers end is found
+    in them at once. The table itself is as lazy as any other.
     """
-    profile = _with_primary_store(tables, mode).select(
+    by_store = written(_customer_sums(tables, "transaction_store_id"))
+    profile = _with_primary_store(tables, by_store, mode).select(
         "customer_id",
         _average_check(),
         _frequency(),
         _inactive(tables),
         "customer_primary_store",
     )
-    totals = _customer_sums(tables).select("customer_id", _average_check(), _frequency())
+    totals = (
+        by_store.groupBy("customer_id")
+        .agg(*_merged_sums())
+        .select("customer_id", _average_check(), _frequency())
+    )
     (check, frequency), population = rank_cuts(totals, "customer_id", [BY_CHECK, BY_FREQUENCY])
     segmented = _with_churn(profile).withColumns(
         {"customer_average_check_segment": check, "customer_frequency_segment": frequency}

@@ -22,7 +22,7 @@ from basketry.session import delete, recorded, written
 class Workspace:
     """Derived tables are lazy and shared between the offers.
 
-    The customer table looks for its rank cuts when it is first asked for. The history is
+    The customer table writes its sums and looks for its rank cuts when it is first asked for. The history is
     written to the shared folder where one result reads it twice; call store_history() to do
     it before forming several offers. close(), or leaving a with block, deletes what was
     written; results read from it are of no use afterwards.
@@ -44,9 +44,10 @@ class Workspace:
         self.close()
 
     def close(self) -> None:
-        """Delete the stored history and pairs, if any."""
+        """Delete what was written: history, pairs and sums per customer and store, if any."""
         delete(self.tables.checks.sparkSession, self._paths)
         self._paths, self._history = [], None
+        self.__dict__.pop("customers", None)
 
     @property
     def history(self) -> DataFrame:
@@ -79,7 +80,10 @@ class Workspace:
 
     @cached_property
     def customers(self) -> DataFrame:
-        return customer_ops.customers(self.tables, self.mode)
+        with recorded() as paths:
+            customers = customer_ops.customers(self.tables, self.mode)
+        self._paths += paths
+        return customers
 
     @property
     def group_details(self) -> DataFrame:

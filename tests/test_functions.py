@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketry.functions import columns as C
+from basketry.functions import ranking
 from basketry.functions.ranking import Cut, latest_per_key, rank_cuts
 from basketry.session import shared_folder
 from shop import by
@@ -109,6 +110,28 @@ def test_rank_cut_puts_nulls_last(spark, descending):
     assert [found[i] for i in order] == ["High"] * 20 + ["Medium"] * 50 + ["Low"] * 130
 
 
+@pytest.mark.parametrize("accuracy, margin, kinds", [(10_000, 0.01, 10**9), (50, 0.0, 400), (50, 0.02, 5), (50, 0.1, 1)])
+def test_rank_cut_by_rounds(spark, monkeypatch, accuracy, margin, kinds):
+    """Searches of many rounds, with sketches that miss the rank and with all degrees of ties."""
+    monkeypatch.setattr(ranking, "FINISHED_ON", 20)
+    monkeypatch.setattr(ranking, "ACCURACY", accuracy)
+    monkeypatch.setattr(ranking, "MARGIN", margin)
+    rng = random.Random(kinds)
+    values = [None if rng.random() < 0.1 else float(rng.randrange(kinds)) for _ in range(500)]
+    keys = rng.sample(range(-(10**6), 10**6), 500)
+    df = spark.createDataFrame(list(zip(keys, values)), "id long, v double").repartition(7).cache()
+    cut = Cut("v", [10, 35], ["High", "Medium", "Low"], descending=True)
+    other = Cut("v", [95, 100], ["most", "rest", "none"])
+    (label, most), _ = rank_cuts(df, "id", [cut, other])
+    found = by(df.select("id", label, most), "id")
+    df.unpersist()
+    rows = list(zip(values, keys))
+    order = [k for _, k in sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))]
+    assert [found[k][0] for k in order] == ["High"] * 50 + ["Medium"] * 125 + ["Low"] * 325
+    order = [k for _, k in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1]))]
+    assert [found[k][1] for k in order] == ["most"] * 475 + ["rest"] * 25
+
+
 def test_rank_cut_leaves_nothing_behind(spark):
     before = set(Path(shared_folder(spark).removeprefix("file:")).glob("basketry/*"))
     labels(spark.range(100).select("id", F.col("id").alias("v")))
