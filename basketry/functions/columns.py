@@ -45,6 +45,12 @@ def whole_days_between(start: Column, end: Column) -> Column:
     return F.extract(F.lit("DAY"), end - start)
 
 
+def month_number(moment: Column | str) -> Column:
+    """Number of the calendar month, counted from year 0."""
+    moment = F.col(moment) if isinstance(moment, str) else moment
+    return F.year(moment) * 12 + F.month(moment) - 1
+
+
 def hour_bucket(moment: Column | str) -> Column:
     """Number of the clock hour since 1970; purchases of one bucket lie under a day apart."""
     moment = F.col(moment) if isinstance(moment, str) else moment

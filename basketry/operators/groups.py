@@ -16,7 +16,12 @@ from basketry.functions.columns import (
     whole_days_between,
 )
 from basketry.functions.ranking import latest_per_key
-from basketry.operators.history import card_transactions
+from basketry.operators.history import (
+    analysis_moment,
+    card_transactions,
+    in_period,
+    purchase_history,
+)
 from basketry.operators.periods import PAIR
 from basketry.schema import Tables
 
@@ -391,6 +396,19 @@ def group_margin(
     return _pair_totals(latest).select(*PAIR, "group_margin")
 
 
+def recent_margin(tables: Tables, days: int) -> DataFrame:
+    """Paid minus cost of the last `days` days before the analysis date, for pairs bought in them.
+
+    The rows of group_margin, method 1, that have a margin. Needs no older purchase, so
+    facts laid out by month are read for the months of the window only.
+    """
+    analysis = analysis_moment(tables)
+    start = analysis - F.make_dt_interval(F.lit(days))
+    history = purchase_history(in_period(tables, start, analysis))
+    margin = F.sum(F.col("group_summ_paid") - F.col("group_cost")).alias("group_margin")
+    return history.filter(F.col("group_id").isNotNull()).groupBy(*PAIR).agg(margin)
+
+
 def groups(
     history: DataFrame,
     analysis: Column,

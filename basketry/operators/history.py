@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.functions.columns import check_mode, ratio
+from basketry.functions.columns import check_mode, month_number, ratio
 from basketry.functions.ranking import latest_per_key
-from basketry.schema import Tables
+from basketry.schema import MONTH, Tables
 
 HISTORY_KEY = ["customer_id", "transaction_id", "transaction_datetime", "group_id"]
 
@@ -25,6 +27,31 @@ def analysis_moment(tables: Tables) -> Column:
     ).scalar()
 
 
+def first_moment(tables: Tables) -> Column:
+    """Moment of the earliest transaction, a scalar subquery; by month, of the first month that has one."""
+    transactions = tables.transactions
+    if tables.by_month:
+        earliest = transactions.agg(F.min(MONTH)).scalar()
+        transactions = transactions.filter(F.col(MONTH) == earliest)
+    return transactions.agg(F.min("transaction_datetime")).scalar()
+
+
+def in_period(tables: Tables, start: Column, end: Column) -> Tables:
+    """Only receipts between two moments, both included; lines at least of these.
+
+    Where the facts are laid out by month, other months are not read, neither receipts nor lines:
+    start and end may be values or scalar subqueries, which prune folders at run time. Lines of other
+    receipts, or of none, may stay; they meet no receipt.
+    """
+    transactions, checks = tables.transactions, tables.checks
+    if tables.by_month:
+        months = F.col(MONTH).between(month_number(start), month_number(end))
+        transactions = transactions.filter(months)
+        checks = checks.filter(months | F.col(MONTH).isNull())
+    transactions = transactions.filter(F.col("transaction_datetime").between(start, end))
+    return replace(tables, transactions=transactions, checks=checks)
+
+
 def card_transactions(tables: Tables) -> DataFrame:
     """Transactions with their customer. A customer may hold several cards."""
     return tables.transactions.join(tables.cards, "customer_card_id").select(

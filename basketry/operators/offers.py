@@ -10,7 +10,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from basketry.functions.columns import check_mode, days_between, ratio, real, round_to_step
-from basketry.operators.history import analysis_moment, card_transactions, latest_visits
+from basketry.operators.history import (
+    analysis_moment,
+    card_transactions,
+    first_moment,
+    in_period,
+    latest_visits,
+)
 from basketry.operators.periods import PAIR
 from basketry.schema import Tables
 
@@ -58,7 +64,7 @@ def avg_check_by_period(
     after the analysis date becomes the analysis date. Both substitutes are moments;
     mode="as_written" takes dates, substitutes too, for the midnight they begin with.
     """
-    opening = tables.transactions.agg(F.min("transaction_datetime")).scalar()
+    opening = first_moment(tables)
     closing = analysis_moment(tables)
     if check_mode(mode) == "as_written":
         opening_limit, closing_limit = opening.cast("date"), closing.cast("date")
@@ -70,11 +76,11 @@ def avg_check_by_period(
     first, last = _moment(first), _end_of(last) if mode == "spec" else _moment(last)
     start = F.when(first >= opening, first).otherwise(opening_limit)
     end = F.when((last > start) & (last <= closing), last).otherwise(closing_limit)
-    moment = F.col("transaction_datetime")
-    visits = card_transactions(tables).filter(moment.between(start, end))
+    tables = in_period(tables, start, end)
+    visits = card_transactions(tables)
     if given:
         # The start is never before it, and a plain value reaches the scan.
-        visits = visits.filter(moment >= first)
+        visits = visits.filter(F.col("transaction_datetime") >= first)
     return _check_per_customer(tables, visits, mode)
 
 

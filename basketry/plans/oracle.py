@@ -227,6 +227,11 @@ SELECT customer_id, group_id,
             FILTER (WHERE transaction_datetime BETWEEN a.moment - to_days({days}) AND a.moment) AS DOUBLE)
            AS group_margin
 FROM ph CROSS JOIN analysis a GROUP BY customer_id, group_id"""
+STEPS["margin_recent"] = """
+SELECT customer_id, group_id, CAST(sum(group_summ_paid - group_cost) AS DOUBLE) AS group_margin
+FROM ph CROSS JOIN analysis a
+WHERE transaction_datetime BETWEEN a.moment - to_days({days}) AND a.moment
+GROUP BY customer_id, group_id"""
 STEPS["margin_last"] = """
 SELECT customer_id, group_id, CAST(sum(group_summ_paid - group_cost) AS DOUBLE) AS group_margin
 FROM (SELECT * FROM ph
@@ -563,6 +568,12 @@ STATEMENTS: dict[str, str] = {
     "group_margin_all": "SELECT * FROM margin",
     "group_margin_days": "SELECT * FROM margin_days",
     "group_margin_last_n": "SELECT * FROM margin_last",
+    "recent_margin": "SELECT * FROM margin_recent",
+    "months_recent_margin": "SELECT * FROM margin_recent",
+    "months_avg_check_by_period": "SELECT * FROM check_by_period",
+    "months_purchase_history": """SELECT customer_id, transaction_id, transaction_datetime, group_id,
+        CAST(group_cost AS DOUBLE) AS group_cost, CAST(group_summ AS DOUBLE) AS group_summ,
+        CAST(group_summ_paid AS DOUBLE) AS group_summ_paid FROM ph""",
     "discount_share": "SELECT * FROM discounts",
     "minimum_discount": "SELECT * FROM minimum",
     "average_discount": "SELECT * FROM average",

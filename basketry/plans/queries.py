@@ -104,6 +104,14 @@ def _through_files(ws: Workspace) -> Tables:
     return files.read_tables(spark, folder)
 
 
+def _by_month(ws: Workspace) -> Tables:
+    """The tables laid out by month in the shared folder and read again."""
+    spark = ws.tables.checks.sparkSession
+    folder = new_path(spark, "months")
+    files.write_by_month(ws.tables, folder)
+    return files.read_parquet(spark, folder)
+
+
 def _called(text: str) -> Callable[[Workspace], DataFrame]:
     """A call of a table function as SQL text."""
 
@@ -159,6 +167,12 @@ SPEC: dict[str, Callable[[Workspace], DataFrame]] = {
     "group_margin_all": lambda ws: groups.group_margin(ws.history, ws.analysis),
     "group_margin_days": lambda ws: groups.group_margin(ws.history, ws.analysis, 1, P["days"]),
     "group_margin_last_n": lambda ws: groups.group_margin(ws.history, ws.analysis, 2, P["last"]),
+    "recent_margin": lambda ws: groups.recent_margin(ws.tables, P["days"]),
+    "months_recent_margin": lambda ws: groups.recent_margin(_by_month(ws), P["days"]),
+    "months_avg_check_by_period": lambda ws: offers.avg_check_by_period(
+        _by_month(ws), mode=ws.mode, **PERIOD
+    ),
+    "months_purchase_history": lambda ws: Workspace(_by_month(ws)).purchase_history,
     "discount_share": lambda ws: groups.discount_share(ws.history),
     "minimum_discount": lambda ws: groups.minimum_discount(ws.history),
     "average_discount": lambda ws: groups.average_discount(ws.history),

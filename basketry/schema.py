@@ -21,6 +21,9 @@ TEXT = StringType()
 MOMENT = TimestampNTZType()
 MONEY = DecimalType(24, 13)
 
+# Carried by receipts and their lines where these are laid out by the month of the receipt.
+MONTH = "receipt_month"
+
 
 def _struct(**columns: DataType) -> StructType:
     return StructType([StructField(name, kind) for name, kind in columns.items()])
@@ -75,6 +78,10 @@ class Tables:
     checks: DataFrame
     date_of_analysis_formation: DataFrame
 
+    @property
+    def by_month(self) -> bool:
+        return MONTH in self.transactions.columns and MONTH in self.checks.columns
+
     def items(self) -> Iterator[tuple[str, DataFrame]]:
         for field in fields(self):
             yield field.name, getattr(self, field.name)

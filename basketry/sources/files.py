@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, StringType, StructField, StructType, TimestampNTZType
 
-from basketry.schema import SCHEMAS, Tables
+from basketry.functions.columns import month_number
+from basketry.schema import MONTH, SCHEMAS, Tables
 
 # File names of the tables. The analysis date takes no suffix.
 FILE_NAMES = {
@@ -117,7 +118,7 @@ def write_tables(
 ) -> None:
     """Headerless delimited dump, one folder per table, readable by read_tables."""
     for table, df in tables.items():
-        as_text(df).write.options(
+        as_text(df.select(*SCHEMAS[table].names)).write.options(
             sep=separator,
             quote='"',
             escape='"',
@@ -156,6 +157,29 @@ def write_parquet(tables: Tables, path: str) -> None:
         df.write.parquet(posixpath.join(path, table))
 
 
+def write_by_month(tables: Tables, path: str, files: int = 8) -> None:
+    """Parquet, receipts and their lines in a folder per month of the receipt, of `files` files at most.
+
+    A period then reads the folders of its months only. Lines whose receipt is unknown, has no
+    moment, or stands in several months go to a folder without a month, which every period reads:
+    a receipt listed twice meets all its lines whatever the period. Rows are dealt by month and
+    receipt, so that a month with most of the rows is written by `files` tasks; choose them
+    by the size of a month. Read it with read_parquet.
+    """
+    dated = tables.transactions.withColumn(MONTH, month_number("transaction_datetime"))
+    month = F.when(F.min(MONTH) == F.max(MONTH), F.min(MONTH))
+    # A listing without a moment joins the lines, but no period; it does not hide the month.
+    months = dated.groupBy("transaction_id").agg(month.alias(MONTH))
+    facts = {"transactions": dated, "checks": tables.checks.join(months, "transaction_id", "left")}
+    deal = F.pmod(F.xxhash64("transaction_id"), F.lit(files))
+    for table, df in tables.items():
+        if table in facts:
+            dealt = facts[table].select(*SCHEMAS[table].names, MONTH).repartition(F.col(MONTH), deal)
+            dealt.write.partitionBy(MONTH).parquet(posixpath.join(path, table))
+        else:
+            df.write.parquet(posixpath.join(path, table))
+
+
 def save_bucketed(tables: Tables, prefix: str, buckets: int) -> None:
     """Save as catalog tables, receipts and their lines bucketed by transaction.
 
