@@ -12,7 +12,7 @@ from basketry.operators import cross_sell, customers, groups, offers, periods, q
 from basketry.operators.periods import PAIR
 from basketry.plans.sql_functions import register_functions
 from basketry.schema import Tables
-from basketry.session import new_path, tune
+from basketry.session import new_path, tune_joins
 from basketry.sources import files, testtables
 from basketry.workspace import Workspace
 
@@ -166,7 +166,9 @@ SPEC: dict[str, Callable[[Workspace], DataFrame]] = {
     "stability_index": lambda ws: groups.stability_index(ws.history, ws.analysis),
     "group_margin_all": lambda ws: groups.group_margin(ws.history, ws.analysis),
     "group_margin_days": lambda ws: groups.group_margin(ws.history, ws.analysis, 1, P["days"]),
-    "group_margin_last_n": lambda ws: groups.group_margin(ws.history, ws.analysis, 2, P["last"]),
+    "group_margin_last_n": lambda ws: groups.group_margin(
+        ws.store_history().history, ws.analysis, 2, P["last"]
+    ),
     "recent_margin": lambda ws: groups.recent_margin(ws.tables, P["days"]),
     "months_recent_margin": lambda ws: groups.recent_margin(_by_month(ws), P["days"]),
     "months_avg_check_by_period": lambda ws: offers.avg_check_by_period(
@@ -230,7 +232,7 @@ SPEC: dict[str, Callable[[Workspace], DataFrame]] = {
 AS_WRITTEN = SPEC | {
     "reward_group": lambda ws: _reward(ws, per="group", rounding="down"),
     "group_margin_last_n": lambda ws: groups.group_margin(
-        ws.history, ws.analysis, 2, P["first_pairs"], ws.mode
+        ws.store_history().history, ws.analysis, 2, P["first_pairs"], ws.mode
     ),
     "groups_margin_last_n": lambda ws: ws.groups_by_margin(2, P["first_pairs"]),
     "max_margin_sku": lambda ws: _reached_written(ws).select(
@@ -275,7 +277,7 @@ AS_WRITTEN_NAMES = [
 
 def _query(build: Callable[[Workspace], DataFrame], mode: str) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return plain(build(Workspace(testtables.load(tune(spark), folder), mode)))
+        return plain(build(Workspace(testtables.load(tune_joins(spark), folder), mode)))
 
     return run
 

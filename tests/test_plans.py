@@ -113,3 +113,14 @@ def test_invariants(tables):
         tables.stores.select("sku_id", "transaction_store_id"), ["sku_id", "transaction_store_id"], "left_semi"
     )
     assert history.groupBy().sum("group_summ_paid").first() == priced.groupBy().sum("sku_summ_paid").first()
+
+
+def test_nothing_is_broadcast_on_an_estimate(spark):
+    """The price list is a few kilobytes of products on disk, and many rows once it is listed by store."""
+    text = plan(QUERIES["discount_share"](spark, FOLDER))
+    assert "BroadcastExchange" not in text and "SortMergeJoin" in text
+
+
+@pytest.mark.parametrize("name", ["group_margin_last_n", "group_margin_last_n_as_written"])
+def test_a_history_needed_twice_is_written(spark, name):
+    assert "l_orderkey" not in plan(QUERIES[name](spark, FOLDER))

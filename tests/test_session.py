@@ -4,7 +4,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from basketry.session import delete, new_path, recorded, shared_folder, written
+from basketry.session import delete, new_path, recorded, shared_folder, tune_joins, written
 
 
 def session(master, folder=None):
@@ -36,3 +36,24 @@ def test_written_tables_are_recorded_and_deleted(spark):
     delete(spark, paths)
     with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
         spark.read.parquet(paths[0])
+
+
+ESTIMATED = "spark.sql.autoBroadcastJoinThreshold"
+MEASURED = "spark.sql.adaptive.autoBroadcastJoinThreshold"
+
+
+@pytest.mark.parametrize(
+    "named, kept",
+    [
+        ({ESTIMATED: "10485760b"}, {MEASURED: "10485760b"}),
+        ({ESTIMATED: "256k"}, {MEASURED: "256k"}),
+        ({ESTIMATED: "1m", MEASURED: "2m"}, {MEASURED: "2m"}),
+    ],
+)
+def test_joins_go_by_measured_sizes(named, kept):
+    settings = dict(named)
+    conf = SimpleNamespace(get=lambda key, *default: settings.get(key), set=settings.__setitem__)
+    for _ in range(2):  # a session is tuned by every query
+        tune_joins(SimpleNamespace(conf=conf))
+    assert settings[ESTIMATED] == "-1"
+    assert {key: settings[key] for key in kept} == kept
