@@ -121,6 +121,14 @@ def test_nothing_is_broadcast_on_an_estimate(spark):
     assert "BroadcastExchange" not in text and "SortMergeJoin" in text
 
 
+def test_prices_are_moved_before_they_are_aggregated(spark):
+    text = plan(QUERIES["discount_share"](spark, FOLDER))
+    listed = text[text.index("Generate explode") - 2000 :]
+    below = listed[: listed.index("Generate explode")]
+    assert re.search(r"REPARTITION_BY_COL", below)
+    assert not re.search(r"partial_count\(1\)", below[below.rindex("REPARTITION_BY_COL") :])
+
+
 @pytest.mark.parametrize("name", ["group_margin_last_n", "group_margin_last_n_as_written"])
 def test_a_history_needed_twice_is_written(spark, name):
     assert "l_orderkey" not in plan(QUERIES[name](spark, FOLDER))

@@ -40,17 +40,18 @@ def test_written_tables_are_recorded_and_deleted(spark):
 
 ESTIMATED = "spark.sql.autoBroadcastJoinThreshold"
 MEASURED = "spark.sql.adaptive.autoBroadcastJoinThreshold"
+TASK_INPUT = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
 
 @pytest.mark.parametrize(
     "named, kept",
     [
-        ({ESTIMATED: "10485760b"}, {MEASURED: "10485760b"}),
-        ({ESTIMATED: "256k"}, {MEASURED: "256k"}),
-        ({ESTIMATED: "1m", MEASURED: "2m"}, {MEASURED: "2m"}),
+        ({ESTIMATED: "10485760b"}, {MEASURED: "10485760b", TASK_INPUT: "16m"}),
+        ({ESTIMATED: "256k", TASK_INPUT: "8m"}, {MEASURED: "256k", TASK_INPUT: "8m"}),
+        ({ESTIMATED: "1m", MEASURED: "2m"}, {MEASURED: "2m", TASK_INPUT: "16m"}),
     ],
 )
-def test_joins_go_by_measured_sizes(named, kept):
+def test_joins_and_tasks_go_by_measured_sizes(named, kept):
     settings = dict(named)
     conf = SimpleNamespace(get=lambda key, *default: settings.get(key), set=settings.__setitem__)
     for _ in range(2):  # a session is tuned by every query
