@@ -1,7 +1,7 @@
 """Retail customer analytics and personal offers as PySpark DataFrame operators."""
 
 from basketry.schema import Tables
-from basketry.session import tune
+from basketry.session import tune, tune_joins
 from basketry.workspace import Workspace
 
-__all__ = ["Tables", "Workspace", "tune"]
+__all__ = ["Tables", "Workspace", "tune", "tune_joins"]
