@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from contextlib import AbstractContextManager
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
@@ -16,7 +17,7 @@ from basketry.operators import periods as period_ops
 from basketry.operators import quality
 from basketry.operators.history import analysis_moment
 from basketry.schema import Tables
-from basketry.session import delete, recorded, written
+from basketry.session import delete, new_path, within, written
 
 
 class Workspace:
@@ -35,7 +36,7 @@ class Workspace:
         self.mode = check_mode(mode)
         self.min_purchases = min_purchases
         self._history: DataFrame | None = None
-        self._paths: list[str] = []
+        self._folder: str | None = None
 
     def __enter__(self) -> Workspace:
         return self
@@ -45,10 +46,17 @@ class Workspace:
 
     def close(self) -> None:
         """Delete what was written: history, pairs and sums per customer and store, if any."""
-        delete(self.tables.checks.sparkSession, self._paths)
-        self._paths, self._history = [], None
+        if self._folder is not None:
+            delete(self.tables.checks.sparkSession, [self._folder])
+        self._folder, self._history = None, None
         self.__dict__.pop("customers", None)
 
+    def _kept(self) -> AbstractContextManager[None]:
+        """What is written inside lies in this workspace's own folder."""
+        if self._folder is None:
+            self._folder = new_path(self.tables.checks.sparkSession, "workspace")
+        return within(self._folder)
+
     @property
     def history(self) -> DataFrame:
         """Purchase history with discount measures, the base of all group measures."""
@@ -59,9 +67,8 @@ class Workspace:
     def store_history(self) -> Workspace:
         """Write the history down; everything built from now on reads the copy."""
         if self._history is None:
-            with recorded() as paths:
+            with self._kept():
                 self._history = written(self.history)
-            self._paths += paths
         return self
 
     @property
@@ -80,10 +87,8 @@ class Workspace:
 
     @cached_property
     def customers(self) -> DataFrame:
-        with recorded() as paths:
-            customers = customer_ops.customers(self.tables, self.mode)
-        self._paths += paths
-        return customers
+        with self._kept():
+            return customer_ops.customers(self.tables, self.mode)
 
     @property
     def group_details(self) -> DataFrame:
@@ -102,9 +107,8 @@ class Workspace:
 
     def with_affinity(self, pairs: DataFrame) -> DataFrame:
         """Pairs with their affinity; they are written down first, as they are read twice."""
-        with recorded() as paths:
+        with self._kept():
             pairs = written(pairs)
-        self._paths += paths
         return group_ops.with_affinity(pairs, self.history, self.mode)
 
     def reward_group(self, max_churn, max_discount_share, margin_share, **choices) -> DataFrame:
@@ -161,14 +165,12 @@ class Workspace:
     def cross_sell_selected(self, count: int, max_churn: float, max_stability: float) -> DataFrame:
         """The pairs cross-selling chooses, written down, as offers read them more than once."""
         self.store_history()
-        with recorded() as paths:
-            selected = written(
+        with self._kept():
+            return written(
                 cross_sell_ops.cross_sell_groups(
                     self.group_details, count, max_churn, max_stability, self.mode
                 )
             )
-        self._paths += paths
-        return selected
 
     def offers_cross_sell_counted(
         self, count: int, max_churn, max_stability, max_sku_share, margin_share
