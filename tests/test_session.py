@@ -58,3 +58,28 @@ def test_joins_and_tasks_go_by_measured_sizes(named, kept):
         tune_joins(SimpleNamespace(conf=conf))
     assert settings[ESTIMATED] == "-1"
     assert {key: settings[key] for key in kept} == kept
+
+
+SHUFFLE = "spark.sql.shuffle.partitions"
+FILE_PART = "spark.sql.files.maxPartitionBytes"
+INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+@pytest.mark.parametrize("named, kept", [({}, "2000"), ({INITIAL: "300"}, "300"), ({SHUFFLE: "200"}, "2000"), ({SHUFFLE: "5000"}, "5000")])
+def test_tasks_stay_small_beyond_the_partitions_of_the_session(named, kept):
+    settings = {ESTIMATED: "10m"} | named
+    conf = SimpleNamespace(get=lambda key, *default: settings.get(key), set=settings.__setitem__)
+    for _ in range(2):
+        tune_joins(SimpleNamespace(conf=conf))
+    assert settings[INITIAL] == kept
+    assert settings[FILE_PART] == settings[TASK_INPUT] == "16m"
+
+
+def test_a_shuffle_larger_than_the_partitions_named_is_cut_into_tasks_of_one_size(spark):
+    session = spark.newSession()
+    session.conf.set(SHUFFLE, "2")
+    session.conf.set(TASK_INPUT, "64k")
+    session.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+    session.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1k")
+    rows = tune_joins(session).range(200_000).selectExpr("id", "xxhash64(id) AS x")
+    assert rows.groupBy("x").agg({"id": "max"}).rdd.getNumPartitions() > 10
