@@ -117,11 +117,11 @@ class Windows:
         rest = width - size
         return best(values[: len(values) - rest], values[rest:]) if rest else values
 
-    def strings(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
+    def strings(self, data: np.ndarray, ends: np.ndarray, hashed: bool = True) -> tuple[np.ndarray, ...]:
         """minimizer, content hash, text number, start in the data, windows, alone.
 
         data: texts one after the other, ends: where each ends. `alone` is false
-        if the minimizer may occur twice within the string.
+        if the minimizer may occur twice within the string. Unless `hashed`, all content hashes are 0.
         """
         if len(data) < self.length:
             return tuple(np.empty(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64, bool))
@@ -141,16 +141,14 @@ class Windows:
         begins = np.concatenate([[0], ends[:-1]])
         last = ends - self.length + 1
         has = last > begins
-        edges = np.zeros(len(least) + 1, np.int8)
-        np.add.at(edges, begins[has], 1)
-        np.add.at(edges, last[has], -1)
-        inside = np.cumsum(edges[:-1]) > 0
         cut = np.empty(len(least), bool)
         cut[0] = True
         np.not_equal(least[1:], least[:-1], out=cut[1:])
         cut[begins[has]] = True
-        start = np.flatnonzero(cut & inside)
+        start = np.flatnonzero(cut)
         text = np.searchsorted(ends, start, side="right")
+        inside = start < last[text]
+        start, text = start[inside], text[inside]
         stop = np.minimum(np.append(start[1:], len(least)), last[text])
         count = stop - start
         # Cut long runs.
@@ -160,15 +158,18 @@ class Windows:
             shift = (np.arange(len(first)) - first) * MOST_WINDOWS
             start, text, count = (np.repeat(x, parts) for x in (start, text, count))
             start, count = start + shift, np.minimum(count - shift, MOST_WINDOWS)
-        prefix = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(symbols * self.up[: len(data)], out=prefix[1:])
-        content = (prefix[start + count + self.length - 1] - prefix[start]) * self.down[start]
-        content ^= content >> np.uint64(31)
-        content = content * np.uint64(0xBF58476D1CE4E5B9) + count.astype(np.uint64)
+        if hashed:
+            prefix = np.zeros(len(data) + 1, np.uint64)
+            np.cumsum(symbols * self.up[: len(data)], out=prefix[1:])
+            content = (prefix[start + count + self.length - 1] - prefix[start]) * self.down[start]
+            content ^= content >> np.uint64(31)
+            content = content * np.uint64(0xBF58476D1CE4E5B9) + count.astype(np.uint64)
+        else:
+            content = np.zeros(len(start), np.uint64)
         minimizer = least[start]
         return minimizer, content, text, start, count, ~np.isin(minimizer, several)
 
-    def of_batch(self, column: pa.Array) -> Iterator[tuple[np.ndarray, ...]]:
+    def of_batch(self, column: pa.Array, hashed: bool = True) -> Iterator[tuple[np.ndarray, ...]]:
         """The strings of a column of texts, with row numbers and starts inside the row."""
         column = texts(column).cast(pa.large_binary())
         offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset :][: len(column) + 1]
@@ -181,7 +182,7 @@ class Windows:
             for at in range(low, max(high - self.length + 1, low + 1), STRETCH):
                 piece = data[at : min(high, at + STRETCH + self.length - 1)]
                 ends = np.minimum(offsets[row + 1 : until + 1] - at, len(piece))
-                minimizer, content, text, start, count, alone = self.strings(piece, ends)
+                minimizer, content, text, start, count, alone = self.strings(piece, ends, hashed)
                 yield minimizer, content, text + row, start + at - offsets[text + row], count, alone
             row = until
 
@@ -191,7 +192,7 @@ def _count_minimizers(length: int, gram: int) -> Callable:
         windows = Windows(length, gram)
         for batch in batches:
             for part in steps(batch):
-                for minimizer, _, _, _, _, alone in windows.of_batch(part.column("text")):
+                for minimizer, _, _, _, _, alone in windows.of_batch(part.column("text"), hashed=False):
                     # A string that may repeat a window by itself counts as two.
                     every = np.concatenate([minimizer, minimizer[~alone]])
                     values, counts = np.unique(every, return_counts=True)
@@ -358,37 +359,50 @@ def transform(data: np.ndarray, ends: np.ndarray, sizes: np.ndarray, files: Colu
     one. The suffixes that begin with a symbol stand in the order of the places that the
     symbol has in `before`, so a stable sort of that column gives every new suffix its
     place and its neighbours; what it shares with a neighbour is one more than the least
-    common prefix between their places.
+    common prefix between their places. The column is sorted by runs of one symbol, of which it
+    has far fewer than places.
     """
     count = len(ends)
     files.write(before=data[ends - 1], common=np.zeros(count))
-    fresh, places, strings = np.ones(count, bool), np.arange(count), np.arange(count)
+    places, strings = np.arange(count), np.arange(count)
     for size in range(1, int(sizes.max(initial=0)) + 1):
         before, common = files.read("before"), files.read("common")
-        order = _followed(before)
-        at = np.flatnonzero(fresh[order])
-        source = order[at]
-        string = strings[np.searchsorted(places, source)]
-        above, below = order[np.maximum(at - 1, 0)], order[np.minimum(at + 1, len(order) - 1)]
+        longer = before[places] != START
+        source, string = places[longer], strings[longer]
         symbol = before[source]
-        has_above = (at > 0) & (before[above] == symbol)
-        has_below = (at + 1 < len(order)) & (before[below] == symbol)
-        shared = np.zeros(len(at), np.uint8)
+
+        edges = np.concatenate([[0], np.flatnonzero(before[1:] != before[:-1]) + 1, [len(before)]])
+        head, long = edges[:-1], edges[1:] - edges[:-1]
+        line = np.argsort(before[head], kind="stable")
+        turn = np.empty(len(line), np.int64)
+        turn[line] = np.arange(len(line))
+        until = np.cumsum(long[line])
+        run = np.searchsorted(head, source, side="right") - 1
+        turn, inside = turn[run], source - head[run]
+        at = count + until[turn] - long[run] + inside
+        earlier, later = line[np.maximum(turn - 1, 0)], line[np.minimum(turn + 1, len(line) - 1)]
+        above = np.where(inside > 0, source - 1, head[earlier] + long[earlier] - 1)
+        below = np.where(inside + 1 < long[run], source + 1, head[later])
+        # The first run of all and the last are their own neighbours.
+        has_above = (above < source) & (before[above] == symbol)
+        has_below = (below > source) & (before[below] == symbol)
+        shared, shared_below = np.zeros(len(source), np.uint8), np.zeros(len(source), np.uint8)
         shared[has_above] = _least(common, above[has_above], source[has_above]) + 1
-        shared_below = _least(common, source[has_below], below[has_below]) + 1
-
-        places, strings = count + at, string
-        fresh = np.zeros(count + len(order), bool)
-        fresh[places] = True
-        old = ~fresh
-        symbols = data[np.maximum(ends[string] - size - 1, 0)]
-        symbols[sizes[string] == size] = START
-        grown = _merged(old, common, shared)
+        shared_below[has_below] = _least(common, source[has_below], below[has_below]) + 1
+
+        sorted_ = np.argsort(symbol, kind="stable")
+        places, strings = at[sorted_], string[sorted_]
+        old = np.ones(len(before) + len(places), bool)
+        old[places] = False
+        symbols = data[np.maximum(ends[strings] - size - 1, 0)]
+        symbols[sizes[strings] == size] = START
+        grown = _merged(old, places, common, shared[sorted_])
         # The suffix below, if it was there already; a new one has its own value from above.
+        has_below, shared_below = has_below[sorted_], shared_below[sorted_]
         under = places[has_below] + 1
         there = old[under]
-        grown[under[there]] = shared_below[there]
-        files.write(before=_merged(old, before, symbols), common=grown)
+        grown[under[there]] = shared_below[has_below][there]
+        files.write(before=_merged(old, places, before, symbols), common=grown)
 
 
 def _followed(before: np.ndarray) -> np.ndarray:
@@ -411,20 +425,21 @@ def owners(before: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
     return string, size
 
 
-def _merged(old: np.ndarray, there: np.ndarray, more: np.ndarray) -> np.ndarray:
+def _merged(old: np.ndarray, places: np.ndarray, there: np.ndarray, more: np.ndarray) -> np.ndarray:
     out = np.empty(len(old), there.dtype)
     out[old] = there
-    out[~old] = more
+    out[places] = more
     return out
 
 
 def _least(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    """min(values[low + 1 : high + 1]) for each pair."""
+    """min(values[low + 1 : high + 1]) for each pair; quick if low or high ascends."""
     if not len(low):
         return np.empty(0, values.dtype)
-    bounds = np.stack([low + 1, high + 1], axis=1).ravel()
+    # From the last pair to the first, so that nothing is reduced from one pair to the next.
+    bounds = np.stack([low[::-1] + 1, high[::-1] + 1], axis=1).ravel()
     # reduceat needs its last bound inside the array.
-    return np.minimum.reduceat(np.append(values, values[-1:]), bounds)[::2]
+    return np.minimum.reduceat(np.append(values, values[-1:]), bounds)[::2][::-1]
 
 
 def repeats(data: np.ndarray, ends: np.ndarray, sizes: np.ndarray, rank: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:

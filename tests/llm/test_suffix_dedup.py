@@ -53,6 +53,27 @@ def test_transform_against_sorting(tmp_path, seed):
     ]
 
 
+def test_a_round_sorts_runs_not_places(tmp_path, monkeypatch):
+    """Equal strings make runs in the columns, and only runs and new suffixes are sorted."""
+    rng = random.Random(6)
+    strings = [rng.randbytes(30).replace(b"\xff", b"a")] * 200
+    data, sizes = np.frombuffer(b"".join(strings), np.uint8), np.full(200, 30)
+    lengths, plain = [], np.argsort
+    monkeypatch.setattr(s.np, "argsort", lambda a, **how: lengths.append(len(a)) or plain(a, **how))
+    s.transform(data, np.cumsum(sizes), sizes, s.ColumnFiles(str(tmp_path)))
+    columns = sum(200 * size for size in range(1, 31))
+    assert sum(lengths) < columns / 4
+
+
+def test_counting_minimizers_needs_no_content():
+    rng = random.Random(7)
+    texts = pa.array([rng.choice("abc") * rng.randint(0, 300) + corpus.sentence(rng, 40) for _ in range(20)])
+    windows = s.Windows(20, 8)
+    for full, bare in zip(windows.of_batch(texts), windows.of_batch(texts, hashed=False), strict=True):
+        assert not bare[1].any() and full[1].any()
+        assert all((a == b).all() for a, b in zip(full[:1] + full[2:], bare[:1] + bare[2:], strict=True))
+
+
 def test_equal_windows_have_equal_keys():
     rng = random.Random(5)
     windows = s.Windows(20, 8)
