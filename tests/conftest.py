@@ -28,3 +28,19 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield tune(session)
     session.stop()
+
+
+@pytest.fixture(autouse=True)
+def settings_stay(request):
+    """Registered queries tune the session; what a test finds there must not depend on those before it."""
+    if "spark" not in request.fixturenames:
+        yield
+        return
+    conf = request.getfixturevalue("spark").conf
+    before = dict(conf.getAll)
+    yield
+    for key, value in dict(conf.getAll).items():
+        if key not in before:
+            conf.unset(key)
+        elif before[key] != value:
+            conf.set(key, before[key])
