@@ -17,7 +17,7 @@ from basketry.operators import periods as period_ops
 from basketry.operators import quality
 from basketry.operators.history import analysis_moment
 from basketry.schema import Tables
-from basketry.session import delete, new_path, within, written
+from basketry.session import delete, new_path, within, written, written_in_passes
 
 
 class Workspace:
@@ -65,10 +65,13 @@ class Workspace:
         return self._history
 
     def store_history(self) -> Workspace:
-        """Write the history down; everything built from now on reads the copy."""
+        """Write the history down, long ones part by part; everything built from now on reads the copy."""
         if self._history is None:
             with self._kept():
-                self._history = written(self.history)
+                self._history = written_in_passes(
+                    history_ops.discounted_history(part, self.mode)
+                    for part in history_ops.receipt_parts(self.tables)
+                )
         return self
 
     @property
@@ -108,7 +111,7 @@ class Workspace:
     def with_affinity(self, pairs: DataFrame) -> DataFrame:
         """Pairs with their affinity; they are written down first, as they are read twice."""
         with self._kept():
-            pairs = written(pairs)
+            pairs = written_in_passes([pairs])
         return group_ops.with_affinity(pairs, self.history, self.mode)
 
     def reward_group(self, max_churn, max_discount_share, margin_share, **choices) -> DataFrame:

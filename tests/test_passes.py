@@ -1,0 +1,103 @@
+"""Long tables are worked on part by part: the same rows, and the disk holds the shuffles of one part."""
+
+from __future__ import annotations
+
+import time
+from dataclasses import replace
+
+import pytest
+from pyspark.sql import functions as F
+
+from basketry import Workspace, session
+from basketry.operators.history import receipt_parts
+from basketry.session import part_of, passes, written_in_passes
+from shop import rows, shop
+
+# Two customers with several receipts; product 3 has no price in store 3.
+RECEIPTS = [
+    (number, 1 + number % 2, 30, f"01-{number:02d} 1{number % 9}:00", 1 + number % 3) for number in range(1, 13)
+]
+LINES = [
+    (receipt, sku, 1, 10 * sku + receipt, sku if receipt % 3 else 0)
+    for receipt, *_ in RECEIPTS
+    for sku in (1, 3)
+    if (receipt * sku) % 5
+]
+
+
+@pytest.fixture
+def tables(spark):
+    return shop(spark, receipts=RECEIPTS, lines=LINES)
+
+
+@pytest.fixture
+def three_parts(monkeypatch):
+    monkeypatch.setattr(session, "PASS_ROWS", 8)
+    monkeypatch.setattr(session, "MOST_PASSES", 3)
+
+
+def shuffled_files(spark):
+    """Shuffle files of this process on disk."""
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = disk.getAllFiles()
+    names = (files.apply(i).getName() for i in range(files.size()))
+    return {name for name in names if name.startswith("shuffle_")}
+
+
+def settle(holds):
+    """Files are deleted in the background."""
+    for _ in range(100):
+        if holds():
+            return True
+        time.sleep(0.1)
+    return False
+
+
+def test_every_row_is_in_one_part(spark):
+    df = spark.range(100).selectExpr("CASE WHEN id % 10 > 0 THEN id END AS key")
+    parts = [part_of(df, "key", number, 3) for number in range(3)]
+    assert sorted(map(str, rows(df))) == sorted(str(row) for part in parts for row in rows(part))
+
+
+def test_passes_grow_with_the_rows_up_to_a_limit(spark, monkeypatch):
+    monkeypatch.setattr(session, "PASS_ROWS", 10)
+    assert [passes(spark.range(n)) for n in (0, 10, 11, 100_000)] == [1, 1, 2, session.MOST_PASSES]
+
+
+def test_keys_of_two_types_stay_in_one_part(tables, three_parts):
+    assert len(receipt_parts(tables)) == 3
+    short = tables.checks.withColumn("transaction_id", tables.checks.transaction_id.cast("int"))
+    assert len(receipt_parts(replace(tables, checks=short))) == 1
+
+
+def test_shuffles_of_a_part_are_freed(spark):
+    before = shuffled_files(spark)
+    seen = []
+
+    def parts():
+        for number in range(3):
+            seen.append(len(shuffled_files(spark) - before))
+            yield spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.sum("id").alias("s")).withColumn(
+                "part", F.lit(number)
+            )
+            settle(lambda: not shuffled_files(spark) - before)
+
+    copy = written_in_passes(parts())
+    assert copy.count() == 21 and copy.select("part").distinct().count() == 3
+    assert seen == [0, 0, 0]
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_nothing_is_left_of_the_shuffles_of_a_stored_history(spark, tables):
+    before = shuffled_files(spark)
+    with Workspace(tables) as ws:
+        ws.store_history()
+        assert settle(lambda: not shuffled_files(spark) - before)
+
+
+@pytest.mark.parametrize("mode", ["spec", "as_written"])
+def test_history_in_parts(tables, mode, three_parts):
+    columns = ["customer_id", "transaction_id", "group_id"]
+    with Workspace(tables, mode) as ws:
+        whole = rows(ws.history, *columns)
+        assert whole and rows(ws.store_history().history, *columns) == whole
