@@ -178,7 +178,7 @@ SPEC: dict[str, Callable[[Workspace], DataFrame]] = {
     "discount_share": lambda ws: groups.discount_share(ws.history),
     "minimum_discount": lambda ws: groups.minimum_discount(ws.history),
     "average_discount": lambda ws: groups.average_discount(ws.history),
-    "groups": lambda ws: ws.groups,
+    "groups": lambda ws: ws.stored_groups(),
     "groups_all_pairs": lambda ws: Workspace(ws.tables, ws.mode, min_purchases=1).groups,
     "groups_margin_days": lambda ws: ws.groups_by_margin(1, P["days"]),
     "groups_margin_last_n": lambda ws: ws.groups_by_margin(2, P["last"]),

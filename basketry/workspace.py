@@ -17,7 +17,7 @@ from basketry.operators import periods as period_ops
 from basketry.operators import quality
 from basketry.operators.history import analysis_moment
 from basketry.schema import Tables
-from basketry.session import delete, new_path, within, written, written_in_passes
+from basketry.session import delete, new_path, part_of, passes, within, written, written_in_passes
 
 
 class Workspace:
@@ -103,6 +103,32 @@ class Workspace:
     def groups(self) -> DataFrame:
         return self.group_details.select(*group_ops.GROUP_COLUMNS)
 
+    def stored_details(self, method: int = 0, number: int = 1) -> DataFrame:
+        """group_details by a margin method, written down customers by customers.
+
+        A short history is not worth it: there the table stays one lazy plan.
+        """
+        if method == 2:
+            self.store_history()
+        parts = passes(self.tables.checks if self._history is None else self._history)
+        if parts > 1:
+            self.store_history()
+        mode, least, history = self.mode, self.min_purchases, self.history
+        if parts == 1:
+            return group_ops.group_details(history, self.analysis, method, number, mode, least)
+        with self._kept():
+            return written_in_passes(
+                group_ops.group_details(
+                    part_of(history, "customer_id", part, parts),
+                    self.analysis, method, number, mode, least, history,
+                )
+                for part in range(parts)
+            )
+
+    def stored_groups(self, method: int = 0, number: int = 1) -> DataFrame:
+        """groups_by_margin, for tables whose shuffles would not fit the disk all at once."""
+        return self.stored_details(method, number).select(*group_ops.GROUP_COLUMNS)
+
     @property
     def offer_candidates(self) -> DataFrame:
         """The pairs with what offers ask of them, but for affinity and stability."""

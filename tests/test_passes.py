@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from basketry import Workspace, session
 from basketry.operators.history import receipt_parts
 from basketry.session import part_of, passes, written_in_passes
-from shop import rows, shop
+from shop import plan, rows, shop
 
 # Two customers with several receipts; product 3 has no price in store 3.
 RECEIPTS = [
@@ -101,3 +101,20 @@ def test_history_in_parts(tables, mode, three_parts):
     with Workspace(tables, mode) as ws:
         whole = rows(ws.history, *columns)
         assert whole and rows(ws.store_history().history, *columns) == whole
+
+
+@pytest.mark.parametrize("mode", ["spec", "as_written"])
+@pytest.mark.parametrize("method, number", [(0, 1), (1, 20), (2, 2)])
+def test_groups_in_parts(spark, tables, mode, method, number, three_parts):
+    """As written, the first pairs are those of all customers, not of those of a part."""
+    pair = ["customer_id", "group_id"]
+    for least in (1, 2):
+        with Workspace(tables, mode, least) as ws, Workspace(tables, mode, least) as other:
+            stored = ws.stored_groups(method, number)
+            assert "Exchange" not in plan(stored)
+            assert rows(stored, *pair) == rows(other.groups_by_margin(method, number), *pair) != []
+
+
+def test_a_short_history_is_not_written_for_the_group_table(tables):
+    with Workspace(tables) as ws:
+        assert "Exchange" in plan(ws.stored_groups()) and ws._folder is None
