@@ -180,7 +180,7 @@ SPEC: dict[str, Callable[[Workspace], DataFrame]] = {
     "average_discount": lambda ws: groups.average_discount(ws.history),
     "groups": lambda ws: ws.stored_groups(),
     "groups_all_pairs": lambda ws: Workspace(ws.tables, ws.mode, min_purchases=1).stored_groups(),
-    "groups_margin_days": lambda ws: ws.groups_by_margin(1, P["days"]),
+    "groups_margin_days": lambda ws: ws.stored_groups(1, P["days"]),
     "groups_margin_last_n": lambda ws: ws.groups_by_margin(2, P["last"]),
     "avg_check_by_period": lambda ws: offers.avg_check_by_period(ws.tables, mode=ws.mode, **PERIOD),
     "avg_check_by_count": lambda ws: offers.avg_check_by_count(ws.tables, P["visits"], ws.mode),
