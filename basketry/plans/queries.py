@@ -181,7 +181,7 @@ SPEC: dict[str, Callable[[Workspace], DataFrame]] = {
     "groups": lambda ws: ws.stored_groups(),
     "groups_all_pairs": lambda ws: Workspace(ws.tables, ws.mode, min_purchases=1).stored_groups(),
     "groups_margin_days": lambda ws: ws.stored_groups(1, P["days"]),
-    "groups_margin_last_n": lambda ws: ws.groups_by_margin(2, P["last"]),
+    "groups_margin_last_n": lambda ws: ws.stored_groups(2, P["last"]),
     "avg_check_by_period": lambda ws: offers.avg_check_by_period(ws.tables, mode=ws.mode, **PERIOD),
     "avg_check_by_count": lambda ws: offers.avg_check_by_count(ws.tables, P["visits"], ws.mode),
     "reward_group": lambda ws: _reward(ws),
@@ -234,7 +234,7 @@ AS_WRITTEN = SPEC | {
     "group_margin_last_n": lambda ws: groups.group_margin(
         ws.store_history().history, ws.analysis, 2, P["first_pairs"], ws.mode
     ),
-    "groups_margin_last_n": lambda ws: ws.groups_by_margin(2, P["first_pairs"]),
+    "groups_margin_last_n": lambda ws: ws.stored_groups(2, P["first_pairs"]),
     "max_margin_sku": lambda ws: _reached_written(ws).select(
         *PAIR, "customer_primary_store", "max_margin"
     ),
