@@ -223,7 +223,7 @@ class Workspace:
         return cross_sell_ops.offers_cross_sell(
             self.tables,
             self.history,
-            self.group_details,
+            self.stored_details(),
             customer_ops.primary_store(self.tables, self.mode),
             count,
             **parameters,
