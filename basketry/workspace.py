@@ -17,7 +17,7 @@ from basketry.operators import periods as period_ops
 from basketry.operators import quality
 from basketry.operators.history import analysis_moment
 from basketry.schema import Tables
-from basketry.session import delete, new_path, part_of, passes, within, written, written_in_passes
+from basketry.session import delete, new_path, part_of, passes, within, written_in_passes
 
 
 class Workspace:
@@ -194,11 +194,14 @@ class Workspace:
     def cross_sell_selected(self, count: int, max_churn: float, max_stability: float) -> DataFrame:
         """The pairs cross-selling chooses, written down, as offers read them more than once."""
         self.store_history()
+        details = self.stored_details()
         with self._kept():
-            return written(
-                cross_sell_ops.cross_sell_groups(
-                    self.group_details, count, max_churn, max_stability, self.mode
-                )
+            return written_in_passes(
+                [
+                    cross_sell_ops.cross_sell_groups(
+                        details, count, max_churn, max_stability, self.mode
+                    )
+                ]
             )
 
     def offers_cross_sell_counted(
