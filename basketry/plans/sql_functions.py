@@ -102,8 +102,9 @@ def _views(ws: Workspace) -> dict[str, DataFrame]:
     receipts = tables.checks.groupBy("transaction_id").agg(F.sum("sku_summ").alias("summ"))
     visits = card_transactions(tables).dropna(subset=["customer_id"])
     stores = customers.primary_store(tables, ws.mode)
-    pairs = ws.group_details.join(ws.price_margin, "group_id", "left")
-    best = cross_sell.max_margin_sku(tables, ws.group_details, stores)
+    details = ws.stored_details()
+    pairs = details.join(ws.price_margin, "group_id", "left")
+    best = cross_sell.max_margin_sku(tables, details, stores)
     best = cross_sell.sku_share(tables, ws.history, best, cross_sell.best_skus(tables))
     best = best.select(*PAIR, "sku_id", "sku_share", "max_margin", "sku_retail_price")
     names = tables.product_grid.select("sku_id", "sku_name")
@@ -118,7 +119,7 @@ def _views(ws: Workspace) -> dict[str, DataFrame]:
         "groups": tables.groups_sku,
         "frequencies": customers.customer_frequency(tables),
         # Groups without a product on sale still take their place in the ranking.
-        "skus": ws.group_details.join(best, PAIR, "left").join(names, "sku_id", "left"),
+        "skus": details.join(best, PAIR, "left").join(names, "sku_id", "left"),
         "purchases": ws.history.select(
             *PAIR, "transaction_id", "transaction_datetime",
             (F.col("group_summ_paid") - F.col("group_cost")).alias("margin"),

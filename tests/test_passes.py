@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from basketry import Workspace, session
 from basketry.operators.history import receipt_parts
+from basketry.plans.sql_functions import register_functions
 from basketry.session import part_of, passes, written_in_passes
 from shop import plan, rows, shop
 
@@ -118,3 +119,22 @@ def test_groups_in_parts(spark, tables, mode, method, number, three_parts):
 def test_a_short_history_is_not_written_for_the_group_table(tables):
     with Workspace(tables) as ws:
         assert "Exchange" in plan(ws.stored_groups()) and ws._folder is None
+
+
+def test_cross_selling_and_table_functions_in_parts(spark, tables, monkeypatch):
+    limits = dict(max_churn=100, max_stability=100, max_sku_share=100, margin_share=100)
+
+    def found():
+        with Workspace(tables) as ws, Workspace(tables, "as_written") as written:
+            register_functions(ws, "p_")
+            return [
+                rows(ws.offers_cross_sell(2, **limits)),
+                rows(spark.sql("SELECT * FROM p_offers_cross_sell(2, 100, 100, 100, 100)")),
+                rows(spark.sql("SELECT * FROM p_groups_by_margin(2, 2)"), "customer_id", "group_id"),
+                rows(written.cross_sell_selected(2, 100, 100), "customer_id", "group_id"),
+            ]
+
+    at_once = found()
+    monkeypatch.setattr(session, "PASS_ROWS", 8)
+    monkeypatch.setattr(session, "MOST_PASSES", 2)
+    assert all(at_once) and found() == at_once
