@@ -93,7 +93,7 @@ def test_nothing_is_left_of_the_shuffles_of_a_stored_history(spark, tables):
     before = shuffled_files(spark)
     with Workspace(tables) as ws:
         ws.store_history()
-        assert settle(lambda: not shuffled_files(spark) - before)
+        assert settle(lambda: not shuffled_files(spark) - before), shuffled_files(spark) - before
 
 
 @pytest.mark.parametrize("mode", ["spec", "as_written"])
